@@ -141,7 +141,7 @@ def plan(sized: DataFrame, seed: int = SEED, most: int = MOST, cycle: tuple = CY
     quota = written(quota, "quota")
     # The want-th smallest (hash, id) of each cell: a cell is cut into slices of the hash's range, only one slice of it is sorted.
     h, i = _order(F.col("id"), seed)
-    slice_ = F.shiftright(F.col("h"), 48) + 32768
+    slice_ = F.shiftright(F.col("h"), 54) + 512
     rows = sized.withColumn("h", h).withColumn("part", slice_)
     parts = rows.groupBy("source", "size", "part").agg(F.count("*").alias("m"))
     open_ = quota.filter("want > 0 and want < n").select("source", "size", "want")

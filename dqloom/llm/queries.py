@@ -8,8 +8,11 @@ from importlib import import_module
 #: query, module, function, name of its SQL in that module (or none)
 _LIST = [
     ("op1_pii", "pii", "op1", None),
+    ("op3_toxicity", "toxicity", "op3", None),
     ("op4_mixing", "mixing", "op4", None),
+    ("op8_packing", "packing", "op8", None),
     ("op9_exact_dedup", "exact_dedup", "op9", "OP9_SQL"),
+    ("op10_language_id", "language_id", "op10", None),
 ]
 
 
