@@ -8,6 +8,7 @@ from importlib import import_module
 #: query, module, function, name of its SQL in that module (or none)
 _LIST = [
     ("op1_pii", "pii", "op1", None),
+    ("op2_ngram_join", "ngram_join", "op2", "OP2_SQL"),
     ("op3_toxicity", "toxicity", "op3", None),
     ("op4_mixing", "mixing", "op4", None),
     ("op8_packing", "packing", "op8", None),
