@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -47,3 +48,15 @@ def n_words(text: Column) -> Column:
 
 def pow2_at_least(n: int) -> int:
     return 1 << max(0, (int(n) - 1).bit_length())
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, n: int):
+    """Arrow batches of at most n rows meanwhile, for rows that hold whole texts, sets or trees."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

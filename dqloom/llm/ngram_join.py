@@ -23,7 +23,6 @@ an empty result; further columns are ignored by ``groups`` and carried by ``one_
 
 from __future__ import annotations
 
-import contextlib
 import math
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import table, whole, written
+from dqloom.llm.common import batches_of, table, whole, written
 from dqloom.llm.components import components
 
 N = 5
@@ -90,18 +89,6 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * both >= threshold * (len(a) + len(b) - both)
 
 
-@contextlib.contextmanager
-def _batches_of(spark, n: int):
-    """Arrow batches of at most n rows meanwhile, for rows that hold whole texts or sets."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 # 1. Which documents can have a partner
 
 _SCAN = "kind int, batch long, no int, id long, n long, node binary, own long, chunk int, tails binary, counts binary, again binary"
@@ -181,7 +168,7 @@ def _documents(rows: DataFrame, n: int, threshold: int) -> DataFrame:
     spark = rows.sparkSession
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(chars / 6 / CHUNK_TOKENS))
-    with _batches_of(spark, 1000):
+    with batches_of(spark, 1000):
         scan = written(rows.mapInPandas(_scan(chunks, n), _SCAN), "ngrams")
     parts = scan.filter("kind = 1").select("batch", "chunk", "tails", "counts", "again")
     shared = parts.groupBy("chunk").applyInPandas(_shared, "batch long, counts binary").groupBy("batch").applyInPandas(_added, "batch long, no int, shared long")
@@ -236,12 +223,12 @@ def _proven(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             yield pdf.loc[keep, ["a", "b"]]
 
     spark = sets.sparkSession
-    with _batches_of(spark, 2000):
+    with batches_of(spark, 2000):
         fit = pairs.join(one, "a").join(two, "b").filter(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
         fit = written(fit.mapInPandas(may, "a binary, b binary"), "pairs")
     one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-    with _batches_of(spark, 200):
+    with batches_of(spark, 200):
         return written(fit.join(one, "a").join(two, "b").mapInPandas(check, "a binary, b binary"), "links")
 
 
@@ -371,7 +358,7 @@ def _candidates(sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame
     spark = sets.sparkSession
     lab = labels.select(F.col("node").alias("k"), F.col("label").alias("l"))
     marked = sets.join(lab, F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("l", "node"))
-    with _batches_of(spark, 500):
+    with batches_of(spark, 500):
         posts = written(_prefixes(marked.select("node", "n", "label", "tokens"), threshold), "posts")
     lists = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
     lists = lists.filter("lo <> hi").groupBy("c", "x", "y").agg(F.min("token").alias("t"))  # of equal lists one
@@ -420,7 +407,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     known = classes.select("node")
-    with _batches_of(docs.sparkSession, 1000):
+    with batches_of(docs.sparkSession, 1000):
         sets = _sets(rows.join(ids, F.col("id").eqNullSafe(F.col("i")), "left_semi"), n)
         sets = written(sets.dropDuplicates(["node"]).join(known, "node", "left_semi"), "sets")
     labels = _links(sets, threshold)

@@ -11,6 +11,9 @@ _LIST = [
     ("op2_ngram_join", "ngram_join", "op2", "OP2_SQL"),
     ("op3_toxicity", "toxicity", "op3", None),
     ("op4_mixing", "mixing", "op4", None),
+    ("op5_html_text", "html_text", "op5", None),
+    ("op6_chat", "chat", "op6", None),
+    ("op7_nearest", "vp_search", "op7", None),
     ("op8_packing", "packing", "op8", None),
     ("op9_exact_dedup", "exact_dedup", "op9", "OP9_SQL"),
     ("op10_language_id", "language_id", "op10", None),
