@@ -39,7 +39,7 @@ from dqloom.llm.components import components
 N = 5
 THRESHOLD = 80
 #: N-grams in one batch of a task and, on average, in one chunk of the hash range.
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 500_000
 CHUNK_TOKENS = 4_000_000
 KEYS = 6
 TILE = 2048
@@ -53,7 +53,7 @@ class _Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 1_000_000:
+        if len(self) < 200_000:
             self[word] = h
         return h
 
