@@ -13,6 +13,8 @@ _JAVA = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252", "lati
 
 def read_text(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8-sig", columns: list[str] | None = None, keep_blank: bool = False) -> DataFrame:
     """Every column as text, an empty cell as null (or kept as ''); quoted line breaks stay in their cell. With columns, only those are parsed."""
+    if encoding == "cp1252":  # not among the character sets that Spark reads by default
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     reader = spark.read.options(header=True, sep=delimiter, encoding=_JAVA.get(encoding, encoding), multiLine=True, quote='"', escape='"', inferSchema=False, mode="PERMISSIVE")
     if keep_blank:
         reader = reader.option("nullValue", "\u0000").option("emptyValue", "")
