@@ -80,7 +80,8 @@ def search(nodes: list, points: np.ndarray, ids: np.ndarray, queries: np.ndarray
     slack = 1e-6 * (1 + float(np.abs(points).max(initial=0)))
 
     def look(rows: np.ndarray, q: np.ndarray) -> None:
-        d = _distances(queries[q], points[rows])
+        # Rounded, so that equal vectors tie whatever their place in the product.
+        d = np.sqrt(np.round(_distances(queries[q], points[rows]) ** 2, 12))
         d[query_ids[q][:, None] == ids[rows][None]] = np.inf
         near = (d.min(axis=1) <= best[q, -1] + slack) if len(rows) else np.zeros(len(q), bool)
         q, d = q[near], d[near]
