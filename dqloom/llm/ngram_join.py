@@ -7,12 +7,13 @@ Exact, in these steps (n-grams are 64-bit hashes throughout; "node" is one disti
 2. Nodes that are left are linked to the least node that shares one of a few min-hash keys, where the sets themselves prove
    the link. That is linear and joins most of a group of near copies.
 3. For what is left, prefix filtering: two similar sets share an n-gram among the first |s| - ceil(0.8 |s|) + 1 of either, in one fixed
-   order. Only n-grams whose prefix holders are not yet in one group matter, and of equal lists of holders only one.
-4. The holders of each such n-gram go into a signature tree: leaves and inner nodes hold the OR of their sets' token bitmaps, size
-   ranges and the least bits that a partner must share. A dual traversal keeps a pair of tree nodes only if sizes fit,
-   the common bits can reach the overlap, and the two sides are not all in one group already. Long lists are cut into
-   tiles of at most ``TILE`` sets against ``TILE`` sets, so that no task holds an unbounded list.
-5. The pairs that come through are checked on the sets, and components are built from all proven links.
+   order. Only n-grams whose prefix holders are not yet in one group matter; they are gathered by their least holder.
+4. The holders go into signature trees: leaves and inner nodes hold the OR of their sets' token bitmaps, size ranges and the
+   least bits that a partner must share. A dual traversal keeps a pair of tree nodes only if sizes fit, the common bits can
+   reach the overlap, and the two sides are not all in one group already. A pair that comes through is checked on the sets,
+   and a link brings two groups together, so there are never more links than sets. Long lists are cut into tiles of
+   at most ``TILE`` sets and ``TILE_BYTES`` against as many, so that no task holds an unbounded list.
+5. Components are built from all proven links.
 
 Links inside a group that are not needed to connect it are not listed; no link between different groups is lost.
 
@@ -43,6 +44,7 @@ BATCH_TOKENS = 500_000
 CHUNK_TOKENS = 4_000_000
 KEYS = 6
 TILE = 2048
+TILE_BYTES = 8 << 20
 #: Up to so many ids (8 bytes each) are broadcast; beyond that they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -182,9 +184,9 @@ def _documents(rows: DataFrame, n: int, threshold: int) -> DataFrame:
 _SETS = "node binary, n long, tokens binary, bits binary, keys array<long>"
 
 
-def _bitmap(s: np.ndarray) -> np.ndarray:
-    """At least two bits for each n-gram, a power of two of them."""
-    m = max(64, 1 << (2 * len(s) - 1).bit_length())
+def _bitmap(s: np.ndarray, each: int = 16) -> np.ndarray:
+    """At least so many bits for each n-gram, a power of two of them."""
+    m = max(64, 1 << (each * len(s) - 1).bit_length())
     bits = np.zeros(m, np.uint8)
     bits[(s & np.uint64(m - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
@@ -201,7 +203,7 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = [s for t in pdf["text"] if len(s := ngrams(t, n))]
-            yield pd.DataFrame({"node": [set_hash(s) for s in found], "n": [len(s) for s in found], "tokens": [s.tobytes() for s in found], "bits": [_bitmap(s).tobytes() for s in found], "keys": [_min_keys(s) for s in found]})
+            yield pd.DataFrame({"node": [set_hash(s) for s in found], "n": [len(s) for s in found], "tokens": [s.tobytes() for s in found], "bits": [_bitmap(s, 2).tobytes() for s in found], "keys": [_min_keys(s) for s in found]})
 
     return rows.select("text").mapInPandas(run, _SETS)
 
@@ -254,9 +256,10 @@ class Tree:
 
     FAN = 4
 
-    def __init__(self, n: np.ndarray, bits: np.ndarray, label: np.ndarray, threshold: int):
-        self.order = np.lexsort((n, label))
-        n, bits, label = n[self.order], bits[self.order], label[self.order]
+    def __init__(self, n: np.ndarray, bits: np.ndarray, label: np.ndarray, threshold: int, places: np.ndarray):
+        order = np.lexsort((n, label))
+        n, bits, label = n[order], bits[order], label[order]
+        self.places = places[order]
         need = np.bitwise_count(bits).sum(axis=1).astype(np.int64) - ((100 - threshold) * n) // 100
         self.levels = [(bits, n, n, label, label, need)]
         while len(self.levels[-1][1]) > 1:
@@ -270,7 +273,7 @@ class Tree:
     def narrowed(self, words: int, threshold: int) -> Tree:
         """The same tree with folded bitmaps (and needs that hold for them)."""
         out = object.__new__(Tree)
-        out.order, out.levels = self.order, []
+        out.places, out.levels = self.places, []
         for i, (b, lo, hi, l0, l1, need) in enumerate(self.levels):
             b = _fold(b, words)
             if i == 0:
@@ -281,26 +284,35 @@ class Tree:
         return out
 
 
-def traverse(left: Tree, right: Tree, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (before ordering) of the pairs of sets, one of each tree, in different groups that may be similar."""
+def traverse(left: Tree, right: Tree, threshold: int, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets, one of each tree, in different groups that may be similar; as places before ordering, in pieces.
+
+    label: groups of left's and right's sets by place (one array for both). It may change between pieces: pairs that were brought
+    together meanwhile are left out.
+    """
     same, depth = left is right, max(len(left.levels), len(right.levels)) - 1
-    i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    for level in range(depth, -1, -1):
+    work = [(depth, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    step = max(1, 4_000_000 // max(1, left.levels[0][0].shape[1]))
+    while work:
+        level, i, j = work.pop()
+        if len(i) > step:
+            work += [(level, i[k : k + step], j[k : k + step]) for k in range(0, len(i), step)]
+            continue
         a, b = left.at(level), right.at(level)
-        kept_i, kept_j = [], []
-        step = max(1, 4_000_000 // max(1, a[0].shape[1]))
-        for k in range(0, len(i), step):
-            x, y = i[k : k + step], j[k : k + step]
-            ok = (100 * a[2][x] >= threshold * b[1][y]) & (100 * b[2][y] >= threshold * a[1][x])
-            ok &= ~((a[3][x] == a[4][x]) & (b[3][y] == b[4][y]) & (a[3][x] == b[3][y]))
-            x, y = x[ok], y[ok]
-            common = np.bitwise_count(a[0][x] & b[0][y]).sum(axis=1)
-            ok = common >= np.maximum(a[5][x], b[5][y])
-            kept_i.append(x[ok])
-            kept_j.append(y[ok])
-        i, j = np.concatenate(kept_i), np.concatenate(kept_j)
-        if level == 0 or not len(i):
-            break
+        ok = (100 * a[2][i] >= threshold * b[1][j]) & (100 * b[2][j] >= threshold * a[1][i])
+        if level:
+            ok &= ~((a[3][i] == a[4][i]) & (b[3][j] == b[4][j]) & (a[3][i] == b[3][j]))
+        else:
+            ok &= label[left.places[i]] != label[right.places[j]]
+            ok &= (i < j) if same else True
+        i, j = i[ok], j[ok]
+        ok = np.bitwise_count(a[0][i] & b[0][j]).sum(axis=1) >= np.maximum(a[5][i], b[5][j])
+        i, j = i[ok], j[ok]
+        if not len(i):
+            continue
+        if level == 0:
+            yield left.places[i], right.places[j]
+            continue
         # Children of each side; a tree that is less deep waits at its root.
         grow_l, grow_r = level < len(left.levels), level < len(right.levels)
         fan_l, fan_r = (Tree.FAN if grow_l else 1), (Tree.FAN if grow_r else 1)
@@ -310,32 +322,34 @@ def traverse(left: Tree, right: Tree, threshold: int) -> tuple[np.ndarray, np.nd
         ok = (i < len(left.at(level - 1)[1])) & (j < len(right.at(level - 1)[1]))
         if same:
             ok &= i <= j
-        i, j = i[ok], j[ok]
-    if same:
-        ok = i < j
-        i, j = i[ok], j[ok]
-    return left.order[i], right.order[j]
+        work.append((level - 1, i[ok], j[ok]))
+
 
+def tree_links(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Links that bring different groups together, until no similar pair of sets is left in two of them. Every link is proven on the sets.
 
-def tree_pairs(n: np.ndarray, bits: list[np.ndarray], label: np.ndarray, side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
-    """Pairs of sets that may be similar and are in different groups. side: 0 and 1 for a tile of two blocks (pairs across only), else all 0."""
-    width, out = np.array([len(b) for b in bits]), []
-    trees: dict[tuple[int, int], tuple[np.ndarray, Tree]] = {}
+    label: group numbers. side: 0 and 1 for a tile of two blocks (pairs across only), else all 0.
+    """
+    label, out = label.copy(), []
+    bits = [_bitmap(s) for s in sets]
+    n, width = np.array([len(s) for s in sets]), np.array([len(b) for b in bits])
+    trees: dict[tuple[int, int], Tree] = {}
     for s in np.unique(side):
         for w in np.unique(width[side == s]):
             at = np.flatnonzero((side == s) & (width == w))
-            trees[int(s), int(w)] = at, Tree(n[at], np.stack([bits[k] for k in at]), label[at], threshold)
+            trees[int(s), int(w)] = Tree(n[at], np.stack([bits[k] for k in at]), label[at], threshold, at)
     across = len(np.unique(side)) > 1
-    for (s, w), (at, tree) in trees.items():
-        for (s2, w2), (at2, tree2) in trees.items():
+    for (s, w), a in trees.items():
+        for (s2, w2), b in trees.items():
             # Sizes differ by a quarter at most, so widths by one step at most.
-            if (s2 <= s if across else False) or (not across and w2 < w) or max(w, w2) > 2 * min(w, w2):
+            if (s2 <= s if across else w2 < w) or max(w, w2) > 2 * min(w, w2):
                 continue
-            a, b = tree, tree2
-            if w != w2:
-                a, b = (a.narrowed(w2, threshold), b) if w > w2 else (a, b.narrowed(w, threshold))
-            i, j = traverse(a, b, threshold)
-            out += zip(at[i].tolist(), at2[j].tolist(), strict=True)
+            one, two = (a.narrowed(w2, threshold), b) if w > w2 else (a, b.narrowed(w, threshold)) if w < w2 else (a, b)
+            for i, j in traverse(one, two, threshold, label):
+                for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                    if label[x] != label[y] and similar(sets[x], sets[y], threshold):
+                        label[label == label[y]] = label[x]
+                        out.append((x, y))
     return out
 
 
@@ -353,37 +367,44 @@ def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
     return sets.mapInPandas(run, "node binary, label binary, token array<long>").select("node", "label", F.explode("token").alias("token"))
 
 
-def _candidates(sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of nodes in different groups that come through the signature trees."""
+def _tile_links(sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between nodes in different groups.
+
+    N-grams whose prefix holders are in several groups are gathered by their anchor, the holder with the least hash: the lists of one
+    family mostly have the same anchor, so its sets meet once and not once for each n-gram.
+    """
     spark = sets.sparkSession
     lab = labels.select(F.col("node").alias("k"), F.col("label").alias("l"))
     marked = sets.join(lab, F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("l", "node"))
     with batches_of(spark, 500):
         posts = written(_prefixes(marked.select("node", "n", "label", "tokens"), threshold), "posts")
-    lists = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
-    lists = lists.filter("lo <> hi").groupBy("c", "x", "y").agg(F.min("token").alias("t"))  # of equal lists one
-    lists = lists.select("t", F.ceil(F.col("c") / TILE).cast("int").alias("blocks"))
-    some = posts.join(lists, F.col("token") == F.col("t")).select("token", "node", "label", "blocks")
+    lists = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("m"))
+    lists = lists.filter("lo <> hi").select(F.col("token").alias("t"), F.col("m.node").alias("anchor"))
+    members = posts.join(lists, F.col("token") == F.col("t")).select("anchor", "node", "label").distinct()
+    sizes = sets.select(F.col("node").alias("k"), "n")
+    members = written(members.join(sizes, F.col("node") == F.col("k")).drop("k"), "members")
+    blocks = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(8 * F.sum("n") / TILE_BYTES)).cast("int")
+    many = members.groupBy("anchor").agg(blocks.alias("blocks")).withColumnRenamed("anchor", "at")
+    some = members.join(many, F.col("anchor") == F.col("at")).select("anchor", "node", "label", "n", "blocks")
     some = some.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     some = some.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = some.select("node", "label", "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"))
-    facts = sets.select(F.col("node").alias("k"), "n", "bits")
-    tiles = tiles.join(facts, F.col("node") == F.col("k")).drop("k")
-    buckets = max(1, math.ceil(some.count() / 20_000))
-    tiles = tiles.withColumn("bucket", F.pmod(F.xxhash64("token", "i", "j"), F.lit(buckets)))
+    tiles = some.select("node", "label", "anchor", "n", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+    tiles = written(tiles, "tiles")
+    buckets = max(1, math.ceil(8 * (tiles.agg(F.sum("n")).first()[0] or 0) / (2 * TILE_BYTES)))
+    facts = sets.select(F.col("node").alias("k"), "tokens")
+    tiles = tiles.drop("n").join(facts, F.col("node") == F.col("k")).drop("k").withColumn("bucket", F.pmod(F.xxhash64("anchor", "i", "j"), F.lit(buckets)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found: set[tuple[bytes, bytes]] = set()
-        for _, g in pdf.groupby(["token", "i", "j"], sort=False):
+        found: list[tuple[bytes, bytes]] = []
+        for _, g in pdf.groupby(["anchor", "i", "j"], sort=False):
             nodes = g["node"].tolist()
             number = {x: k for k, x in enumerate(dict.fromkeys(g["label"]))}
             label = np.array([number[x] for x in g["label"]])
-            bits = [np.frombuffer(b, np.uint64) for b in g["bits"]]
-            for a, b in tree_pairs(g["n"].to_numpy(), bits, label, g["side"].to_numpy(), threshold):
-                found.add((min(nodes[a], nodes[b]), max(nodes[a], nodes[b])))
-        return pd.DataFrame(sorted(found), columns=["a", "b"])
+            links = tree_links([np.frombuffer(t, np.uint64) for t in g["tokens"]], label, g["side"].to_numpy(), threshold)
+            found += [(nodes[x], nodes[y]) for x, y in links]
+        return pd.DataFrame(found, columns=["a", "b"])
 
-    return written(tiles.groupBy("bucket").applyInPandas(run, "a binary, b binary"), "candidates")
+    return written(tiles.groupBy("bucket").applyInPandas(run, "a binary, b binary"), "tilelinks")
 
 
 def _links(sets: DataFrame, threshold: int) -> DataFrame:
@@ -393,8 +414,7 @@ def _links(sets: DataFrame, threshold: int) -> DataFrame:
     pairs = keyed.join(star, "key").filter("node <> a").select("a", F.col("node").alias("b"))
     first = _proven(pairs, sets, threshold)
     labels = components(first)
-    second = _proven(_candidates(sets, labels, threshold), sets, threshold)
-    return components(first.unionByName(second))
+    return components(first.unionByName(_tile_links(sets, labels, threshold)))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: int = THRESHOLD) -> DataFrame:

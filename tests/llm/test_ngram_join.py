@@ -77,13 +77,23 @@ def test_trees_lose_no_similar_pair():
             keep = b[rng.random(len(b)) < rng.choice([0.75, 0.9, 1.0])]
             sets.append(np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, size=rng.integers(0, 1 + len(b) // 8)).astype(np.uint64)])))
     sets = [s for s in sets if len(s)]
-    n, bits, label = np.array([len(s) for s in sets]), [J._bitmap(s) for s in sets], np.arange(len(sets)) // 2
-    want = {(i, j) for i, j in combinations(range(len(sets)), 2) if label[i] != label[j] and J.similar(sets[i], sets[j])}
-    got = {tuple(sorted(p)) for p in J.tree_pairs(n, bits, label, np.zeros(len(sets), int), 80)}
-    assert want <= got and len(got) < len(sets) * (len(sets) - 1) / 2
+    label = np.arange(len(sets)) // 2
+
+    def groups_of(links):
+        g = label.copy()
+        for x, y in links:
+            assert J.similar(sets[x], sets[y])
+            g[g == g[y]] = g[x]
+        return g
+
+    want = [(i, j) for i, j in combinations(range(len(sets)), 2) if J.similar(sets[i], sets[j])]
+    links = J.tree_links(sets, label, np.zeros(len(sets), int), 80)
+    assert len(links) < len(sets)
+    same = groups_of(links)
+    assert all(same[i] == same[j] for i, j in want) and len(set(same)) == len(set(groups_of(want)))
     side = np.arange(len(sets)) % 2
-    across = {tuple(sorted(p)) for p in J.tree_pairs(n, bits, label, side, 80)}
-    assert {p for p in want if side[p[0]] != side[p[1]]} <= across
+    across = groups_of(J.tree_links(sets, label, side, 80))
+    assert all(across[i] == across[j] for i, j in want if side[i] != side[j])
 
 
 def test_one_of_each_keeps_columns(clashing):
