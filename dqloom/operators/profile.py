@@ -306,7 +306,7 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
     out = {"row_count": max([s["rows"] for s in by.values()], default=0), "columns": columns, "duplicate_rows": repeated, "keys": keys, "observations": (["DUPLICATE_ROWS"] if repeated else []) + (["NEAR_KEY"] if any(k["kind"] == "near_key" for k in keys) else [])}
     if relationships:
         ids = [c["column_name"] for c in columns if c["logical_type"] == "identifier"]
-        if ids:
+        if ids and len(df.columns) > 1:
             pairs = pair_counts(df, ids, df.columns).persist()
             found = [r.asDict() for r in entity_attributes(consistency(pairs)).collect()]
             shared = [r.asDict() for r in shared_values(pairs).collect()]
@@ -315,7 +315,7 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
             pairs.unpersist()
         drivers = [c["column_name"] for c in columns if c["logical_type"] in ("categorical", "boolean") and c["distinct_count"] <= MAX_CATEGORIES]
         partly = [c["column_name"] for c in columns if c["rows"] and MISSING_SHARE <= c["missing_count"] / c["rows"] <= 1 - MISSING_SHARE]
-        if drivers and partly:
+        if any(c != d for c in partly for d in drivers):
             gaps = [r.asDict() for r in conditional_missing(df, partly, drivers).collect()]
             out["conditional_missing"] = gaps
             out["observations"] += ["CONDITIONAL_MISSING"] if gaps else []
