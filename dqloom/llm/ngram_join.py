@@ -7,10 +7,11 @@ Exact, in these steps (n-grams are 64-bit hashes throughout; "node" is one disti
 2. Nodes that are left are linked to the least node that shares one of a few min-hash keys, where the sets themselves prove
    the link. That is linear and joins most of a group of near copies.
 3. For what is left, prefix filtering: two similar sets share an n-gram among the first |s| - ceil(0.8 |s|) + 1 of either, in one fixed
-   order. Only n-grams whose prefix holders are not yet in one group matter; they are gathered by their least holder.
+   order. Only n-grams whose prefix holders are not yet in one group matter; they are gathered by their most frequent holder.
 4. The holders go into signature trees: leaves and inner nodes hold the OR of their sets' token bitmaps, size ranges and the
    least bits that a partner must share. A dual traversal keeps a pair of tree nodes only if sizes fit, the common bits can
-   reach the overlap, and the two sides are not all in one group already. A pair that comes through is checked on the sets,
+   reach the overlap, and the two sides are not all in one group already. That is done on bitmaps of a byte or two an n-gram
+   first; only sets that may have a partner are then sent in full. There a pair that comes through is checked on the sets,
    and a link brings two groups together, so there are never more links than sets. Long lists are cut into tiles of
    at most ``TILE`` sets and ``TILE_BYTES`` against as many, so that no task holds an unbounded list.
 5. Components are built from all proven links.
@@ -184,7 +185,7 @@ def _documents(rows: DataFrame, n: int, threshold: int) -> DataFrame:
 _SETS = "node binary, n long, tokens binary, bits binary, keys array<long>"
 
 
-def _bitmap(s: np.ndarray, each: int = 16) -> np.ndarray:
+def _bitmap(s: np.ndarray, each: int) -> np.ndarray:
     """At least so many bits for each n-gram, a power of two of them."""
     m = max(64, 1 << (each * len(s) - 1).bit_length())
     bits = np.zeros(m, np.uint8)
@@ -203,7 +204,7 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = [s for t in pdf["text"] if len(s := ngrams(t, n))]
-            yield pd.DataFrame({"node": [set_hash(s) for s in found], "n": [len(s) for s in found], "tokens": [s.tobytes() for s in found], "bits": [_bitmap(s, 2).tobytes() for s in found], "keys": [_min_keys(s) for s in found]})
+            yield pd.DataFrame({"node": [set_hash(s) for s in found], "n": [len(s) for s in found], "tokens": [s.tobytes() for s in found], "bits": [_bitmap(s, 8).tobytes() for s in found], "keys": [_min_keys(s) for s in found]})
 
     return rows.select("text").mapInPandas(run, _SETS)
 
@@ -229,11 +230,17 @@ def _proven(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
         fit = pairs.join(one, "a").join(two, "b").filter(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
         fit = written(fit.mapInPandas(may, "a binary, b binary"), "pairs")
     one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+    two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")).join(_small(fit.select("b").distinct()), "b", "left_semi")
+    fit = _small(fit)
     with batches_of(spark, 200):
         return written(fit.join(one, "a").join(two, "b").mapInPandas(check, "a binary, b binary"), "links")
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """rows (of a few ids each) for a broadcast if there are few of them, else as they are."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS // 4 else rows
+
+
 def _least_overlap(na, nb, threshold: int):
     return -(-threshold * (na + nb) // (100 + threshold))
 
@@ -325,14 +332,12 @@ def traverse(left: Tree, right: Tree, threshold: int, label: np.ndarray) -> Iter
         work.append((level - 1, i[ok], j[ok]))
 
 
-def tree_links(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
-    """Links that bring different groups together, until no similar pair of sets is left in two of them. Every link is proven on the sets.
+def tree_pairs(bits: list[np.ndarray], n: np.ndarray, label: np.ndarray, side: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of sets in different groups that may be similar, in pieces; label may change between pieces.
 
-    label: group numbers. side: 0 and 1 for a tile of two blocks (pairs across only), else all 0.
+    side: 0 and 1 for a tile of two blocks (pairs across only), else all 0.
     """
-    label, out = label.copy(), []
-    bits = [_bitmap(s) for s in sets]
-    n, width = np.array([len(s) for s in sets]), np.array([len(b) for b in bits])
+    width = np.array([len(b) for b in bits])
     trees: dict[tuple[int, int], Tree] = {}
     for s in np.unique(side):
         for w in np.unique(width[side == s]):
@@ -345,11 +350,17 @@ def tree_links(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, thre
             if (s2 <= s if across else w2 < w) or max(w, w2) > 2 * min(w, w2):
                 continue
             one, two = (a.narrowed(w2, threshold), b) if w > w2 else (a, b.narrowed(w, threshold)) if w < w2 else (a, b)
-            for i, j in traverse(one, two, threshold, label):
-                for x, y in zip(i.tolist(), j.tolist(), strict=True):
-                    if label[x] != label[y] and similar(sets[x], sets[y], threshold):
-                        label[label == label[y]] = label[x]
-                        out.append((x, y))
+            yield from traverse(one, two, threshold, label)
+
+
+def tree_links(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Links that bring different groups together, until no similar pair of sets is left in two of them. Every link is proven on the sets."""
+    label, out = label.copy(), []
+    for i, j in tree_pairs([_bitmap(s, 16) for s in sets], np.array([len(s) for s in sets]), label, side, threshold):
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            if label[x] != label[y] and similar(sets[x], sets[y], threshold):
+                label[label == label[y]] = label[x]
+                out.append((x, y))
     return out
 
 
@@ -370,41 +381,61 @@ def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
 def _tile_links(sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
     """Links (a, b) between nodes in different groups.
 
-    N-grams whose prefix holders are in several groups are gathered by their anchor, the holder with the least hash: the lists of one
-    family mostly have the same anchor, so its sets meet once and not once for each n-gram.
+    N-grams whose prefix holders are in several groups are gathered by their anchor, the holder that stands in most such lists: the
+    lists of one family mostly have the same anchor, so its sets meet once and not once for each n-gram.
     """
     spark = sets.sparkSession
-    lab = labels.select(F.col("node").alias("k"), F.col("label").alias("l"))
+    lab = _small(labels.select(F.col("node").alias("k"), F.col("label").alias("l")))
     marked = sets.join(lab, F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("l", "node"))
     with batches_of(spark, 500):
         posts = written(_prefixes(marked.select("node", "n", "label", "tokens"), threshold), "posts")
-    lists = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("m"))
-    lists = lists.filter("lo <> hi").select(F.col("token").alias("t"), F.col("m.node").alias("anchor"))
-    members = posts.join(lists, F.col("token") == F.col("t")).select("anchor", "node", "label").distinct()
+    split = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select(F.col("token").alias("t"))
+    open_ = written(posts.join(split, F.col("token") == F.col("t"), "left_semi"), "open")
+    held = open_.groupBy("node").count().select(F.col("node").alias("k"), F.col("count").alias("lists"))
+    best = F.max(F.struct("lists", F.xxhash64("node").alias("h"), "node"))
+    anchors = open_.join(held, F.col("node") == F.col("k")).groupBy("token").agg(best.alias("m")).select(F.col("token").alias("t"), F.col("m.node").alias("anchor"))
+    members = open_.join(anchors, F.col("token") == F.col("t")).select("anchor", "node", "label").distinct()
     sizes = sets.select(F.col("node").alias("k"), "n")
     members = written(members.join(sizes, F.col("node") == F.col("k")).drop("k"), "members")
-    blocks = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(8 * F.sum("n") / TILE_BYTES)).cast("int")
+
+    def near(g: pd.DataFrame, label: np.ndarray) -> list[tuple]:
+        """Sets of a tile that may have a partner in it, by their bitmaps."""
+        keep = np.zeros(len(g), bool)
+        for i, j in tree_pairs([np.frombuffer(b, np.uint64) for b in g["payload"]], g["n"].to_numpy(), label, g["side"].to_numpy(), threshold):
+            keep[i] = keep[j] = True
+        return list(zip(g["anchor"][keep], g["node"][keep], strict=True))
+
+    def links(g: pd.DataFrame, label: np.ndarray) -> list[tuple]:
+        nodes = g["node"].tolist()
+        return [(nodes[x], nodes[y]) for x, y in tree_links([np.frombuffer(t, np.uint64) for t in g["payload"]], label, g["side"].to_numpy(), threshold)]
+
+    some = _by_tile(members, sets.select(F.col("node").alias("k"), F.col("bits").alias("payload")), 2, near, "anchor binary, node binary").distinct()
+    some = some.select(F.col("anchor").alias("x"), F.col("node").alias("k"))
+    members = written(members.join(some, (F.col("anchor") == F.col("x")) & (F.col("node") == F.col("k")), "left_semi"), "members")
+    return _by_tile(members, sets.select(F.col("node").alias("k"), F.col("tokens").alias("payload")), 8, links, "a binary, b binary")
+
+
+def _by_tile(members: DataFrame, payload: DataFrame, width: int, work, schema: str) -> DataFrame:
+    """work over the tiles of each anchor's members (anchor, node, label, n), with each set's payload of about width bytes an n-gram."""
+    blocks = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(width * F.sum("n") / TILE_BYTES)).cast("int")
     many = members.groupBy("anchor").agg(blocks.alias("blocks")).withColumnRenamed("anchor", "at")
     some = members.join(many, F.col("anchor") == F.col("at")).select("anchor", "node", "label", "n", "blocks")
     some = some.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     some = some.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = some.select("node", "label", "anchor", "n", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"))
     tiles = written(tiles, "tiles")
-    buckets = max(1, math.ceil(8 * (tiles.agg(F.sum("n")).first()[0] or 0) / (2 * TILE_BYTES)))
-    facts = sets.select(F.col("node").alias("k"), "tokens")
-    tiles = tiles.drop("n").join(facts, F.col("node") == F.col("k")).drop("k").withColumn("bucket", F.pmod(F.xxhash64("anchor", "i", "j"), F.lit(buckets)))
+    buckets = max(1, math.ceil(width * (tiles.agg(F.sum("n")).first()[0] or 0) / (2 * TILE_BYTES)))
+    tiles = tiles.join(payload, F.col("node") == F.col("k")).drop("k").withColumn("bucket", F.pmod(F.xxhash64("anchor", "i", "j"), F.lit(buckets)))
+    columns = [c.split()[0] for c in schema.split(", ")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[bytes, bytes]] = []
+        found: list[tuple] = []
         for _, g in pdf.groupby(["anchor", "i", "j"], sort=False):
-            nodes = g["node"].tolist()
             number = {x: k for k, x in enumerate(dict.fromkeys(g["label"]))}
-            label = np.array([number[x] for x in g["label"]])
-            links = tree_links([np.frombuffer(t, np.uint64) for t in g["tokens"]], label, g["side"].to_numpy(), threshold)
-            found += [(nodes[x], nodes[y]) for x, y in links]
-        return pd.DataFrame(found, columns=["a", "b"])
+            found += work(g, np.array([number[x] for x in g["label"]]))
+        return pd.DataFrame(found, columns=columns)
 
-    return written(tiles.groupBy("bucket").applyInPandas(run, "a binary, b binary"), "tilelinks")
+    return written(tiles.groupBy("bucket").applyInPandas(run, schema), "tiled")
 
 
 def _links(sets: DataFrame, threshold: int) -> DataFrame:
