@@ -363,7 +363,7 @@ def missing_by_column(spark, sf_dir):
 
 # Corrections, ledger, merge, reporting
 
-_LEDGER = "SELECT 'R' || c_custkey AS record_id, CASE WHEN c_custkey % 5 = 0 THEN 'RESOLVED' ELSE 'OPEN' END AS status, 2 AS round, c_custkey % 3 AS attempts FROM customer WHERE c_custkey % 2 = 0"
+_LEDGER = "SELECT 'R' || c_custkey AS record_id, CASE WHEN c_custkey % 5 = 0 THEN 'RESOLVED' ELSE 'OPEN' END AS status, 2 AS round, (c_custkey % 3)::INT AS attempts FROM customer WHERE c_custkey % 2 = 0"
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -412,7 +412,7 @@ def apply_corrections(spark, sf_dir):
     return C.apply_fixes(records, fixes, ["status", "prio"])
 
 
-@_query("""WITH q AS (SELECT c_custkey AS k, c_custkey % 3 AS attempts FROM customer WHERE c_custkey % 10 = 3),
+@_query("""WITH q AS (SELECT c_custkey AS k, (c_custkey % 3)::INT AS attempts FROM customer WHERE c_custkey % 10 = 3),
 r AS (SELECT k, attempts, CASE k % 4 WHEN 0 THEN 'discarded' WHEN 1 THEN 'resolved' WHEN 2 THEN CASE WHEN attempts + 1 >= 3 THEN 'manual' ELSE 'failed' END ELSE 'carried' END AS route FROM q)
 SELECT 'R' || k AS record_id, CASE route WHEN 'resolved' THEN 'RESOLVED' WHEN 'discarded' THEN 'DISCARDED' WHEN 'manual' THEN 'MANUAL_REVIEW_REQUIRED' ELSE 'OPEN' END AS status, CASE WHEN route IN ('failed', 'carried', 'manual') THEN 3 ELSE 2 END AS round, attempts + (route IN ('resolved', 'failed', 'manual'))::INT AS attempts FROM r""")
 def revalidate_routing(spark, sf_dir):
@@ -437,7 +437,7 @@ def ledger_totals(spark, sf_dir):
     return C.status_totals(_ledger(spark, sf_dir))
 
 
-@_query("""SELECT event_id, 'U' || user_id AS record_id, row_number() OVER w AS sequence, lag(event_type) OVER w AS previous_status FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+@_query("""SELECT event_id, 'U' || user_id AS record_id, (row_number() OVER w)::INT AS sequence, lag(event_type) OVER w AS previous_status FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def history_sequence(spark, sf_dir):
     h = _t(spark, sf_dir, "events").selectExpr("event_id", "concat('U', user_id) as record_id", "event_type as status", "struct(ts, event_id) as seq")
     return M.quarantine_history(h).select("event_id", "record_id", "sequence", "previous_status")
@@ -579,10 +579,10 @@ def shared_values(spark, sf_dir):
 
 
 @_query("""WITH r AS (SELECT l_returnflag AS flag, CASE WHEN l_returnflag = 'N' AND l_orderkey % 300 <> 0 THEN NULL ELSE 'x' END AS v FROM lineitem)
-SELECT 'v' AS "column", 'flag' AS explained_by, 100.0::DOUBLE AS explained_percentage, ['n'] AS missing_when, (SELECT count(*) FROM r WHERE flag = 'N' AND v IS NOT NULL)::BIGINT AS exceptions""")
+SELECT 'v' AS "column", 'flag' AS explained_by, 100.0::DOUBLE AS explained_percentage, 'n' AS missing_when, (SELECT count(*) FROM r WHERE flag = 'N' AND v IS NOT NULL)::BIGINT AS exceptions""")
 def conditional_missing(spark, sf_dir):
     df = _t(spark, sf_dir, "lineitem").selectExpr("l_returnflag as flag", "l_linestatus as st", "case when l_returnflag = 'N' and l_orderkey % 300 <> 0 then null else 'x' end as v")
-    return P.conditional_missing(df, ["v"], ["flag", "st"])
+    return P.conditional_missing(df, ["v"], ["flag", "st"]).withColumn("missing_when", F.concat_ws(",", "missing_when"))
 
 
 @_query("""WITH r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%m-%d-%Y') END AS v, o_orderdate AS d FROM orders)
