@@ -105,13 +105,17 @@ def numeric_profile(df: DataFrame, column: str) -> DataFrame:
     p = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
     base = rows.agg(F.count("*").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.percentile("x", F.array(*map(F.lit, p))).alias("q"), F.sum(F.col("lead").cast("int")).alias("leading_zeros"))
     base = base.select("n", "min", "max", "mean", "std", *[F.col("q")[i].alias(f"p{round(100 * v)}") for i, v in enumerate(p)], "leading_zeros")
-    iqr = F.col("p75") - F.col("p25")
-    out = rows.crossJoin(F.broadcast(base))  # one row
-    sums = lambda when, name: F.sum(F.when(when, 1).otherwise(0)).alias(name)
-    return out.groupBy(*base.columns).agg(
-        sums((F.col("x") < F.col("p25") - NEAR_IQR * iqr) | (F.col("x") > F.col("p75") + NEAR_IQR * iqr), "outliers"), sums((F.col("x") < F.col("p25") - FAR_IQR * iqr) | (F.col("x") > F.col("p75") + FAR_IQR * iqr), "far_outliers"),
-        sums(F.col("x") == 0, "zeros"), sums(F.col("x") < 0, "negatives"), sums(F.col("x") == F.col("min"), "at_min"), sums(F.col("x") == F.col("max"), "at_max"),
-    )
+    # The second pass needs the quartiles of the first: one row of figures.
+    b = base.first().asDict()
+    x, known = F.col("x"), b["n"] > 0
+    iqr = (b["p75"] - b["p25"]) if known else 0.0
+    sums = lambda when, name: F.coalesce(F.sum(F.when(when, 1).otherwise(0)), F.lit(0)).alias(name)
+    low, high = (b["p25"], b["p75"]) if known else (0.0, 0.0)
+    kinds = base.schema
+    return rows.agg(
+        sums((x < low - NEAR_IQR * iqr) | (x > high + NEAR_IQR * iqr), "outliers"), sums((x < low - FAR_IQR * iqr) | (x > high + FAR_IQR * iqr), "far_outliers"),
+        sums(x == 0, "zeros"), sums(x < 0, "negatives"), sums(x == F.lit(b["min"]), "at_min"), sums(x == F.lit(b["max"]), "at_max"),
+    ).select(*[F.lit(b[c]).cast(kinds[c].dataType).alias(c) for c in base.columns], "outliers", "far_outliers", "zeros", "negatives", "at_min", "at_max")
 
 
 def type_rates(counts: DataFrame) -> DataFrame:
