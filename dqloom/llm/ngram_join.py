@@ -236,9 +236,9 @@ def _proven(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
         return written(fit.join(one, "a").join(two, "b").mapInPandas(check, "a binary, b binary"), "links")
 
 
-def _small(rows: DataFrame) -> DataFrame:
+def _small(rows: DataFrame, most: int = BROADCAST_IDS // 4) -> DataFrame:
     """rows (of a few ids each) for a broadcast if there are few of them, else as they are."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS // 4 else rows
+    return F.broadcast(rows) if rows.count() <= most else rows
 
 
 def _least_overlap(na, nb, threshold: int):
@@ -390,10 +390,12 @@ def _tile_links(sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame
     with batches_of(spark, 500):
         posts = written(_prefixes(marked.select("node", "n", "label", "tokens"), threshold), "posts")
     split = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select(F.col("token").alias("t"))
+    split = _small(written(split, "split"), BROADCAST_IDS)  # 8 bytes each
     open_ = written(posts.join(split, F.col("token") == F.col("t"), "left_semi"), "open")
-    held = open_.groupBy("node").count().select(F.col("node").alias("k"), F.col("count").alias("lists"))
+    held = _small(written(open_.groupBy("node").count().select(F.col("node").alias("k"), F.col("count").alias("lists")), "held"))
     best = F.max(F.struct("lists", F.xxhash64("node").alias("h"), "node"))
     anchors = open_.join(held, F.col("node") == F.col("k")).groupBy("token").agg(best.alias("m")).select(F.col("token").alias("t"), F.col("m.node").alias("anchor"))
+    anchors = _small(written(anchors, "anchors"), BROADCAST_IDS)  # 24 bytes each
     members = open_.join(anchors, F.col("token") == F.col("t")).select("anchor", "node", "label").distinct()
     sizes = sets.select(F.col("node").alias("k"), "n")
     members = written(members.join(sizes, F.col("node") == F.col("k")).drop("k"), "members")
