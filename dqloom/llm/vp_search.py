@@ -7,6 +7,10 @@ nearer to the outside, goes into the nearer side first, and only queries whose b
 go into the other side. The triangle inequality is relaxed by ``factor``: the far side is left out if factor * |d - median|
 is at least the distance of the k-th best. Factor 1 is exact search, above 1 it prunes more.
 
+Distances only decide where to look: they are rounded against the longest vector, so a leaf ranks by the inner products of the original
+vectors, always summed in one order, and pruning leaves a slack for the rounding. A table with one very long vector is
+exact too, but its trees prune nothing.
+
 Trees are built once, written to the shared folder, and joined with blocks of queries, so that a task holds one tree and one block.
 Per query and shard at most k candidates come back; they are merged by score, ties by id. Scores are inner products of the
 original vectors in double precision.
@@ -71,33 +75,56 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0))
 
 
-def search(nodes: list, points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int = K, factor: float = FACTOR) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (-1 if none) and distances of the k nearest points of each query, a point with the query's own id left out."""
-    best = np.full((len(queries), k), np.inf)
+def search(nodes: list, points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int = K, factor: float = FACTOR, vectors: np.ndarray | None = None, query_vectors: np.ndarray | None = None, scale: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (-1 if none) and distances of the k nearest points of each query, a point with the query's own id left out.
+
+    With vectors and query_vectors the points are ``scale`` times the vectors with the coordinate that makes their norm 1, and the rank is
+    by inner product of the vectors. Distances then only prune.
+    """
+    norms, lift = (queries * queries).sum(1), 1.0
+    if vectors is None or query_vectors is None:  # |q - x| falls as q x - |x|^2 / 2 grows
+        vectors, query_vectors, lift = np.column_stack([points, (points * points).sum(1) / -2]), np.column_stack([queries, np.ones(len(queries))]), 0.0
+    best = np.full((len(queries), k), -np.inf)
     rows_ = np.full((len(queries), k), -1, np.int64)
+    reach = np.full(len(queries), np.inf)
 
-    # A slack for rounding keeps factor 1 exact.
-    slack = 1e-6 * (1 + float(np.abs(points).max(initial=0)))
+    # Slacks for rounding keep factor 1 exact: of distances against the largest norm here, of products against the two norms.
+    largest = math.sqrt(max(norms.max(initial=0), (points * points).sum(1).max(initial=0)))
+    eps = np.finfo(float).eps
+    slack = largest * (2e-6 + 8 * math.sqrt(points.shape[1] * eps))
+    sizes, query_sizes = np.sqrt((vectors * vectors).sum(1)), 4 * vectors.shape[1] * eps * np.sqrt((query_vectors * query_vectors).sum(1))
 
     def look(rows: np.ndarray, q: np.ndarray) -> None:
-        # Rounded, so that equal vectors tie whatever their place in the product.
-        d = np.sqrt(np.round(_distances(queries[q], points[rows]) ** 2, 12))
-        d[query_ids[q][:, None] == ids[rows][None]] = np.inf
-        near = (d.min(axis=1) <= best[q, -1] + slack) if len(rows) else np.zeros(len(q), bool)
-        q, d = q[near], d[near]
-        if not len(q):
+        # A matrix product says which pairs can matter; those are ranked by products taken in one order.
+        s, near = query_vectors[q] @ vectors[rows].T, query_sizes[q][:, None] * sizes[rows][None]
+        own = query_ids[q][:, None] == ids[rows][None]
+        low = np.where(own, -np.inf, s - near)
+        cut = best[q, -1]
+        if len(rows) > k:
+            cut = np.maximum(cut, np.partition(low, len(rows) - k, axis=1)[:, len(rows) - k])
+        at, col = np.nonzero((s + near >= cut[:, None]) & ~own)
+        if not len(at):
             return
-        both = np.concatenate([best[q], d], axis=1)
-        names = np.concatenate([rows_[q], np.broadcast_to(rows, d.shape)], axis=1)
+        some, at = np.unique(at, return_inverse=True)
+        counts = np.bincount(at)
+        place = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+        found, names = np.full((len(some), counts.max()), -np.inf), np.full((len(some), counts.max()), -1, np.int64)
+        names[at, place] = rows[col]
+        q = q[some]
+        found[at, place] = products(query_vectors, vectors, q[at], rows[col])
+        both, names = np.concatenate([best[q], found], axis=1), np.concatenate([rows_[q], names], axis=1)
         idx = np.where(names >= 0, ids[np.maximum(names, 0)], np.iinfo(np.int64).max)
-        order = np.lexsort((idx, both), axis=1)[:, :k]
+        order = np.lexsort((idx, -both), axis=1)[:, :k]
         best[q], rows_[q] = np.take_along_axis(both, order, 1), np.take_along_axis(names, order, 1)
+        reach[q] = np.sqrt(np.maximum(norms[q] + lift - 2 * scale * scale * best[q, -1], 0))
 
     def walk(node: int, q: np.ndarray) -> None:
         if not len(q):
             return
         if len(nodes[node]) == 1:
-            look(nodes[node][0], q)
+            rows = nodes[node][0]
+            for i in range(0, len(rows), 4 * LEAF):
+                look(rows[i : i + 4 * LEAF], q)
             return
         v, median, inside, outside = nodes[node]
         d = _distances(queries[q], points[v][None])[:, 0]
@@ -105,11 +132,15 @@ def search(nodes: list, points: np.ndarray, ids: np.ndarray, queries: np.ndarray
         for mine, first, second in ((inner, inside, outside), (~inner, outside, inside)):
             own, gap = q[mine], np.abs(d[mine] - median)
             walk(first, own)
-            walk(second, own[factor * gap <= best[own, -1] + slack])
+            walk(second, own[factor * gap <= reach[own] + slack])
 
     walk(0, np.arange(len(queries)))
-    rows_[~np.isfinite(best)] = -1
-    return rows_, best
+    return rows_, np.sqrt(np.maximum(norms[:, None] + lift - 2 * scale * scale * best, 0))
+
+
+def products(a: np.ndarray, b: np.ndarray, rows_a: np.ndarray, rows_b: np.ndarray, step: int = 50_000) -> np.ndarray:
+    """Inner products of pairs of rows; equal vectors give equal values whatever their place."""
+    return np.concatenate([np.einsum("ij,ij->i", a[rows_a[i : i + step]], b[rows_b[i : i + step]]) for i in range(0, max(1, len(rows_a)), step)])
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -157,12 +188,12 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
                 query_ids, q = pickle.loads(qs)
                 y, z = x * scale, np.concatenate([q * scale, np.zeros((len(q), 1))], axis=1)
                 y = np.concatenate([y, np.sqrt(np.maximum(1 - (y * y).sum(1), 0))[:, None]], axis=1)
-                rows, _ = search(nodes, y, ids, z, query_ids, k + 4, factor)
+                rows, _ = search(nodes, y, ids, z, query_ids, k, factor, x, q, scale)
                 at, col = np.nonzero(rows >= 0)
                 rows = rows[at, col]
                 for i in range(0, len(at), 50_000):
                     a, r = at[i : i + 50_000], rows[i : i + 50_000]
-                    yield pd.DataFrame({"query_id": query_ids[a], "vec_id": ids[r], "score": np.einsum("ij,ij->i", q[a], x[r])})
+                    yield pd.DataFrame({"query_id": query_ids[a], "vec_id": ids[r], "score": products(q, x, a, r)})
 
     pairs = packed.join(trees, "shard").repartition(F.col("shard"), F.col("block"))
     with batches_of(vectors.sparkSession, 1):  # a row holds a whole tree

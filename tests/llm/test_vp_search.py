@@ -46,3 +46,36 @@ def test_query_rows(spark):
     assert nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
     few = nearest(df.filter("vec_id in (0, 1, 2)"), F.col("id") % 20 == 0)
     assert sorted((r.query_id, r.rank) for r in few.collect()) == [(0, 1), (0, 2)]
+
+
+def test_one_very_long_vector_does_not_blur_the_others(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[7] *= 1e6
+    x[100:140] = x[40]  # ties
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df, F.col("id") % 20 == 0, k=20, shard_rows=200).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    exact = np.einsum("qj,ij->qi", x[::20], x)
+    assert len(got) == 25
+    for q, s in zip(range(0, 500, 20), exact):
+        want = [i for i in np.lexsort((np.arange(500), -s)) if i != q][:20]
+        assert [i for _, i in sorted(got[q])] == want
+
+
+def test_norms_up_to_a_billion_times_shorter():
+    rng = np.random.default_rng(6)
+    for ratio in (1e3, 1e6, 1e9):
+        x = rng.normal(size=(2000, 16))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        x[7] *= ratio
+        ids, scale = np.arange(2000), 1 / np.sqrt((x * x).sum(1).max())
+        y = np.column_stack([x * scale, np.sqrt(np.maximum(1 - ((x * scale) ** 2).sum(1), 0))])
+        z = np.column_stack([x[:50] * scale, np.zeros(50)])
+        got, _ = search(build(y, leaf=100), y, ids, z, ids[:50], 20, 1.0, x, x[:50], scale)
+        s = np.einsum("qj,ij->qi", x[:50], x)
+        s[np.arange(50), np.arange(50)] = -np.inf
+        assert (got == np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)[:, :20]).all()
