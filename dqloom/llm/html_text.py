@@ -7,7 +7,8 @@ stochastic gradient on the log-likelihood (forward-backward). Pages label themse
 too, each is also trained on in variants: its article in a plain container, and sidebars, notices, comments, forms and the like
 of other pages' words around and inside it.
 
-Scripts, styles, comments, head, form controls and frames never give blocks. Parsing keeps going on unclosed or misnested tags.
+Scripts, styles, comments, head, form controls and frames never give blocks. Parsing keeps going on unclosed or misnested tags
+of any depth, and an unknown declaration is a comment up to the next ``>``.
 
 Nulls and odd input: a null or empty html, or one without main text, gives the empty string and n_chars 0; a null id or url stays
 null; rows that repeat are each extracted; if no page of the table marks its article, a model trained on built-in
@@ -47,48 +48,88 @@ OTHER_WORDS = frozenset("ad ads advert advertisement advertising banner sponsor
 MAIN_WORDS = frozenset("article content main post entry story body text prose page".split())
 _NAME = re.compile(r"[a-z]+|[0-9]+")
 _COPY = re.compile(r"©|\(c\)|copyright", re.I)
+_SECTION = re.compile(r"<!\[(?:temp|cdata|ignore|include|rcdata)\b", re.I)
+#: No character has a number of so many digits, and the standard parser can't read thousands of them.
+_LONG_REFERENCE = re.compile(r"&#([0-9]{8,})")
 
 
 class Block:
-    __slots__ = ("text", "path", "names", "linked", "hidden")
+    """Text with the block tags, the last two of them, and the names above it."""
 
-    def __init__(self, text: str, path: tuple, names: frozenset, linked: float, hidden: bool):
-        self.text, self.path, self.names, self.linked, self.hidden = text, path, names, linked, hidden
+    __slots__ = ("text", "tags", "ends", "names", "linked", "hidden")
+
+    def __init__(self, text: str, tags: frozenset, ends: tuple, names: frozenset, linked: float, hidden: bool):
+        self.text, self.tags, self.ends, self.names, self.linked, self.hidden = text, tags, ends, names, linked, hidden
 
 
 _TOP: tuple = ("", frozenset(), False, (), False, False)
 
 
 class _Parser(HTMLParser):
+    """Every open tag is tracked. Steps don't grow with depth: places by tag find partners, and what stands above is counted."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        #: Of each open tag: itself, and of it and those above: names, hidden, path of block tags, no text, in a link.
+        #: Of each open tag: itself, its own names, and of it and those above: hidden, last two block tags, no text, in a link.
         self.stack: list[tuple[str, frozenset, bool, tuple, bool, bool]] = []
+        self.places: dict[str, list[int]] = {}
+        self.counts: dict[str, int] = {}
+        #: Open block tags and names, made anew only when one comes or goes.
+        self.tags: frozenset | None = frozenset()
+        self.names: frozenset | None = frozenset()
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.in_link = 0
+        self.sections = True
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # line numbers are not needed
 
+    def parse_html_declaration(self, i: int) -> int:
+        return super().parse_html_declaration(i) if not self.rawdata.startswith("<![", i) else self.parse_marked_section(i)
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """As browsers do, a comment up to the next >; sections of text that do end with ]]> go up to there."""
+        if self.sections and _SECTION.match(self.rawdata, i):
+            end = self.rawdata.find("]]>", i)
+            if end >= 0:
+                return end + 3
+            self.sections = False
+        return self.parse_bogus_comment(i, report)
+
     def _flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                _, names, hidden, path, _, _ = self.stack[-1] if self.stack else _TOP
-                self.blocks.append(Block(text, path, names, self.in_link / max(1, sum(map(len, self.parts))), hidden))
+                _, _, hidden, ends, _, _ = self.stack[-1] if self.stack else _TOP
+                if self.tags is None:
+                    self.tags = frozenset(t for t in self.places if t not in INLINE)
+                if self.names is None:
+                    self.names = frozenset(self.counts)
+                self.blocks.append(Block(text, self.tags, ends, self.names, self.in_link / max(1, sum(map(len, self.parts))), hidden))
             self.parts, self.in_link = [], 0
 
     def _pop(self, to: int) -> None:
-        del self.stack[to:]
+        for _ in range(len(self.stack) - to):
+            tag, names, *_ = self.stack.pop()
+            at = self.places[tag]
+            at.pop()
+            if not at:
+                del self.places[tag]
+                self.tags = None
+            for x in names:
+                self.counts[x] -= 1
+                if not self.counts[x]:
+                    del self.counts[x]
+                    self.names = None
+
+    def _last(self, tags: frozenset | set) -> int:
+        return max((self.places[t][-1] for t in tags if t in self.places), default=-1)
 
     def _close_open(self, tags: frozenset | set, until: frozenset | set = frozenset()) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] in tags:
-                self._pop(i)
-                return
-            if self.stack[i][0] in until:
-                return
+        at = self._last(tags)
+        if at >= 0 and at >= self._last(until):
+            self._pop(at)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag not in INLINE:
@@ -107,9 +148,15 @@ class _Parser(HTMLParser):
                 names |= frozenset(_NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", v).lower()))
             elif k == "hidden" or (k == "style" and v and "display:none" in v.replace(" ", "").lower()) or (k == "aria-hidden" and v == "true"):
                 hidden = True
-        if len(self.stack) < 400:
-            _, above, was_hidden, path, no_text, in_link = self.stack[-1] if self.stack else _TOP
-            self.stack.append((tag, above | names if names else above, hidden or was_hidden, path if tag in INLINE else (*path, tag), no_text or tag in NO_TEXT, in_link or tag == "a"))
+        _, _, was_hidden, ends, no_text, in_link = self.stack[-1] if self.stack else _TOP
+        if tag not in self.places:
+            self.places[tag], self.tags = [], None
+        self.places[tag].append(len(self.stack))
+        for x in names:
+            if x not in self.counts:
+                self.names = None
+            self.counts[x] = self.counts.get(x, 0) + 1
+        self.stack.append((tag, names, hidden or was_hidden, ends if tag in INLINE else (*ends[-1:], tag), no_text or tag in NO_TEXT, in_link or tag == "a"))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # browsers read <div/> as <div>
@@ -117,10 +164,7 @@ class _Parser(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self._flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self._pop(i)
-                break
+        self._close_open({tag})
 
     def handle_data(self, data: str) -> None:
         top = self.stack[-1] if self.stack else _TOP
@@ -131,13 +175,15 @@ class _Parser(HTMLParser):
             self.in_link += len(data)
 
 
+def _short_reference(m: re.Match) -> str:
+    digits = m[1].lstrip("0") or "0"
+    return "&#" + (digits if len(digits) < 8 else "9999999")
+
+
 def blocks(html: str) -> list[Block]:
     parser = _Parser()
-    try:
-        parser.feed(html)
-        parser.close()
-    except (AssertionError, ValueError):  # a declaration the parser can't read: what came before it stands
-        pass
+    parser.feed(_LONG_REFERENCE.sub(_short_reference, html))
+    parser.close()
     parser._flush()
     return parser.blocks
 
@@ -152,9 +198,9 @@ def _slot(name: str) -> int:
 
 
 @lru_cache(1 << 14)
-def _above(path: tuple, names: frozenset, hidden: bool) -> tuple[int, ...]:
+def _above(tags: frozenset, ends: tuple, names: frozenset, hidden: bool) -> tuple[int, ...]:
     """Places of the features of what stands above a block."""
-    out = [f"tag={t}" for t in sorted(set(path))] + [f"leaf={path[-1] if path else ''}", f"two={'>'.join(path[-2:])}", "bias"]
+    out = [f"tag={t}" for t in sorted(tags)] + [f"leaf={ends[-1] if ends else ''}", f"two={'>'.join(ends)}", "bias"]
     out += [f"name={x}" for x in sorted(names)] + ["othername"] * bool(names & OTHER_WORDS) + ["mainname"] * bool(names & MAIN_WORDS) + ["hidden"] * hidden
     return tuple(map(_slot, out))
 
@@ -165,7 +211,7 @@ def features(found: list[Block]) -> list[tuple[int, ...]]:
     for i, b in enumerate(found):
         words, end = b.text.count(" ") + 1, b.text[-1]
         own = (f"words={words if words < 4 else min(7, 2 + words.bit_length())}", f"linked={round(b.linked * 4)}", f"ends={end if end in '.!?:;|' else ''}", f"at={4 * i // n}", "first" if i == 0 else "last" if i == n - 1 else "within", "copy" if b.text[0] in "©(Cc" and _COPY.match(b.text) else "nocopy")
-        out.append(_above(b.path, b.names, b.hidden) + tuple(map(_slot, own)))
+        out.append(_above(b.tags, b.ends, b.names, b.hidden) + tuple(map(_slot, own)))
     return out
 
 
@@ -248,7 +294,7 @@ _ARTICLE = re.compile(r"<(article|main)\b[^>]*>(.*)</\1\s*>", re.S | re.I)
 
 
 def _is_main(b: Block) -> bool:
-    return bool({"article", "main"} & set(b.path)) and not {"nav", "aside", "footer", "form"} & set(b.path) and not b.names & OTHER_WORDS and not b.hidden
+    return bool({"article", "main"} & b.tags) and not {"nav", "aside", "footer", "form"} & b.tags and not b.names & OTHER_WORDS and not b.hidden
 
 
 def variants(html: str, words: list[str], rng: random.Random) -> list[tuple[list[Block], list[int]]]:

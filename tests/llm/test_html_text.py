@@ -57,3 +57,20 @@ def test_query(spark, tmp_path):
     assert sorted((str(r.page_id), r.n_chars, r.text) for r in got) == sorted((str(i), len(t), t) for i, t in [(1, got[0].text), (2, ""), (None, ""), (1, got[0].text), (3, next(r.text for r in got if r.page_id == 3))])
     assert next(r for r in got if r.page_id == 1).text.startswith("Big news & more\n\nFirst line.")
     assert H.op5(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_nothing_is_lost_behind_declarations_and_long_references():
+    html = "<p>a<![x y]><p>b<![ endif]><p>c<![endif>d<p>e<![CDATA[ q > r ]]>f<p>&#" + "1" * 5000 + ";g<p>&#" + "0" * 5000 + "65;<p>end"
+    assert [b.text for b in H.blocks(html)] == ["a", "b", "cd", "ef", "�g", "A", "end"]
+
+
+def test_tags_of_any_depth_are_tracked():
+    deep = "<div>" * 5000
+    html = f"<article>{deep}<script>no</script><select><option>no</select><aside class=comments><p>away</aside><p>body</p></article>{'</div>' * 5000}<p>after"
+    found = {b.text: b for b in H.blocks(html)}
+    assert set(found) == {"away", "body", "after"}
+    assert "aside" in found["away"].tags and "comments" in found["away"].names
+    assert "article" in found["body"].tags and "aside" not in found["body"].tags and not found["body"].names
+    assert "article" not in found["after"].tags
+    inside = H.blocks(f"<article><div>{deep}{'</div>' * 5000}<p>still here</div></article>")
+    assert "article" in inside[0].tags
