@@ -1,8 +1,9 @@
 """Reply-ordered conversations without quotes, by linking quotations to the messages they come from.
 
 Each message is parsed into lines with their quote level (leading ``>``, nested ones counted). Lines of one level that stand together
-form a passage; passages and their single lines are normalised (ASCII lower case, runs of white space to one space), and those of at
-least ``MIN_WORDS`` words are hashed. A quoted hash is joined to the earliest message of the conversation in whose own lines it
+form a passage; passages and their single lines are normalised (ASCII lower case, runs of white space to one space) and hashed. Whole
+passages are hashed whatever their length; a line inside a longer passage needs ``MIN_WORDS`` words or, as many languages don't
+space them, ``MIN_BYTES`` bytes of UTF-8. A quoted hash is joined to the earliest message of the conversation in whose own lines it
 stands. The latest message that is quoted at level 1 is the parent, and following parents (by pointer jumping) gives the
 root. Messages are ordered by root, then turn, so that an answer comes after what it answers and threads stay together.
 
@@ -27,16 +28,18 @@ from pyspark.sql import functions as F
 from dqloom.llm.common import table, written
 
 MIN_WORDS = 3
+MIN_BYTES = 9
 _QUOTE = re.compile(r"(?:[ \t]*>)+")
 _SAID = re.compile(r"[ \t]*(?:On|Am|Le|El) .*(?:wrote|schrieb|écrit|escribió)[ \t]*:[ \t]*")
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
-def _hash(text: str) -> int | None:
+def _hash(text: str, whole: bool) -> int | None:
     words = _SPACE.sub(" ", text).strip(" ")
-    if len(words.split(" ")) < MIN_WORDS:
+    data = words.encode("utf-8", "replace").lower()
+    if not whole and len(data) < MIN_BYTES and len(words.split(" ")) < MIN_WORDS:
         return None
-    return int.from_bytes(blake2b(words.encode("utf-8", "replace").lower(), digest_size=8).digest(), "big", signed=True)
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "big", signed=True)
 
 
 def parse(text: str) -> tuple[str, list[int], list[tuple[int, int]]]:
@@ -59,8 +62,8 @@ def parse(text: str) -> tuple[str, list[int], list[tuple[int, int]]]:
         before = None if blank else level
     mine, quoted = set(), set()
     for level, run in runs:
-        for unit in ["\n".join(run), *run]:
-            h = _hash(unit)
+        for i, unit in enumerate(["\n".join(run), *run]):
+            h = _hash(unit, i == 0)
             if h is not None:
                 (quoted.add((level, h)) if level else mine.add(h))
     return own, sorted(mine), sorted(quoted)

@@ -41,3 +41,21 @@ def test_long_chain_and_empty(spark):
     got = {r.turn: r for r in linked(df).collect()}
     assert all(got[k].parent_turn == k - 1 and got[k].root_turn == 0 and got[k].position == k + 1 for k in range(1, 40))
     assert linked(df.limit(0)).count() == 0
+
+
+def test_short_and_unspaced_quotes_are_linked(spark):
+    talk = [
+        (1, 1, "user", "Shall we start?"),
+        (1, 2, "assistant", "Yes, agreed"),
+        (1, 3, "user", "> yes,  AGREED\nGood."),
+        (1, 4, "user", "> Why not?\nNobody said it."),
+        (1, 5, "assistant", "我同意这个计划。\n明天开始。"),
+        (1, 6, "user", "> 明天开始。\n好"),
+        (1, 7, "user", "> 好\nそうです"),
+        (1, 8, "assistant", "> そうです\n> > 明天开始。\nok"),
+        (1, 9, "user", "> ok\nend"),
+    ]
+    got = {r.turn: r for r in linked(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")).collect()}
+    assert {t: r.parent_turn for t, r in got.items()} == {1: None, 2: None, 3: 2, 4: None, 5: None, 6: 5, 7: 6, 8: 7, 9: 8}
+    assert {t: r.root_turn for t, r in got.items()} == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5, 6: 5, 7: 5, 8: 5, 9: 5}
+    assert {t: (r.n_quotes, r.n_linked) for t, r in got.items() if t in (3, 4, 6, 8)} == {3: (1, 1), 4: (1, 0), 6: (1, 1), 8: (2, 2)}
