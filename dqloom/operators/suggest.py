@@ -69,6 +69,20 @@ def other_copies(records: DataFrame, among: DataFrame, column: str) -> DataFrame
     return left.join(right, "value").filter("record_id <> other_id").select("record_id", "value", "other_id")
 
 
+def copy_groups(records: DataFrame, column: str) -> DataFrame:
+    """For every record: its value of a column, how many records hold it (1 for a null), and the least other one of them.
+
+    The value names the group, so its members are a filter on this table; no pairs are made. Record ids are unique.
+    """
+    rows = records.select("record_id", F.col(f"`{column}`").alias("value"))
+    groups = rows.filter("value is not null").groupBy("value").agg(F.count("*").alias("n"), F.min("record_id").alias("first")).filter("n > 1")
+    known = rows.join(groups, "value", "left")
+    # The first record of a group points to the second one.
+    second = known.filter("record_id <> first").groupBy("value").agg(F.min("first").alias("record_id"), F.min("record_id").alias("second"))
+    out = known.join(second, ["record_id", "value"], "left")
+    return out.select("record_id", "value", F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), F.coalesce("second", "first").alias("representative"))
+
+
 def lines_from_changes(changes: dict[str, dict]) -> list[dict]:
     """Correction lines from an editor's changes {record: {"discard": bool, "accept": bool, "values": {column: text}, "reason": text}}: discard wins; an accept stands before fixes; an empty text becomes the null marker."""
     out = []

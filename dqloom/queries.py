@@ -495,6 +495,12 @@ def other_copies(spark, sf_dir):
     return S.other_copies(rows.filter("record_id like 'R1%'"), rows, "g")
 
 
+@_query("""WITH v AS (SELECT 'R' || c_custkey AS record_id, (c_custkey % 40)::VARCHAR AS value FROM customer), a AS (SELECT record_id, value, count(*) OVER w AS n, min(record_id) OVER w AS lo FROM v WINDOW w AS (PARTITION BY value)), b AS (SELECT value, min(record_id) AS hi FROM a WHERE record_id <> lo GROUP BY value)
+SELECT record_id, value, n AS group_size, CASE WHEN record_id <> lo THEN lo ELSE hi END AS representative FROM a LEFT JOIN b USING (value)""")
+def copy_groups(spark, sf_dir):
+    return S.copy_groups(_t(spark, sf_dir, "customer").selectExpr("concat('R', c_custkey) as record_id", "cast(c_custkey % 40 as string) as g"), "g")
+
+
 # Profile
 
 _PROFILED = "case c_custkey % 12 when 0 then null when 1 then '' when 2 then ' N/A' when 3 then lower(c_mktsegment) when 4 then concat(c_mktsegment, ' ') when 5 then 'Other' else c_mktsegment end"

@@ -48,3 +48,12 @@ def test_exit_codes(spark, tmp_path, capsys):
     assert '"OPEN"' in capsys.readouterr().out
     assert cli.run(["export-template", "--output", str(tmp_path / "t.csv"), *common], spark) == 0
     assert "b is missing" in (tmp_path / "t.csv").read_text("utf-8-sig")
+
+
+def test_groups_of_copies_answer_for_all_rows_without_pairs(spark):
+    rows = [("a", "x"), ("b", "x"), ("c", "x"), ("d", "y"), ("e", None), ("f", None)]
+    got = S.copy_groups(spark.createDataFrame(rows, "record_id string, g string"), "g").collect()
+    assert sorted(((r.record_id, r.value, r.group_size, r.representative) for r in got)) == [("a", "x", 3, "b"), ("b", "x", 3, "a"), ("c", "x", 3, "a"), ("d", "y", 1, None), ("e", None, 1, None), ("f", None, 1, None)]
+    hot = spark.range(20_000).selectExpr("cast(id as string) as record_id", "if(id % 3 = 0, 'hot', cast(id as string)) as g")
+    out = S.copy_groups(hot, "g")
+    assert out.count() == 20_000 and out.filter("group_size = 6667 and representative is not null").count() == 6667
