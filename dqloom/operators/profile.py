@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.functions.numbers import find_number, to_number
+from dqloom.functions.numbers import find_number, number_text, to_number
 from dqloom.functions.temporal import parse, repair_time
 from dqloom.functions.text import comparison_key, shape, strip
 from dqloom.plans.registry import Registry
@@ -35,7 +35,7 @@ MISSING_SHARE, PURITY, COVERAGE, MAX_CATEGORIES = 0.01, 0.98, 0.90, 30
 EMAIL = r"[^@\s]+@[^@\s]+\.[^@\s]+"
 PHONE = r"\+?[\d\s().\-]{7,20}"
 TIME = r"(\d{1,2})[:.](\d{2})(?:[:.](\d{2})(?:\.\d+)?)?(?:\s?([ap]\.?m\.?))?"
-DATE_FORMATS = ["%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%m/%d/%Y", "%d-%m-%Y", "%d %b %Y", "%d-%b-%Y", "%Y%m%d"]
+DATE_FORMATS = ["%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%m/%d/%Y", "%d-%m-%Y", "%d %b %Y", "%d-%b-%Y", "%Y%m%d", "%m-%d-%Y", "%d.%m.%Y", "%m.%d.%Y"]
 
 
 def _n(c: str) -> Column:
@@ -197,11 +197,37 @@ def candidate_keys(column_stats: DataFrame) -> DataFrame:
     return column_stats.select("column", F.round(share, 6).alias("distinct_share"), kind.alias("kind")).filter("kind is not null")
 
 
-def pair_counts(df: DataFrame, keys: list[str], others: list[str]) -> DataFrame:
-    """(key, column, k, v, n) for every pair of a key column and another, in one shuffle."""
-    present = lambda c: F.when(missing_kind(_n(c).cast("string")).isNull(), _n(c).cast("string"))
-    structs = [F.struct(F.lit(k).alias("key"), F.lit(c).alias("column"), present(k).alias("k"), present(c).alias("v")) for k in keys for c in others if k != c]
-    long = df.select(F.explode(F.array(*structs)).alias("p")).select("p.*").filter("k is not null and v is not null")
+def date_formats(evidence: list[dict] | None = None) -> list[str]:
+    """DATE_FORMATS with those of a separator that date_order_evidence proves to be month first in that order."""
+    proven = {e["separator"] for e in evidence or [] if e["order"] == "month_first"}
+    return [f"%m{x}%d{x}%Y" for x in sorted(proven)] + DATE_FORMATS
+
+
+def canonical(c: Column, kind: str, formats: list[str] = DATE_FORMATS) -> Column:
+    """The comparable form of a value in a column of a logical type; what can't be read keeps its text, a missing one is null."""
+    text = c.cast("string")
+    s = strip(text)
+    if kind in ("categorical", "text", "boolean", "currency_code"):
+        out = strip(comparison_key(text))
+    elif kind == "email":
+        out = F.lower(s)
+    elif kind in ("integer", "float"):
+        n = to_number(s)
+        out = F.coalesce(number_text(F.when(n == 0, F.lit(0.0)).otherwise(n)), s)
+    elif kind == "date":
+        out = F.coalesce(parse(s, formats).cast("string"), s)
+    elif kind == "time":
+        out = F.coalesce(repair_time(s), s)
+    else:
+        out = s
+    return F.when(missing_kind(text).isNull(), out)
+
+
+def pair_counts(df: DataFrame, keys: list[str], others: list[str], forms: dict[str, Column] | None = None) -> DataFrame:
+    """(key, column, k, v, n) for every pair of a key column and another, in one shuffle; forms has the comparable forms of columns."""
+    present = lambda c: (forms or {}).get(c, F.when(missing_kind(_n(c).cast("string")).isNull(), _n(c).cast("string")))
+    structs = [F.struct(F.lit(k).alias("key"), F.lit(c).alias("column"), _n(k).alias("k"), _n(c).alias("v")) for k in keys for c in others if k != c]
+    long = df.select(*[present(c).alias(c) for c in dict.fromkeys([*keys, *others])]).select(F.explode(F.array(*structs)).alias("p")).select("p.*").filter("k is not null and v is not null")
     return long.groupBy("key", "column", "k", "v").agg(F.count("*").alias("n"))
 
 
@@ -215,6 +241,21 @@ def consistency(pairs: DataFrame) -> DataFrame:
     return out.join(best, ["key", "column"])
 
 
+def key_repeats(df: DataFrame, keys: list[str], forms: dict[str, Column]) -> DataFrame:
+    """By key column: its present rows, distinct keys, keys on more than one row, and the rows of those."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("key"), forms[k].alias("k")) for k in keys])).alias("p")).select("p.*").filter("k is not null")
+    each = long.groupBy("key", "k").agg(F.count("*").alias("n"))
+    many = F.col("n") > 1
+    return each.groupBy("key").agg(F.sum("n").alias("rows"), F.count("*").alias("keys"), F.sum(many.cast("long")).alias("repeated_key_count"), F.sum(F.when(many, F.col("n")).otherwise(0)).alias("row_count"))
+
+
+def duplicate_keys(repeats: DataFrame, stats: DataFrame, total: int) -> DataFrame:
+    """Near keys that repeat: (key, repeated_key_count, row_count, differing_columns), the last with how many keys have several values in a column."""
+    near = repeats.filter((F.col("repeated_key_count") > 0) & (F.col("keys") >= NEAR_KEY * total)).select("key", "repeated_key_count", "row_count")
+    differing = stats.filter("conflicting_keys > 0").groupBy("key").agg(F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("conflicting_keys")).alias("o"), "column"))), lambda x: F.struct(x["column"], -x["o"]))).alias("differing_columns"))
+    return near.join(differing, "key", "left").withColumn("differing_columns", F.coalesce("differing_columns", F.create_map().cast("map<string,bigint>")))
+
+
 def entity_attributes(stats: DataFrame) -> DataFrame:
     """Columns that a key decides: agreement of rows is high, and the error far below that of always guessing the top value."""
     agreement = 1 - F.col("conflicting_rows") / F.col("rows")
@@ -292,14 +333,14 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
     shapes: dict[str, list] = {}
     for r in top_shapes(counts).orderBy("column", "rank").collect():
         shapes.setdefault(r["column"], []).append({"shape": r["shape"], "count": r["n"]})
-    columns = []
+    columns, forms = [], {}
     for c in df.columns:
         stats, kind = by.get(c, {"rows": 0, "missing_count": 0, "token_count": 0, "whitespace_count": 0, "distinct_count": 0}), infer_type(c, rates.get(c))
         numeric = numeric_profile(df, c).first() if kind in ("integer", "float") else None
         evidence = [r.asDict() for r in date_order_evidence(df, c).collect()] if kind == "date" else None
-        dates = None
+        dates, forms[c] = None, canonical(_n(c), kind, date_formats(evidence))
         if kind == "date":
-            t = df.select(parse(_n(c).cast("string"), DATE_FORMATS).alias("t")).agg(F.min("t").alias("min"), F.max("t").alias("max")).first()
+            t = df.select(parse(strip(_n(c).cast("string")), date_formats(evidence)).alias("t")).agg(F.min("t").alias("min"), F.max("t").alias("max")).first()
             dates = {k: t[k].date() if t[k] else None for k in ("min", "max")}
         notes = observations(stats, rates.get(c), kind, numeric.asDict() if numeric else None, variants.get(c, 0), generic.get(c, 0), evidence, run_date, dates)
         if c != c.strip():
@@ -311,11 +352,15 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
     if relationships:
         ids = [c["column_name"] for c in columns if c["logical_type"] == "identifier"]
         if ids and len(df.columns) > 1:
-            pairs = pair_counts(df, ids, df.columns).persist()
-            found = [r.asDict() for r in entity_attributes(consistency(pairs)).collect()]
-            shared = [r.asDict() for r in shared_values(pairs).collect()]
-            out |= {"entities": found, "shared_values": shared}
-            out["observations"] += (["ENTITY_CONFLICTS"] if any(r["conflicting_rows"] for r in found) else []) + (["SHARED_VALUES"] if shared else [])
+            pairs = pair_counts(df, ids, df.columns, forms).persist()
+            stats = consistency(pairs).persist()
+            repeated_keys = [r.asDict() for r in duplicate_keys(key_repeats(df, ids, forms), stats, out["row_count"]).collect()]
+            own = ~F.col("key").isin([r["key"] for r in repeated_keys])  # near keys are described by their repeats, not as entities
+            found = [r.asDict() for r in entity_attributes(stats.filter(own)).collect()]
+            shared = [r.asDict() for r in shared_values(pairs.filter(own)).collect()]
+            out |= {"entities": found, "shared_values": shared, "duplicate_keys": repeated_keys}
+            out["observations"] += (["DUPLICATE_KEYS"] if repeated_keys else []) + (["ENTITY_CONFLICTS"] if any(r["conflicting_rows"] for r in found) else []) + (["SHARED_VALUES"] if shared else [])
+            stats.unpersist()
             pairs.unpersist()
         drivers = [c["column_name"] for c in columns if c["logical_type"] in ("categorical", "boolean") and c["distinct_count"] <= MAX_CATEGORIES]
         partly = [c["column_name"] for c in columns if c["rows"] and MISSING_SHARE <= c["missing_count"] / c["rows"] <= 1 - MISSING_SHARE]

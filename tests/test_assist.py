@@ -57,3 +57,26 @@ def test_groups_of_copies_answer_for_all_rows_without_pairs(spark):
     hot = spark.range(20_000).selectExpr("cast(id as string) as record_id", "if(id % 3 = 0, 'hot', cast(id as string)) as g")
     out = S.copy_groups(hot, "g")
     assert out.count() == 20_000 and out.filter("group_size = 6667 and representative is not null").count() == 6667
+
+
+def test_relationships_compare_canonical_values(spark):
+    rows = []
+    for i in range(60):
+        for j in range(4):
+            sex, day = ("Male", " male_", "MALE", "male")[j] if i % 2 else ("Female", "female ", "FEMALE", "female")[j], 13 + i % 15
+            amount, at = ("7", "7.0", "07", "7.00")[j] if i % 3 else ("1", "1.0", "01", "1.00")[j], ("19:20:00", "07:20:00 PM", "19:20", "19.20.00")[j] if i % 2 else "08:00:00"
+            rows.append((f"C{i}", sex, amount, f"02/{day}/2023" if j % 2 else f"2023-02-{day}", at, f"T{i * 4 + j if (i, j) != (59, 3) else 0}"))
+    df = spark.createDataFrame(rows, "customer_id string, gender string, amount string, day string, open_time string, trip_id string")
+    found = P.profile(df)
+    entities = {(r["key"], r["column"]): r["conflicting_rows"] for r in found["entities"]}
+    assert {c: n for (k, c), n in entities.items() if k == "customer_id"} == {"gender": 0, "amount": 0, "day": 0, "open_time": 0}
+    assert not any(k == "trip_id" for k, _ in entities) and "ENTITY_CONFLICTS" not in found["observations"] and "DUPLICATE_KEYS" in found["observations"]
+    (keys,) = found["duplicate_keys"]
+    assert (keys["key"], keys["repeated_key_count"], keys["row_count"]) == ("trip_id", 1, 2)
+    assert keys["differing_columns"] == dict.fromkeys(["customer_id", "gender", "amount", "day", "open_time"], 1)
+
+
+def test_month_first_dates_give_the_right_range(spark):
+    df = spark.createDataFrame([("03/04/2024",), ("01/25/2024",), ("02/11/2024",)], "day string")
+    (column,) = P.profile(df)["columns"]
+    assert column["dates"] == {"min": "2024-01-25", "max": "2024-03-04"}
