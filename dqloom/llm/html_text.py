@@ -357,9 +357,9 @@ def _built_in(n: int = 40) -> list[str]:
 
 def fit(pages: DataFrame, limit: int = TRAIN_PAGES) -> Crf:
     marked = pages.filter(F.col("html").rlike("(?i)<(article|main)[\\s>]") & (F.length("html") <= TRAIN_CHARS))
-    share = min(1.0, 4 * limit / max(1, pages.count()))
     h = F.pmod(F.xxhash64(F.lit(SEED), "page_id"), F.lit(1 << 30))
-    some = marked.filter(h < share * (1 << 30)).select("html", h.alias("h")).orderBy("h", "html").limit(limit)
+    # The least hashes of all marked pages: each task holds no more than limit of them.
+    some = marked.select("html", h.alias("h")).orderBy("h", "html").limit(limit)
     return train([r["html"] for r in some.collect()] or _built_in())
 
 

@@ -74,3 +74,11 @@ def test_tags_of_any_depth_are_tracked():
     assert "article" not in found["after"].tags
     inside = H.blocks(f"<article><div>{deep}{'</div>' * 5000}<p>still here</div></article>")
     assert "article" in inside[0].tags
+
+
+def test_few_marked_pages_among_many_are_all_found(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(H, "train", seen.append)
+    pages = spark.range(5000).selectExpr("id as page_id", "if(id % 1000 = 7, concat('<article><p>text ', id, '</article>'), '<p>no mark') as html")
+    H.fit(pages)
+    assert sorted(seen[0]) == sorted(f"<article><p>text {i}</article>" for i in range(7, 5000, 1000))
