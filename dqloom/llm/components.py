@@ -5,22 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import written
+from dqloom.llm.common import discard, written
+
+SALTS = 32
+
+
+def joined_salted(rows: DataFrame, key: str, by: str, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """rows with the facts of their key (one row of facts per key), for keys that any share of rows may have: rows are spread by a hash of the
+    column by, so a key's rows are dealt over SALTS tasks; only its SALTS copies meet its facts in one."""
+    own = [c for c in rows.columns if c != key]
+    more = [c for c in facts.columns if c != key]
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    keys = dealt.select(F.col(key).alias("_key"), F.col("_salt").alias("_s")).distinct()
+    keys = keys.join(facts, F.col("_key") == facts[key]).select("_key", "_s", *more)
+    return dealt.join(keys, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_s")), how).select(key, *own, *more)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node in links (a, b); label is the least node that links lead to. Each round is written to the
-    shared folder; the number of rounds grows with the logarithm of the longest path."""
+    shared folder; the number of rounds grows with the logarithm of the longest path. A hub or a large group is one key of many rows: joins
+    on them are salted."""
     edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "edges")
     labels = written(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    last = labels
     while True:
-        near = edges.join(labels, edges.a == labels.node).groupBy("b").agg(F.min("label").alias("m"))
-        step = labels.join(near, labels.node == near.b, "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("m", "label")).alias("label"))
+        near = joined_salted(edges, "a", "b", labels.withColumnRenamed("node", "a")).groupBy("b").agg(F.min("label").alias("m"))
+        step = labels.join(near, labels.node == near.b).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         step = written(step, "labels")
-        up = step.select(F.col("node").alias("n"), F.col("label").alias("up"))
-        new = step.join(up, step.label == up.n, "left").select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label"))
+        up = step.select(F.col("node").alias("label"), F.col("label").alias("up"))
+        new = joined_salted(step, "label", "node", up).select("node", "old", F.least("label", "up").alias("label"))
         new = written(new, "labels")
+        discard(step, last)
         changed = new.filter("label <> old").limit(1).count()
-        labels = new.select("node", "label")
+        last, labels = new, new.select("node", "label")
         if not changed:
+            discard(edges)
             return labels

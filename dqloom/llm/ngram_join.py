@@ -2,25 +2,27 @@
 
 Exact, in these steps (n-grams are 64-bit hashes throughout; "node" is one distinct set, so exact copies are one node):
 
-1. One pass over all texts. A set can only have a partner if THRESHOLD percent of its n-grams occur in a second document.
-   Hash-range chunks count that from packed 32-bit tails; every other document is a group of its own and leaves here.
-2. Nodes that are left are linked to the least node that shares one of a few min-hash keys, where the sets themselves prove
-   the link. That is linear and joins most of a group of near copies.
-3. For what is left, prefix filtering: two similar sets share an n-gram among the first |s| - ceil(0.8 |s|) + 1 of either, in one fixed
-   order. Only n-grams whose prefix holders are not yet in one group matter; they are gathered by their most frequent holder.
-4. The holders go into signature trees: leaves and inner nodes hold the OR of their sets' token bitmaps, size ranges and the
-   least bits that a partner must share. A dual traversal keeps a pair of tree nodes only if sizes fit, the common bits can
-   reach the overlap, and the two sides are not all in one group already. That is done on bitmaps of a byte or two an n-gram
-   first; only sets that may have a partner are then sent in full. There a pair that comes through is checked on the sets,
-   and a link brings two groups together, so there are never more links than sets. Long lists are cut into tiles of
-   at most ``TILE`` sets and ``TILE_BYTES`` against as many, so that no task holds an unbounded list.
-5. Components are built from all proven links.
-
-Links inside a group that are not needed to connect it are not listed; no link between different groups is lost.
+1. Overlap filter, one pass over all texts. Similar sets share a known least number of n-grams among the first ``sent(n)`` of either, in
+   order of hashes. Chunks of the hash range count from packed 32-bit tails in how many nodes each of those n-grams occurs; a
+   document that shares fewer of its own than it must is a group of its own and leaves here. A batch sends an n-gram that several of its nodes
+   share once, with a count, so the most frequent one costs a few bytes for each batch.
+2. Routing. Two similar sets also share an n-gram among the first ``met(n)`` of either in any one order. Taken is the order of rising
+   document frequency (known from step 1, exact for the at most ``HEAVY`` most frequent n-grams, the others before them by hash), so
+   that boilerplate comes last. The holders of an n-gram meet in the tree of the least of them, the anchor: the lists of one family mostly
+   have one anchor, so its sets meet once and not once for each n-gram.
+3. Signature trees find the links. An anchor's holders are the leaves; leaves and inner nodes hold the OR of their sets' token bitmaps, size
+   ranges and the least bits that a partner must share. A dual traversal keeps a pair of tree nodes only if sizes fit, the common bits
+   can reach the overlap and the two sides are not in one group yet; a pair of sets that comes through is checked on the sets themselves.
+   An anchor with more than ``TILE`` sets or ``TILE_BYTES`` of them has several trees, each of which has the anchor too, so that the parts of a
+   family come together in linear work. Only where such an anchor's sets are still in several groups do its trees also traverse
+   each other: on bitmaps of a byte or two an n-gram first; sets that may have a partner are then sent in full.
+4. Components are built from all links. Links inside a group that are not needed to connect it are not listed.
 
 Nulls and odd input: a null or empty text has no n-grams, n_shingles 0 and is its own component; texts of fewer words than n are
-one n-gram; a null id gets the least id of its group, or null; rows that repeat are nodes of one set; an empty table gives
-an empty result; further columns are ignored by ``groups`` and carried by ``one_of_each``.
+one n-gram; very long texts are taken whole (one set is never split, a tree of them has fewer sets); a similarity of exactly
+THRESHOLD links; a null id gets the least id of its group, or null; rows that repeat are nodes of one set; rows of one id and
+different texts are different documents; an empty table gives an empty result; further columns are ignored by ``groups`` and carried by
+``one_of_each``. docs has to give the same rows in the same order when a task is run again, as a table does.
 """
 
 from __future__ import annotations
@@ -35,18 +37,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import batches_of, table, whole, written
-from dqloom.llm.components import components
+from dqloom.llm.common import batches_of, discard, table, whole, written
+from dqloom.llm.components import components, joined_salted
 
 N = 5
 THRESHOLD = 80
-#: N-grams in one batch of a task and, on average, in one chunk of the hash range.
-BATCH_TOKENS = 500_000
-CHUNK_TOKENS = 4_000_000
-KEYS = 6
-TILE = 2048
-TILE_BYTES = 8 << 20
-#: Up to so many ids (8 bytes each) are broadcast; beyond that they are joined by a shuffle.
+#: N-grams that a task holds at once, and those that a chunk of the hash range gets on average.
+BATCH_TOKENS = 250_000
+CHUNK_TOKENS = 1_500_000
+#: So many n-grams have an exact place in the order of frequency (12 bytes each are broadcast). It changes work, not results.
+HEAVY = 1 << 20
+TILE = 1024
+TILE_BYTES = 4 << 20
+#: Up to so many rows of two or three numbers each are broadcast; beyond that they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -56,7 +59,7 @@ class _Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 200_000:
+        if len(self) < 50_000:
             self[word] = h
         return h
 
@@ -92,165 +95,249 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * both >= threshold * (len(a) + len(b) - both)
 
 
+# How many n-grams of a set of n take part. Similar sets of n and m have at least least(n) and least(m) in common, so with l more of
+# each than can be without a partner they share l of those: l is a fifth of the set, and a partner is at least of size least(n).
+
+
+def least(n, threshold: int):
+    """The least overlap of a set of n with a similar one."""
+    return -(-threshold * n // 100)
+
+
+def met(n, threshold: int):
+    return n - least(n, threshold) + 1
+
+
+def sent(n: int, threshold: int) -> int:
+    return min(n, met(n, threshold) - 1 + max(1, n // 5))
+
+
+def needed(n: int, threshold: int) -> int:
+    return max(1, least(n, threshold) // 5)
+
+
 # 1. Which documents can have a partner
 
-_SCAN = "kind int, batch long, no int, id long, n long, node binary, own long, chunk int, tails binary, counts binary, again binary"
+_PARTS = ", ".join(f"p{i} binary" for i in range(7))
+_SCAN = f"slot int, kind int, batch long, {_PARTS}"
+_COUNTED = f"kind int, batch long, {_PARTS}"
+_FOUND = "kind int, id long, hash long, n long, node binary, possible boolean, chunk long, tails binary, counts binary"
+
+
+def _chunk_of(h: np.ndarray, chunks: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) * np.uint64(chunks)) >> np.uint64(32)
+
+
+def _tail(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def _scan(chunks: int, n: int):
-    """Documents as rows of kind 0; their n-grams by chunk as rows of kind 1 (those once in the batch with documents' counts, and those more often)."""
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
-    def pack(batch: int, ids: list, sets: list[np.ndarray]) -> pd.DataFrame:
+
+def _scan(chunks: int, n: int, threshold: int):
+    """By batch one row of kind 0, with its documents and nodes, and by chunk one of kind 1, with its n-grams: those of one node by node, and those of more nodes with counts."""
+
+    def pack(batch: int, ids: list, hashes: list, which: list[int], nodes: list[bytes], sets: list[np.ndarray]) -> pd.DataFrame:
+        known = np.array([x is not None for x in ids])
         sizes = np.array([len(s) for s in sets], np.int64)
-        rows: list[tuple] = []
-        h = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-        doc = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
+        parts = [s[: sent(len(s), threshold)] for s in sets]
+        h = np.concatenate(parts)
+        node = np.repeat(np.arange(len(sets)), [len(s) for s in parts])
         order = np.argsort(h, kind="stable")
-        h, doc = h[order], doc[order]
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        more = ~new
-        more[:-1] |= ~new[1:]
-        own = np.bincount(doc[more], minlength=len(sets))
-        chunk_of = lambda x: ((x >> np.uint64(32)) * np.uint64(chunks)) >> np.uint64(32)
-        tail = lambda x: (x & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        again, once, doc = h[more & new], h[~more], doc[~more]
-        ends = [np.searchsorted(chunk_of(x), np.arange(chunks + 1, dtype=np.uint64)) for x in (once, again)]
-        for i, (x, s) in enumerate(zip(ids, sets, strict=True)):
-            rows.append((0, batch, i, x, int(sizes[i]), set_hash(s) if len(s) else None, int(own[i]), None, None, None, None))
-        for c in range(chunks):
-            a, b = ends[0][c], ends[0][c + 1]
-            a2, b2 = ends[1][c], ends[1][c + 1]
-            if a < b or a2 < b2:
-                by = np.argsort(doc[a:b], kind="stable")
-                counts = np.bincount(doc[a:b], minlength=len(sets)).astype(np.uint32)
-                rows.append((1, batch, None, None, None, None, None, c, tail(once[a:b][by]).tobytes(), counts.tobytes(), tail(again[a2:b2]).tobytes()))
-        out = pd.DataFrame(rows, columns=[c.split()[0] for c in _SCAN.split(", ")])
-        return out.astype({c: "Int64" for c in ("no", "id", "n", "own", "chunk")})
+        h, node = h[order], node[order]
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
+        times = np.diff(np.r_[first, len(h)])
+        single = np.repeat(times == 1, times)
+        own = np.bincount(node[~single], minlength=len(sets))
+        again, agains = h[first][times > 1], times[times > 1].astype(np.uint32)
+        once, node = h[single], node[single]
+        rows = [(batch % chunks, 0, batch, np.array([x or 0 for x in ids], np.int64).tobytes(), known.tobytes(), np.array(hashes, np.int64).tobytes(), np.array(which, np.uint32).tobytes(), b"".join(nodes), sizes.tobytes(), own.tobytes())]
+        ends, ends2 = (np.searchsorted(_chunk_of(x, chunks), np.arange(chunks + 1, dtype=np.uint64)) for x in (once, again))
+        tags = np.frombuffer(b"".join(x[:8] for x in nodes), np.uint64)
+        for c in np.flatnonzero((np.diff(ends) > 0) | (np.diff(ends2) > 0)):
+            part, more = slice(ends[c], ends[c + 1]), slice(ends2[c], ends2[c + 1])
+            by = np.argsort(node[part], kind="stable")
+            who, count = np.unique(node[part], return_counts=True)
+            rows.append((int(c), 1, batch, who.astype(np.uint32).tobytes(), count.astype(np.uint32).tobytes(), tags[who].tobytes(), _tail(once[part][by]).tobytes(), _tail(again[more]).tobytes(), agains[more].tobytes(), None))
+        return _frame(rows, _SCAN)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        batch, ids, sets, total = TaskContext.get().partitionId() << 32, [], [], 0
+        batch = TaskContext.get().partitionId() << 32
+        ids, hashes, which, number, sets, total = [], [], [], {}, [], 0
         for pdf in batches:
-            for x, text in zip(pdf["id"], pdf["text"], strict=True):
+            for x, h, text in zip(pdf["id"], pdf["hash"], pdf["text"], strict=True):
                 s = ngrams(text, n)
+                node = set_hash(s)
+                if node not in number:
+                    number[node] = len(sets)
+                    sets.append(s)
+                    total += len(s)
                 ids.append(None if pd.isna(x) else int(x))
-                sets.append(s)
-                total += len(s)
-                if total >= BATCH_TOKENS:
-                    yield pack(batch, ids, sets)
-                    batch, ids, sets, total = batch + 1, [], [], 0
+                hashes.append(int(h))
+                which.append(number[node])
+                if total >= BATCH_TOKENS or len(ids) >= BATCH_TOKENS // 4:
+                    yield pack(batch, ids, hashes, which, list(number), sets)
+                    batch += 1
+                    ids, hashes, which, number, sets, total = [], [], [], {}, [], 0
         if ids:
-            yield pack(batch, ids, sets)
+            yield pack(batch, ids, hashes, which, list(number), sets)
+        _WORDS.clear()
 
     return run
 
 
-def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For one chunk: how many of each document's n-grams (counted by batch) occur in another document too."""
-    once = [np.frombuffer(b, np.uint32) for b in pdf["tails"]]
-    again = [np.frombuffer(b, np.uint32) for b in pdf["again"]]
-    values, times = np.unique(np.concatenate(once + again + again), return_counts=True)
-    values, out = values[times > 1], []
-    for tails, counts in zip(once, pdf["counts"], strict=True):
-        counts = np.frombuffer(counts, np.uint32).astype(np.int64)
-        at = np.searchsorted(values, tails)
-        hit = (at < len(values)) & (values[np.minimum(at, len(values) - 1)] == tails) if len(values) else np.zeros(len(tails), bool)
-        out.append(np.bincount(np.repeat(np.arange(len(counts)), counts), weights=hit, minlength=len(counts)).astype(np.uint32).tobytes())
-    return pd.DataFrame({"batch": pdf["batch"], "counts": out})
+def _counted(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For one chunk and each batch: how many of a node's n-grams another node has too; and the chunk's frequent n-grams. Rows of kind 0 pass."""
+    out = [(0, *r[2:]) for r in pdf[pdf["kind"] == 0].itertuples(index=False)]
+    part = pdf[pdf["kind"] == 1]
+    if not len(part):
+        return _frame(out, _COUNTED)
+    read = lambda column, kind: [np.frombuffer(b, kind) for b in part[column]]
+    who, times, tags = read("p0", np.uint32), read("p1", np.uint32), read("p2", np.uint64)
+    sizes = np.array([t.sum() for t in times])
+    tails, tag = np.concatenate(read("p3", np.uint32)), np.concatenate([np.repeat(x, t) for x, t in zip(tags, times, strict=True)])
+    again, agains = np.concatenate(read("p4", np.uint32)), np.concatenate(read("p5", np.uint32))
+    # Nodes of each tail: different tags among single ones, and the counts of the others.
+    order = np.lexsort((tag, tails))
+    t, g = tails[order], tag[order]
+    other = np.ones(len(t), bool)
+    other[1:] = (t[1:] != t[:-1]) | (g[1:] != g[:-1])
+    values, at = np.unique(np.concatenate([t[other], again]), return_inverse=True)
+    number = np.bincount(at, weights=np.concatenate([np.ones(int(other.sum())), agains]), minlength=len(values)).astype(np.int64)
+    del order, t, g, other, at, tag
+    shared = number[np.searchsorted(values, tails)] > 1
+    ends = np.cumsum(sizes)
+    for batch, w, m, lo, hi in zip(part["batch"], who, times, ends - sizes, ends, strict=True):
+        hits = np.bincount(np.repeat(np.arange(len(m)), m), weights=shared[lo:hi], minlength=len(m)).astype(np.uint32)
+        if hits.any():
+            out.append((1, batch, w[hits > 0].tobytes(), hits[hits > 0].tobytes(), *[None] * 5))
+    often = number >= 16
+    if often.any():
+        chunk = int(part["slot"].iloc[0])
+        out.append((2, -1 - chunk, values[often].tobytes(), np.minimum(number[often], 0xFFFFFFFF).astype(np.uint32).tobytes(), *[None] * 5))
+    return _frame(out, _COUNTED)
+
+
+def _summed(threshold: int):
+    """The documents of one batch, and whether each may have a partner; frequent n-grams pass."""
 
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        kinds = dict(iter(pdf.groupby("kind")))
+        out = [(2, None, None, None, None, None, -1 - int(r.batch), r.p0, r.p1) for r in (kinds[2].itertuples(index=False) if 2 in kinds else [])]
+        for r in kinds[0].itertuples(index=False) if 0 in kinds else []:
+            ids, known, hashes, which = np.frombuffer(r.p0, np.int64), np.frombuffer(r.p1, bool), np.frombuffer(r.p2, np.int64), np.frombuffer(r.p3, np.uint32)
+            sizes, found = np.frombuffer(r.p5, np.int64), np.frombuffer(r.p6, np.int64).copy()
+            for p in kinds[1].itertuples(index=False) if 1 in kinds else []:
+                found[np.frombuffer(p.p0, np.uint32)] += np.frombuffer(p.p1, np.uint32)
+            may = [k >= needed(n, threshold) > 0 and n > 0 for n, k in zip(sizes.tolist(), found.tolist(), strict=True)]
+            out += [(0, i if k else None, h, int(sizes[w]), r.p4[16 * w : 16 * w + 16], may[w], None, None, None) for i, k, h, w in zip(ids.tolist(), known.tolist(), hashes.tolist(), which.tolist(), strict=True)]
+        return _frame(out, _FOUND).astype({c: "Int64" for c in ("id", "hash", "n", "chunk")})
 
-def _added(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(b, np.uint32).astype(np.int64) for b in pdf["counts"])
-    return pd.DataFrame({"batch": pdf["batch"].iloc[0], "no": np.arange(len(total), dtype=np.int32), "shared": total})
+    return run
 
 
-def _documents(rows: DataFrame, n: int, threshold: int) -> DataFrame:
-    """Rows (id, n, node, possible) for rows (id, text)."""
-    spark = rows.sparkSession
+def _documents(rows: DataFrame, n: int, threshold: int) -> tuple[DataFrame, tuple[int, np.ndarray, np.ndarray]]:
+    """(id, hash, n, node, possible) for rows (id, hash, text), and the order of frequent n-grams: number of chunks, their (chunk, tail) keys and frequencies."""
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    chunks = max(1, math.ceil(chars / 6 / CHUNK_TOKENS))
-    with batches_of(spark, 1000):
-        scan = written(rows.mapInPandas(_scan(chunks, n), _SCAN), "ngrams")
-    parts = scan.filter("kind = 1").select("batch", "chunk", "tails", "counts", "again")
-    shared = parts.groupBy("chunk").applyInPandas(_shared, "batch long, counts binary").groupBy("batch").applyInPandas(_added, "batch long, no int, shared long")
-    docs = scan.filter("kind = 0").select("batch", "no", "id", "n", "node", "own")
-    docs = docs.join(shared, ["batch", "no"], "left")
-    return written(docs.select("id", "n", "node", ((F.col("n") > 0) & (100 * (F.col("own") + F.coalesce("shared", F.lit(0))) >= threshold * F.col("n"))).alias("possible")), "docs")
+    chunks = max(1, math.ceil(0.4 * chars / 6 / CHUNK_TOKENS))
+    with batches_of(rows.sparkSession, 500):
+        counted = rows.mapInPandas(_scan(chunks, n, threshold), _SCAN).groupBy("slot").applyInPandas(_counted, _COUNTED)
+        found = written(counted.groupBy("batch").applyInPandas(_summed(threshold), _FOUND), "docs")
+    return found.filter("kind = 0").select("id", "hash", "n", "node", "possible"), (chunks, *_order(found.filter("kind = 2").select("chunk", "tails", "counts")))
 
 
-# 2. to 5. Links
+def _order(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and frequencies of at most HEAVY n-grams: all that are at least as frequent as some power of two."""
 
-_SETS = "node binary, n long, tokens binary, bits binary, keys array<long>"
+    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            level = np.concatenate([np.log2(np.frombuffer(b, np.uint32)).astype(np.int64) for b in pdf["counts"]]) if len(pdf) else np.empty(0, np.int64)
+            number = np.bincount(level, minlength=33)
+            yield pd.DataFrame({"level": np.flatnonzero(number), "number": number[number > 0]})
 
+    levels, cut, total = {r.level: r.number for r in frequent.mapInPandas(sizes, "level long, number long").groupBy("level").agg(F.sum("number").alias("number")).collect()}, 33, 0
+    while cut > 0 and total + levels.get(cut - 1, 0) <= HEAVY:
+        cut, total = cut - 1, total + levels.get(cut - 1, 0)
 
-def _bitmap(s: np.ndarray, each: int) -> np.ndarray:
-    """At least so many bits for each n-gram, a power of two of them."""
-    m = max(64, 1 << (each * len(s) - 1).bit_length())
-    bits = np.zeros(m, np.uint8)
-    bits[(s & np.uint64(m - 1)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(np.uint64)
+    def above(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for chunk, tails, counts in zip(pdf["chunk"], pdf["tails"], pdf["counts"], strict=True):
+                t, c = np.frombuffer(tails, np.uint32), np.frombuffer(counts, np.uint32)
+                keep = c >= (1 << cut)
+                yield pd.DataFrame({"chunk": [chunk], "tails": [t[keep].tobytes()], "counts": [c[keep].tobytes()]})
+
+    rows = frequent.mapInPandas(above, "chunk long, tails binary, counts binary").collect() if total else []  # total <= HEAVY
+    keys = [np.frombuffer(r.tails, np.uint32).astype(np.uint64) | (np.uint64(r.chunk) << np.uint64(32)) for r in rows]
+    if not keys:
+        return np.empty(0, np.uint64), np.empty(0, np.uint32)
+    keys, counts = np.concatenate(keys), np.concatenate([np.frombuffer(r.counts, np.uint32) for r in rows])
+    order = np.argsort(keys)
+    return keys[order], counts[order]
 
 
-def _min_keys(s: np.ndarray) -> list[int]:
-    """One-permutation min-hashes, in pairs."""
-    part = (s * _MULTIPLIER >> np.uint64(40)) % np.uint64(2 * KEYS)
-    least = [int(x[0]) if len(x := s[part == np.uint64(i)]) else i for i in range(2 * KEYS)]
-    return [xxhash.xxh3_64_intdigest(f"{i}:{least[2 * i]}:{least[2 * i + 1]}".encode()) - (1 << 63) for i in range(KEYS)]
+# 2. Which sets meet
 
 
 def _sets(rows: DataFrame, n: int) -> DataFrame:
+    """(node, k, n, tokens) of the texts' sets; k is a number for the node (two nodes of one number only meet once more)."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [s for t in pdf["text"] if len(s := ngrams(t, n))]
-            yield pd.DataFrame({"node": [set_hash(s) for s in found], "n": [len(s) for s in found], "tokens": [s.tobytes() for s in found], "bits": [_bitmap(s, 8).tobytes() for s in found], "keys": [_min_keys(s) for s in found]})
+            found = {set_hash(s): s for t in pdf["text"] if len(s := ngrams(t, n))}
+            keys = np.frombuffer(b"".join(x[:8] for x in found), np.int64)
+            yield pd.DataFrame({"node": list(found), "k": keys, "n": [len(s) for s in found.values()], "tokens": [s.tobytes() for s in found.values()]})
+        _WORDS.clear()
 
-    return rows.select("text").mapInPandas(run, _SETS)
+    return rows.select("text").mapInPandas(run, "node binary, k long, n long, tokens binary")
 
 
-def _proven(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Of pairs (a, b) of nodes, those whose sets are similar."""
-    pairs = pairs.distinct()
-    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
-    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+def _posts(sets: DataFrame, order: tuple[int, np.ndarray, np.ndarray], threshold: int) -> DataFrame:
+    """(token, k, n) of each set's first n-grams in the order of rising frequency."""
+    chunks, keys, counts = order
+    shared = sets.sparkSession.sparkContext.broadcast((keys, counts))
 
-    def may(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, counts = shared.value
         for pdf in batches:
-            keep = [_may_reach(na, nb, np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold) for na, nb, x, y in zip(pdf["na"], pdf["nb"], pdf["ba"], pdf["bb"], strict=True)]
-            yield pdf.loc[keep, ["a", "b"]]
+            tokens = []
+            for b, n in zip(pdf["tokens"], pdf["n"].tolist(), strict=True):
+                s = np.frombuffer(b, np.uint64)
+                if len(keys):
+                    key = (_chunk_of(s, chunks) << np.uint64(32)) | (s & np.uint64(0xFFFFFFFF))
+                    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                    s = s[np.argsort(np.where(keys[at] == key, counts[at], 0), kind="stable")]
+                tokens.append(s[: met(n, threshold)])
+            size = [len(t) for t in tokens]
+            yield pd.DataFrame({"token": np.concatenate(tokens).view(np.int64) if tokens else [], "k": np.repeat(pdf["k"].to_numpy(), size), "n": np.repeat(pdf["n"].to_numpy(), size)})
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold) for x, y in zip(pdf["ta"], pdf["tb"], strict=True)]
-            yield pdf.loc[keep, ["a", "b"]]
+    return sets.select("k", "n", "tokens").mapInPandas(run, "token long, k long, n long")
 
-    spark = sets.sparkSession
-    with batches_of(spark, 2000):
-        fit = pairs.join(one, "a").join(two, "b").filter(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-        fit = written(fit.mapInPandas(may, "a binary, b binary"), "pairs")
-    one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb")).join(_small(fit.select("b").distinct()), "b", "left_semi")
-    fit = _small(fit)
-    with batches_of(spark, 200):
-        return written(fit.join(one, "a").join(two, "b").mapInPandas(check, "a binary, b binary"), "links")
 
+def _members(posts: DataFrame) -> DataFrame:
+    """(anchor, k, n): the sets that meet at each anchor, the least holder of an n-gram."""
+    lists = posts.groupBy("token").agg(F.min("k").alias("anchor"), F.max("k").alias("last")).filter("anchor <> last")
+    lists = _small(written(lists.select(F.col("token").alias("t"), "anchor"), "lists"))
+    return posts.join(lists, F.col("token") == F.col("t")).groupBy("anchor", "k").agg(F.max("n").alias("n"))
 
-def _small(rows: DataFrame, most: int = BROADCAST_IDS // 4) -> DataFrame:
-    """rows (of a few ids each) for a broadcast if there are few of them, else as they are."""
-    return F.broadcast(rows) if rows.count() <= most else rows
 
+def _small(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """rows (of a few numbers each) for a broadcast if there are few of them, else as they are."""
+    return F.broadcast(rows) if rows.count() <= (BROADCAST_IDS if most is None else most) else rows
 
-def _least_overlap(na, nb, threshold: int):
-    return -(-threshold * (na + nb) // (100 + threshold))
 
+# 3. Signature trees
 
-def _may_reach(na: int, nb: int, x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
-    """Whether bitmaps of sets of na and nb n-grams have enough common bits: an n-gram outside the overlap clears one bit at most."""
-    if len(x) != len(y):
-        x, y = _fold(x, min(len(x), len(y))), _fold(y, min(len(x), len(y)))
-    common, least = int(np.bitwise_count(x & y).sum()), _least_overlap(na, nb, threshold)
-    return common >= max(int(np.bitwise_count(x).sum()) - (na - least), int(np.bitwise_count(y).sum()) - (nb - least))
+
+def _bitmap(s: np.ndarray, each: int) -> np.ndarray:
+    """At least so many bits for each n-gram, a power of two of them."""
+    m = max(64, 1 << (each * len(s) - 1).bit_length())
+    bits = np.zeros(m, np.uint8)
+    bits[(s & np.uint64(m - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
 def _fold(bits: np.ndarray, words: int) -> np.ndarray:
@@ -299,7 +386,7 @@ def traverse(left: Tree, right: Tree, threshold: int, label: np.ndarray) -> Iter
     """
     same, depth = left is right, max(len(left.levels), len(right.levels)) - 1
     work = [(depth, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    step = max(1, 4_000_000 // max(1, left.levels[0][0].shape[1]))
+    step = max(1, 1_000_000 // max(1, left.levels[0][0].shape[1]))
     while work:
         level, i, j = work.pop()
         if len(i) > step:
@@ -364,70 +451,15 @@ def tree_links(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, thre
     return out
 
 
-def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
-    """(token, node, label) of each set's first n-grams in order of their hashes."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            n = pdf["n"].to_numpy()
-            first = n - (-(-threshold * n // 100)) + 1
-            tokens = [np.frombuffer(t, np.uint64)[:k].view(np.int64) for t, k in zip(pdf["tokens"], first, strict=True)]
-            rows = pd.DataFrame({"node": pdf["node"], "label": pdf["label"], "token": tokens})
-            yield rows
-
-    return sets.mapInPandas(run, "node binary, label binary, token array<long>").select("node", "label", F.explode("token").alias("token"))
-
-
-def _tile_links(sets: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
-    """Links (a, b) between nodes in different groups.
-
-    N-grams whose prefix holders are in several groups are gathered by their anchor, the holder that stands in most such lists: the
-    lists of one family mostly have the same anchor, so its sets meet once and not once for each n-gram.
-    """
-    spark = sets.sparkSession
-    lab = _small(labels.select(F.col("node").alias("k"), F.col("label").alias("l")))
-    marked = sets.join(lab, F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("l", "node"))
-    with batches_of(spark, 500):
-        posts = written(_prefixes(marked.select("node", "n", "label", "tokens"), threshold), "posts")
-    split = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select(F.col("token").alias("t"))
-    split = _small(written(split, "split"), BROADCAST_IDS)  # 8 bytes each
-    open_ = written(posts.join(split, F.col("token") == F.col("t"), "left_semi"), "open")
-    held = _small(written(open_.groupBy("node").count().select(F.col("node").alias("k"), F.col("count").alias("lists")), "held"))
-    best = F.max(F.struct("lists", F.xxhash64("node").alias("h"), "node"))
-    anchors = open_.join(held, F.col("node") == F.col("k")).groupBy("token").agg(best.alias("m")).select(F.col("token").alias("t"), F.col("m.node").alias("anchor"))
-    anchors = _small(written(anchors, "anchors"), BROADCAST_IDS)  # 24 bytes each
-    members = open_.join(anchors, F.col("token") == F.col("t")).select("anchor", "node", "label").distinct()
-    sizes = sets.select(F.col("node").alias("k"), "n")
-    members = written(members.join(sizes, F.col("node") == F.col("k")).drop("k"), "members")
-
-    def near(g: pd.DataFrame, label: np.ndarray) -> list[tuple]:
-        """Sets of a tile that may have a partner in it, by their bitmaps."""
-        keep = np.zeros(len(g), bool)
-        for i, j in tree_pairs([np.frombuffer(b, np.uint64) for b in g["payload"]], g["n"].to_numpy(), label, g["side"].to_numpy(), threshold):
-            keep[i] = keep[j] = True
-        return list(zip(g["anchor"][keep], g["node"][keep], strict=True))
+# Trees by anchor
 
-    def links(g: pd.DataFrame, label: np.ndarray) -> list[tuple]:
-        nodes = g["node"].tolist()
-        return [(nodes[x], nodes[y]) for x, y in tree_links([np.frombuffer(t, np.uint64) for t in g["payload"]], label, g["side"].to_numpy(), threshold)]
 
-    some = _by_tile(members, sets.select(F.col("node").alias("k"), F.col("bits").alias("payload")), 2, near, "anchor binary, node binary").distinct()
-    some = some.select(F.col("anchor").alias("x"), F.col("node").alias("k"))
-    members = written(members.join(some, (F.col("anchor") == F.col("x")) & (F.col("node") == F.col("k")), "left_semi"), "members")
-    return _by_tile(members, sets.select(F.col("node").alias("k"), F.col("tokens").alias("payload")), 8, links, "a binary, b binary")
-
-
-def _by_tile(members: DataFrame, payload: DataFrame, width: int, work, schema: str) -> DataFrame:
-    """work over the tiles of each anchor's members (anchor, node, label, n), with each set's payload of about width bytes an n-gram."""
-    blocks = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(width * F.sum("n") / TILE_BYTES)).cast("int")
-    many = members.groupBy("anchor").agg(blocks.alias("blocks")).withColumnRenamed("anchor", "at")
-    some = members.join(many, F.col("anchor") == F.col("at")).select("anchor", "node", "label", "n", "blocks")
-    some = some.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    some = some.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = some.select("node", "label", "anchor", "n", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+def _tiled(tiles: DataFrame, payload: DataFrame, width: int, work, schema: str) -> DataFrame:
+    """work over each tile's sets; tiles: (anchor, i, j, side, label, k, n), payload: (key, node, payload) of about width bytes an n-gram."""
     tiles = written(tiles, "tiles")
     buckets = max(1, math.ceil(width * (tiles.agg(F.sum("n")).first()[0] or 0) / (2 * TILE_BYTES)))
-    tiles = tiles.join(payload, F.col("node") == F.col("k")).drop("k").withColumn("bucket", F.pmod(F.xxhash64("anchor", "i", "j"), F.lit(buckets)))
+    placed = _small(tiles).join(payload, F.col("k") == F.col("key")).select("anchor", "i", "j", "side", "label", "node", "n", "payload")
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("anchor", "i", "j"), F.lit(buckets)))
     columns = [c.split()[0] for c in schema.split(", ")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -437,56 +469,101 @@ def _by_tile(members: DataFrame, payload: DataFrame, width: int, work, schema: s
             found += work(g, np.array([number[x] for x in g["label"]]))
         return pd.DataFrame(found, columns=columns)
 
-    return written(tiles.groupBy("bucket").applyInPandas(run, schema), "tiled")
+    out = written(placed.groupBy("bucket").applyInPandas(run, schema), "tiled")
+    discard(tiles)
+    return out
 
 
-def _links(sets: DataFrame, threshold: int) -> DataFrame:
+def _links(sets: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
     """(node, label) of the nodes that have links."""
-    keyed = sets.select("node", "n", F.explode("keys").alias("key"))
-    star = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("c")).filter("c > 1")
-    pairs = keyed.join(star, "key").filter("node <> a").select("a", F.col("node").alias("b"))
-    first = _proven(pairs, sets, threshold)
-    labels = components(first)
-    return components(first.unionByName(_tile_links(sets, labels, threshold)))
 
+    def links(g: pd.DataFrame, label: np.ndarray) -> list[tuple]:
+        nodes = g["node"].tolist()
+        return [(nodes[x], nodes[y]) for x, y in tree_links([np.frombuffer(t, np.uint64) for t in g["payload"]], label, g["side"].to_numpy(), threshold)]
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per row of docs: id, n_shingles, component_id."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole(F.col(text_col)).alias("text"))
-    found = _documents(rows, n, threshold)
-    classes = found.filter("possible").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("times"))
-    classes = written(classes, "classes")
-    ids = classes.select(F.col("least").alias("i"))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    known = classes.select("node")
-    with batches_of(docs.sparkSession, 1000):
-        sets = _sets(rows.join(ids, F.col("id").eqNullSafe(F.col("i")), "left_semi"), n)
-        sets = written(sets.dropDuplicates(["node"]).join(known, "node", "left_semi"), "sets")
-    labels = _links(sets, threshold)
+    def near(g: pd.DataFrame, label: np.ndarray) -> list[tuple]:
+        """Sets of a tile that may have a partner in it, by their bitmaps."""
+        keep = np.zeros(len(g), bool)
+        for i, j in tree_pairs([np.frombuffer(b, np.uint64) for b in g["payload"]], g["n"].to_numpy(), label, g["side"].to_numpy(), threshold):
+            keep[i] = keep[j] = True
+        g = g[keep]
+        return list(zip(g["anchor"], g["i"], g["j"], g["node"], strict=True))
+
+    def bitmaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(payload=[_bitmap(np.frombuffer(b, np.uint64), 8).tobytes() for b in pdf["payload"]])
+
+    full = sets.select(F.col("k").alias("key"), "node", F.col("tokens").alias("payload"))
+    # Each anchor's sets in one tree, or in several that all have the anchor.
+    blocks = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(8 * F.sum("n") / TILE_BYTES)).cast("int")
+    big = _small(written(members.groupBy("anchor").agg(blocks.alias("blocks")).filter("blocks > 1").select(F.col("anchor").alias("at"), "blocks"), "big"))
+    placed = members.join(big, F.col("anchor") == F.col("at"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    placed = written(placed.select("anchor", "k", "n", "blocks", "block"), "placed")
+    lead = placed.filter("blocks > 1 and k = anchor").select("anchor", "k", "n", F.col("block").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).filter("block <> own")
+    tiles = placed.select("anchor", "k", "n", "block").unionByName(lead.drop("own"))
+    tiles = tiles.select("anchor", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side"), F.col("k").alias("label"), "k", "n")
+    first = _tiled(tiles, full, 8, links, "a binary, b binary")
+    labels = components(first)
+    # Trees of one anchor whose sets are still in several groups, with each other.
+    parts = placed.filter("blocks > 1")
+    if not parts.limit(1).count():
+        return labels
+    named = sets.select(F.col("k").alias("key"), F.col("node").alias("own")).join(labels, F.col("own") == F.col("node"), "left").select("key", F.coalesce("label", "own").alias("label"))
+    parts = written(parts.join(named, F.col("k") == F.col("key")).drop("key"), "parts")
+    several = parts.groupBy("anchor").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select(F.col("anchor").alias("at"))
+    parts = parts.join(_small(written(several, "several")), F.col("anchor") == F.col("at"), "left_semi")
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block")))
+    pairs = parts.withColumn("other", other).select("anchor", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "label", "k", "n")
+    pairs = written(pairs, "pairs")
+    some = _tiled(pairs, full.mapInPandas(bitmaps, full.schema), 2, near, "anchor long, i int, j int, node binary")
+    some = some.join(sets.select("node", F.col("k").alias("key")), "node").select("anchor", "i", "j", F.col("key").alias("k")).distinct()
+    second = _tiled(pairs.join(some, ["anchor", "i", "j", "k"], "left_semi"), full, 8, links, "a binary, b binary")
+    return components(first.unionByName(second))
+
+
+# Documents
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: int) -> DataFrame:
+    """(id, hash, n, component, members, keep): keep is the one document of its group that stays, as (no id, id, hash of the text)."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("hash"), whole(F.col(text_col)).alias("text"))
+    found, order = _documents(rows, n, threshold)
+    who = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    classes = found.filter("n > 0").groupBy("node").agg(F.min("id").alias("least"), F.min(who).alias("keep"), F.count("*").alias("times"), F.bool_or("possible").alias("possible"))
+    classes = written(classes.filter("possible or times > 1"), "classes")
+    ids = _small(classes.filter("possible").select(F.col("keep.id").alias("i"), F.col("keep.hash").alias("h")).distinct())
+    with batches_of(docs.sparkSession, 500):
+        sets = written(_sets(rows.join(ids, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")), "left_semi"), n), "sets")
+    twice = sets.groupBy("node").count().filter("count > 1").select("node")
+    if twice.limit(1).count():  # rows that repeat an id and a text
+        one = sets.join(twice, "node", "left_semi").dropDuplicates(["node"])
+        sets = written(sets.join(twice, "node", "left_anti").unionByName(one), "sets")
+    with batches_of(docs.sparkSession, 500):
+        posts = written(_posts(sets, order, threshold), "posts")
+        members = written(_members(posts), "members")
+        discard(posts)
+        labels = _links(sets, members, threshold)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("least").alias("component"), F.sum("times").alias("members"))
-    named = written(named.join(least, "label").select(F.col("node").alias("k"), "component", "members"), "named")
-    linked = _spread(found.filter("possible"), named)
-    alone = found.filter("not possible").select("id", "n", F.col("id").alias("component"), F.lit(1).cast("long").alias("members"))
-    return alone.unionByName(linked).select("id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "members")
+    groups_ = named.groupBy("label").agg(F.min("least").alias("component"), F.min("keep").alias("keep"), F.sum("times").alias("members"))
+    named = written(joined_salted(named.select("node", "label"), "label", "node", groups_).select("node", "component", "members", "keep"), "named")
+    discard(sets)
+    alone = {"component": F.col("id"), "members": F.lit(1).cast("long"), "keep": who}
+    out = joined_salted(found.withColumnRenamed("node", "key"), "key", "hash", named.withColumnRenamed("node", "key"), "left")
+    return out.select("id", "hash", "n", *[F.when(F.col("members").isNull(), own).otherwise(F.col(c)).alias(c) for c, own in alone.items()])
 
 
-def _spread(found: DataFrame, named: DataFrame, salts: int = 32) -> DataFrame:
-    """Documents with their node's component. A node may have any share of the documents: first by (node, salt), then by node."""
-    rows = found.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-    some = rows.select("node", "salt").distinct()
-    some = some.join(named, F.col("node") == F.col("k")).select(F.col("node").alias("k"), F.col("salt").alias("s"), "component", "members")
-    return rows.join(some, (F.col("node") == F.col("k")) & (F.col("salt") == F.col("s"))).select("id", "n", "component", "members")
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: int = THRESHOLD) -> DataFrame:
+    """One row per row of docs: id, n_shingles, component_id, and members, the number of documents in its group."""
+    return _grouped(docs, id_col, text_col, n, threshold).select("id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "members")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, of each group only that with the least id. A row without an id stays, and so do rows that share the least id."""
-    found = groups(docs, id_col, text_col).filter("not component_id <=> id").select(F.col("id").alias("_gone")).distinct()
-    gone = written(found, "gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    """The rows of docs, of each group only the document of the least id (rows without one last; then by a hash of the text). Rows are told apart by id
+    and text, so another document of the same id stays; rows that repeat both stay or go together."""
+    who = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    gone = _grouped(docs, id_col, text_col, N, THRESHOLD).filter(who != F.col("keep")).select(F.col("id").alias("_gone"), F.col("hash").alias("_hash")).distinct()
+    gone = _small(written(gone, "gone"))
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("_gone")) & (F.xxhash64(docs[text_col]) == F.col("_hash")), "left_anti")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 from dqloom.llm import ngram_join as J
+from dqloom.llm.components import components
 
 from tests.llm.conftest import ROWS
 
@@ -62,10 +63,42 @@ def test_families_near_the_threshold(spark, monkeypatch):
     monkeypatch.setattr(J, "TILE", 8)  # long lists are cut into tiles
     monkeypatch.setattr(J, "CHUNK_TOKENS", 700)
     monkeypatch.setattr(J, "BATCH_TOKENS", 1500)
+    monkeypatch.setattr(J, "HEAVY", 40)
+    monkeypatch.setattr(J, "BROADCAST_IDS", 20)  # larger tables are joined by a shuffle
+    pieces = []
+    monkeypatch.setattr(J, "components", lambda links: pieces.append(links.count()) or components(links))
     rows = variants(3, 6, 25)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(((r.id, r.n_shingles, r.component_id, r.members) for r in J.groups(df).collect()), key=str)
     assert got == brute(rows)
+    # Every link comes out of the trees: enough of them to hold the groups together.
+    in_groups = {(c, m) for _, _, c, m in got if m > 1}
+    distinct = {frozenset(shingles(t)) for _, t in rows}
+    assert pieces and pieces[-1] >= len({frozenset(shingles(t)) for i, t in rows if any(r[0] == i and r[3] > 1 for r in got)}) - len(in_groups) > 20
+    assert len(distinct) > 100
+
+
+def test_filter_keeps_every_document_with_a_partner():
+    """Two sets with just the least overlap share enough of the n-grams that are sent, in any order of hashes."""
+    rng = np.random.default_rng(11)
+    for _ in range(3000):
+        n = int(rng.integers(1, 60))
+        m = int(rng.integers(J.least(n, 80), 100 * n // 80 + 1)) or 1
+        both = -(-80 * (n + m) // 180)
+        if both > min(n, m):
+            continue
+        h = rng.permutation(n + m - both)
+        a, b = np.sort(h[:n]), np.sort(np.r_[h[:both], h[n:]])
+        x, y = a[: J.sent(n, 80)], b[: J.sent(m, 80)]
+        assert len(np.intersect1d(x, y)) >= max(J.needed(n, 80), J.needed(m, 80))
+        assert len(np.intersect1d(a[: J.met(n, 80)], b[: J.met(m, 80)])) >= 1
+
+
+def test_one_of_each_tells_texts_of_one_id_apart(spark):
+    a, near, other = " ".join(f"w{k}" for k in range(40)), " ".join(f"w{k}" for k in range(39)), "a text of its own that nothing else resembles at all"
+    docs = spark.createDataFrame([(3, a), (5, near), (5, other), (None, a), (None, "some text that stands alone without an id"), (9, other)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in J.one_of_each(docs).collect()), key=str)
+    assert got == sorted([(3, a), (5, other), (None, "some text that stands alone without an id")], key=str)
 
 
 def test_trees_lose_no_similar_pair():
