@@ -33,16 +33,13 @@ def _aligned(value: Column, spec: str, template: str) -> Column:
     return F.when(F.length(value) < int(width), pad).otherwise(value)  # padding functions also cut
 
 
-def fill_places(template: str, known: dict[str, str], value: Column | None = None) -> Column:
-    """A message: known places are filled on the driver, {value} by the column, unknown places stay as written."""
-    parts: list[Column] = []
-    for literal, field, spec, conv in string.Formatter().parse(template):
-        if literal:
-            parts.append(F.lit(literal))
-        if field is None:
-            continue
-        if field == "value" and value is not None:
-            parts.append(F.coalesce(value, F.lit("")))
-        else:
-            parts.append(F.lit(str(known[field]) if field in known else "{" + field + "}"))
-    return F.concat(*parts) if parts else F.lit("")
+def message_parts(template: str, known: dict[str, str]) -> list[str]:
+    """The text before, between and after the places of {value}; known places are filled in, unknown ones stay as written."""
+    parts = [""]
+    for literal, field, _, _ in string.Formatter().parse(template):
+        parts[-1] += literal
+        if field == "value":
+            parts.append("")
+        elif field is not None:
+            parts[-1] += str(known.get(field, "{" + field + "}"))
+    return parts

@@ -14,7 +14,7 @@ from dqloom.functions.temporal import plus, resolve_bound, write
 from dqloom.functions.text import full_match, mapped, strip
 from dqloom.operators.typed import view
 from dqloom.plans.conditions import condition
-from dqloom.plans.registry import Registry, Rule
+from dqloom.plans.registry import Registry, Rule, leaves
 
 Columns = Callable[[str], Column]
 _COMPARE = {"==": "__eq__", "!=": "__ne__", "<": "__lt__", "<=": "__le__", ">": "__gt__", ">=": "__ge__"}
@@ -32,15 +32,15 @@ def out_of_range(value: Column, params: dict, kind: str, run_date: dt.date) -> C
     return fail
 
 
-def derived_text(rule: Rule, registry: Registry, column: Columns) -> Column:
-    return write(view(registry, column)(rule.params["source"]), rule.params["format"])
+def derived_text(rule: Rule, see: Columns) -> Column:
+    return write(see(rule["source"]), rule["format"])
 
 
-def generated_value(rule: Rule, registry: Registry, column: Columns) -> Column:
+def generated_value(rule: Rule, registry: Registry, column: Columns, see: Columns | None = None) -> Column:
     """Text of a generated column; null where it cannot be computed."""
-    p = rule.params
+    p, see = rule, see or view(registry, column)
     if p["method"] == "convert_currency":
-        amount = view(registry, column)(p["amount"])
+        amount = see(p["amount"])
         rate = mapped(column(p["currency"]), {str(k): str(float(v)) for k, v in p["rates"].items()}).cast("double")
         return number_text(round_half_even(amount * rate, int(p.get("decimals", 2))))
     out = F.lit(str(p["default"])) if "default" in p else F.lit(None).cast("string")
@@ -49,9 +49,9 @@ def generated_value(rule: Rule, registry: Registry, column: Columns) -> Column:
     return out
 
 
-def detect(rule: Rule, registry: Registry, run_date: dt.date, column: Columns = F.col, on: str | None = None) -> Column:
-    """Where the rule fails, not yet limited to its scope; two-valued. on: the column, for rules over several."""
-    p, see, name = rule.params, view(registry, column), on or rule.column
+def detect(rule: Rule, registry: Registry, run_date: dt.date, column: Columns = F.col, on: str | None = None, see: Columns | None = None) -> Column:
+    """Where the rule fails, not yet limited to its scope; two-valued. on: the column, for rules over several. see: typed views of columns."""
+    p, see, name = rule, see or view(registry, column), on or rule.column
     c = column(name) if name else None
     kind = rule.type
     if kind == "not_null":
@@ -74,29 +74,21 @@ def detect(rule: Rule, registry: Registry, run_date: dt.date, column: Columns =
     elif kind == "compare":
         fail = ~getattr(see(p["left"]), _COMPARE[p["operator"]])(plus(see(p["right"]), p.get("offset")))
     elif kind == "derived":
-        expected = derived_text(rule, registry, column)
+        expected = derived_text(rule, see)
         return expected.isNotNull() & ~F.coalesce(c == expected, F.lit(False))
     elif kind == "trim_whitespace":
         fail = c != strip(c)
     elif kind == "null_tokens":
         fail = F.lower(strip(c)).isin(registry.null_tokens) if registry.null_tokens else F.lit(False)
     elif kind == "generate":
-        return generated_value(rule, registry, column).isNull()
+        return generated_value(rule, registry, column, see).isNull()
     else:
         raise ValueError(f"{kind} is no row-local rule type")
     return F.coalesce(fail, F.lit(False))
 
 
-def reads(rule: Rule, registry: Registry, on: str | None = None) -> set[str]:
-    """Columns that the rule's detection or repair looks at."""
-    from dqloom.plans.registry import condition_columns
-
-    p = rule.params
-    out = condition_columns(rule.when) | {p[k] for k in ("left", "right", "source", "amount", "currency") if k in p} | (set(rule.columns) - {"*"})
-    for case in p.get("cases") or []:
-        out |= condition_columns(case.get("when"))
-    if on or rule.column:
-        out.add(on or rule.column)
+def reads(rule: Rule, on: str | None = None) -> set[str]:
+    """Columns that the rule's detection or repair looks at; on: the one column of a rule over several."""
     if rule.type in ("trim_whitespace", "null_tokens"):
-        out = {on} | condition_columns(rule.when)
-    return out
+        return {on} | {leaf["column"] for leaf in leaves(rule.when)}
+    return rule.read_columns()

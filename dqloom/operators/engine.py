@@ -19,17 +19,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.functions.templates import fill_places
+from dqloom.functions.templates import message_parts
 from dqloom.operators.detect import ROW_LOCAL, detect, generated_value, reads
 from dqloom.operators.repair import repair
-from dqloom.operators.typed import canonical
+from dqloom.operators.typed import canonical, typed
 from dqloom.plans.conditions import condition
 from dqloom.plans.registry import ConfigError, Registry, Rule
 from dqloom.sources.shared import written
 
 #: Columns of the engine's own; data columns of these names are refused.
-INTERNAL = ("row_no", "focus", "active", "fails", "edits")
+INTERNAL = ("row_no", "focus", "active", "fails", "edits", "scopes")
 _FAIL = "struct<no:int,value:string>"
+#: Rules in one word of ``scopes``, which says for the rules with a condition whether a row was in their scope.
+_WORD = 62
 _EDIT = "struct<no:int,column:string,old:string,new:string,action:string,outcome:string>"
 AUDIT_COLUMNS = ["record_id", "column", "original_value", "cleaned_value", "rule_id", "action", "outcome"]
 ERROR_COLUMNS = ["record_id", "rule_id", "rule_name", "error_code", "error_category", "dimension", "severity", "column", "value", "message"]
@@ -86,14 +88,14 @@ def _steps(registry: Registry, columns: list[str]) -> list[Step]:
     for no, rule in enumerate(registry.rules):
         if rule.type in ("trim_whitespace", "null_tokens"):
             names = columns if "*" in rule.columns or not rule.columns else list(rule.columns)
-            out += [Step(no, rule, c, reads(rule, registry, c), {c} if rule.remediation else set()) for c in names]
+            out += [Step(no, rule, c, reads(rule, c), {c} if rule.remediation else set()) for c in names]
             continue
         wrote: set[str] = set()
         if rule.type == "generate":
             wrote = {rule.column}
         elif rule.remediation and rule.type in ROW_LOCAL | {"unique"}:
             wrote = {rule.remediation.get("target", rule.column)}
-        out.append(Step(no, rule, rule.column, reads(rule, registry) | wrote, wrote))
+        out.append(Step(no, rule, rule.column, reads(rule) | wrote, wrote))
     return out
 
 
@@ -127,23 +129,47 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+class _Typed:
+    """Typed views as columns of their own: asking for one notes it, so that a projection before the one that asks computes it once."""
+
+    def __init__(self, registry: Registry):
+        self.registry, self.asked = registry, {}
+
+    def __call__(self, name: str) -> Column:
+        spec = self.registry.columns.get(name, {})
+        if spec.get("type", "string") == "string":
+            return _col(name)
+        self.asked[f"__t_{name}"] = typed(_col(name), spec)
+        return F.col(f"`__t_{name}`")
+
+
+class _Let:
+    """Steps of a repair as columns of their own, only where the rule fails: the n-th step of every repair stands in the n-th projection."""
+
+    def __init__(self, tag: str, where: Column, projections: list[dict]):
+        self.tag, self.where, self.projections, self.n = tag, where, projections, 0
+
+    def __call__(self, value: Column) -> Column:
+        if self.n == len(self.projections):
+            self.projections.append({})
+        name = f"{self.tag}_let{self.n}"
+        self.projections[self.n][name] = F.when(self.where, value)
+        self.n += 1
+        return F.col(f"`{name}`")
+
+
 def _row_local(rows: DataFrame, group: list[Step], registry: Registry, run_date: dt.date, filled: set[str]) -> DataFrame:
-    """One projection for a layer: flags first, then what depends on them."""
-    flags, updates, more = {}, {}, {}
+    """A few projections for a layer: typed values, flags, the steps of repairs, new values, and what still fails. Each is computed once."""
+    flags, updates, more, after, temporary = {}, {}, {}, {}, []
+    see, steps = _Typed(registry), []
     for s in group:
         scope = F.col("active") & condition(s.rule.when, _col)
-        tag = f"__{s.no}_{s.column}"
-        if s.rule.type == "generate":
-            flags[f"{tag}_new"] = generated_value(s.rule, registry, _col)
-            flags[f"{tag}_scope"] = scope
-        else:
-            flags[f"{tag}_hit"] = scope & detect(s.rule, registry, run_date, _col, s.column)
-    rows = rows.withColumns(flags)
-    for s in group:
-        tag = f"__{s.no}_{s.column}"
-        c = s.column
+        if s.rule.when:
+            flags[f"__{s.no}_in"] = scope
+            scope = F.col(f"`__{s.no}_in`") if s.rule.type == "generate" else scope
+        tag, c = f"__{s.no}_{s.column}", s.column
         if s.rule.type == "generate":
-            new, scope, old = F.col(f"`{tag}_new`"), F.col(f"`{tag}_scope`"), _col(c)
+            new, old = _Let(tag, scope, steps)(generated_value(s.rule, registry, _col, see)), _col(c)
             more[f"{tag}_fail"] = scope & new.isNull()
             if c in filled:
                 updates[c] = F.when(scope, new).otherwise(old)
@@ -152,19 +178,22 @@ def _row_local(rows: DataFrame, group: list[Step], registry: Registry, run_date:
                 updates[c] = F.when(differs, new).otherwise(old)
                 more[f"{tag}_edit"] = F.when(differs, _edit(s.no, c, old, new, "derive", F.lit("remediated")))
             continue
+        flags[f"{tag}_hit"] = scope & detect(s.rule, registry, run_date, _col, c, see)
         hit = F.col(f"`{tag}_hit`")
+        temporary.append(f"{tag}_hit")
         if not s.rule.remediation:
             more[f"{tag}_fail"] = hit
             continue
         target = s.rule.remediation.get("target", c)
-        new, changed = repair(s.rule, registry, _col, c)
+        new, changed = repair(s.rule, registry, _col, c, see, _Let(tag, hit, steps))
         more[f"{tag}_old"] = F.when(hit, _col(target))
         more[f"{tag}_done"] = hit & changed
         updates[target] = F.when(hit & changed, new).otherwise(_col(target))
-    drop = [f"__{s.no}_{s.column}_{x}" for s in group for x in ("new", "scope") if s.rule.type == "generate"]
-    rows = rows.withColumns({**updates, **more}).drop(*drop)
+        temporary += [f"{tag}_old", f"{tag}_done"]
+    for projection in (see.asked, flags, *steps, {**updates, **more}):
+        rows = rows.withColumns(projection) if projection else rows
     # What still fails, on the repaired values.
-    after = {}
+    again = _Typed(registry)
     for s in group:
         if s.rule.type == "generate" or not s.rule.remediation:
             continue
@@ -173,11 +202,13 @@ def _row_local(rows: DataFrame, group: list[Step], registry: Registry, run_date:
         if s.rule.type in ("trim_whitespace", "null_tokens"):
             still = hit & ~done
         else:
-            still = F.col("active") & condition(s.rule.when, _col) & detect(s.rule, registry, run_date, _col, s.column)
+            still = F.col("active") & condition(s.rule.when, _col) & detect(s.rule, registry, run_date, _col, s.column, again)
         after[f"{tag}_fail"] = still
-        after[f"{tag}_edit"] = F.when(hit, _edit(s.no, target, old, _col(target), s.rule.remediation["action"], F.when(still, "not_fixed").otherwise("remediated")))
-    rows = rows.withColumns(after) if after else rows
-    return rows.drop(*[f"__{s.no}_{s.column}_{x}" for s in group if s.rule.type != "generate" for x in ("hit", "done", "old")])
+        after[f"{tag}_edit"] = F.when(hit, _edit(s.no, target, old, _col(target), s.rule.remediation["action"], F.when(F.col(f"`{tag}_fail`"), "not_fixed").otherwise("remediated")))
+    temporary += [*see.asked, *(name for projection in steps for name in projection)]
+    for projection in (again.asked, {k: v for k, v in after.items() if k.endswith("_fail")}, {k: v for k, v in after.items() if k.endswith("_edit")}):
+        rows = rows.withColumns(projection) if projection else rows
+    return rows.drop(*temporary, *again.asked)
 
 
 def _edit(no: int, column: str, old: Column, new: Column, action: str, outcome: Column) -> Column:
@@ -204,6 +235,7 @@ def _unique(rows: DataFrame, s: Step) -> DataFrame:
     """Every copy of a value that occurs more than once among the rule's rows fails."""
     rows = written(rows, "rows")
     scope = F.col("active") & condition(s.rule.when, _col) & _col(s.column).isNotNull()
+    rows = rows.withColumn(f"__{s.no}_in", F.col("active") & condition(s.rule.when, _col)) if s.rule.when else rows
     more = rows.filter(scope).groupBy(_col(s.column).alias("__v")).count().filter("count > 1").select("__v", F.lit(True).alias("__more"))
     rows = rows.join(more, F.when(scope, _col(s.column)) == F.col("__v"), "left")
     return rows.withColumn(f"__{s.no}_{s.column}_fail", F.coalesce("__more", F.lit(False))).drop("__v", "__more")
@@ -222,6 +254,7 @@ def _dependency(rows: DataFrame, s: Step, registry: Registry) -> DataFrame:
     rows = written(rows, "rows")
     determinant, dependents = registry.dependency(s.rule)
     scope = F.col("active") & condition(s.rule.when, _col)
+    rows = rows.withColumn(f"__{s.no}_in", scope) if s.rule.when else rows
     expected = majorities(rows, _col(determinant), dependents, scope)
     rows = rows.join(expected, F.when(scope, _col(determinant)) == F.col("k"), "left")
     wrong = [F.coalesce(F.try_element_at("expected", F.lit(d)) != _col(d), F.lit(False)) for d in dependents]
@@ -234,7 +267,7 @@ def error_column(rule: Rule, registry: Registry) -> str | None:
     if rule.type == "functional_dependency":
         return registry.dependency(rule)[0]
     if rule.type == "compare":
-        return rule.params["left"]
+        return rule["left"]
     if rule.column:
         return rule.column
     return rule.columns[0] if rule.type == "expression" and rule.columns else None
@@ -309,13 +342,20 @@ def _gathered(rows: DataFrame, steps: list[Step], registry: Registry, review: li
         column = error_column(some[0].rule, registry)
         fails.append(F.when(hit, F.struct(F.lit(no).alias("no"), (_col(column) if column in have else F.lit(None).cast("string")).alias("value")).cast(_FAIL)))
     for s in review:
-        ignore = list(s.rule.params.get("ignore_actions") or [])
+        ignore = list(s.rule.get("ignore_actions") or [])
         counted = F.filter("edits", _counts(ignore))
         said = F.concat_ws("; ", F.transform(counted, lambda e: F.concat(e["column"], F.lit(" '"), F.coalesce(e["old"], F.lit("")), F.lit("' -> '"), F.coalesce(e["new"], F.lit("")), F.lit("'"))))
-        many = F.col("active") & (F.size(counted) >= int(s.rule.params.get("min_changes", 3)))
+        many = F.col("active") & (F.size(counted) >= int(s.rule.get("min_changes", 3)))
         fails.append(F.when(many, F.struct(F.lit(s.no).alias("no"), F.concat(F.size(counted).cast("string"), F.lit(" values: "), said).alias("value")).cast(_FAIL)))
     fails_ = F.filter(F.array(*fails), lambda f: f.isNotNull()) if fails else F.array().cast(f"array<{_FAIL}>")
-    rows = rows.withColumn("fails", fails_)
+    words = []
+    for first in range(0, len(registry.rules), _WORD):
+        word = F.lit(0).cast("long")
+        for no in range(first, min(first + _WORD, len(registry.rules))):
+            if f"__{no}_in" in have:
+                word = word.bitwiseOR(F.when(F.col(f"`__{no}_in`"), F.lit(1 << (no - first)).cast("long")).otherwise(F.lit(0).cast("long")))
+        words.append(word)
+    rows = rows.withColumns({"fails": fails_, "scopes": F.array(*words).cast("array<bigint>")})
     return rows.drop(*[c for c in rows.columns if c.startswith("__")])
 
 
@@ -357,22 +397,22 @@ def _split(rows: DataFrame, registry: Registry, columns: list[str]) -> DataFrame
     return rows
 
 
-def errors(v: Validation) -> DataFrame:
-    """One line per failed rule and record, with code and message; in order of record and rule."""
+def errors(v: Validation, ordered: bool = False) -> DataFrame:
+    """One line per failed rule and record, with code and message; if ordered, sorted by record and rule."""
     registry = v.registry
     failed = v.rows.filter("active").select("record_id", "row_no", F.explode("fails").alias("f")).select("record_id", "row_no", "f.no", "f.value")
-    spec = [(n, r.id, r.name, r.code, r.category, r.dimension, r.severity, error_column(r, registry)) for n, r in enumerate(registry.rules)]
-    facts = v.rows.sparkSession.createDataFrame(spec, "n int, rule_id string, rule_name string, error_code string, error_category string, dimension string, severity string, column string")
-    message = F.lit(None).cast("string")
-    for n, r in reversed(list(enumerate(registry.rules))):
-        column, p = error_column(r, registry) or "", r.params
+    spec = []
+    for n, r in enumerate(registry.rules):
+        column = error_column(r, registry)
         known = {
-            "column": column, "column_type": registry.columns.get(column, {}).get("type", "string") if column else "", "bounds": bounds_text(p), "left": p.get("left", ""), "right": p.get("right", ""), "operator": p.get("operator", ""),
-            "source": p.get("source", ""), "reference": (p.get("reference") or {}).get("path", ""), "determinant": column, "name": r.name,
+            "column": column or "", "column_type": registry.columns.get(column, {}).get("type", "string") if column else "", "bounds": bounds_text(r), "source": r.get("source", ""), "reference": (r.get("reference") or {}).get("path", ""), "determinant": column or "", "name": r.name,
+            **{k: r.get(k, "") for k in ("left", "operator", "right")},
         }
-        message = F.when(F.col("no") == n, fill_places(r.template, known, F.col("value"))).otherwise(message)
-    out = failed.withColumn("message", message).join(F.broadcast(facts), F.col("no") == F.col("n"))  # as many rows as rules
-    return out.select(*ERROR_COLUMNS)
+        spec.append((n, r.id, r.name, r.error_code, r.error_category, r.dimension, r.severity, column, message_parts(r.message, known)))
+    facts = v.rows.sparkSession.createDataFrame(spec, "n int, rule_id string, rule_name string, error_code string, error_category string, dimension string, severity string, column string, parts array<string>")
+    out = failed.join(F.broadcast(facts), F.col("no") == F.col("n"))  # as many rows as rules
+    out = out.withColumn("message", F.expr("concat_ws(coalesce(value, ''), parts)"))
+    return out.orderBy("row_no", "no").select(*ERROR_COLUMNS) if ordered else out.select(*ERROR_COLUMNS)
 
 
 def bounds_text(p: dict) -> str:
@@ -381,15 +421,22 @@ def bounds_text(p: dict) -> str:
 
 
 def rule_statistics(v: Validation) -> DataFrame:
-    """By rule over focus rows: detected, remediated, unresolved. Detected is the sum of the two others."""
-    rows = v.rows.filter("focus")
+    """By rule over focus rows: checked (in scope; once for each of its columns), detected, remediated, unresolved. Detected is the sum of the two last."""
+    rows, rules = v.rows.filter("focus"), v.registry.rules
     fails = rows.filter("active").select(F.explode("fails").alias("f")).select(F.col("f.no").alias("no"), F.lit(0).alias("r"), F.lit(1).alias("u"))
     edits = rows.select(F.explode("edits").alias("e")).filter("e.outcome in ('remediated', 'removed')").select(F.col("e.no").alias("no"), F.lit(1).alias("r"), F.lit(0).alias("u"))
     sums = fails.unionByName(edits).groupBy("no").agg(F.sum("r").alias("remediated"), F.sum("u").alias("unresolved"))
-    spec = [(n, r.id, r.type, r.severity, r.dimension) for n, r in enumerate(v.registry.rules)]
-    facts = v.rows.sparkSession.createDataFrame(spec, "n int, rule_id string, type string, severity string, dimension string")
-    out = facts.join(sums, F.col("n") == F.col("no"), "left").fillna(0, ["remediated", "unresolved"])
-    return out.select("rule_id", "type", "severity", "dimension", (F.col("remediated") + F.col("unresolved")).alias("detected"), "remediated", "unresolved")
+    # Rows in scope: all before copies are dropped, those that stay from then on; by a row's bit where there is a condition.
+    dropping = next((n for n, r in enumerate(rules) if (r.remediation or {}).get("action") == "drop_duplicates"), len(rules))
+    bit = lambda n: F.shiftrightunsigned(F.col("scopes")[n // _WORD], n % _WORD).bitwiseAND(F.lit(1).cast("long"))
+    seen = lambda n, r: F.sum(bit(n)) if r.when else F.count("*") if n <= dropping else F.sum(F.col("active").cast("long"))
+    checked = rows.agg(F.array(*[F.coalesce(seen(n, r), F.lit(0).cast("long")) for n, r in enumerate(rules)]).alias("checked"))
+    wide = [len(v.columns) if "*" in r.columns else max(1, len(r.columns)) if r.type in ("trim_whitespace", "null_tokens") else 1 for r in rules]
+    spec = [(n, r.id, r.type, r.severity, r.dimension, w) for (n, r), w in zip(enumerate(rules), wide, strict=True)]
+    facts = v.rows.sparkSession.createDataFrame(spec, "n int, rule_id string, type string, severity string, dimension string, wide int")
+    counts = checked.select(F.posexplode("checked").alias("at", "checked"))  # as many rows as rules
+    out = facts.join(F.broadcast(counts), F.col("n") == F.col("at")).join(sums, F.col("n") == F.col("no"), "left").fillna(0, ["remediated", "unresolved"])
+    return out.select("rule_id", "type", "severity", "dimension", (F.col("checked") * F.col("wide")).alias("checked"), (F.col("remediated") + F.col("unresolved")).alias("detected"), "remediated", "unresolved")
 
 
 def dimension_statistics(v: Validation) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,8 +20,10 @@ def null() -> Column:
     return F.lit(None).cast("string")
 
 
-def repair(rule: Rule, registry: Registry, column: Columns = F.col, on: str | None = None) -> tuple[Column, Column]:
-    """(new value, changed) for a failing value; where changed is false the old one stays."""
+def repair(rule: Rule, registry: Registry, column: Columns = F.col, on: str | None = None, see: Columns | None = None, let: Callable[[Column], Column] = lambda c: c) -> tuple[Column, Column]:
+    """(new value, changed) for a failing value; where changed is false the old one stays. see: typed views of columns; let: makes a column of
+    an intermediate value that is used more than once."""
+    see = see or view(registry, column)
     options, name = rule.remediation or {}, on or rule.column
     action, c, spec = options["action"], column(on or rule.column), registry.columns.get(on or rule.column, {})
     if action == "trim":
@@ -34,24 +38,24 @@ def repair(rule: Rule, registry: Registry, column: Columns = F.col, on: str | No
             hit = comparison_key(c).isin([comparison_key_of(v) for v in options["values"]])
         return null(), F.coalesce(hit, F.lit(False))
     if action == "canonicalize":
-        values = rule.params.get("values") or spec.get("allowed_values") or []
+        values = rule.get("values") or spec.get("allowed_values") or []
         table = {comparison_key_of(v): str(v) for v in values} | {comparison_key_of(k): str(v) for k, v in (options.get("map") or {}).items()}
         new = mapped(comparison_key(c), table)
         return new, F.coalesce(new != c, F.lit(False))
     if action == "parse_number":
-        n = find_number(c)
-        return number_text(n), n.isNotNull()
+        n = let(find_number(c, let))
+        return number_text(n, let), n.isNotNull()
     if action == "parse_date":
-        t = parse(c, list(options.get("formats") or []))
+        t = let(parse(c, list(options.get("formats") or [])))
         return write(t, ISO["date"]), t.isNotNull()
     if action == "parse_time":
-        new = repair_time(c)
+        new = let(repair_time(c))
         return new, new.isNotNull()
     if action == "replace":
         new = c
         for step in options.get("substitutions") or []:
             new = F.regexp_replace(new, step["pattern"], java_replacement(step.get("replace", "")))
-        new = blank_to_null(strip(new))
+        new = blank_to_null(let(strip(new)))
         return new, F.coalesce(new != c, F.lit(True))
     if action == "reformat_id":
         found = []
@@ -62,12 +66,11 @@ def repair(rule: Rule, registry: Registry, column: Columns = F.col, on: str | No
         new = F.when(part.isNotNull(), format_value(options["template"], part))
         return new, new.isNotNull()
     if action == "derive":
-        new = derived_text(rule, registry, column)
+        new = derived_text(rule, see)
         return new, new.isNotNull()
     if action == "swap_day_month":
-        see = view(registry, column)
-        t = see(rule.params["source"])
+        t = see(rule["source"])
         swapped = F.try_make_timestamp(F.year(t), F.dayofmonth(t), F.month(t), F.lit(0), F.lit(0), F.lit(0))
-        fits = write(swapped, rule.params["format"]) == write(see(name), rule.params["format"])
+        fits = write(swapped, rule["format"]) == write(see(name), rule["format"])
         return write(swapped, ISO["date"]), F.coalesce(fits, F.lit(False))
     raise ValueError(f"rule {rule.id}: {action} is no repair of a value")

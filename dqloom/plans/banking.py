@@ -158,7 +158,7 @@ def rules() -> dict:
         (12, "is_null", "failure_reason", _within("transaction_status", ["Completed", "Pending", "Reversed"])),
     ]:
         more = {"remediation": {"action": "set_null"}} if kind == "is_null" else {}
-        add(f"DQ-CMP-{no:03d}", kind, "completeness", name=f"{column} where it applies", column=column, when=when, **more)
+        add(f"DQ-CMP-{no:03d}", kind, "consistency" if kind == "is_null" else "completeness", name=f"{column} where it applies", column=column, when=when, **more)
     free = ["Bill Payment", "Deposit", "Fee", "Interest Credit", "Loan Repayment", "Purchase"]
     limits = [("transaction_fee", 0, 0, _within("transaction_type", free)), ("interest_rate", 0.5, 0.5, _is("account_type", "Current")), ("interest_rate", 5, 15, _is("account_type", "Savings")), ("interest_rate", 15, 30, _within("account_type", ["Certificate of Deposit", "Loan"])), ("interest_rate", 30, 45, _is("account_type", "Credit Card"))]
     for i, (column, low, high, when) in enumerate(limits):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; one of our own only where the session names none (tests)."""
+    """spark.checkpoint.dir; one of our own only where the session names none and runs in one process (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found.isDefined():
         return found.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="spark-dqloom-")
     spark.sparkContext.setCheckpointDir(own)
     return own

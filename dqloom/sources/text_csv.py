@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,12 @@ ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
 _JAVA = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}
 
 
-def read_text(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8-sig", columns: list[str] | None = None, keep_blank: bool = False) -> DataFrame:
-    """Every column as text, an empty cell as null (or kept as ''); quoted line breaks stay in their cell. With columns, only those are parsed."""
+def read_text(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8-sig", columns: list[str] | None = None, keep_blank: bool = False, one_line: bool = False) -> DataFrame:
+    """Every column as text, an empty cell as null (or kept as ''); quoted line breaks stay in their cell. With columns, only those are parsed.
+    one_line: no cell has a line break, so a large file is split over tasks (otherwise a file is one task)."""
     if encoding == "cp1252":  # not among the character sets that Spark reads by default
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    reader = spark.read.options(header=True, sep=delimiter, encoding=_JAVA.get(encoding, encoding), multiLine=True, quote='"', escape='"', inferSchema=False, mode="PERMISSIVE")
+    reader = spark.read.options(header=True, sep=delimiter, encoding=_JAVA.get(encoding, encoding), multiLine=not one_line, quote='"', escape='"', inferSchema=False, mode="PERMISSIVE")
     if keep_blank:
         reader = reader.option("nullValue", "\u0000").option("emptyValue", "")
     df = reader.csv(path)
@@ -50,18 +52,30 @@ def layout(df: DataFrame) -> tuple[list[str], int]:
     return df.columns, df.count()
 
 
+def each_file(folder: str, work: Callable[[str], object]) -> tuple[dict[str, object], dict[str, str]]:
+    """work on every CSV file below folder: results by file, and what went wrong by file; one bad file doesn't stop the others."""
+    done, failed = {}, {}
+    for path in files_below(folder):
+        try:
+            done[path] = work(path)
+        except Exception as e:  # whatever a file does to its reader
+            failed[path] = f"{type(e).__name__}: {e}".splitlines()[0]
+    return done, failed
+
+
 def files_below(folder: str) -> list[str]:
     return sorted(str(p) for p in Path(folder).rglob("*.csv"))
 
 
-def numbered(df: DataFrame, prefix: str = "ROW_", width: int = 6) -> DataFrame:
-    """Rows with row_no (from 1, in file order) and record_id. A multi-line CSV file is one partition, so the order is the file's."""
-    rows = df.rdd.zipWithIndex().map(lambda x: (x[1] + 1, *x[0]))
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-    schema = StructType([StructField("row_no", LongType()), *[StructField(c, StringType()) for c in df.columns]])
-    out = df.sparkSession.createDataFrame(rows, schema)
-    return with_record_ids(out, prefix, width)
+def numbered(df: DataFrame) -> DataFrame:
+    """Rows with row_no, from 1 in the order of the input. Each partition's rows are numbered where they are; only the partitions' sizes (one
+    row each) are brought together, so any number of rows can be numbered. df has to be read the same way twice, as a file is."""
+    rows = df.select(F.monotonically_increasing_id().alias("_at"), "*")
+    part, at = F.shiftright(F.col("_at"), 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
+    before = sizes.select("_part", (F.expr("sum(n) over (order by _part)") - F.col("n")).alias("_before"))
+    rows = rows.withColumn("_of", part).join(F.broadcast(before), F.col("_of") == F.col("_part"))  # as many rows as partitions
+    return rows.select((F.col("_before") + at + 1).alias("row_no"), *[F.col(f"`{c}`") for c in df.columns])
 
 
 def with_record_ids(df: DataFrame, prefix: str, width: int, row_no: str = "row_no") -> DataFrame:

@@ -54,7 +54,7 @@ def test_typed_views(spark):
 def test_templates(spark):
     assert values(spark, lambda c: templates.format_value("ACC{0:0>7}", c), "12", "123456789") == ["ACC0000012", "ACC123456789"]
     assert values(spark, lambda c: templates.format_value("{0}-{0:x<3}", c), "a") == ["a-axx"]
-    assert values(spark, lambda c: templates.fill_places("{column} '{value}' {other}", {"column": "c"}, c), "v", None) == ["c 'v' {other}", "c '' {other}"]
+    assert templates.message_parts("{column} '{value}' {other}", {"column": "c"}) == ["c '", "' {other}"] and templates.message_parts("{value}{value}", {}) == ["", "", ""]
     with pytest.raises(ValueError):
         templates.format_value("{0:,}", F.lit("1"))
 
