@@ -23,13 +23,13 @@ def joined_salted(rows: DataFrame, key: str, by: str, facts: DataFrame, how: str
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node in links (a, b); label is the least node that links lead to. Each round is written to the
-    shared folder; the number of rounds grows with the logarithm of the longest path. A hub or a large group is one key of many rows: joins
-    on them are salted."""
-    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "edges")
+    shared folder; the number of rounds grows with the logarithm of the longest path. A large group is one label of many nodes: the join on
+    labels is salted."""
+    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b"), "edges")
     labels = written(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
     last = labels
     while True:
-        near = joined_salted(edges, "a", "b", labels.withColumnRenamed("node", "a")).groupBy("b").agg(F.min("label").alias("m"))
+        near = edges.join(labels, edges.a == labels.node).groupBy("b").agg(F.min("label").alias("m"))
         step = labels.join(near, labels.node == near.b).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         step = written(step, "labels")
         up = step.select(F.col("node").alias("label"), F.col("label").alias("up"))
