@@ -1,7 +1,7 @@
 """Personal data: regular expressions propose spans, checksums confirm them, nearby words adjust a score.
 
 Runs as DataFrame expressions only. Java's ``split`` gives the gaps between matches and ``regexp_extract_all`` the
-matches; running sums of their lengths are the offsets in code points. The patterns below use possessive quantifiers and
+matches; running sums of their lengths, chunk by chunk, are the offsets in code points. The patterns below use possessive quantifiers and
 look-behind so that long runs cost linear time; they match what the plain patterns match.
 
 Base kinds (email, ip, card, phone) are reported whenever their own check holds. Further kinds come only when their
@@ -43,6 +43,8 @@ AGAINST = r"\b(?:order|invoice|version|isbn|part|sample|example)\b"
 PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.3, "phone": 0.6, "iban": 0.3, "secret": 0.4, "ssn": 0.4}
 CHECKED = {"card": 0.4, "iban": 0.5}
 MIN_SCORE = 0.5
+#: Matches whose offsets are summed one by one; those of whole chunks come first, so a text of very many matches costs little more than each.
+CHUNK = 512
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
@@ -95,15 +97,36 @@ def _may(text: Column, kind: str, test: str) -> Column:
     return may if kind == "email" else may & text.rlike("[0-9]")
 
 
+def _once(value: Column, use) -> Column:
+    """use(value), with value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(first: Column, steps: Column, at, step) -> Column:
+    """Array of first plus the steps before each of steps, plus what at takes from it. Its cost is the square of the number of steps."""
+    start = F.struct(first.alias("sum"), F.array().cast("array<int>").alias("seen"))
+    return F.aggregate(steps, start, lambda a, x: F.struct((a["sum"] + step(x)).alias("sum"), F.concat(a["seen"], F.array(a["sum"] + at(x))).alias("seen")), lambda a: a["seen"])
+
+
+def _starts(steps: Column) -> Column:
+    """Offset of each match from (gap before it, gap and match): running sums within chunks of CHUNK, from running sums of whole chunks."""
+
+    def of_chunks(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x["all"]))
+        firsts = _running(F.lit(0), totals, lambda x: F.lit(0), lambda x: x)
+        return F.flatten(F.zip_with(chunks, firsts, lambda c, first: _running(first, c, lambda x: x["g"], lambda x: x["all"])))
+
+    def of_steps(some: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(some) - 1) / CHUNK).cast("int"))
+        return _once(F.transform(numbers, lambda k: F.slice(some, k * CHUNK + 1, F.lit(CHUNK))), of_chunks)
+
+    return _once(steps, of_steps)
+
+
 def _spans(no: int, kind: str, matches: Column, gaps: Column) -> Column:
     """Array of struct(s, no, e, score) of one kind's valid matches."""
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m")))
-    starts = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all")),
-        lambda a, x: F.struct((a["at"] + x["g"] + x["m"]).alias("at"), F.concat(a["all"], F.array(a["at"] + x["g"])).alias("all")),
-        lambda a: a["all"],
-    )
+    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("g"), (F.length(g) + F.length(m)).alias("all")))
+    starts = _starts(steps)
     spans = F.arrays_zip(starts.alias("s"), matches.alias("m"), F.slice(gaps, F.lit(1), F.size(matches)).alias("g"))
 
     def score(x: Column) -> Column:
