@@ -5,12 +5,12 @@ lower-cased, runs of anything but letters become one space, and it is cut into b
 in order). Each block is compressed with every dictionary, and the language whose sizes add up to least is chosen; of equal
 ones, the language with more training rows. Where second-best is nearly as small the text is rejected.
 
-Training is bounded: ``SAMPLE`` labelled rows for each language are expected to be looked at (by hash of the id, the
-fraction comes from exact counts), and ``DICT_BYTES`` of them make the dictionary. The dictionaries are the only thing
-that goes through the driver: at most MAX_LANGS * DICT_BYTES.
+Training is bounded: ``SAMPLE`` labelled rows for each language are expected to be looked at (by hash of id and text, the
+fraction comes from exact counts; rows that repeat count as one), and ``DICT_BYTES`` of them make the dictionary. Every language that occurs
+has one. The dictionaries are the only thing that goes through the driver: DICT_BYTES for each language.
 
 Nulls and odd input: a null text, or one without any letter, is ``und`` with score 0; so is every text if nothing could be
-learned; rows with a null lang or null text teach nothing; rows that repeat are each predicted; an empty table gives an
+learned; a very long text is compressed whole, block by block; rows with a null lang or null text teach nothing; rows that repeat are each predicted; an empty table gives an
 empty result; further columns are ignored by ``classify`` and carried by ``keep_identified``.
 """
 
@@ -29,7 +29,6 @@ from dqloom.llm.common import table
 
 DICT_BYTES = 32 * 1024
 SAMPLE = 120
-MAX_LANGS = 200
 BLOCK = 1500
 #: Level, least match and strategy for texts, and for those under SHORT bytes, where each match counts.
 USUAL = (8, 4, "STRATEGY_LAZY2")
@@ -56,12 +55,12 @@ def plain(text: str) -> str:
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, bytes]:
     """The dictionary of each language, from labelled rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
     if not counts:
         return {}
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, SAMPLE / n)))])
-    h = F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 30))
-    some = rows.filter(h < F.element_at(share, F.col("lang")) * (1 << 30)).select("lang", h.alias("h"), F.length("text").alias("len"), "text")
+    h = F.pmod(F.xxhash64(F.lit(SEED), "id", "text"), F.lit(1 << 30))
+    some = rows.filter(h < F.element_at(share, F.col("lang")) * (1 << 30)).select("lang", h.alias("h"), "text").dropDuplicates(["lang", "h"])
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, got, left = pdf.sort_values(["h", "text"]), [], DICT_BYTES
