@@ -4,14 +4,16 @@ Documents are counted by exact length within each source. Sources share the whol
 ``MOST`` times its own size; what a capped source cannot take is shared again among the rest. A source then takes all its
 documents q times (q = target div size) and, for the remaining budget, so many documents of each length: a share of each
 count in proportion first, the longest next, and a bounded-knapsack over what is left for an exact fit. Which documents of
-a length are taken follows a seeded hash of the id, by one threshold for each (source, length); no document is sorted
+a length are taken follows a seeded hash of id and text, by one threshold for each (source, length); no document is sorted
 with all others of its length in one task, so a length or a source may hold any share of the rows.
 
-The knapsack sees one source's counts by length (as many rows as there are different lengths), never documents.
+The knapsack sees one source's counts by length (as many rows as there are different lengths), never documents. Its room grows up to
+``WIDEST`` words; what it then still misses is less than the length of the shortest document that was not taken.
 
 Nulls and odd input: a null text has size 0, and documents of size 0 are never taken (taken = 0); a null source is one
-source, last in order; rows that repeat an id are taken together; an empty table gives an empty result; further columns
-are carried by ``mix`` whatever their names.
+source, last in order; rows without an id or that share one are told apart by their text, and rows that repeat both by their place in the
+input, so that exactly as many of them are taken as are wanted (the input has to be read the same way twice, as a table is); a very long
+text is a document of its size; an empty table gives an empty result; further columns are carried by ``mix`` whatever their names.
 """
 
 from __future__ import annotations
@@ -113,12 +115,18 @@ def _knapsack(lens: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:
     return out
 
 
-def _order(id_: Column, seed: int) -> list[Column]:
-    return [F.xxhash64(F.lit(seed), id_), id_]
+def _hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "id", "text_hash")
+
+
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    """(id, text_hash, source, size, place) of each row; place is its number by partition."""
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(source_col).alias("source"), n_words(text).alias("size"), F.monotonically_increasing_id().alias("place"), *more)
 
 
 def plan(sized: DataFrame, seed: int = SEED, most: int = MOST, cycle: tuple = CYCLE, salts: int = SALTS) -> DataFrame:
-    """For rows (id, source, size): source, size, source_size, target, times (whole repeats), and the last (h, id) taken once more."""
+    """For rows (id, text_hash, source, size, place): source, size, source_size, target, times (whole repeats), and the last (h, place) taken once more."""
     spark = sized.sparkSession
     cells = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
     cells = written(cells, "cells")
@@ -139,19 +147,32 @@ def plan(sized: DataFrame, seed: int = SEED, most: int = MOST, cycle: tuple = CY
     quota = cells.join(F.broadcast(sources), cells.source.eqNullSafe(sources.source)).drop(sources.source)
     quota = quota.groupBy("source").applyInPandas(fit, "source string, size long, n long, source_size long, target double, times int, want long")
     quota = written(quota, "quota")
-    # The want-th smallest (hash, id) of each cell: a cell is cut into slices of the hash's range, only one slice of it is sorted.
-    h, i = _order(F.col("id"), seed)
-    slice_ = F.shiftright(F.col("h"), 54) + 512
-    rows = sized.withColumn("h", h).withColumn("part", slice_)
-    parts = rows.groupBy("source", "size", "part").agg(F.count("*").alias("m"))
+    # The want-th smallest hash of each cell: a cell is cut into slices of the hash's range, and one slice of it into its different hashes.
+    rows = sized.withColumn("h", _hash(seed))
+    slices = F.shiftright(F.col("h"), 54) + 512
     open_ = quota.filter("want > 0 and want < n").select("source", "size", "want")
-    w = "partition by source, size order by part"
-    parts = _matched(parts, open_, ["source", "size"]).withColumn("upto", F.expr(f"sum(m) over ({w} rows unbounded preceding)"))
-    cut = parts.filter("upto >= want and upto - m < want").select("source", "size", "part", (F.col("want") - F.col("upto") + F.col("m")).alias("k"))
-    edge = _matched(rows, cut, ["source", "size", "part"]).withColumn("r", F.expr("row_number() over (partition by source, size, part order by h, id)"))
-    last = edge.filter("r = k").select("source", "size", "h", "id")
-    last = last.select(F.col("source").alias("s_"), F.col("size").alias("z_"), F.col("h").alias("last_h"), F.col("id").alias("last_id"))
-    return written(quota.join(last, quota.source.eqNullSafe(F.col("s_")) & (quota["size"] == F.col("z_")), "left").drop("s_", "z_"), "mixplan")
+    cut = _where_reached(rows.groupBy("source", "size", slices.alias("part")).agg(F.count("*").alias("m")), open_, ["source", "size"], "part")
+    edge = _matched(rows.withColumn("part", slices), cut.select("source", "size", "part", F.col("k").alias("want")), ["source", "size", "part"])
+    hashes = edge.groupBy("source", "size", "want", "h").agg(F.count("*").alias("m"))
+    last = _where_reached(hashes.drop("want"), cut.select("source", "size", F.col("k").alias("want")), ["source", "size"], "h")
+    # Rows of that hash (those that repeat id and text) by their place: by partition first, then in one partition.
+    ties = _matched(edge.select("source", "size", "h", "place"), last.filter("k < m").select("source", "size", "h", F.col("k").alias("want")), ["source", "size", "h"])
+    ties = ties.withColumn("part", F.shiftright("place", 33))
+    within = _where_reached(ties.groupBy("source", "size", "h", "part").agg(F.count("*").alias("m")), last.select("source", "size", "h", F.col("k").alias("want")), ["source", "size", "h"], "part")
+    ties = _matched(ties.drop("want"), within.select("source", "size", "h", "part", "k"), ["source", "size", "h", "part"])
+    ties = ties.withColumn("r", F.expr("row_number() over (partition by source, size, h, part order by place)")).filter("r = k").select("source", "size", F.col("place").alias("last_place"))
+    last = last.select(F.col("source").alias("s_"), F.col("size").alias("z_"), F.col("h").alias("last_h"))
+    ties = ties.select(F.col("source").alias("s2_"), F.col("size").alias("z2_"), "last_place")
+    out = quota.join(last, quota.source.eqNullSafe(F.col("s_")) & (quota["size"] == F.col("z_")), "left")
+    out = out.join(ties, out.source.eqNullSafe(F.col("s2_")) & (out["size"] == F.col("z2_")), "left")
+    return written(out.drop("s_", "z_", "s2_", "z2_"), "mixplan")
+
+
+def _where_reached(counts: DataFrame, wanted: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """Of counts (keys, by, m), in order of by, the row in which the sum reaches want, with k, how much of its m is still wanted."""
+    w = f"partition by {', '.join(keys)} order by {by}"
+    counts = _matched(counts, wanted, keys).withColumn("upto", F.expr(f"sum(m) over ({w} rows unbounded preceding)"))
+    return counts.filter("upto >= want and upto - m < want").select(*keys, by, "m", (F.col("want") - F.col("upto") + F.col("m")).alias("k"))
 
 
 def _matched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -164,34 +185,35 @@ def _matched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def taken(rows: DataFrame, decided: DataFrame, seed: int = SEED, salts: int = SALTS) -> DataFrame:
-    """rows (with id, source, size) with source_size, target and repeats (how often the mix takes the row)."""
+    """rows (with id, text_hash, source, size, place) with source_size, target and repeats (how often the mix takes the row)."""
     few = decided.count() <= BROADCAST_ROWS
-    right = decided.select(F.col("source").alias("s_"), F.col("size").alias("z_"), "n", "source_size", "target", "times", "want", "last_h", "last_id")
+    right = decided.select(F.col("source").alias("s_"), F.col("size").alias("z_"), "n", "source_size", "target", "times", "want", "last_h", "last_place")
     on = F.col("source").eqNullSafe(F.col("s_")) & (F.col("size") == F.col("z_"))
     if few:
         rows = rows.join(F.broadcast(right), on)
     else:
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "place"), F.lit(salts)))
         right = right.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         rows = rows.join(right, on & (F.col("salt") == F.col("salt_"))).drop("salt", "salt_")
-    h, _ = _order(F.col("id"), seed)
-    within = (F.col("want") >= F.col("n")) | F.coalesce((h < F.col("last_h")) | ((h == F.col("last_h")) & (F.col("id") <= F.col("last_id"))), F.lit(False))
+    h = _hash(seed)
+    tied = F.col("last_place").isNull() | (F.col("place") <= F.col("last_place"))
+    within = (F.col("want") >= F.col("n")) | F.coalesce((h < F.col("last_h")) | ((h == F.col("last_h")) & tied), F.lit(False))
     once = F.when((F.col("size") > 0) & (F.col("want") > 0) & within, 1).otherwise(0)
     repeats = F.when(F.col("size") > 0, F.col("times") + once).otherwise(0)
-    return rows.withColumn("repeats", repeats).drop("s_", "z_", "n", "times", "want", "last_h", "last_id")
+    return rows.withColumn("repeats", repeats).drop("s_", "z_", "n", "times", "want", "last_h", "last_place")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
     """The mixed corpus: each row of docs as often as the mix takes it, with all its columns."""
     rows = docs.select(F.struct("*").alias("row"))
-    rows = rows.select("row", F.col(f"row.{id_col}").alias("id"), F.col(f"row.{source_col}").alias("source"), n_words(F.col(f"row.{text_col}")).alias("size"))
-    sized = written(rows.select("id", "source", "size"), "sizes")
+    rows = _sizes(rows, f"row.{id_col}", f"row.{text_col}", f"row.{source_col}", F.col("row"))
+    sized = written(rows.drop("row"), "sizes")
     out = taken(rows, plan(sized, seed), seed).filter("repeats > 0")
     return out.select("row", F.explode(F.sequence(F.lit(1), "repeats"))).select("row.*")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = written(docs.select(F.col("doc_id").alias("id"), "source", n_words(F.col("text")).alias("size")), "sizes")
+    sized = written(_sizes(docs, "doc_id", "text", "source"), "sizes")
     out = taken(sized, plan(sized))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("repeats")).cast("long").alias("taken"), F.col("repeats").cast("int").alias("repeats"))
