@@ -18,6 +18,7 @@ a row that repeats another is packed as its own copy; an empty table gives an em
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -31,6 +32,7 @@ from dqloom.llm.exact_dedup import text_digest
 CAPACITY = 2048
 PER_SOURCE = 4
 SHARD_PIECES = 20_000
+_WORD = re.compile(WORD)
 _PIECES = "id long, copy long, piece int, start long, n_words long, source string, cluster long"
 _PLACED = "id long, copy long, piece int, start long, n_words long, source string, cluster long, bin_id long, position int"
 
@@ -148,36 +150,28 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     return placed.unionByName(rest)
 
 
-def cut_text(text: str, start: int, n: int, capacity: int) -> str:
-    """The piece's part of the text; pieces put together give the whole text."""
-    import re
-
-    if start == 0 and n < capacity:
-        return text
-    at, end = 0 if start == 0 else None, None
-    for k, m in enumerate(re.finditer(WORD, text)):
-        if k == start and at is None:
-            at = m.start()
-        if k == start + n:
-            end = m.start()
-            break
-    return text[at:end]
+def cut_text(text: str, capacity: int) -> list[str]:
+    """The text in pieces of so many words, cut before a word in one pass; put together they give the whole text."""
+    ends = [m.start() for k, m in enumerate(_WORD.finditer(text)) if k and k % capacity == 0]
+    return [text[i:j] for i, j in zip([0, *ends], [*ends, None], strict=True)]
 
 
 def packed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
-    """Where each piece went, with the piece's own text."""
+    """Where each piece went, with the piece's own text. A document's text is cut once, and each part of it is joined to its own piece."""
     placed = pack(docs, id_col, text_col, source_col, capacity, per_source)
     text = F.col(text_col)
-    texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_digest(text)).alias("c"), n_words(text).alias("w"), text.alias("text")).dropDuplicates(["i", "c", "w"])
-
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for text, start, n in batches:
-            yield pd.Series([None if t is None else cut_text(t, s, k, capacity) for t, s, k in zip(text, start, n, strict=True)], dtype=object)
-
-    size = F.col("w")
-    joined = placed.join(texts, F.col("id").eqNullSafe(F.col("i")) & (F.col("cluster") == F.col("c")) & ((F.col("start") + F.col("n_words") == size) | ((F.col("n_words") == capacity) & (F.col("start") + F.col("n_words") < size))))
-    own = F.when(size <= capacity, F.col("text")).otherwise(F.pandas_udf(cut, "string")("text", "start", "n_words"))
-    return joined.select(F.col("id").alias("doc_id"), "copy", "piece", "start", "n_words", "source", "bin_id", "position", own.alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_digest(text)).alias("c"), F.xxhash64(text).alias("h"), text.alias("text"))
+
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for some in batches:
+            yield pd.Series([[None] if t is None else cut_text(t, capacity) for t in some], dtype=object)
+
+    # A copy that repeats id and text has the same parts; of texts of one id that differ in white space only, one is taken.
+    one = texts.groupBy("i", "c").agg(F.min("h").alias("h")).select(F.col("i").alias("i1"), F.col("c").alias("c1"), F.col("h").alias("h1"))
+    texts = texts.dropDuplicates(["i", "c", "h"]).join(one, F.col("i").eqNullSafe(F.col("i1")) & (F.col("c") == F.col("c1")) & (F.col("h") == F.col("h1")), "left_semi")
+    parts = texts.select("i", "c", F.posexplode(F.pandas_udf(cut, "array<string>")("text")).alias("p", "part"))
+    joined = placed.join(parts, F.col("id").eqNullSafe(F.col("i")) & (F.col("cluster") == F.col("c")) & (F.col("piece") == F.col("p")))
+    return joined.select(F.col("id").alias("doc_id"), "copy", "piece", "start", "n_words", "source", "bin_id", "position", F.col("part").alias("text"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
