@@ -40,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-attempts", type=int, default=3)
     p.add_argument("--all", action="store_true", help="re-validate untouched records too")
     p.add_argument("--skip-relationships", action="store_true")
+    p.add_argument("--null-tokens", nargs="*", help="words that stand for a missing value (profile); the usual ones if left out")
+    p.add_argument("--dry-run", action="store_true", help="check a correction file without taking it over (import-corrections)")
     p.add_argument("--metrics-dir")
     return p
 
@@ -75,7 +77,7 @@ def _step(spark: SparkSession, a: argparse.Namespace) -> int:
         a.run = land(spark, a.input, a.dataset, a.raw_root, a.delimiter, today=a.run_date)["ingestion_id"]
         print(a.run)
     if a.step in ("profile", "pipeline"):
-        W.run_profile(spark, a.raw_root, a.dataset, a.output_root, a.run, a.run_date, not a.skip_relationships)
+        W.run_profile(spark, a.raw_root, a.dataset, a.output_root, a.run, a.run_date, not a.skip_relationships, None if a.null_tokens is None else tuple(a.null_tokens))
     if a.step in ("validate", "pipeline"):
         print(W.report(W.run_validate(spark, a.raw_root, a.dataset, a.output_root, registry_of(a), a.run_date, a.run, a.force)["counts"]))
     if a.step == "export-template":
@@ -83,7 +85,7 @@ def _step(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.step == "import-corrections":
         if not a.file:
             raise ConfigError("--file is missing")
-        got = W.run_import(current(), read_text(spark, a.file), registry_of(a), a.user)
+        got = W.run_import(current(), read_text(spark, a.file), registry_of(a), a.user, a.dry_run)
         print(W.report({"accepted": got.accepted.count(), "refused": [r.asDict() for r in got.refused.limit(100).collect()]}))
     if a.step == "revalidate":
         print(W.report(W.run_revalidate(current(), registry_of(a), a.run_date, a.max_attempts, a.all)))

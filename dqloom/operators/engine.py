@@ -231,13 +231,18 @@ def _duplicate_rows(rows: DataFrame, s: Step) -> DataFrame:
     return rows.drop("__copy")
 
 
+def _key(scope: Column, value: Column) -> Column:
+    """The key of a join on values in scope. Every other row has a key of its own that no value has, so that those rows are dealt evenly."""
+    return F.coalesce(F.when(scope, F.concat(F.lit("="), value)), F.concat(F.lit("#"), F.col("row_no").cast("string")))
+
+
 def _unique(rows: DataFrame, s: Step) -> DataFrame:
     """Every copy of a value that occurs more than once among the rule's rows fails."""
     rows = written(rows, "rows")
     scope = F.col("active") & condition(s.rule.when, _col) & _col(s.column).isNotNull()
     rows = rows.withColumn(f"__{s.no}_in", F.col("active") & condition(s.rule.when, _col)) if s.rule.when else rows
     more = rows.filter(scope).groupBy(_col(s.column).alias("__v")).count().filter("count > 1").select("__v", F.lit(True).alias("__more"))
-    rows = rows.join(more, F.when(scope, _col(s.column)) == F.col("__v"), "left")
+    rows = rows.join(more, _key(scope, _col(s.column)) == F.concat(F.lit("="), F.col("__v")), "left")
     return rows.withColumn(f"__{s.no}_{s.column}_fail", F.coalesce("__more", F.lit(False))).drop("__v", "__more")
 
 
@@ -256,7 +261,7 @@ def _dependency(rows: DataFrame, s: Step, registry: Registry) -> DataFrame:
     scope = F.col("active") & condition(s.rule.when, _col)
     rows = rows.withColumn(f"__{s.no}_in", scope) if s.rule.when else rows
     expected = majorities(rows, _col(determinant), dependents, scope)
-    rows = rows.join(expected, F.when(scope, _col(determinant)) == F.col("k"), "left")
+    rows = rows.join(expected, _key(scope, _col(determinant)) == F.concat(F.lit("="), F.col("k")), "left")
     wrong = [F.coalesce(F.try_element_at("expected", F.lit(d)) != _col(d), F.lit(False)) for d in dependents]
     rows = rows.withColumn(f"__{s.no}_{s.column}_conflicts", F.filter(F.array(*[F.when(w, F.lit(d)) for d, w in zip(dependents, wrong, strict=True)]), lambda x: x.isNotNull()))
     return rows.withColumn(f"__{s.no}_{s.column}_fail", F.size(f"__{s.no}_{s.column}_conflicts") > 0).drop("k", "expected", f"__{s.no}_{s.column}_conflicts")

@@ -27,10 +27,16 @@ def run_funnel(first: DataFrame, rounds: DataFrame) -> DataFrame:
     return rows.withColumn("balanced", F.col("resolved") + F.col("discarded") + F.col("unresolved") == F.col("quarantined"))
 
 
-def quarantine_history(history: DataFrame, order: str = "seq") -> DataFrame:
-    """Status changes of each record, numbered, with the status before."""
+def quarantine_history(history: DataFrame, order: str = "seq", ordered: bool = False) -> DataFrame:
+    """Status changes of each record, numbered, with the status before; if ordered, sorted by record and number."""
     w = Window.partitionBy("record_id").orderBy(order)
-    return history.withColumn("sequence", F.row_number().over(w)).withColumn("previous_status", F.lag("status").over(w))
+    out = history.withColumn("sequence", F.row_number().over(w)).withColumn("previous_status", F.lag("status").over(w))
+    return out.orderBy("record_id", "sequence") if ordered else out
+
+
+def newest_lines(log: DataFrame, n: int = 200) -> DataFrame:
+    """The last lines of the correction log, newest first."""
+    return log.orderBy(F.desc("seq")).limit(n)
 
 
 def correction_outcomes(log: DataFrame, after: DataFrame, automatic: DataFrame | None = None) -> DataFrame:
@@ -56,4 +62,4 @@ def auto_fixed_records(audit: DataFrame, quarantined: DataFrame) -> DataFrame:
 
 
 def rule_results(statistics: DataFrame, run_id: str, round_: int) -> DataFrame:
-    return statistics.select(F.lit(run_id).alias("run_id"), F.lit(round_).alias("round"), F.lit("validation" if round_ == 1 else "revalidation").alias("round_type"), "rule_id", "type", "dimension", "severity", F.col("detected").alias("failed"), F.col("remediated").alias("repaired"), "unresolved")
+    return statistics.select(F.lit(run_id).alias("run_id"), F.lit(round_).alias("round"), F.lit("validation" if round_ == 1 else "revalidation").alias("round_type"), "rule_id", "type", "dimension", "severity", "checked", F.col("detected").alias("failed"), F.col("remediated").alias("repaired"), "unresolved")

@@ -7,6 +7,7 @@ once however many columns it has. Relationships use the same long form by (key c
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +16,18 @@ from dqloom.functions.numbers import find_number, number_text, to_number
 from dqloom.functions.temporal import parse, repair_time
 from dqloom.functions.text import comparison_key, shape, strip
 from dqloom.plans.registry import Registry
+from dqloom.sources.shared import written
 
-# Thresholds and word lists of the profile.
+# Words for a missing value.
 NULL_TOKENS = ("null", "none", "nan", "n/a", "na", "#n/a", "nil", "-", "--", "?")
+# Catch-all labels.
 GENERIC = ("other", "others", "unknown", "misc", "miscellaneous", "undefined", "unspecified", "not specified", "tbd")
 PLACEHOLDER_CURRENCIES = ("XXX", "XTS")
 BOOLEAN_PAIRS = (("false", "true"), ("no", "yes"), ("n", "y"), ("f", "t"), ("0", "1"))
+# Words of a column's name that hint at its type.
 HINTS = {"phone": {"phone", "mobile", "tel", "telephone"}, "currency_code": {"currency", "ccy"}, "boolean": {"is", "has", "flag"}, "time": {"time"}, "date": {"date", "datetime", "timestamp", "dob"}, "email": {"email", "mail"}}
 ID_WORDS = {"id", "uuid", "guid"}
+# Thresholds of the profile.
 TOP = 10
 TYPE_SHARE, HINTED_SHARE = 0.80, 0.50
 CATEGORY_VALUES, CATEGORY_SHARE = 50, 0.05
@@ -42,10 +47,10 @@ def _n(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def missing_kind(c: Column) -> Column:
+def missing_kind(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     """null, blank or token for a missing value; null for a present one."""
     s = F.lower(strip(c))
-    return F.when(c.isNull(), "null").when(s == "", "blank").when(s.isin(*NULL_TOKENS), "token")
+    return F.when(c.isNull(), "null").when(s == "", "blank").when(s.isin(*tokens), "token")
 
 
 def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -55,9 +60,9 @@ def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(pairs).groupBy("p.column", "p.value").agg(F.count("*").alias("n"))
 
 
-def column_counts(counts: DataFrame) -> DataFrame:
+def column_counts(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     """By column: rows, missing ones by kind, distinct present values, duplicates beyond the first, values with outer white space."""
-    kind = missing_kind(F.col("value"))
+    kind = missing_kind(F.col("value"), tokens)
     present = kind.isNull()
     some = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0))
     out = counts.groupBy("column").agg(
@@ -67,14 +72,14 @@ def column_counts(counts: DataFrame) -> DataFrame:
     return out.withColumn("duplicate_count", F.col("present") - F.col("distinct_count")).drop("present")
 
 
-def top_values(counts: DataFrame, n: int = TOP) -> DataFrame:
+def top_values(counts: DataFrame, n: int = TOP, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     """The most frequent present values by column; ties by value."""
-    rows = counts.filter(missing_kind(F.col("value")).isNull())
+    rows = counts.filter(missing_kind(F.col("value"), tokens).isNull())
     return _top(rows, "value", n)
 
 
-def top_shapes(counts: DataFrame, n: int = TOP, collapse: bool = False) -> DataFrame:
-    rows = counts.filter(missing_kind(F.col("value")).isNull()).groupBy("column", shape(F.col("value"), collapse).alias("shape")).agg(F.sum("n").alias("n"))
+def top_shapes(counts: DataFrame, n: int = TOP, collapse: bool = False, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
+    rows = counts.filter(missing_kind(F.col("value"), tokens).isNull()).groupBy("column", shape(F.col("value"), collapse).alias("shape")).agg(F.sum("n").alias("n"))
     return _top(rows, "shape", n)
 
 
@@ -86,9 +91,9 @@ def _top(rows: DataFrame, name: str, n: int) -> DataFrame:
     return best.select("column", F.posexplode("t").alias("p", "x")).select("column", (F.col("p") + 1).alias("rank"), F.col("x.v").alias(name), (-F.col("x.o")).alias("n"))
 
 
-def spelling_variants(counts: DataFrame) -> DataFrame:
+def spelling_variants(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     """Groups of values that differ in case, spacing or separators only: (column, key, variants, rows, most_common)."""
-    rows = counts.filter(missing_kind(F.col("value")).isNull()).withColumn("key", comparison_key(F.col("value")))
+    rows = counts.filter(missing_kind(F.col("value"), tokens).isNull()).withColumn("key", comparison_key(F.col("value")))
     out = rows.groupBy("column", "key").agg(F.count("*").alias("variants"), F.sum("n").alias("rows"), F.min_by("value", F.struct((-F.col("n")).alias("o"), "value")).alias("most_common"))
     return out.filter("variants > 1")
 
@@ -99,35 +104,64 @@ def generic_values(counts: DataFrame) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, column: str) -> DataFrame:
-    """One row: count, range, moments, exact percentiles, outliers, and special values of a column of numbers in text."""
+    """One row: count, range, moments, exact percentiles, outliers, and special values of a column of numbers in text.
+
+    Everything is taken from (number, count), dealt by ranges: a percentile's place is found by the counts of whole ranges, then by running sums in one.
+    """
     text = _n(column).cast("string")
-    rows = df.select(to_number(text).alias("x"), strip(text).rlike(r"\A[+-]?0\d").alias("lead")).filter("x is not null")
-    p = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
-    base = rows.agg(F.count("*").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.percentile("x", F.array(*map(F.lit, p))).alias("q"), F.sum(F.col("lead").cast("int")).alias("leading_zeros"))
-    base = base.select("n", "min", "max", "mean", "std", *[F.col("q")[i].alias(f"p{round(100 * v)}") for i, v in enumerate(p)], "leading_zeros")
-    # The second pass needs the quartiles of the first: one row of figures.
-    b = base.first().asDict()
+    rows = df.select(to_number(text).alias("x"), strip(text).rlike(r"\A[+-]?0\d").cast("long").alias("lead")).filter("x is not null")
+    values = rows.groupBy("x").agg(F.count("*").alias("n"), F.sum("lead").alias("lead"))
+    values = written(values.repartitionByRange("x").withColumn("part", F.spark_partition_id()), "values")
+    b = values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"), F.sum("lead").alias("leading_zeros")).first().asDict()
+    shares, last = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99], b["n"] - 1
+    ranks = sorted({f(p * last) for p in shares for f in (math.floor, math.ceil)}) if b["n"] else []
+    at = {}
+    if ranks:
+        before = values.groupBy("part").agg(F.sum("n").alias("m")).select(F.col("part").alias("of"), (F.expr("sum(m) over (order by part)") - F.col("m")).alias("before"))
+        placed = values.join(F.broadcast(before), F.col("part") == F.col("of"))  # as many rows as ranges
+        placed = placed.withColumn("upto", F.col("before") + F.expr("sum(n) over (partition by part order by x rows unbounded preceding)"))
+        at = placed.agg(*[F.max(F.when((F.col("upto") - F.col("n") <= r) & (F.col("upto") > r), F.col("x"))).alias(str(r)) for r in ranks]).first().asDict()
+
+    def percentile(p: float) -> float | None:
+        if not at:
+            return None
+        place = p * last
+        low, high = math.floor(place), math.ceil(place)
+        return at[str(low)] if low == high else (high - place) * at[str(low)] + (place - low) * at[str(high)]
+
+    quantiles = {f"p{round(100 * p)}": percentile(p) for p in shares}
     x, known = F.col("x"), b["n"] > 0
-    iqr = (b["p75"] - b["p25"]) if known else 0.0
-    sums = lambda when, name: F.coalesce(F.sum(F.when(when, 1).otherwise(0)), F.lit(0)).alias(name)
-    low, high = (b["p25"], b["p75"]) if known else (0.0, 0.0)
-    kinds = base.schema
-    return rows.agg(
-        sums((x < low - NEAR_IQR * iqr) | (x > high + NEAR_IQR * iqr), "outliers"), sums((x < low - FAR_IQR * iqr) | (x > high + FAR_IQR * iqr), "far_outliers"),
-        sums(x == 0, "zeros"), sums(x < 0, "negatives"), sums(x == F.lit(b["min"]), "at_min"), sums(x == F.lit(b["max"]), "at_max"),
-    ).select(*[F.lit(b[c]).cast(kinds[c].dataType).alias(c) for c in base.columns], "outliers", "far_outliers", "zeros", "negatives", "at_min", "at_max")
+    iqr = (quantiles["p75"] - quantiles["p25"]) if known else 0.0
+    low, high = (quantiles["p25"], quantiles["p75"]) if known else (0.0, 0.0)
+    some = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0))
+    spread = F.sum(F.col("n") * F.pow(x - F.lit(b["mean"]), 2)) / (F.sum("n") - 1) if b["n"] > 1 else F.lit(None).cast("double")
+    second = values.agg(
+        F.sqrt(spread).alias("std"), some((x < low - NEAR_IQR * iqr) | (x > high + NEAR_IQR * iqr)).alias("outliers"), some((x < low - FAR_IQR * iqr) | (x > high + FAR_IQR * iqr)).alias("far_outliers"),
+        some(x == 0).alias("zeros"), some(x < 0).alias("negatives"), some(x == F.lit(b["min"])).alias("at_min"), some(x == F.lit(b["max"])).alias("at_max"),
+    )
+    whole = ("n", "leading_zeros")
+    facts = {**{k: b[k] for k in ("n", "min", "max", "mean")}, **quantiles, "leading_zeros": b["leading_zeros"]}
+    first = [F.lit(v).cast("long" if k in whole else "double").alias(k) for k, v in facts.items()]
+    return second.select(*first[:4], "std", *first[4:], "outliers", "far_outliers", "zeros", "negatives", "at_min", "at_max")
 
 
-def type_rates(counts: DataFrame) -> DataFrame:
+def type_rates(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     """By column: share of present values that read as each type."""
     v = F.col("value")
-    rows = counts.filter(missing_kind(v).isNull())
-    s = strip(v)
-    low = F.lower(s)
+    rows = counts.filter(missing_kind(v, tokens).isNull()).withColumn("_s", strip(v))
+    s, steps = F.col("_s"), []
+
+    def let(value: Column) -> Column:
+        steps.append(value)
+        return F.col(f"_s{len(steps)}")
+
+    low, number, found = let(F.lower(s)), let(to_number(s)), find_number(s, let)
     tests = {
-        "phone": s.rlike(rf"\A{PHONE}\z"), "currency_code": s.rlike(r"\A[A-Z]{3}\z"), "placeholder_currency": s.isin(*PLACEHOLDER_CURRENCIES), "whole": to_number(s) % 1 == 0, "float": to_number(s).isNotNull(),
-        "number_in_text": find_number(s).isNotNull(), "time": low.rlike(rf"\A{TIME}\z"), "good_time": repair_time(s).isNotNull(), "date": v.rlike(r"\d") & parse(s, DATE_FORMATS).isNotNull(), "email": s.rlike(rf"\A{EMAIL}\z"),
+        "phone": s.rlike(rf"\A{PHONE}\z"), "currency_code": s.rlike(r"\A[A-Z]{3}\z"), "placeholder_currency": s.isin(*PLACEHOLDER_CURRENCIES), "whole": number % 1 == 0, "float": number.isNotNull(),
+        "number_in_text": found.isNotNull(), "time": low.rlike(rf"\A{TIME}\z"), "good_time": repair_time(s).isNotNull(), "date": v.rlike(r"\d") & parse(s, DATE_FORMATS).isNotNull(), "email": s.rlike(rf"\A{EMAIL}\z"),
     }
+    for i, step in enumerate(steps):
+        rows = rows.withColumn(f"_s{i + 1}", step)
     total = F.sum("n")
     pairs = [F.bool_and(low.isin(*p)).alias(f"is_{i}") for i, p in enumerate(BOOLEAN_PAIRS)]
     return rows.groupBy("column").agg(total.alias("present"), F.count("*").alias("distinct"), F.countDistinct(low).alias("folded"), *pairs, *[(F.coalesce(F.sum(F.when(t, F.col("n"))), F.lit(0)) / total).alias(k) for k, t in tests.items()])
@@ -203,7 +237,7 @@ def date_formats(evidence: list[dict] | None = None) -> list[str]:
     return [f"%m{x}%d{x}%Y" for x in sorted(proven)] + DATE_FORMATS
 
 
-def canonical(c: Column, kind: str, formats: list[str] = DATE_FORMATS) -> Column:
+def canonical(c: Column, kind: str, formats: list[str] = DATE_FORMATS, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     """The comparable form of a value in a column of a logical type; what can't be read keeps its text, a missing one is null."""
     text = c.cast("string")
     s = strip(text)
@@ -220,7 +254,7 @@ def canonical(c: Column, kind: str, formats: list[str] = DATE_FORMATS) -> Column
         out = F.coalesce(repair_time(s), s)
     else:
         out = s
-    return F.when(missing_kind(text).isNull(), out)
+    return F.when(missing_kind(text, tokens).isNull(), out)
 
 
 def pair_counts(df: DataFrame, keys: list[str], others: list[str], forms: dict[str, Column] | None = None) -> DataFrame:
@@ -274,24 +308,26 @@ def shared_values(pairs: DataFrame) -> DataFrame:
     return rows.withColumn("r", F.expr("row_number() over (partition by key, column order by key_count desc, value)")).filter(F.col("r") <= TOP).select("key", "column", "value", "key_count")
 
 
-def conditional_missing(df: DataFrame, columns: list[str], drivers: list[str]) -> DataFrame:
+def conditional_missing(df: DataFrame, columns: list[str], drivers: list[str], tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     """Partly missing columns whose gaps a category explains: (column, explained_by, explained_percentage, missing_when, exceptions), the best driver of each."""
     n = F.count("*")
-    kind = lambda c: missing_kind(_n(c).cast("string")).isNotNull()
+    kind = lambda c: missing_kind(_n(c).cast("string"), tokens).isNotNull()
     structs = [F.struct(F.lit(c).alias("column"), F.lit(d).alias("driver"), comparison_key(_n(d).cast("string")).alias("category"), kind(c).alias("gone"), kind(d).alias("unknown")) for c in columns for d in drivers if c != d]
     long = df.select(F.explode(F.array(*structs)).alias("p")).select("p.*")
     totals = long.groupBy("column", "driver").agg(n.alias("rows"), F.sum(F.col("gone").cast("long")).alias("all_gone"))
     cats = long.filter("not unknown").groupBy("column", "driver", "category").agg(n.alias("size"), F.sum(F.col("gone").cast("long")).alias("gone"))
     mean = F.col("gone") / F.col("size")
+    few = cats.groupBy("column", "driver").agg(F.count("*").alias("categories")).filter(F.col("categories") <= MAX_CATEGORIES)  # a driver has few categories
+    cats = cats.join(F.broadcast(few.select("column", "driver")), ["column", "driver"])  # as many rows as pairs of columns
     cats = cats.withColumn("always", mean >= PURITY).withColumn("pure", (mean >= PURITY) | (mean <= 1 - PURITY))
     stats = cats.groupBy("column", "driver").agg(
         F.count("*").alias("categories"), (F.sum(F.when(F.col("pure"), F.col("size")).otherwise(0)) / F.sum("size")).alias("pure_share"), F.sum(F.when(F.col("always"), F.col("gone")).otherwise(0)).alias("explained"),
         F.sum(F.when(F.col("always"), F.col("size") - F.col("gone")).otherwise(F.col("gone"))).alias("exceptions"),
-        F.sort_array(F.collect_list(F.when(F.col("always"), F.struct((-F.col("size")).alias("o"), "category")))).alias("w"),  # few: columns with many categories are no drivers
+        F.sort_array(F.collect_list(F.when(F.col("always"), F.struct((-F.col("size")).alias("o"), "category")))).alias("w"),  # at most MAX_CATEGORIES
     )
     out = stats.join(totals, ["column", "driver"])
     share = F.col("all_gone") / F.col("rows")
-    out = out.withColumn("coverage", F.col("explained") / F.col("all_gone")).filter((F.col("categories") <= MAX_CATEGORIES) & share.between(MISSING_SHARE, 1 - MISSING_SHARE) & (F.col("pure_share") >= PURITY) & (F.col("coverage") >= COVERAGE))
+    out = out.withColumn("coverage", F.col("explained") / F.col("all_gone")).filter(share.between(MISSING_SHARE, 1 - MISSING_SHARE) & (F.col("pure_share") >= PURITY) & (F.col("coverage") >= COVERAGE))
     place = F.array_position(F.array(*map(F.lit, drivers)), F.col("driver"))
     best = out.groupBy("column").agg(F.max_by(F.struct(*out.columns), F.struct("coverage", (-place).alias("p"))).alias("b")).select("b.*")
     return best.select("column", F.col("driver").alias("explained_by"), F.round(100 * F.col("coverage"), 4).alias("explained_percentage"), F.transform("w", lambda x: x["category"]).alias("missing_when"), "exceptions")
@@ -320,25 +356,26 @@ def observations(stats: dict, rates: dict | None, kind: str, numeric: dict | Non
     return out + [code for code, found in checks if found]
 
 
-def profile(df: DataFrame, registry: Registry | None = None, relationships: bool = True, run_date: dt.date | None = None) -> dict:
-    """A document on the table: a few rows of aggregates for each column, collected."""
+def profile(df: DataFrame, registry: Registry | None = None, relationships: bool = True, run_date: dt.date | None = None, null_tokens: tuple[str, ...] | None = None) -> dict:
+    """A document on the table: a few rows of aggregates for each column, collected. null_tokens: words that stand for a missing value."""
+    tokens = NULL_TOKENS if null_tokens is None else tuple(t.strip().lower() for t in null_tokens)
     counts = value_counts(df).persist()
-    by = {r["column"]: r.asDict() for r in column_counts(counts).collect()}
-    rates = {r["column"]: r.asDict() for r in type_rates(counts).collect()}
-    variants = {r["column"]: r["count"] for r in spelling_variants(counts).groupBy("column").count().collect()}
+    by = {r["column"]: r.asDict() for r in column_counts(counts, tokens).collect()}
+    rates = {r["column"]: r.asDict() for r in type_rates(counts, tokens).collect()}
+    variants = {r["column"]: r["count"] for r in spelling_variants(counts, tokens).groupBy("column").count().collect()}
     generic = {r["column"]: r["n"] for r in generic_values(counts).groupBy("column").agg(F.sum("rows").alias("n")).collect()}
     tops: dict[str, list] = {}
-    for r in top_values(counts).orderBy("column", "rank").collect():
+    for r in top_values(counts, tokens=tokens).orderBy("column", "rank").collect():
         tops.setdefault(r["column"], []).append({"value": r["value"], "count": r["n"]})
     shapes: dict[str, list] = {}
-    for r in top_shapes(counts).orderBy("column", "rank").collect():
+    for r in top_shapes(counts, tokens=tokens).orderBy("column", "rank").collect():
         shapes.setdefault(r["column"], []).append({"shape": r["shape"], "count": r["n"]})
     columns, forms = [], {}
     for c in df.columns:
         stats, kind = by.get(c, {"rows": 0, "missing_count": 0, "token_count": 0, "whitespace_count": 0, "distinct_count": 0}), infer_type(c, rates.get(c))
         numeric = numeric_profile(df, c).first() if kind in ("integer", "float") else None
         evidence = [r.asDict() for r in date_order_evidence(df, c).collect()] if kind == "date" else None
-        dates, forms[c] = None, canonical(_n(c), kind, date_formats(evidence))
+        dates, forms[c] = None, canonical(_n(c), kind, date_formats(evidence), tokens)
         if kind == "date":
             t = df.select(parse(strip(_n(c).cast("string")), date_formats(evidence)).alias("t")).agg(F.min("t").alias("min"), F.max("t").alias("max")).first()
             dates = {k: t[k].date() if t[k] else None for k in ("min", "max")}
@@ -346,7 +383,7 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
         if c != c.strip():
             notes.append("COLUMN_NAME_WHITESPACE")
         columns.append({"column_name": c, "logical_type": kind, **stats, "top_values": tops.get(c, []), "shapes": shapes.get(c, []), "numeric": numeric.asDict() if numeric else None, "dates": {k: str(v) for k, v in dates.items()} if dates else None, "observations": notes})
-    keys = [r.asDict() for r in candidate_keys(column_counts(counts)).collect()]
+    keys = [r.asDict() for r in candidate_keys(column_counts(counts, tokens)).collect()]
     repeated = duplicate_row_count(df).first()[0]
     out = {"row_count": max([s["rows"] for s in by.values()], default=0), "columns": columns, "duplicate_rows": repeated, "keys": keys, "observations": (["DUPLICATE_ROWS"] if repeated else []) + (["NEAR_KEY"] if any(k["kind"] == "near_key" for k in keys) else [])}
     if relationships:
@@ -365,7 +402,7 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
         drivers = [c["column_name"] for c in columns if c["logical_type"] in ("categorical", "boolean") and c["distinct_count"] <= MAX_CATEGORIES]
         partly = [c["column_name"] for c in columns if c["rows"] and MISSING_SHARE <= c["missing_count"] / c["rows"] <= 1 - MISSING_SHARE]
         if any(c != d for c in partly for d in drivers):
-            gaps = [r.asDict() for r in conditional_missing(df, partly, drivers).collect()]
+            gaps = [r.asDict() for r in conditional_missing(df, partly, drivers, tokens).collect()]
             out["conditional_missing"] = gaps
             out["observations"] += ["CONDITIONAL_MISSING"] if gaps else []
     counts.unpersist()

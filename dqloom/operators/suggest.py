@@ -62,11 +62,12 @@ def examples(valid: DataFrame, columns: list[str], order: str) -> DataFrame:
     return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("example")) for c in columns])).alias("p")).select("p.*")
 
 
-def other_copies(records: DataFrame, among: DataFrame, column: str) -> DataFrame:
-    """For records, the others that hold the same value of a column."""
-    left = records.select("record_id", F.col(f"`{column}`").alias("value"))
-    right = among.select(F.col("record_id").alias("other_id"), F.col(f"`{column}`").alias("value"))
-    return left.join(right, "value").filter("record_id <> other_id").select("record_id", "value", "other_id")
+def other_copies(records: DataFrame, column: str) -> DataFrame:
+    """For every record whose value of a column others hold too: the value, how many others, and the first and last record of the value. The value names
+    the class, so its members are a filter on this table; no pairs are made."""
+    rows = records.select("record_id", F.col(f"`{column}`").alias("value")).filter("value is not null")
+    classes = rows.groupBy("value").agg((F.count("*") - 1).alias("others"), F.min("record_id").alias("first"), F.max("record_id").alias("last")).filter("others > 0")
+    return rows.join(classes, "value").select("record_id", "value", "others", "first", "last")
 
 
 def copy_groups(records: DataFrame, column: str) -> DataFrame:

@@ -17,7 +17,9 @@ from dqloom.operators import merge as G
 from dqloom.operators import metrics as M
 from dqloom.operators import profile as P
 from dqloom.operators import suggest as S
+from dqloom.operators import wording as W
 from dqloom.plans.registry import Registry, load_registry
+from dqloom.sources.text_csv import numbered, with_record_ids
 
 RUN_DATE = dt.date(1998, 8, 2)
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -489,10 +491,10 @@ def suggest_values(spark, sf_dir):
     return S.suggest(gaps, gaps.select("record_id", F.lit("seg").alias("column")), c.filter("k % 5 <> 0"), registry)
 
 
-@_query("""WITH v AS (SELECT 'R' || c_custkey AS record_id, c_name AS n, c_custkey % 40 AS g FROM customer) SELECT a.record_id, a.g::VARCHAR AS value, b.record_id AS other_id FROM v a JOIN v b ON a.g = b.g AND a.record_id <> b.record_id WHERE a.record_id LIKE 'R1%'""")
+@_query("""WITH v AS (SELECT 'R' || c_custkey AS record_id, (c_custkey % 40)::VARCHAR AS value FROM customer), g AS (SELECT value, count(*) AS n, min(record_id) AS first, max(record_id) AS last FROM v GROUP BY 1)
+SELECT record_id, value, n - 1 AS others, first, last FROM v JOIN g USING (value) WHERE n > 1""")
 def other_copies(spark, sf_dir):
-    rows = _t(spark, sf_dir, "customer").selectExpr("concat('R', c_custkey) as record_id", "cast(c_custkey % 40 as string) as g")
-    return S.other_copies(rows.filter("record_id like 'R1%'"), rows, "g")
+    return S.other_copies(_t(spark, sf_dir, "customer").selectExpr("concat('R', c_custkey) as record_id", "cast(c_custkey % 40 as string) as g"), "g")
 
 
 @_query("""WITH v AS (SELECT 'R' || c_custkey AS record_id, (c_custkey % 40)::VARCHAR AS value FROM customer), a AS (SELECT record_id, value, count(*) OVER w AS n, min(record_id) OVER w AS lo FROM v WINDOW w AS (PARTITION BY value)), b AS (SELECT value, min(record_id) AS hi FROM a WHERE record_id <> lo GROUP BY value)
@@ -598,6 +600,82 @@ def date_order_evidence(spark, sf_dir):
     return P.date_order_evidence(df, "v")
 
 
+@_query("""WITH x AS (SELECT CASE WHEN l_orderkey % 97 = 0 THEN 5000.0::DOUBLE WHEN l_orderkey % 89 = 0 THEN 0::DOUBLE WHEN l_orderkey % 83 = 0 THEN -3::DOUBLE ELSE l_quantity END AS x, l_orderkey % 10 = 0 AND l_quantity < 10 AND l_orderkey % 97 <> 0 AND l_orderkey % 89 <> 0 AND l_orderkey % 83 <> 0 AS lead FROM lineitem)
+SELECT round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, quantile_cont(x, 0.01) AS p1, quantile_cont(x, 0.05) AS p5, quantile_cont(x, 0.99) AS p99, sum(lead::INT)::BIGINT AS leading_zeros, sum((x = (SELECT min(x) FROM x))::INT)::BIGINT AS at_min FROM x""")
+def profile_moments(spark, sf_dir):
+    df = _t(spark, sf_dir, "lineitem").selectExpr("case when l_orderkey % 97 = 0 then '5000' when l_orderkey % 89 = 0 then '0' when l_orderkey % 83 = 0 then '-3' when l_orderkey % 10 = 0 and l_quantity < 10 then concat('0', cast(l_quantity as string)) else cast(l_quantity as string) end as x")
+    return P.numeric_profile(df, "x").select(F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "p1", "p5", "p99", "leading_zeros", "at_min")
+
+
+@_query(_STATS + """, n AS (SELECT count(*) AS n, (SELECT count(*) FROM res WHERE gone) AS gone FROM res)
+SELECT rule_id, n * CASE WHEN rule_id IN ('TRIM', 'TOKEN') THEN 2 ELSE 1 END AS checked FROM st, n""")
+def rule_checked(spark, sf_dir):
+    return E.rule_statistics(_segments(spark, sf_dir)).select("rule_id", "checked")
+
+
+@_query("""WITH r AS (SELECT CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE l_returnflag END AS flag, CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_linestatus END AS st FROM lineitem)
+SELECT 'IF' AS rule_id, sum(coalesce(st = 'O', false)::INT)::BIGINT AS checked, sum((coalesce(st = 'O', false) AND flag IS NULL)::INT)::BIGINT AS detected FROM r
+UNION ALL SELECT 'NOT', sum((NOT coalesce(st = 'O', false))::INT)::BIGINT, sum((NOT coalesce(st = 'O', false) AND flag IS NULL)::INT)::BIGINT FROM r
+UNION ALL SELECT 'ALL', count(*), sum((flag IS NULL)::INT)::BIGINT FROM r""")
+def rule_scopes(spark, sf_dir):
+    df = _t(spark, sf_dir, "lineitem").selectExpr("concat('R', l_orderkey, '-', l_linenumber) as record_id", "cast(l_orderkey * 10 + l_linenumber as bigint) as row_no", "case when l_orderkey % 9 = 0 then null else l_returnflag end as flag", "case when l_orderkey % 7 = 0 then null else l_linestatus end as st")
+    is_o = {"column": "st", "equals": "O"}
+    rules = [{"id": i, "type": "not_null", "column": "flag", "when": w} for i, w in (("IF", is_o), ("NOT", {"not": is_o}), ("ALL", None))]
+    return E.rule_statistics(_checked(df, _registry({"flag": {}, "st": {}}, *rules))).select("rule_id", "checked", "detected")
+
+
+@_query(_STATS + """, n AS (SELECT count(*) AS n FROM res)
+SELECT 'run' AS run_id, 1 AS round, 'validation' AS round_type, rule_id, dimension, n * CASE WHEN rule_id IN ('TRIM', 'TOKEN') THEN 2 ELSE 1 END AS checked, remediated + unresolved AS failed, remediated AS repaired, unresolved FROM st, n""")
+def rule_table(spark, sf_dir):
+    return M.rule_results(E.rule_statistics(_segments(spark, sf_dir)), "run", 1).select("run_id", "round", "round_type", "rule_id", "dimension", "checked", "failed", "repaired", "unresolved")
+
+
+@_query(f"""WITH {_SEGMENT_SQL} SELECT record_id, "column", problem, "group" FROM (
+SELECT record_id, 'seg' AS "column", 'Seg "' || seg3 || '" is not one of the accepted values' AS problem, 'Seg not an accepted value' AS "group" FROM res WHERE bad
+UNION ALL SELECT record_id, 'seg', 'Seg is missing', 'Missing seg' FROM res WHERE gone
+UNION ALL SELECT record_id, 'name', 'Name "' || name1 || '" is not written correctly', 'Name written incorrectly' FROM res WHERE badname)""")
+def plain_wording(spark, sf_dir):
+    v = _segments(spark, sf_dir)
+    return W.with_groups(W.problem_text(v.errors, v.registry, lambda r: E.error_column(r, v.registry)), v.registry).select("record_id", "column", "problem", "group")
+
+
+@_query(f"""WITH {_SEGMENT_SQL} SELECT 'Seg not an accepted value' AS "group", count(*) AS records FROM res WHERE bad UNION ALL SELECT 'Missing seg', count(*) FROM res WHERE gone UNION ALL SELECT 'Name written incorrectly', count(*) FROM res WHERE badname""")
+def records_by_group(spark, sf_dir):
+    v = _segments(spark, sf_dir)
+    return W.records_by_group(v.errors, v.registry)
+
+
+@_query(f"WITH {_SEGMENT_SQL} SELECT record_id, 'seg' AS columns, 1::BIGINT AS n FROM res WHERE gone")
+def missing_fields(spark, sf_dir):
+    return W.missing_fields(_segments(spark, sf_dir).errors).withColumn("columns", F.concat_ws(",", "columns"))
+
+
+@_query("SELECT 'ING_ROW_' || lpad(row_number() OVER (ORDER BY c_custkey)::VARCHAR, greatest(6, length(row_number() OVER (ORDER BY c_custkey)::VARCHAR))::INT, '0') AS record_id, row_number() OVER (ORDER BY c_custkey) AS row_no, c_custkey::VARCHAR AS c_custkey FROM customer")
+def record_ids(spark, sf_dir):
+    df = _t(spark, sf_dir, "customer").orderBy("c_custkey").selectExpr("cast(c_custkey as string) as c_custkey")
+    return with_record_ids(numbered(df), "ING_ROW_", 6)
+
+
+@_query("""WITH r AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%d/%m/%Y') AS d, CASE WHEN o_orderkey % 5 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m') END AS m FROM orders)
+SELECT 'R' || k AS record_id, strftime(strptime(d, '%d/%m/%Y'), '%d.%m.%Y') AS d, m FROM r""")
+def canonical_text(spark, sf_dir):
+    df = _rows(_t(spark, sf_dir, "orders"), "o_orderkey", d="date_format(o_orderdate, 'dd/MM/yyyy')", m="case when o_orderkey % 5 = 0 then 'soon' else date_format(o_orderdate, 'yyyy-MM') end")
+    registry = load_registry({"columns": {"d": {"type": "date", "source_format": "%d/%m/%Y"}, "m": {"type": "year_month"}}, "dataset": {"canonical_formats": {"date": "%d.%m.%Y"}}}, {"schema_checks": {"columns": {c: {"type": {"enabled": False}} for c in ("d", "m")}}, "rules": []})
+    return _checked(df, registry).valid.select("record_id", "d", "m")
+
+
+@_query("""SELECT 'R' || c_custkey AS record_id, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS seg, CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS nulled FROM customer""")
+def nulled_in_accepted(spark, sf_dir):
+    df = _rows(_t(spark, sf_dir, "customer"), "c_custkey", seg="case when c_custkey % 4 = 0 then 'NONE SUCH' else c_mktsegment end")
+    v = _checked(df, _registry({"seg": {}}, {"id": "SEG", "type": "allowed_values", "column": "seg", "values": SEGMENTS, "severity": "warning", "on_accept": "set_null"}))
+    return v.rows.select("record_id", "seg", F.size(F.filter("edits", lambda e: e["outcome"] == "nullified_in_accepted")).alias("nulled"))
+
+
+@_query("""SELECT event_id AS seq, user_id AS record_id, event_type AS action FROM events ORDER BY event_id DESC LIMIT 200""")
+def newest_lines(spark, sf_dir):
+    return M.newest_lines(_t(spark, sf_dir, "events").selectExpr("event_id as seq", "user_id as record_id", "event_type as action"))
+
+
 def queries() -> dict[str, Callable]:
     return dict(_QUERIES)
 

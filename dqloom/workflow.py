@@ -22,9 +22,9 @@ def _rows(df: DataFrame) -> list[dict]:
     return [r.asDict() for r in df.collect()]
 
 
-def run_profile(spark: SparkSession, raw_root: str, dataset: str, out: str, run: str | None = None, run_date: dt.date | None = None, relationships: bool = True) -> dict:
+def run_profile(spark: SparkSession, raw_root: str, dataset: str, out: str, run: str | None = None, run_date: dt.date | None = None, relationships: bool = True, null_tokens: tuple[str, ...] | None = None) -> dict:
     manifest, rows = read_batch(spark, raw_root, dataset, run, null_blank=False)
-    found = profile(rows.drop("row_no", "record_id"), relationships=relationships, run_date=run_date)
+    found = profile(rows.drop("row_no", "record_id"), relationships=relationships, run_date=run_date, null_tokens=null_tokens)
     result = Run(spark, out, dataset, manifest["ingestion_id"])
     result.save("profile", found)
     register_profile(raw_root, dataset, manifest["ingestion_id"], str(result.documents / "profile.json"))
@@ -170,7 +170,7 @@ def run_metrics(spark: SparkSession, out: str, dataset: str) -> dict[str, DataFr
             raise ConfigError(f"run {run_id}: resolved, discarded and unresolved records do not add up to the quarantined ones")
         tables["dq_run"].append(funnel)
         for n, r in results.items():
-            stats = spark.createDataFrame([(x["rule_id"], x["type"], x["dimension"], x["severity"], x["detected"], x["remediated"], x["unresolved"]) for x in r["rules"]], "rule_id string, type string, dimension string, severity string, detected long, remediated long, unresolved long")
+            stats = spark.createDataFrame([(x["rule_id"], x["type"], x["dimension"], x["severity"], x["checked"], x["detected"], x["remediated"], x["unresolved"]) for x in r["rules"]], "rule_id string, type string, dimension string, severity string, checked long, detected long, remediated long, unresolved long")
             tables["dq_rule_result"].append(M.rule_results(stats, run_id, n))
         tables["dq_quarantine"].append(M.quarantine_history(run.need("history")).withColumn("run_id", F.lit(run_id)))
         automatic = None
