@@ -478,8 +478,16 @@ def _links(sets: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
     """(node, label) of the nodes that have links."""
 
     def links(g: pd.DataFrame, label: np.ndarray) -> list[tuple]:
-        nodes = g["node"].tolist()
-        return [(nodes[x], nodes[y]) for x, y in tree_links([np.frombuffer(t, np.uint64) for t in g["payload"]], label, g["side"].to_numpy(), threshold)]
+        """Each set that a link brought into a larger group, with the least of the sets that the tile's links connect it to."""
+        nodes, found = g["node"].tolist(), tree_links([np.frombuffer(t, np.uint64) for t in g["payload"]], label, g["side"].to_numpy(), threshold)
+        group = {x: {x} for pair in found for x in pair}
+        for x, y in found:
+            if group[x] is not group[y]:
+                group[x] |= group[y]
+                for z in group[y]:
+                    group[z] = group[x]
+        heads = {id(m): min(nodes[x] for x in m) for m in group.values()}
+        return [(heads[id(m)], nodes[x]) for x, m in group.items() if nodes[x] != heads[id(m)]]
 
     def near(g: pd.DataFrame, label: np.ndarray) -> list[tuple]:
         """Sets of a tile that may have a partner in it, by their bitmaps."""
@@ -511,14 +519,17 @@ def _links(sets: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
     named = sets.select(F.col("k").alias("key"), F.col("node").alias("own")).join(labels, F.col("own") == F.col("node"), "left").select("key", F.coalesce("label", "own").alias("label"))
     parts = written(parts.join(named, F.col("k") == F.col("key")).drop("key"), "parts")
     several = parts.groupBy("anchor").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select(F.col("anchor").alias("at"))
-    parts = parts.join(_small(written(several, "several")), F.col("anchor") == F.col("at"), "left_semi")
+    several = written(several, "several")
+    if not several.limit(1).count():
+        return labels
+    parts = parts.join(_small(several), F.col("anchor") == F.col("at"), "left_semi")
     other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block")))
     pairs = parts.withColumn("other", other).select("anchor", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "label", "k", "n")
     pairs = written(pairs, "pairs")
     some = _tiled(pairs, full.mapInPandas(bitmaps, full.schema), 2, near, "anchor long, i int, j int, node binary")
     some = some.join(sets.select("node", F.col("k").alias("key")), "node").select("anchor", "i", "j", F.col("key").alias("k")).distinct()
     second = _tiled(pairs.join(some, ["anchor", "i", "j", "k"], "left_semi"), full, 8, links, "a binary, b binary")
-    return components(first.unionByName(second))
+    return components(first.unionByName(second)) if second.limit(1).count() else labels
 
 
 # Documents
@@ -531,7 +542,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: int
     who = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
     classes = found.filter("n > 0").groupBy("node").agg(F.min("id").alias("least"), F.min(who).alias("keep"), F.count("*").alias("times"), F.bool_or("possible").alias("possible"))
     classes = written(classes.filter("possible or times > 1"), "classes")
-    ids = _small(classes.filter("possible").select(F.col("keep.id").alias("i"), F.col("keep.hash").alias("h")).distinct())
+    ids = _small(classes.filter("possible").select(F.col("keep.id").alias("i"), F.col("keep.hash").alias("h")))
     with batches_of(docs.sparkSession, 500):
         sets = written(_sets(rows.join(ids, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")), "left_semi"), n), "sets")
     twice = sets.groupBy("node").count().filter("count > 1").select("node")
@@ -544,6 +555,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: int
         discard(posts)
         labels = _links(sets, members, threshold)
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = written(named, "labelled")
     groups_ = named.groupBy("label").agg(F.min("least").alias("component"), F.min("keep").alias("keep"), F.sum("times").alias("members"))
     named = written(joined_salted(named.select("node", "label"), "label", "node", groups_).select("node", "component", "members", "keep"), "named")
     discard(sets)

@@ -133,3 +133,12 @@ def test_one_of_each_keeps_columns(clashing):
     got = J.one_of_each(clashing)
     assert got.columns == clashing.columns
     assert sorted(r.doc_id for r in got.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 8, 9, 10, 11]
+
+
+def test_components_of_stars_and_of_a_long_chain(spark):
+    rng = np.random.default_rng(2)
+    chain = [(k, k + 1) for k in range(100, 160)]
+    stars = [(1, k) for k in range(2, 30)] + [(25, k) for k in range(40, 60)] + [(59, 3)]
+    pairs = [(a, b) if rng.random() < 0.5 else (b, a) for a, b in chain + stars]
+    got = {r.node: r.label for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {n: 100 if n >= 100 else 1 for pair in pairs for n in pair}
