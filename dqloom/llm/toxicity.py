@@ -1,19 +1,22 @@
 """Toxic passages by maximum-scoring segments.
 
-Each token gets a log-odds of standing in a toxic document. It comes from document counts with a Dirichlet prior: the
-rate of a word is smoothed towards the rate of its longest prefix, that of a prefix towards the next shorter one, and the
-first towards the overall rate. Tokens that carry no evidence share one small negative score. A linear scan of a text's
-tokens (Ruzzo and Tompa) then gives all maximal segments. Extreme-value statistics calibrate them: with K and lambda of
-the scores of clean tokens, a segment of score S in a text of n tokens has the normalised score lambda*S - ln(K*n), and is
-significant above 0. The significant ones add up, and a non-decreasing curve fitted to a held-back part of the training rows turns
-the sum into a probability.
-
-Fitting is bounded: at most about ``MAX_LABELS`` labelled rows (by hash of the id), at most ``MAX_LEXICON`` scored tokens.
-Scoring takes every row and its whole text; language, source and id are no inputs.
-
-Nulls and odd input: a null text counts as empty, an empty one gets the score of a text without significant segments; rows
-of ``labels`` with a null are left out, of several for one document the largest counts; without any label or any toxic
-one every score is the overall rate; rows that repeat are each scored; an empty table gives an empty result.
+Each token gets the log-odds of standing in a toxic document, whether they speak for it or against it. They come from document counts with a
+Dirichlet prior: the rate of a word is smoothed towards the rate of its longest prefix, that of a prefix towards the next shorter one, and
+the first towards the overall rate. A constant drift is taken from every token, so that text falls where nothing speaks for toxicity. A
+linear scan of a text's tokens (Ruzzo and Tompa) then gives all maximal segments. Extreme-value statistics calibrate them: lambda solves
+E[exp(lambda * score)] = 1 over the tokens of clean texts, and K is the maximum-likelihood value of Gumbel's law for the best segments
+of clean texts. A segment of score S in a text of n tokens has the normalised score lambda*S - ln(K*n); it is significant if at most
+``MOST_CHANCE`` such segments are expected in a clean text of that length. The significant ones add up, and a non-decreasing curve fitted to a
+held-back part of the training rows turns the sum into a probability, above the last point of the curve nearing 1 without end.
+
+Fitting is bounded: at most about ``MAX_LABELS`` labelled rows (by hash of the id). All their tokens and prefixes are counted and scored, on
+Spark, a group of words of one first prefix at a time. Scores are held in steps of ``STEP``, and a feature that has the score of the longest prefix
+before it is that prefix's; the others are broadcast. Scoring takes every row and its whole text; language, source and id are no inputs.
+
+Nulls and odd input: a null text counts as empty, an empty one gets the score of a text without significant segments; a very long text is
+scanned whole, in linear time; rows of ``labels`` with a null are left out, of several for one document the largest counts; without any
+label or any toxic one every score is the overall rate; texts that tie get one score; rows that repeat are each scored; an empty table gives
+an empty result; further columns of any name are carried in ``row``.
 """
 
 from __future__ import annotations
@@ -23,28 +26,25 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import table, whole
+from dqloom.llm.common import discard, table, whole, written
 from dqloom.llm.language_id import in_fold
 
-MAX_LABELS = 200_000
-MAX_LEXICON = 50_000
-#: Lengths of the prefixes that a word's rate is smoothed towards; strength of the prior; smallest evidence that counts.
+MAX_LABELS = 60_000
+#: Lengths of the prefixes that a word's rate is smoothed towards; strength of the prior, in documents; steps of scores.
 PREFIXES = (4, 5, 6, 7, 8)
-PRIOR = 4.0
-LEAST_DOCS = 3
-LEAST_LOG_ODDS = 1.5
-#: Taken from every token's log-odds, so that scores drift down on clean text.
-DRIFT = 0.15
+PRIOR = 50.0
+STEP = 0.5
+#: Taken from every token's log-odds.
+DRIFT = 0.8
+#: Segments of such a score that a clean text of the same length may be expected to have.
+MOST_CHANCE = 0.05
 THRESHOLD = 0.3
 SEED = 11
-#: Sums are cut off here, so that the curve has few different points.
-MOST_SUM = 200.0
-#: Excess of toxic documents, in standard deviations, from which a token is scored.
-LEAST_Z = 3.0
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -57,6 +57,12 @@ def features(word: str) -> list[str]:
     return [word[:n] for n in PREFIXES if len(word) >= n] + [word + "$"]
 
 
+def _before(feature: str, known: dict[str, float]) -> str | None:
+    """The longest known prefix that a feature goes on."""
+    bare = feature.removesuffix("$")
+    return next((bare[:n] for n in reversed(PREFIXES) if n < len(feature) and n <= len(bare) and bare[:n] in known), None)
+
+
 def log_odds(counts: dict[str, tuple[int, int]], toxic: int, total: int, prior: float = PRIOR) -> dict[str, float]:
     """Score of each feature from (toxic documents, documents) that hold it."""
     base = (toxic + 0.5) / (total + 1)
@@ -64,26 +70,30 @@ def log_odds(counts: dict[str, tuple[int, int]], toxic: int, total: int, prior:
     rates: dict[str, float] = {}
     out = {}
     for f in sorted(counts, key=lambda f: (len(f), f)):
-        bare = f.removesuffix("$")
-        parent = next((rates[bare[:n]] for n in reversed(PREFIXES) if (n < len(f)) and n <= len(bare) and bare[:n] in rates), base)
+        parent = _before(f, rates)
         a, n = counts[f]
-        rates[f] = (a + prior * parent) / (n + prior)
+        rates[f] = (a + prior * (rates[parent] if parent else base)) / (n + prior)
         out[f] = math.log(rates[f] / (1 - rates[f])) - zero
     return out
 
 
-def segments(scores: list[tuple[int, float]], n: int, drift: float) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (first, last, score) of n tokens; scores lists (place, score) of those above -drift."""
+def stepped(scores: dict[str, float], step: float = STEP) -> dict[str, float]:
+    """Scores rounded to steps, without those that the longest prefix left (or 0, if there is none) says as well."""
+    out: dict[str, float] = {}
+    for f in sorted(scores, key=lambda f: (len(f), f)):
+        s, parent = round(scores[f] / step) * step, _before(f, out)
+        if s != (out[parent] if parent else 0.0):
+            out[f] = s
+    return out
+
+
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments (first, last, score) of a sequence of token scores."""
+    sums = np.cumsum(scores)
     stack: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum through
-    total, done = 0.0, 0
-    for at, s in scores:
-        total -= drift * (at - done)
-        done = at + 1
-        if s <= 0:
-            total += s
-            continue
-        first, left, total = at, total, total + s
-        right, last = total, at
+    for at in np.flatnonzero(scores > 0).tolist():
+        right = float(sums[at])
+        first, last, left = at, at, right - float(scores[at])
         while True:
             j = len(stack) - 1
             while j >= 0 and stack[j][2] >= left:
@@ -96,20 +106,19 @@ def segments(scores: list[tuple[int, float]], n: int, drift: float) -> list[tupl
     return [(f, e, r - b) for f, e, b, r in stack]
 
 
-def gumbel(scores: dict[float, float], drift: float) -> tuple[float, float]:
-    """lambda and K of a score distribution {score: probability}; lambda solves E[exp(lambda*s)] = 1."""
-    drifted = [(s, p) for s, p in scores.items() if p > 0]
-    if not any(s > 0 for s, _ in drifted):
-        return 1.0, 0.1
+def decay(scores: dict[float, int]) -> float:
+    """lambda of token scores (score: times): the positive root of E[exp(lambda * score)] = 1, or 1 if no score is positive."""
+    total = sum(scores.values())
+    if not any(s > 0 for s in scores):
+        return 1.0
+    value = lambda x: sum(n * math.exp(min(700, x * s)) for s, n in scores.items()) / total - 1
     low, high = 1e-4, 1e-4
-    value = lambda x: sum(p * math.exp(min(700, x * s)) for s, p in drifted) - 1
     while value(high) < 0 and high < 50:
         high *= 2
     for _ in range(60):
         mid = (low + high) / 2
         low, high = (mid, high) if value(mid) < 0 else (low, mid)
-    positive = sum(p for s, p in drifted if s > 0)
-    return max(low, 0.05), max(positive, 1e-6)
+    return max(low, 0.05)
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -123,8 +132,8 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(known.select(F.col("doc_id").alias("i"), (F.col("toxic") > 0).cast("int").alias("toxic"))), F.col("doc_id") == F.col("i")).select("doc_id", whole(F.col("text")).alias("text"), "toxic", part.alias("part"))
 
 
-def _count(rows: DataFrame) -> tuple[dict[str, tuple[int, int]], int, int]:
-    """Documents and toxic documents by feature, for features with evidence either way; and of all."""
+def _counted(rows: DataFrame) -> DataFrame:
+    """(f, a, n): toxic documents and documents by feature; '' for all."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         both: tuple[Counter, Counter] = (Counter(), Counter())
@@ -139,25 +148,41 @@ def _count(rows: DataFrame) -> tuple[dict[str, tuple[int, int]], int, int]:
 
         for pdf in batches:
             for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
-                seen = {f for w in set(tokens(text)) for f in features(w)}
+                seen = {f for w in set(tokens(text)) for f in features(w)} | {""}
                 both[1].update(seen)
-                both[1][""] += 1
                 if toxic:
                     both[0].update(seen)
-                    both[0][""] += 1
-                if len(both[1]) > 400_000:
+                if len(both[1]) > 200_000:
                     yield from flush()
         yield from flush()
 
-    sums = rows.select("text", "toxic").mapInPandas(run, "f string, a long, n long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
-    sums = sums.filter(f"n >= {LEAST_DOCS} or f = ''")
-    total = sums.filter("f = ''").collect()
-    a, n = (int(total[0]["a"]), int(total[0]["n"])) if total else (0, 0)
-    base = (a + 0.5) / (n + 1)
-    # Evidence: the excess of toxic documents over what the overall rate lets expect, in standard deviations.
-    z = (F.col("a") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base) + 0.25)
-    top = sums.filter("f <> '' and a > 0").withColumn("z", z).filter(f"z > {LEAST_Z}").orderBy(F.desc("z"), "f").limit(MAX_LEXICON)
-    return {r["f"]: (int(r["a"]), int(r["n"])) for r in top.select("f", "a", "n").toLocalIterator()}, a, n
+    return rows.select("text", "toxic").mapInPandas(run, "f string, a long, n long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
+
+
+def _lexicon(counts: DataFrame, toxic: int, total: int) -> dict[str, float]:
+    """Scores of the features that differ from the prefix before them. A feature's smoothing needs those of its own first prefix only."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept = stepped(log_odds({f: (a, n) for f, a, n in zip(pdf["f"], pdf["a"].tolist(), pdf["n"].tolist(), strict=True)}, toxic, total))
+        return pd.DataFrame({"f": pd.Series(list(kept), dtype=object), "s": pd.Series(list(kept.values()), dtype=float)})
+
+    rows = counts.filter("f <> ''").withColumn("first", F.substring("f", 1, PREFIXES[0]))
+    found = rows.groupBy("first").applyInPandas(run, "f string, s double").toArrow()  # features of at most MAX_LABELS rows
+    return dict(zip(found["f"].to_pylist(), found["s"].to_pylist(), strict=True))
+
+
+class _Words(dict):
+    """The score of each word, by its most specific feature, less the drift."""
+
+    def __init__(self, scores: dict[str, float]):
+        super().__init__()
+        self.scores = scores
+
+    def __missing__(self, word: str) -> float:
+        s = next((self.scores[f] for f in reversed(features(word)) if f in self.scores), 0.0) - DRIFT
+        if len(self) < 100_000:
+            self[word] = s
+        return s
 
 
 class Model:
@@ -165,28 +190,23 @@ class Model:
 
     def __init__(self, scores: dict[str, float], base: float):
         self.scores, self.base, self.lam, self.k, self.curve = scores, base, 1.0, 0.1, [(0.0, base)]
-        self._cache: dict[str, float] = {}
-
-    def token(self, word: str) -> float:
-        """The score of the word's most specific known feature; 0 if none is known."""
-        s = self._cache.get(word)
-        if s is None:
-            s = next((self.scores[f] for f in reversed(features(word)) if f in self.scores), 0.0)
-            s = s - DRIFT if s >= LEAST_LOG_ODDS else 0.0
-            if len(self._cache) < 2_000_000:
-                self._cache[word] = s
-        return s
+        self._words: _Words | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_words": None}
 
-    def passages(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
-        """Number of tokens; the significant segments (first token, last token, normalised score)."""
-        words, get, token = tokens(text), self._cache.get, self.token
-        hits = [(i, s) for i, w in enumerate(words) if (s := get(w, -1.0)) > 0 or (s == -1.0 and (s := token(w)) > 0)]
-        n = max(len(words), 1)
-        found = ((f, e, self.lam * s - math.log(max(self.k * n, 1e-9))) for f, e, s in segments(hits, n, DRIFT))
-        return n, [(f, e, z) for f, e, z in found if z > 0]
+    def token_scores(self, text: str) -> np.ndarray:
+        if self._words is None:
+            self._words = _Words(self.scores)
+        words = tokens(text)
+        return np.fromiter(map(self._words.__getitem__, words), np.float64, len(words))
 
-    def sum(self, text: str) -> float:
-        return min(MOST_SUM, sum(z for *_, z in self.passages(text)[1]))
+    def passages(self, text: str) -> list[tuple[int, int, float]]:
+        """The significant segments (first token, last token, normalised score)."""
+        s = self.token_scores(text)
+        less = math.log(max(self.k * max(len(s), 1), 1e-300))
+        found = ((f, e, self.lam * x - less) for f, e, x in segments(s))
+        return [x for x in found if x[2] > -math.log(MOST_CHANCE)]
 
     def probability(self, x: float) -> float:
         """Linear between the curve's knots; beyond the last one it nears 1, so that higher sums still rank higher."""
@@ -197,36 +217,46 @@ class Model:
             if x <= x1:
                 return p0 + (p1 - p0) * (x - x0) / (x1 - x0)
         last, p = knots[-1]
-        return p + (1 - p) * (1 - math.exp((last - x) / MOST_SUM)) / 2
+        return p + (1 - p) * (x - last) / (x - last + 200.0) / 2
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = _labelled(docs, labels)
-    counts, toxic, total = _count(rows.filter("part = 0"))
-    model = Model({f: s for f, s in log_odds(counts, toxic, total).items()}, (toxic + 0.5) / (total + 1))
+    counts = written(_counted(rows.filter("part = 0")), "features")
+    all_ = counts.filter("f = ''").first()
+    toxic, total = (int(all_["a"]), int(all_["n"])) if all_ else (0, 0)
+    model = Model(_lexicon(counts, toxic, total) if total else {}, (toxic + 0.5) / (total + 1))
+    discard(counts)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    back = rows.filter("part = 1")
 
-    # Scores of clean tokens, counted by rounded score, give lambda and K.
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # One pass over the held-back part: the segments of each text, which need no constants, and how often each token score stands in clean texts.
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             seen: Counter = Counter()
-            for text in pdf["text"]:
-                seen.update(round(shared.value.token(w), 1) for w in tokens(text))
-            yield pd.DataFrame({"s": list(seen), "n": list(seen.values())})
-
-    clean = {r["s"]: r["n"] for r in back.filter("toxic = 0").select("text").mapInPandas(spread, "s double, n long").groupBy("s").agg(F.sum("n").alias("n")).collect()}
-    tokens_ = sum(clean.values()) or 1
-    model.lam, model.k = gumbel({(s if s > 0 else -DRIFT): n / tokens_ for s, n in clean.items()}, DRIFT)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"x": [round(shared.value.sum(t), 1) for t in pdf["text"]], "toxic": pdf["toxic"]})
-
-    bins = back.select("text", "toxic").mapInPandas(sums, "x double, toxic int").groupBy("x").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")).collect()  # at most 10 * MOST_SUM rows
+            out = []
+            for text, toxic in zip(pdf["text"], pdf["toxic"].tolist(), strict=True):
+                s = shared.value.token_scores(text)
+                out.append((toxic, len(s), [x for *_, x in segments(s)], None, None))
+                if not toxic:
+                    values, times = np.unique(s, return_counts=True)
+                    seen.update(dict(zip(values.tolist(), times.tolist(), strict=True)))
+            yield pd.DataFrame(out + [(None, None, None, v, n) for v, n in seen.items()], columns=["toxic", "n", "segments", "value", "times"]).astype({"toxic": "Int64", "n": "Int64", "times": "Int64"})
+
+    back = written(rows.filter("part = 1").select("text", "toxic").mapInPandas(scan, "toxic long, n long, segments array<double>, value double, times long"), "segments")
+    clean = {r["value"]: r["times"] for r in back.filter("value is not null").groupBy("value").agg(F.sum("times").alias("times")).collect()}  # as many as steps
+    texts = back.filter("value is null").withColumn("n", F.greatest("n", F.lit(1)))
+    if clean:
+        model.lam = decay(clean)
+        best = F.coalesce(F.array_max("segments"), F.lit(0.0))
+        law = texts.filter("toxic = 0").agg(F.count("*").alias("texts"), F.sum(F.col("n") * F.exp(-model.lam * best)).alias("sum")).first()
+        model.k = law["texts"] / law["sum"] if law["sum"] else model.k
+    normalised = F.filter(F.transform("segments", lambda x: F.lit(model.lam) * x - F.log(F.lit(model.k) * F.col("n"))), lambda z: z > -math.log(MOST_CHANCE))
+    x = F.aggregate(normalised, F.lit(0.0), lambda a, z: a + z)
+    # Points of the curve: sums in tenths, above 20 in steps of a half per cent.
+    point = F.when(F.col("x") < 20, F.round("x", 1)).otherwise(F.exp(F.round(200 * F.log("x")) / 200))
+    bins = texts.select("toxic", x.alias("x")).groupBy(point.alias("x")).agg(F.sum("toxic").alias("a"), F.count("*").alias("n")).collect()
     model.curve = isotonic([(r["x"], r["a"], r["n"]) for r in bins], model.base)
-    model._cache = {}
+    discard(back)
     return model
 
 
@@ -251,8 +281,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for batch in batches:
-            found = [m.passages(t or "")[1] for t in batch]
-            yield pd.DataFrame({"score": [m.probability(min(MOST_SUM, sum(z for *_, z in x))) for x in found], "passages": [[{"first": f, "last": e, "z": z} for f, e, z in x] for x in found]})
+            found = [m.passages(t or "") for t in batch]
+            yield pd.DataFrame({"score": [m.probability(sum(z for *_, z in x)) for x in found], "passages": [[{"first": f, "last": e, "z": z} for f, e, z in x] for x in found]})
 
     told = F.pandas_udf(run, "score double, passages array<struct<first:int,last:int,z:double>>")
     return docs.select(F.struct("*").alias("row")).withColumn("p", told(F.col(f"row.{text_col}"))).select("row", "p.score", "p.passages")

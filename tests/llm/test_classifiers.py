@@ -2,9 +2,10 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from dqloom.llm import language_id, toxicity
-from dqloom.llm.toxicity import isotonic, log_odds, segments
+from dqloom.llm.toxicity import DRIFT, _Words, decay, isotonic, log_odds, segments, stepped
 
 SYLLABLES = {"aa": "the ing ed ation er", "bb": "der ung keit ein sch", "cc": "que eau oir les ment"}
 
@@ -83,14 +84,25 @@ def test_segments_are_all_maximal_ones():
     rng = random.Random(3)
     for _ in range(200):
         dense = [rng.choice([-0.5, -0.5, -0.5, 1.0 + rng.random(), 0.3 + rng.random()]) for _ in range(rng.randint(0, 14))]
-        got = segments([(i, s) for i, s in enumerate(dense) if s > 0], len(dense), 0.5)
+        got = segments(np.array(dense))
         want = brute_segments(dense)
         assert [(f, e + 1) for f, e, _ in got] == [(a, b) for a, b, _ in want]
         assert all(math.isclose(g[2], w[2], abs_tol=1e-9) for g, w in zip(got, want))
 
 
 def test_log_odds_and_curve():
-    s = log_odds({"vile": (9, 10), "vilef": (9, 10), "vilefool$": (9, 9), "the$": (10, 100)}, 10, 100)
-    assert s["vilefool$"] > s["vile"] > 1 and abs(s["the$"]) < 0.1
+    s = log_odds({"vile": (9, 10), "vilef": (9, 10), "vilefool$": (9, 9), "the$": (10, 100), "kind$": (0, 90)}, 10, 100, 4.0)
+    assert s["vilefool$"] > s["vile"] > 1 and abs(s["the$"]) < 0.1 and s["kind$"] < -1  # clean evidence counts as well
+    kept = stepped(s)
+    words = _Words(kept)
+    assert "the$" not in kept and words["the"] == words["unseen"] == -DRIFT and words["vilefool"] > 0 > -DRIFT > words["kind"]
     knots = isotonic([(0, 1, 50), (1, 0, 5), (2, 4, 5), (3, 3, 5), (9, 9, 9)], 0.1)
     assert all(a[0] < b[0] and a[1] <= b[1] for a, b in zip(knots, knots[1:]))
+    assert abs(sum(p * math.exp(decay({1.0: 1, -1.0: 3}) * s) for s, p in ((1.0, 0.25), (-1.0, 0.75))) - 1) < 1e-6 and decay({-1.0: 5}) == 1.0
+
+
+def test_a_very_long_text_and_clashing_columns(spark):
+    model = toxicity.Model({"vile$": 4.0}, 0.1)
+    long = "calm words here " * 100_000 + "vile vile vile " * 5 + "calm words here " * 100_000
+    rows = toxicity.score(spark.createDataFrame([(1, long, 7.0, "x"), (2, None, None, None)], "doc_id long, text string, score double, p string"), model).collect()
+    assert [(x.first, x.last) for x in rows[0].passages] == [(300_000, 300_014)] and rows[0].row.score == 7.0 and rows[1].passages == []
