@@ -11,8 +11,9 @@ do not make it quadratic.
 A shard holds about ``SHARD_PIECES`` pieces whatever the input; sharding costs a few half-filled bins for each shard. Groups of copies and
 hot sources are spread over all shards.
 
-Nulls and odd input: a document without words gets one piece of no words and no bin (null); a null source is a source;
-a row that repeats another is packed as its own copy; an empty table gives an empty result; further columns are ignored.
+Nulls and odd input: a document without words gets one piece of no words and no bin (null); a null source is a source; a null id is an
+id; a very long text is cut into full pieces in one pass; pieces that tie in size go by cluster, source, id and copy; a row that repeats another is
+packed as its own copy; an empty table gives an empty result; further columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ CAPACITY = 2048
 PER_SOURCE = 4
 SHARD_PIECES = 20_000
 _WORD = re.compile(WORD)
-_PIECES = "id long, copy long, piece int, start long, n_words long, source string, cluster long"
-_PLACED = "id long, copy long, piece int, start long, n_words long, source string, cluster long, bin_id long, position int"
+_PIECES = "id long, copy long, piece int, start long, n_words long, source string, cluster long, size long"
+_PLACED = "id long, copy long, piece int, start long, n_words long, source string, cluster long, size long, bin_id long, position int"
 
 
 class Bins:
@@ -131,7 +132,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     last = F.greatest(F.ceil(F.col("size") / capacity) - 1, F.lit(0)).cast("int")
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     start = F.col("piece").cast("long") * capacity
-    return rows.select("id", "copy", "piece", start.alias("start"), F.least(F.lit(capacity).cast("long"), F.col("size") - start).alias("n_words"), "source", "cluster")
+    return rows.select("id", "copy", "piece", start.alias("start"), F.least(F.lit(capacity).cast("long"), F.col("size") - start).alias("n_words"), "source", "cluster", "size")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_pieces: int = SHARD_PIECES) -> DataFrame:
@@ -143,7 +144,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = pack_shard(pdf, capacity, per_source)
         out["bin_id"] = out["shard"] * (1 << 32) + out["bin"]
-        return out[["id", "copy", "piece", "start", "n_words", "source", "cluster", "bin_id", "position"]]
+        return out[["id", "copy", "piece", "start", "n_words", "source", "cluster", "size", "bin_id", "position"]]
 
     placed = some.groupBy("shard").applyInPandas(run, _PLACED)
     rest = cut.filter("n_words <= 0").select("*", F.lit(None).cast("long").alias("bin_id"), F.lit(None).cast("int").alias("position"))
@@ -160,17 +161,17 @@ def packed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Where each piece went, with the piece's own text. A document's text is cut once, and each part of it is joined to its own piece."""
     placed = pack(docs, id_col, text_col, source_col, capacity, per_source)
     text = F.col(text_col)
-    texts = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_digest(text)).alias("c"), F.xxhash64(text).alias("h"), text.alias("text"))
+    keys = [F.coalesce(F.col("id"), F.lit(0)).alias("k"), F.col("id").isNull().alias("none"), F.col("cluster").alias("c"), F.col("size").alias("w")]
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_digest(text)).alias("cluster"), n_words(text).alias("size"), F.xxhash64(text).alias("h"), text.alias("text"))
 
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for some in batches:
             yield pd.Series([[None] if t is None else cut_text(t, capacity) for t in some], dtype=object)
 
-    # A copy that repeats id and text has the same parts; of texts of one id that differ in white space only, one is taken.
-    one = texts.groupBy("i", "c").agg(F.min("h").alias("h")).select(F.col("i").alias("i1"), F.col("c").alias("c1"), F.col("h").alias("h1"))
-    texts = texts.dropDuplicates(["i", "c", "h"]).join(one, F.col("i").eqNullSafe(F.col("i1")) & (F.col("c") == F.col("c1")) & (F.col("h") == F.col("h1")), "left_semi")
-    parts = texts.select("i", "c", F.posexplode(F.pandas_udf(cut, "array<string>")("text")).alias("p", "part"))
-    joined = placed.join(parts, F.col("id").eqNullSafe(F.col("i")) & (F.col("cluster") == F.col("c")) & (F.col("piece") == F.col("p")))
+    # A row that repeats id and text has the same parts; of texts of one id that differ in white space only, one is taken.
+    parts = texts.select(*keys, "h", F.posexplode(F.pandas_udf(cut, "array<string>")("text")).alias("p", "part"))
+    parts = parts.groupBy("k", "none", "c", "w", "p").agg(F.min_by("part", "h").alias("part"))
+    joined = placed.select(*placed.columns, *keys, F.col("piece").alias("p")).join(parts, ["k", "none", "c", "w", "p"])
     return joined.select(F.col("id").alias("doc_id"), "copy", "piece", "start", "n_words", "source", "bin_id", "position", F.col("part").alias("text"))
 
 

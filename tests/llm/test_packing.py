@@ -45,3 +45,16 @@ def test_conflicts_and_query(spark, sf, sf_empty, docs):
     for b, n in Counter((r.bin_id, r.cluster) for r in rows if r.bin_id is not None).items():
         assert n == 1
     assert op8(spark, sf).count() == pack(docs).count() and op8(spark, sf_empty).count() == 0
+
+
+def test_texts_of_one_id_and_columns_of_other_names(spark, clashing):
+    """Texts of one id that differ in white space only, so that their pieces differ in number, and columns with names of our own."""
+    a, b = " ".join("ab" for _ in range(9)), " ".join("abab" for _ in range(4)) + " ab"
+    docs = spark.createDataFrame([(1, a, "s", 0), (1, b, "s", 0), (1, b, "s", 0), (None, a, None, 0)], "doc_id long, text string, source string, piece int")
+    rows = packed_texts(docs, capacity=6).collect()
+    whole = defaultdict(list)
+    for r in rows:
+        whole[r.doc_id, r.copy, r.n_words + r.start if r.piece else None, r.source].append(r)
+    assert sorted("".join(x.text for x in sorted((r for r in rows if r.doc_id is None), key=lambda r: r.piece)).split()) == ["ab"] * 9
+    assert sum(r.n_words for r in rows if r.doc_id == 1) == 9 + 5 + 5 and sum(len(r.text.split()) for r in rows if r.doc_id == 1) == 19
+    assert pack(clashing).count() == pack(clashing.select("doc_id", "text", "source")).count()
