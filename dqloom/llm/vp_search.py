@@ -1,17 +1,18 @@
 """Nearest neighbours by vantage-point trees, one tree for each shard.
 
-Largest inner product becomes least distance: every vector gets one more coordinate, sqrt(M^2 - |x|^2) with M the largest norm,
-and queries get 0 there. A tree node holds a vantage point and the median distance to it; a leaf holds up to ``LEAF``
+Largest inner product becomes least distance: every vector gets one more coordinate, sqrt(M^2 - |x|^2) with M the largest norm of its
+shard, and queries get 0 there. A tree node holds a vantage point and the median distance to it; a leaf holds up to ``LEAF``
 vectors. Queries walk a tree in batches: a batch that stands before a node splits into those nearer to the inside and those
 nearer to the outside, goes into the nearer side first, and only queries whose best distances so far reach over the boundary
 go into the other side. The triangle inequality is relaxed by ``factor``: the far side is left out if factor * |d - median|
 is at least the distance of the k-th best. Factor 1 is exact search, above 1 it prunes more.
 
 Distances only decide where to look: they are rounded against the longest vector, so a leaf ranks by the inner products of the original
-vectors, always summed in one order, and pruning leaves a slack for the rounding. A table with one very long vector is
-exact too, but its trees prune nothing.
+vectors, always summed in one order, and pruning leaves a slack for the rounding. With one very long vector the search is
+exact too, but the tree of its shard prunes nothing.
 
-Trees are built once, written to the shared folder, and joined with blocks of queries, so that a task holds one tree and one block.
+A shard's vectors go to one task, which builds their tree, and the blocks of queries follow to it one by one: a tree is sent once, and a task
+holds one tree and one block.
 Per query and shard at most k candidates come back; they are merged by score, ties by id. Scores are inner products of the
 original vectors in double precision.
 
@@ -37,7 +38,7 @@ K = 20
 EVERY = 20
 FACTOR = 1.0
 LEAF = 256
-SHARD_ROWS = 16_384
+SHARD_ROWS = 8_192
 QUERY_ROWS = 2_048
 SEED = 3
 
@@ -143,6 +144,12 @@ def products(a: np.ndarray, b: np.ndarray, rows_a: np.ndarray, rows_b: np.ndarra
     return np.concatenate([np.einsum("ij,ij->i", a[rows_a[i : i + step]], b[rows_b[i : i + step]]) for i in range(0, max(1, len(rows_a)), step)])
 
 
+def _scale(x: np.ndarray) -> float:
+    """One over the largest norm; of vectors whose squares are beyond what a double holds as well."""
+    most = float(np.abs(x).max(initial=0))
+    return 1 / most / math.sqrt(float(((x / most) ** 2).sum(1).max())) if most > 0 else 1.0
+
+
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col(vector_col).cast("array<double>")
     ok = F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0)
@@ -153,41 +160,48 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, factor: float = FACTOR, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) for the vectors whose id column ``id`` makes is_query true, against all vectors."""
     all_ = _usable(vectors, id_col, vector_col)
-    facts = all_.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).orderBy(F.desc("n"), "d").limit(1).collect()
+    facts = all_.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     schema = "query_id long, vec_id long, score double"
     if not facts:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, n, most = int(facts[0]["d"]), int(facts[0]["n"]), float(facts[0]["m"])
-    scale = 1 / math.sqrt(most) if most > 0 else 1.0  # distances are taken on vectors of norm 1 at most
+    dim, n = int(facts[0]["d"]), int(facts[0]["n"])
     all_ = all_.filter(F.size("v") == dim)
     shards = max(1, math.ceil(n / shard_rows))
 
-    def tree(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        ids, x = pdf["id"].to_numpy(), np.stack(pdf["v"].to_numpy()).astype(np.float64)
-        y = x * scale
-        y = np.concatenate([y, np.sqrt(np.maximum(1 - (y * y).sum(1), 0))[:, None]], axis=1)
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "tree": [pickle.dumps((ids, x, build(y)))]})
+    def packed(at: str):
+        """One row for each group of vectors: (at, payload)."""
 
-    trees = written(all_.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(tree, "shard int, tree binary"), "trees")
-    queries = written(all_.filter(is_query), "queries")
-    blocks = max(1, math.ceil(queries.count() / query_rows))
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("id")
+            return pd.DataFrame({at: [int(pdf[at].iloc[0])], "payload": [pickle.dumps((pdf["id"].to_numpy(), np.stack(pdf["v"].to_numpy()).astype(np.float64)))]})
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "queries": [pickle.dumps((pdf["id"].to_numpy(), np.stack(pdf["v"].to_numpy()).astype(np.float64)))]})
+        return run
 
-    packed = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(blocks)).cast("int")).groupBy("block").applyInPandas(block, "block int, queries binary")
-    # Every block of the stated query set meets every shard.
-    packed = written(packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))), "blocks")
+    trees = written(all_.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(packed("shard"), "shard int, payload binary"), "shards")
+    queries = written(all_.filter(is_query), "queries")
+    blocks = max(1, math.ceil(queries.count() / query_rows))
+    asked = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(blocks)).cast("int")).groupBy("block").applyInPandas(packed("block"), "block int, payload binary")
+    # Every block of the stated query set meets every shard; a shard's own row comes first.
+    asked = written(asked, "blocks").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("shard", "block", "payload")
+    stream = trees.select("shard", F.lit(-1).alias("block"), "payload").unionByName(asked)
+    stream = stream.repartition(shards, "shard").sortWithinPartitions("shard", "block")
 
     def run(batches):
+        ids = x = y = nodes = None
+        scale, loaded = 1.0, -1
         for pdf in batches:
-            for t, qs in zip(pdf["tree"], pdf["queries"], strict=True):
-                ids, x, nodes = pickle.loads(t)
-                query_ids, q = pickle.loads(qs)
-                y, z = x * scale, np.concatenate([q * scale, np.zeros((len(q), 1))], axis=1)
-                y = np.concatenate([y, np.sqrt(np.maximum(1 - (y * y).sum(1), 0))[:, None]], axis=1)
+            for shard, block, data in zip(pdf["shard"].tolist(), pdf["block"].tolist(), pdf["payload"], strict=True):
+                if block < 0:
+                    ids, x = pickle.loads(data)
+                    scale, loaded = _scale(x), shard
+                    y = x * scale
+                    y = np.concatenate([y, np.sqrt(np.maximum(1 - (y * y).sum(1), 0))[:, None]], axis=1)
+                    nodes = build(y)
+                    continue
+                if loaded != shard:  # a shard without vectors
+                    continue
+                query_ids, q = pickle.loads(data)
+                z = np.concatenate([q * scale, np.zeros((len(q), 1))], axis=1)
                 rows, _ = search(nodes, y, ids, z, query_ids, k, factor, x, q, scale)
                 at, col = np.nonzero(rows >= 0)
                 rows = rows[at, col]
@@ -195,9 +209,8 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
                     a, r = at[i : i + 50_000], rows[i : i + 50_000]
                     yield pd.DataFrame({"query_id": query_ids[a], "vec_id": ids[r], "score": products(q, x, a, r)})
 
-    pairs = packed.join(trees, "shard").repartition(F.col("shard"), F.col("block"))
-    with batches_of(vectors.sparkSession, 1):  # a row holds a whole tree
-        found = written(pairs.select("tree", "queries").mapInPandas(run, schema), "found")
+    with batches_of(vectors.sparkSession, 1):  # a row holds a whole shard
+        found = written(stream.mapInPandas(run, schema), "found")
     rank = F.expr("row_number() over (partition by query_id order by score desc, vec_id)")
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
