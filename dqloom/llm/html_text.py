@@ -65,6 +65,9 @@ class Block:
 _TOP: tuple = ("", frozenset(), False, (), False, False)
 
 
+_COMMENT_END = re.compile(r"--!?>")
+
+
 class _Parser(HTMLParser):
     """Every open tag is tracked. Steps don't grow with depth: places by tag find partners, and what stands above is counted."""
 
@@ -97,6 +100,14 @@ class _Parser(HTMLParser):
             self.sections = False
         return self.parse_bogus_comment(i, report)
 
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """As browsers do: <!--> and <!---> are whole comments, --!> ends one too, and one without an end takes the rest of the page."""
+        for short in (">", "->"):
+            if self.rawdata.startswith(short, i + 4):
+                return i + 4 + len(short)
+        end = _COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
+
     def _flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())

@@ -82,3 +82,9 @@ def test_few_marked_pages_among_many_are_all_found(spark, monkeypatch):
     pages = spark.range(5000).selectExpr("id as page_id", "if(id % 1000 = 7, concat('<article><p>text ', id, '</article>'), '<p>no mark') as html")
     H.fit(pages)
     assert sorted(seen[0]) == sorted(f"<article><p>text {i}</article>" for i in range(7, 5000, 1000))
+
+
+def test_comments_end_as_in_browsers():
+    texts = lambda html: [b.text for b in H.blocks(html)]
+    assert texts("<p>a</p><!-- unclosed <p>b") == ["a"]
+    assert texts("<p>a</p><!--> <p>b</p><!---> <p>c</p><!-- x --!><p>d</p><!-- y > --><p>e</p>") == ["a", "b", "c", "d", "e"]
