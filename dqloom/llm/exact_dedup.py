@@ -4,9 +4,10 @@ Pass one writes a digest for every row and counts how many rows hit each positio
 twice or more becomes a set bit. Pass two looks every row up in both slices: a row that misses in either one has no equal
 and passes straight through; only the others are shuffled and compared by their full SHA-256.
 
-The slices are broadcast. Their size has a fixed bound (``max_bits`` each, 16 MB as it stands); past it the filter only
-lets more rows through to the exact comparison, the result stays the same. A group of copies may hold most rows: counts
-are taken by (digest, salt) first, so no task gets a whole group.
+A position costs a row of pass one about ten bytes to shuffle, counted where it arises first; a digest with its id and length would cost a row
+about fifty, and its text thousands. The slices are sized by the number of rows and broadcast. Their size has a fixed bound (``max_bits`` each,
+64 MB as it stands, for some sixty million rows); past it the filter only lets more rows through to the exact comparison, the result stays
+the same. A group of copies may hold most rows: counts are taken by (digest, salt) first, so no task gets a whole group.
 
 Nulls and odd input: a null text counts as empty; a null id sorts after all others; rows that repeat both id and text
 are copies of each other and exactly one of them is kept; an empty table gives an empty result; further columns of any
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from dqloom.llm.common import SPACE, pow2_at_least, whole, written
 
 BITS_PER_ROW = 8
-MAX_BITS = 1 << 27
+MAX_BITS = 1 << 29
 SALTS = 64
 _BUCKET = 32768  # bits in one bitmap of bitmap_construct_agg
 
