@@ -11,8 +11,9 @@ Joins are on (conversation, hash) to at most one row each, so a passage that sta
 may hold any share of the rows: the order is taken by ranges of (conversation, root, turn), not in one task for each.
 
 Nulls and odd input: a null text counts as empty; a message with a null conversation or turn has no links and is its own root;
-rows that repeat (conversation, turn) share parent and root and are each kept; an empty table gives an empty result; further
-columns are ignored.
+rows that repeat (conversation, turn) share parent and root and are each kept; of messages that tie for the earliest with a passage the
+smaller turn counts, and rows that tie in the order stand by text and role; a very long text is parsed whole, line by line; an empty table gives an
+empty result; further columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

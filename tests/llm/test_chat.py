@@ -1,3 +1,5 @@
+import random
+
 from dqloom.llm.chat import linked, parse
 
 TALK = [
@@ -59,3 +61,60 @@ def test_short_and_unspaced_quotes_are_linked(spark):
     assert {t: r.parent_turn for t, r in got.items()} == {1: None, 2: None, 3: 2, 4: None, 5: None, 6: 5, 7: 6, 8: 7, 9: 8}
     assert {t: r.root_turn for t, r in got.items()} == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5, 6: 5, 7: 5, 8: 5, 9: 5}
     assert {t: (r.n_quotes, r.n_linked) for t, r in got.items() if t in (3, 4, 6, 8)} == {3: (1, 1), 4: (1, 0), 6: (1, 1), 8: (2, 2)}
+
+
+def brute(talk):
+    """Parent and root of each message, message by message: passages and lines are compared as texts, without hashes or joins."""
+    import re
+
+    def squeezed(text):
+        return re.sub(r"[\x20\x09-\x0d]+", " ", text).strip(" ").lower()
+
+    def units(text, level):
+        """Passages of a quote level and their longer lines."""
+        out, run, before = set(), [], None
+        for line in [*text.split("\n"), None]:
+            mark = re.match(r"(?:[ \t]*>)+", line) if line is not None else None
+            at, body = (mark[0].count(">"), line[mark.end():].strip(" \t")) if mark else (0, line)
+            blank = line is None or not body.strip()
+            if line is None or blank or at != before:
+                if run and before is not None and (before > 0) == (level > 0) and (level in (0, before)):
+                    out.add(squeezed("\n".join(run)))
+                    out |= {squeezed(x) for x in run if len(squeezed(x).encode()) >= 9 or len(squeezed(x).split(" ")) >= 3}
+                run = []
+            if not blank:
+                run.append(body)
+            before = None if blank else at
+        return out
+
+    parent = {}
+    for conv, turn, text in talk:
+        said = [t for c, t, other in talk if c == conv and t < turn and units(text, 1) & units(other, 0)]
+        # Each quoted unit points to the earliest message that has it; the latest of those is the parent.
+        first = [min(t for c, t, other in talk if c == conv and u in units(other, 0)) for u in units(text, 1) if any(c == conv and u in units(o, 0) for c, _, o in talk)]
+        first = [t for t in first if t < turn]
+        assert bool(first) <= bool(said)
+        parent[conv, turn] = max(first, default=None)
+
+    def root(conv, turn):
+        while parent[conv, turn] is not None:
+            turn = parent[conv, turn]
+        return turn
+
+    return {k: (p, root(*k)) for k, p in parent.items()}
+
+
+def test_links_equal_brute_force(spark):
+    rng = random.Random(4)
+    talk, lines = [], [f"{a} {b} number {k}" for k, (a, b) in enumerate((x, y) for x in ("alpha", "beta", "yes") for y in ("gamma", "delta", "no"))] + ["ok", "Why not?", "明天开始。"]
+    for conv in range(12):
+        for turn in range(12):
+            parts = []
+            for _ in range(rng.randint(1, 3)):
+                said = [rng.choice(lines) for _ in range(rng.randint(1, 2))]
+                mark = rng.choice(["", "> ", ">", "> > "])
+                parts.append("\n".join(mark + (x.upper() if rng.random() < 0.2 else x) for x in said))
+            talk.append((conv, turn, "\n\n".join(parts)))
+    df = spark.createDataFrame([(c, t, "user", x, c, x) for c, t, x in talk], "conv_id long, turn long, role string, text string, h long, own string")
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.root_turn) for r in linked(df).collect()}
+    assert got == brute(talk) and sum(p is not None for p, _ in got.values()) > 20
