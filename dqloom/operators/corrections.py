@@ -169,7 +169,9 @@ def revalidate(
     context = context.unionByName(records.join(of("untouched"), "record_id", "left_semi").select("record_id", *columns))
     # Corrected records come last, so that of equal rows the one that was there stays.
     frame = context.withColumn("focus", F.lit(False)).unionByName(fixed.withColumn("focus", F.lit(True)))
-    frame = frame.withColumn("row_no", F.monotonically_increasing_id() + F.when(F.col("focus"), F.lit(1 << 62)).otherwise(F.lit(0)))
+    # A record's number in its batch ends its id, so ties are decided the same way on every run.
+    own = F.coalesce(F.regexp_extract("record_id", r"(\d{1,18})\z", 1).try_cast("long"), F.monotonically_increasing_id())
+    frame = frame.withColumn("row_no", own + F.when(F.col("focus"), F.lit(1 << 62)).otherwise(F.lit(0)))
     v = validate(written(frame, "context"), registry, run_date)
     got = v.rows.filter("focus").select("record_id", "status")
     led = ledger.join(plan, "record_id", "left").join(got.withColumnRenamed("status", "got"), "record_id", "left")

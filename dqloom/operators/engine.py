@@ -428,9 +428,9 @@ def bounds_text(p: dict) -> str:
 def rule_statistics(v: Validation) -> DataFrame:
     """By rule over focus rows: checked (in scope; once for each of its columns), detected, remediated, unresolved. Detected is the sum of the two last."""
     rows, rules = v.rows.filter("focus"), v.registry.rules
-    fails = rows.filter("active").select(F.explode("fails").alias("f")).select(F.col("f.no").alias("no"), F.lit(0).alias("r"), F.lit(1).alias("u"))
-    edits = rows.select(F.explode("edits").alias("e")).filter("e.outcome in ('remediated', 'removed')").select(F.col("e.no").alias("no"), F.lit(1).alias("r"), F.lit(0).alias("u"))
-    sums = fails.unionByName(edits).groupBy("no").agg(F.sum("r").alias("remediated"), F.sum("u").alias("unresolved"))
+    failed = F.when(F.col("active"), F.transform("fails", lambda f: F.struct(f["no"].alias("no"), F.lit(0).alias("r"), F.lit(1).alias("u")))).otherwise(F.array())
+    repaired = F.transform(F.filter("edits", lambda e: e["outcome"].isin("remediated", "removed")), lambda e: F.struct(e["no"].alias("no"), F.lit(1).alias("r"), F.lit(0).alias("u")))
+    sums = rows.select(F.explode(F.concat(failed, repaired)).alias("x")).groupBy("x.no").agg(F.sum("x.r").alias("remediated"), F.sum("x.u").alias("unresolved"))
     # Rows in scope: all before copies are dropped, those that stay from then on; by a row's bit where there is a condition.
     dropping = next((n for n, r in enumerate(rules) if (r.remediation or {}).get("action") == "drop_duplicates"), len(rules))
     bit = lambda n: F.shiftrightunsigned(F.col("scopes")[n // _WORD], n % _WORD).bitwiseAND(F.lit(1).cast("long"))
