@@ -14,7 +14,8 @@ A row's state: record_id, row_no, the working text of each column, focus (whethe
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ INTERNAL = ("row_no", "focus", "active", "fails", "edits", "scopes")
 _FAIL = "struct<no:int,value:string>"
 #: Rules in one word of ``scopes``, which says for the rules with a condition whether a row was in their scope.
 _WORD = 62
-_EDIT = "struct<no:int,column:string,old:string,new:string,action:string,outcome:string>"
+_EDIT = "struct<at:int,no:int,column:string,old:string,new:string,action:string,outcome:string>"
 AUDIT_COLUMNS = ["record_id", "column", "original_value", "cleaned_value", "rule_id", "action", "outcome"]
 ERROR_COLUMNS = ["record_id", "rule_id", "rule_name", "error_code", "error_category", "dimension", "severity", "column", "value", "message"]
 
@@ -46,7 +47,7 @@ class Step:
     column: str | None
     reads: set[str]
     writes: set[str]
-    level: int = 0
+    at: int = 0  # its place among all steps
 
 
 @dataclass
@@ -54,7 +55,6 @@ class Validation:
     rows: DataFrame  # one row per input row, with fails, edits, status
     registry: Registry
     columns: list[str]
-    scopes: dict[int, Column] = field(default_factory=dict)
 
     @property
     def valid(self) -> DataFrame:
@@ -96,6 +96,8 @@ def _steps(registry: Registry, columns: list[str]) -> list[Step]:
         elif rule.remediation and rule.type in ROW_LOCAL | {"unique"}:
             wrote = {rule.remediation.get("target", rule.column)}
         out.append(Step(no, rule, rule.column, reads(rule) | wrote, wrote))
+    for at, s in enumerate(out):
+        s.at = at
     return out
 
 
@@ -161,28 +163,33 @@ class _Let:
 def _row_local(rows: DataFrame, group: list[Step], registry: Registry, run_date: dt.date, filled: set[str]) -> DataFrame:
     """A few projections for a layer: typed values, flags, the steps of repairs, new values, and what still fails. Each is computed once."""
     flags, updates, more, after, temporary = {}, {}, {}, {}, []
+    fails: dict[int, list[Column]] = {}
+    edits: list[Column] = []
+    scopes: dict[int, Column] = {}
     see, steps = _Typed(registry), []
     for s in group:
         scope = F.col("active") & condition(s.rule.when, _col)
         if s.rule.when:
             flags[f"__{s.no}_in"] = scope
-            scope = F.col(f"`__{s.no}_in`") if s.rule.type == "generate" else scope
+            scopes[s.no] = scope = F.col(f"`__{s.no}_in`")
         tag, c = f"__{s.no}_{s.column}", s.column
         if s.rule.type == "generate":
             new, old = _Let(tag, scope, steps)(generated_value(s.rule, registry, _col, see)), _col(c)
-            more[f"{tag}_fail"] = scope & new.isNull()
+            fails.setdefault(s.no, []).append(scope & new.isNull())
             if c in filled:
                 updates[c] = F.when(scope, new).otherwise(old)
             else:
                 differs = scope & new.isNotNull() & ~F.coalesce(old == new, F.lit(False))
                 updates[c] = F.when(differs, new).otherwise(old)
-                more[f"{tag}_edit"] = F.when(differs, _edit(s.no, c, old, new, "derive", F.lit("remediated")))
+                more[f"{tag}_edit"] = F.when(differs, _edit(s, c, old, new, "derive", F.lit("remediated")))
+                edits.append(F.col(f"`{tag}_edit`"))
+                temporary.append(f"{tag}_edit")
             continue
         flags[f"{tag}_hit"] = scope & detect(s.rule, registry, run_date, _col, c, see)
         hit = F.col(f"`{tag}_hit`")
         temporary.append(f"{tag}_hit")
         if not s.rule.remediation:
-            more[f"{tag}_fail"] = hit
+            fails.setdefault(s.no, []).append(hit)
             continue
         target = s.rule.remediation.get("target", c)
         new, changed = repair(s.rule, registry, _col, c, see, _Let(tag, hit, steps))
@@ -190,7 +197,8 @@ def _row_local(rows: DataFrame, group: list[Step], registry: Registry, run_date:
         more[f"{tag}_done"] = hit & changed
         updates[target] = F.when(hit & changed, new).otherwise(_col(target))
         temporary += [f"{tag}_old", f"{tag}_done"]
-    for projection in (see.asked, flags, *steps, {**updates, **more}):
+    first = {k: v for k, v in flags.items() if k.endswith("_in")}
+    for projection in ({**see.asked, **first}, {k: v for k, v in flags.items() if k not in first}, *steps, {**updates, **more}):
         rows = rows.withColumns(projection) if projection else rows
     # What still fails, on the repaired values.
     again = _Typed(registry)
@@ -198,21 +206,36 @@ def _row_local(rows: DataFrame, group: list[Step], registry: Registry, run_date:
         if s.rule.type == "generate" or not s.rule.remediation:
             continue
         tag, target = f"__{s.no}_{s.column}", s.rule.remediation.get("target", s.column)
-        hit, done, old = (F.col(f"`{tag}_{x}`") for x in ("hit", "done", "old"))
+        hit, done, old, still = (F.col(f"`{tag}_{x}`") for x in ("hit", "done", "old", "still"))
         if s.rule.type in ("trim_whitespace", "null_tokens"):
-            still = hit & ~done
+            after[f"{tag}_still"] = hit & ~done
         else:
-            still = F.col("active") & condition(s.rule.when, _col) & detect(s.rule, registry, run_date, _col, s.column, again)
-        after[f"{tag}_fail"] = still
-        after[f"{tag}_edit"] = F.when(hit, _edit(s.no, target, old, _col(target), s.rule.remediation["action"], F.when(F.col(f"`{tag}_fail`"), "not_fixed").otherwise("remediated")))
-    temporary += [*see.asked, *(name for projection in steps for name in projection)]
-    for projection in (again.asked, {k: v for k, v in after.items() if k.endswith("_fail")}, {k: v for k, v in after.items() if k.endswith("_edit")}):
+            after[f"{tag}_still"] = F.col("active") & condition(s.rule.when, _col) & detect(s.rule, registry, run_date, _col, s.column, again)
+        fails.setdefault(s.no, []).append(still)
+        edits.append(F.when(hit, _edit(s, target, old, _col(target), s.rule.remediation["action"], F.when(still, "not_fixed").otherwise("remediated"))))
+    for projection in (again.asked, after):
         rows = rows.withColumns(projection) if projection else rows
-    return rows.drop(*temporary, *again.asked)
+    rows = _noted(rows, {no: reduce(lambda x, y: x | y, some) for no, some in fails.items()}, edits, scopes)
+    return rows.drop(*temporary, *first, *see.asked, *again.asked, *after, *(name for projection in steps for name in projection))
 
 
-def _edit(no: int, column: str, old: Column, new: Column, action: str, outcome: Column) -> Column:
-    return F.struct(F.lit(no).alias("no"), F.lit(column).alias("column"), old.alias("old"), new.alias("new"), F.lit(action).alias("action"), outcome.alias("outcome"))
+def _noted(rows: DataFrame, fails: dict[int, Column], edits: list[Column] = (), scopes: dict[int, Column] | None = None) -> DataFrame:
+    """rows with what a layer found: the numbers of failing rules, edits, and a bit for each rule with a condition whose scope a row is in."""
+    out = {}
+    if fails:
+        out["fails"] = F.concat("fails", F.filter(F.array(*[F.when(c, F.lit(no)) for no, c in fails.items()]), lambda f: f.isNotNull()))
+    if edits:
+        out["edits"] = F.concat("edits", F.filter(F.array(*[e.cast(_EDIT) for e in edits]), lambda e: e.isNotNull()))
+    words: dict[int, list[Column]] = {}
+    for no, c in (scopes or {}).items():
+        words.setdefault(no // _WORD, []).append(F.when(c, F.lit(1 << no % _WORD).cast("long")).otherwise(F.lit(0).cast("long")))
+    for word, bits in words.items():
+        out[f"__w{word}"] = reduce(lambda x, y: x.bitwiseOR(y), bits, F.col(f"__w{word}"))
+    return rows.withColumns(out) if out else rows
+
+
+def _edit(s: Step, column: str, old: Column, new: Column, action: str, outcome: Column) -> Column:
+    return F.struct(F.lit(s.at).alias("at"), F.lit(s.no).alias("no"), F.lit(column).alias("column"), old.alias("old"), new.alias("new"), F.lit(action).alias("action"), outcome.alias("outcome"))
 
 
 def _duplicate_rows(rows: DataFrame, s: Step) -> DataFrame:
@@ -220,14 +243,12 @@ def _duplicate_rows(rows: DataFrame, s: Step) -> DataFrame:
     rows = written(rows, "rows")
     first = rows.filter("active").groupBy("raw_key").agg(F.min("row_no").alias("first_no"), F.count("*").alias("copies")).filter("copies > 1")
     rows = rows.join(first.select(F.col("raw_key").alias("k"), "first_no"), F.col("raw_key") == F.col("k"), "left")
-    copy = F.col("active") & F.coalesce(F.col("row_no") > F.col("first_no"), F.lit(False))
-    rows = rows.withColumn("__copy", copy).drop("k", "first_no")
-    tag = f"__{s.no}_{s.column}"
+    rows = rows.withColumn("__copy", F.col("active") & F.coalesce(F.col("row_no") > F.col("first_no"), F.lit(False))).drop("k", "first_no")
     if (s.rule.remediation or {}).get("action") == "drop_duplicates":
         none = F.lit(None).cast("string")
-        rows = rows.withColumn(f"{tag}_edit", F.when(F.col("__copy"), _edit(s.no, "*", none, none, "drop_duplicates", F.lit("removed")))).withColumn("active", F.col("active") & ~F.col("__copy"))
+        rows = _noted(rows, {}, [F.when(F.col("__copy"), _edit(s, "*", none, none, "drop_duplicates", F.lit("removed")))]).withColumn("active", F.col("active") & ~F.col("__copy"))
     else:
-        rows = rows.withColumn(f"{tag}_fail", F.col("__copy"))
+        rows = _noted(rows, {s.no: F.col("__copy")})
     return rows.drop("__copy")
 
 
@@ -236,14 +257,12 @@ def _key(scope: Column, value: Column) -> Column:
     return F.coalesce(F.when(scope, F.concat(F.lit("="), value)), F.concat(F.lit("#"), F.col("row_no").cast("string")))
 
 
-def _unique(rows: DataFrame, s: Step) -> DataFrame:
-    """Every copy of a value that occurs more than once among the rule's rows fails."""
-    rows = written(rows, "rows")
-    scope = F.col("active") & condition(s.rule.when, _col) & _col(s.column).isNotNull()
-    rows = rows.withColumn(f"__{s.no}_in", F.col("active") & condition(s.rule.when, _col)) if s.rule.when else rows
-    more = rows.filter(scope).groupBy(_col(s.column).alias("__v")).count().filter("count > 1").select("__v", F.lit(True).alias("__more"))
+def _unique(rows: DataFrame, s: Step, base: DataFrame) -> DataFrame:
+    """Every copy of a value that occurs more than once among the rule's rows fails. base: the rows as they were last written, with the same values."""
+    scope = F.col("active") & condition(s.rule.when, _col)
+    more = base.filter(scope & _col(s.column).isNotNull()).groupBy(_col(s.column).alias("__v")).count().filter("count > 1").select("__v", F.lit(True).alias("__more"))
     rows = rows.join(more, _key(scope, _col(s.column)) == F.concat(F.lit("="), F.col("__v")), "left")
-    return rows.withColumn(f"__{s.no}_{s.column}_fail", F.coalesce("__more", F.lit(False))).drop("__v", "__more")
+    return _noted(rows, {s.no: F.coalesce("__more", F.lit(False))}, scopes={s.no: scope} if s.rule.when else None).drop("__v", "__more")
 
 
 def majorities(rows: DataFrame, key: Column, dependents: list[str], scope: Column) -> DataFrame:
@@ -255,16 +274,13 @@ def majorities(rows: DataFrame, key: Column, dependents: list[str], scope: Colum
     return best.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("d", "v"))).alias("expected"))
 
 
-def _dependency(rows: DataFrame, s: Step, registry: Registry) -> DataFrame:
-    rows = written(rows, "rows")
+def _dependency(rows: DataFrame, s: Step, registry: Registry, base: DataFrame) -> DataFrame:
     determinant, dependents = registry.dependency(s.rule)
     scope = F.col("active") & condition(s.rule.when, _col)
-    rows = rows.withColumn(f"__{s.no}_in", scope) if s.rule.when else rows
-    expected = majorities(rows, _col(determinant), dependents, scope)
+    expected = majorities(base, _col(determinant), dependents, scope)
     rows = rows.join(expected, _key(scope, _col(determinant)) == F.concat(F.lit("="), F.col("k")), "left")
     wrong = [F.coalesce(F.try_element_at("expected", F.lit(d)) != _col(d), F.lit(False)) for d in dependents]
-    rows = rows.withColumn(f"__{s.no}_{s.column}_conflicts", F.filter(F.array(*[F.when(w, F.lit(d)) for d, w in zip(dependents, wrong, strict=True)]), lambda x: x.isNotNull()))
-    return rows.withColumn(f"__{s.no}_{s.column}_fail", F.size(f"__{s.no}_{s.column}_conflicts") > 0).drop("k", "expected", f"__{s.no}_{s.column}_conflicts")
+    return _noted(rows, {s.no: reduce(lambda x, y: x | y, wrong, F.lit(False))}, scopes={s.no: scope} if s.rule.when else None).drop("k", "expected")
 
 
 def error_column(rule: Rule, registry: Registry) -> str | None:
@@ -291,8 +307,9 @@ def prepare(data: DataFrame, registry: Registry, raw: list[str] | None = None) -
     filled = {c for c in registry.columns if c not in own}
     key = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("="), F.regexp_replace(_col(c), "([\x1f\\\\])", "\\\\$1")), F.lit("0")) for c in (raw or own)]), 256)
     text = [_col(c).cast("string").alias(c) if c in own else F.lit(None).cast("string").alias(c) for c in columns]
+    words = [F.lit(0).cast("long").alias(f"__w{i}") for i in range(-(-len(registry.rules) // _WORD))]
     focus = F.col("focus") if "focus" in data.columns else F.lit(True)
-    return data.select("record_id", F.col("row_no").cast("long").alias("row_no"), focus.alias("focus"), F.lit(True).alias("active"), key.alias("raw_key"), *text), columns, filled
+    return data.select("record_id", F.col("row_no").cast("long").alias("row_no"), focus.alias("focus"), F.lit(True).alias("active"), key.alias("raw_key"), *text, F.array().cast("array<int>").alias("fails"), F.array().cast(f"array<{_EDIT}>").alias("edits"), *words), columns, filled
 
 
 def validate(data: DataFrame, registry: Registry, run_date: dt.date, raw: list[str] | None = None) -> Validation:
@@ -300,14 +317,17 @@ def validate(data: DataFrame, registry: Registry, run_date: dt.date, raw: list[s
     rows, columns, filled = prepare(data, registry, raw)
     steps = _steps(registry, columns)
     review: list[Step] = []
+    base: DataFrame | None = None  # the rows as written, as long as their values stand
     for group in layers(steps):
         kind = group[0].rule.type if group else ""
+        if kind in ("unique", "functional_dependency"):
+            if base is None:
+                rows = base = written(rows, "rows")
+            rows = _unique(rows, group[0], base) if kind == "unique" else _dependency(rows, group[0], registry, base)
+            continue
+        base = base if kind == "auto_fix_review" or not group else None
         if kind == "duplicate_rows":
             rows = _duplicate_rows(rows, group[0])
-        elif kind == "unique":
-            rows = _unique(rows, group[0])
-        elif kind == "functional_dependency":
-            rows = _dependency(rows, group[0], registry)
         elif kind == "auto_fix_review":
             review.append(group[0])
         elif group:
@@ -330,37 +350,24 @@ def validate_rows(data: DataFrame, registry: Registry, run_date: dt.date) -> Val
 
 
 def _gathered(rows: DataFrame, steps: list[Step], registry: Registry, review: list[Step]) -> DataFrame:
-    """Flags and edits as arrays in rule order, and the review of records with many edits."""
+    """Fails (with the value to correct) and edits in rule order, and the review of records with many edits."""
     have = set(rows.columns)
-    edits = [F.col(f"`__{s.no}_{s.column}_edit`").cast(_EDIT) for s in steps if f"__{s.no}_{s.column}_edit" in have]
-    edits_ = F.filter(F.array(*edits), lambda e: e.isNotNull()) if edits else F.array().cast(f"array<{_EDIT}>")
-    rows = rows.withColumn("edits", edits_)
-    fails = []
-    by_rule: dict[int, list[Step]] = {}
-    for s in steps:
-        if f"__{s.no}_{s.column}_fail" in have:
-            by_rule.setdefault(s.no, []).append(s)
-    for no, some in by_rule.items():
-        hit = F.lit(False)
-        for s in some:
-            hit = hit | F.coalesce(F.col(f"`__{no}_{s.column}_fail`"), F.lit(False))
-        column = error_column(some[0].rule, registry)
-        fails.append(F.when(hit, F.struct(F.lit(no).alias("no"), (_col(column) if column in have else F.lit(None).cast("string")).alias("value")).cast(_FAIL)))
+    rows = rows.withColumns({"edits": F.array_sort("edits"), "fails": F.array_sort(F.array_distinct("fails"))})
+    columns = [error_column(r, registry) for r in registry.rules]
+    named = {c: i for i, c in enumerate(dict.fromkeys(c for c in columns if c in have))}
+    values = F.array(*[_col(c) for c in named], F.lit(None).cast("string"))
+    places = F.array(*[F.lit(named.get(c, len(named)) + 1) for c in columns])
+    told = F.transform("fails", lambda no: F.struct(no.alias("no"), F.element_at(values, F.element_at(places, no + 1)).alias("value")).cast(_FAIL)) if registry.rules else F.array().cast(f"array<{_FAIL}>")
+    reviewed = []
     for s in review:
-        ignore = list(s.rule.get("ignore_actions") or [])
-        counted = F.filter("edits", _counts(ignore))
+        counted = F.filter("edits", _counts(list(s.rule.get("ignore_actions") or [])))
         said = F.concat_ws("; ", F.transform(counted, lambda e: F.concat(e["column"], F.lit(" '"), F.coalesce(e["old"], F.lit("")), F.lit("' -> '"), F.coalesce(e["new"], F.lit("")), F.lit("'"))))
         many = F.col("active") & (F.size(counted) >= int(s.rule.get("min_changes", 3)))
-        fails.append(F.when(many, F.struct(F.lit(s.no).alias("no"), F.concat(F.size(counted).cast("string"), F.lit(" values: "), said).alias("value")).cast(_FAIL)))
-    fails_ = F.filter(F.array(*fails), lambda f: f.isNotNull()) if fails else F.array().cast(f"array<{_FAIL}>")
-    words = []
-    for first in range(0, len(registry.rules), _WORD):
-        word = F.lit(0).cast("long")
-        for no in range(first, min(first + _WORD, len(registry.rules))):
-            if f"__{no}_in" in have:
-                word = word.bitwiseOR(F.when(F.col(f"`__{no}_in`"), F.lit(1 << (no - first)).cast("long")).otherwise(F.lit(0).cast("long")))
-        words.append(word)
-    rows = rows.withColumns({"fails": fails_, "scopes": F.array(*words).cast("array<bigint>")})
+        reviewed.append(F.when(many, F.struct(F.lit(s.no).alias("no"), F.concat(F.size(counted).cast("string"), F.lit(" values: "), said).alias("value")).cast(_FAIL)))
+    if reviewed:
+        told = F.concat(told, F.filter(F.array(*reviewed), lambda f: f.isNotNull()))
+    words = [c for c in rows.columns if c.startswith("__w")]
+    rows = rows.withColumns({"fails": told, "scopes": F.array(*[F.col(c) for c in words]).cast("array<bigint>")})
     return rows.drop(*[c for c in rows.columns if c.startswith("__")])
 
 
@@ -396,7 +403,7 @@ def _split(rows: DataFrame, registry: Registry, columns: list[str]) -> DataFrame
         hit = (F.col("status") == "accepted") & F.exists("fails", _among(numbers)) & _col(c).isNotNull()
         first = F.filter("fails", _among(numbers))[0]["no"]
         updates[c] = F.when(hit, none).otherwise(_col(c))
-        edits.append(F.when(hit, F.struct(first.alias("no"), F.lit(c).alias("column"), _col(c).alias("old"), none.alias("new"), F.lit("set_null").alias("action"), F.lit("nullified_in_accepted").alias("outcome")).cast(_EDIT)))
+        edits.append(F.when(hit, F.struct(F.lit(len(registry.rules)).alias("at"), first.alias("no"), F.lit(c).alias("column"), _col(c).alias("old"), none.alias("new"), F.lit("set_null").alias("action"), F.lit("nullified_in_accepted").alias("outcome")).cast(_EDIT)))
     if updates:
         rows = rows.withColumns({"edits": F.concat("edits", F.filter(F.array(*edits), lambda e: e.isNotNull())), **updates})
     return rows

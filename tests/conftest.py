@@ -12,6 +12,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-"))
