@@ -35,3 +35,28 @@ def test_stages_against_plain_counterparts(spark, tmp_path):
     texts = {r[0]: r[1] for r in rows}
     assert all("".join(t for _, t in sorted(p)) == texts[i] for (i, _), p in whole.items())
     assert Counter(i for i, _ in whole) == kept[3]
+
+
+def test_empty_tables_repeated_rows_and_other_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert P.run(spark, f"{tmp_path}/empty").count() == 0
+    texts = [" ".join(f"{w}{k}{w}" for k in range(30)) for w in ("alpha", "beta", "gamma", "delta")]
+    rows = [(i % 4, texts[i % 4] if i % 8 < 4 else texts[(i + 1) % 4] + " and more", "en", None if i % 3 else "s", 0) for i in range(24)] + [(None, texts[0], "en", "s", 0), (None, None, None, None, None), (7, "", "en", "s", 0), (8, "word " * 9000, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, schema)
+    for c in ("id", "key", "row", "size", "h", "salt", "kept", "k", "n", "hash", "place"):
+        docs = docs.withColumn(c, docs.doc_id)
+    docs.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/odd/documents.parquet")
+    # Each text and its variant with two more words are one group; the variant of the next text has the smaller id in all but the first and last group.
+    for name, stage in P.STAGES[1:3]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    left = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len(left) == len(set(left)) and sum(not (t or "").strip() for _, t in left) == 1 and (8, "word " * 9000) in left
+    assert sorted(i for i, t in left if t and not t.startswith("word")) == [0, 0, 1, 2]
+    mixed = P.STAGES[3][1](spark, docs, str(tmp_path))
+    assert mixed.columns == docs.columns and mixed.count() > 0
+    assert P.STAGES[4][1](spark, docs, str(tmp_path)).filter("bin_id is null").count() == 1
