@@ -52,6 +52,13 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release() -> None:
+    """For the end of a task: gives what Arrow has freed back, as the worker process lives on."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import batches_of, discard, table, whole, written
+from dqloom.llm.common import batches_of, discard, release, table, whole, written
 from dqloom.llm.components import components, joined_salted
 
 N = 5
@@ -45,6 +45,8 @@ THRESHOLD = 80
 #: N-grams that a task holds at once, and those that a chunk of the hash range gets on average.
 BATCH_TOKENS = 250_000
 CHUNK_TOKENS = 1_500_000
+#: Parts (a power of two) in which a chunk is sorted, one after the other.
+PIECES = 8
 #: So many n-grams have an exact place in the order of frequency (12 bytes each are broadcast). It changes work, not results.
 HEAVY = 1 << 20
 TILE = 1024
@@ -186,6 +188,7 @@ def _scan(chunks: int, n: int, threshold: int):
         if ids:
             yield pack(batch, ids, hashes, which, list(number), sets)
         _WORDS.clear()
+        release()
 
     return run
 
@@ -199,26 +202,31 @@ def _counted(pdf: pd.DataFrame) -> pd.DataFrame:
     read = lambda column, kind: [np.frombuffer(b, kind) for b in part[column]]
     who, times, tags = read("p0", np.uint32), read("p1", np.uint32), read("p2", np.uint64)
     sizes = np.array([t.sum() for t in times])
-    tails, tag = np.concatenate(read("p3", np.uint32)), np.concatenate([np.repeat(x, t) for x, t in zip(tags, times, strict=True)])
-    again, agains = np.concatenate(read("p4", np.uint32)), np.concatenate(read("p5", np.uint32))
-    # Nodes of each tail: different tags among single ones, and the counts of the others.
-    order = np.lexsort((tag, tails))
-    t, g = tails[order], tag[order]
-    other = np.ones(len(t), bool)
-    other[1:] = (t[1:] != t[:-1]) | (g[1:] != g[:-1])
-    values, at = np.unique(np.concatenate([t[other], again]), return_inverse=True)
-    number = np.bincount(at, weights=np.concatenate([np.ones(int(other.sum())), agains]), minlength=len(values)).astype(np.int64)
-    del order, t, g, other, at, tag
-    shared = number[np.searchsorted(values, tails)] > 1
+    tails, again, agains = np.concatenate(read("p3", np.uint32)), np.concatenate(read("p4", np.uint32)), np.concatenate(read("p5", np.uint32))
+    tag, owner = np.concatenate(tags), np.repeat(np.arange(sum(map(len, tags)), dtype=np.uint32), np.concatenate(times))
+    shared, frequent = np.zeros(len(tails), bool), []
+    for piece in range(PIECES):  # a part of the tails' range at a time, so that a task holds little more than the chunk itself
+        at, also = (np.flatnonzero(x >> np.uint32(33 - PIECES.bit_length()) == piece) for x in (tails, again))
+        # Nodes of each tail: different tags among single ones, and the counts of the others.
+        t, g = tails[at], tag[owner[at]]
+        order = np.lexsort((g, t))
+        t, g = t[order], g[order]
+        other = np.ones(len(t), bool)
+        other[1:] = (t[1:] != t[:-1]) | (g[1:] != g[:-1])
+        values, place = np.unique(np.concatenate([t[other], again[also]]), return_inverse=True)
+        number = np.bincount(place, weights=np.concatenate([np.ones(int(other.sum())), agains[also]]), minlength=len(values)).astype(np.int64)
+        if len(at):
+            shared[at] = number[np.searchsorted(values, tails[at])] > 1
+        often = number >= 16
+        frequent.append((values[often], np.minimum(number[often], 0xFFFFFFFF).astype(np.uint32)))
+    del tails, owner, tag
     ends = np.cumsum(sizes)
     for batch, w, m, lo, hi in zip(part["batch"], who, times, ends - sizes, ends, strict=True):
         hits = np.bincount(np.repeat(np.arange(len(m)), m), weights=shared[lo:hi], minlength=len(m)).astype(np.uint32)
         if hits.any():
             out.append((1, batch, w[hits > 0].tobytes(), hits[hits > 0].tobytes(), *[None] * 5))
-    often = number >= 16
-    if often.any():
-        chunk = int(part["slot"].iloc[0])
-        out.append((2, -1 - chunk, values[often].tobytes(), np.minimum(number[often], 0xFFFFFFFF).astype(np.uint32).tobytes(), *[None] * 5))
+    if any(len(v) for v, _ in frequent):
+        out.append((2, -1 - int(part["slot"].iloc[0]), *(np.concatenate(x).tobytes() for x in zip(*frequent, strict=True)), *[None] * 5))
     return _frame(out, _COUNTED)
 
 
@@ -291,6 +299,7 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
             keys = np.frombuffer(b"".join(x[:8] for x in found), np.int64)
             yield pd.DataFrame({"node": list(found), "k": keys, "n": [len(s) for s in found.values()], "tokens": [s.tobytes() for s in found.values()]})
         _WORDS.clear()
+        release()
 
     return rows.select("text").mapInPandas(run, "node binary, k long, n long, tokens binary")
 
