@@ -17,6 +17,7 @@ _LIST = [
     ("op8_packing", "packing", "op8", None),
     ("op9_exact_dedup", "exact_dedup", "op9", "OP9_SQL"),
     ("op10_language_id", "language_id", "op10", None),
+    ("op11_prefix_trie", "prefix_trie", "op11", None),
 ]
 
 
