@@ -18,6 +18,7 @@ _LIST = [
     ("op9_exact_dedup", "exact_dedup", "op9", "OP9_SQL"),
     ("op10_language_id", "language_id", "op10", None),
     ("op11_prefix_trie", "prefix_trie", "op11", None),
+    ("op12_substring_dedup", "substring_dedup", "op12", "OP12_SQL"),
 ]
 
 
