@@ -5,7 +5,7 @@ anchors at equal offsets, so an anchor's count is never below its windows' count
 task counts the anchors of its own texts in ``DEPTH`` rows of counters and emits them by slices of counters; slices of all tasks are merged,
 saturating at two, and of each counter one bit remains: twice or more. Pass two estimates each window by the bits of its anchor: both set means
 possibly repeated. Only those windows are grouped, by 128 bits of hash, and the ones that turn out to occur once are sent back to their text.
-They stand in one text only, so no hot key comes back. Pass three leaves out what the remaining windows cover.
+They stand in one text only, so no hot key comes back, and texts that a filter shows to await nothing don't shuffle. Pass three leaves out what the remaining windows cover.
 
 Nothing is lost: an estimate is never too small, and each estimate is checked. The sketch has ``COUNTERS`` counters in each row for every anchor
 expected from the size of all texts, and is broadcast while it has at most ``max_counters`` (64 MB a row as it stands). Beyond that the sketch is a
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from dqloom.llm.common import discard, pow2_at_least, release, table, whole, written
 from dqloom.llm.components import joined_salted
+from dqloom.llm.exact_dedup import _bit
 
 WINDOW = 35
 ANCHOR = 16
@@ -42,8 +43,8 @@ SLICE = 1 << 22  # counters in a slice
 BYTES = 1 << 18  # of text that are hashed at once
 TEXTS = 1 << 22  # bytes of texts that are worked on at once
 FLUSH = 1 << 20  # anchors or windows that a task combines at once
-#: Texts to which windows of one occurrence go back by broadcast; more go by a shuffle.
-BROADCAST_TEXTS = 200_000
+#: Bits for each text to which verdicts go back; texts that miss in the filter of these bits are not shuffled.
+FILTER_BITS = 16
 _CHARS_A_WORD = 6
 _SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
@@ -332,6 +333,14 @@ def _rest(docs: DataFrame, estimates: _Estimates) -> DataFrame:
     return docs.select("id", "text", "once", "alone").mapInArrow(run, f"id {kind}, n_words long, n_removed long, text string")
 
 
+def _maybe(rows: DataFrame, alone: DataFrame, max_bits: int) -> DataFrame:
+    """rows with a boolean ``maybe``: false means that ``alone`` has nothing for their t. The filter is a bitmap of bounded size."""
+    place = F.pmod(F.xxhash64("t", F.lit("place")), F.lit(min(max_bits, max(1 << 15, pow2_at_least(FILTER_BITS * alone.count())))))
+    bits = alone.select(place.alias("p")).groupBy(F.expr("p div 32768").alias("b")).agg(F.bitmap_construct_agg(F.pmod("p", F.lit(32768))).alias("m"))
+    rows = rows.withColumn("p", place).withColumn("b", F.expr("p div 32768")).join(F.broadcast(bits), "b", "left")
+    return rows.withColumn("maybe", _bit("m", "p")).drop("p", "b", "m")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, max_counters: int = MAX_COUNTERS) -> DataFrame:
     """One row per row of docs: id, n_words, n_removed, text (the words that stay, by one space)."""
     spark = docs.sparkSession
@@ -351,11 +360,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         estimates = _Estimates(None, 0, window, anchor)
     found = _windows(keyed, estimates).repartition("k1", "k2").groupBy("k1", "k2").agg(F.count("*").alias("n"), F.count("t").alias("m"), F.min("t").alias("t"))
     alone = written(found.filter("n = 1 and m = 1").groupBy("t").agg(F.collect_list("k1").alias("alone")), "alone")
-    few = alone.agg(F.sum(F.size("alone") + 4)).first()[0] or 0
-    if few <= 8 * BROADCAST_TEXTS:
-        keyed = keyed.join(F.broadcast(alone), "t", "left")
-    else:
-        keyed = joined_salted(keyed, "t", "id", alone, "left")
+    maybe = _maybe(keyed, alone, max(max_counters, 1))
+    sent = joined_salted(maybe.filter("maybe").drop("maybe"), "t", "id", alone, "left")
+    keyed = maybe.filter("not maybe").drop("maybe").withColumn("alone", F.lit(None).cast("array<long>")).unionByName(sent)
     return _rest(keyed, estimates)
 
 

@@ -54,10 +54,11 @@ def test_against_brute_force(spark, seed, max_counters, monkeypatch):
     assert result(S.remove_repeats(docs, max_counters=max_counters)) == brute(rows)
 
 
-def test_verdicts_by_shuffle_and_short_windows(spark, monkeypatch):
-    monkeypatch.setattr(S, "BROADCAST_TEXTS", 0)
+def test_full_filter_and_short_windows(spark, monkeypatch):
+    monkeypatch.setattr(S, "pow2_at_least", lambda n: 1)
     rows = some_rows(5)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(S, "SLICE", 1 << 10)
     assert result(S.remove_repeats(docs, window=9, anchor=3)) == brute(rows, 9)
 
 
