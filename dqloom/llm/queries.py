@@ -19,6 +19,7 @@ _LIST = [
     ("op10_language_id", "language_id", "op10", None),
     ("op11_prefix_trie", "prefix_trie", "op11", None),
     ("op12_substring_dedup", "substring_dedup", "op12", "OP12_SQL"),
+    ("op13_spelling", "spelling", "op13", None),
 ]
 
 
