@@ -1,31 +1,30 @@
 """Landing source files as immutable batches, and the folders in which a run's tables are kept.
 
 A batch is prepared in a hidden folder: the file's bytes (hashed while they are copied, and again as they lie there), its rows as Parquet with
-their number in the file, and a manifest. Renaming that folder to the batch's id publishes all of it at once and is what claims the id: a name
-that someone else has published in the meantime can't be taken, and the next number is tried. The CSV is parsed once, at landing; whatever
-reads a batch reads the Parquet rows, in parallel. Tables of a run live under <root>/<dataset>/<run>/<table>[/round=n] and are
-never rewritten in place.
+their number in the file, and a manifest. Creating a file of the batch's id, which only one can do, claims the id; renaming the folder to it publishes
+all of it at once. The CSV is parsed once, at landing; whatever reads a batch reads the Parquet rows, in parallel. Roots are paths of any file system
+that Spark writes to.
+
+Tables of a run live under <root>/<dataset>/<run>/<table>[/round=n or /at=n]. The document of a step (documents/<marker>.json) is written last and
+is what publishes the step's tables: readers leave out parts whose marker is missing, and the next attempt of the step replaces them. What
+is published is never rewritten.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import errno
-import hashlib
 import itertools
 import json
-import os
 import re
-import shutil
 import uuid
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from dqloom.sources.text_csv import find_encoding, numbered, read_text, with_record_ids
+from dqloom.sources.files import Place
+from dqloom.sources.text_csv import content_digest, find_encoding, read_rows, with_record_ids
 
 _ID = re.compile(r"ING_(\d{8})_(\d{3,})")
 _ROWS, _MANIFEST = "rows", "manifest.json"
@@ -35,81 +34,75 @@ class LayoutError(ValueError):
     """A folder or file of a run that is not as it should be."""
 
 
-def file_hash(path: str | Path) -> str:
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
+def file_hash(path: str | Place) -> str:
+    return Place(path).sha256()
 
 
 def now_utc() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def _copied(source: str, to: Path) -> str:
-    """Copies a file; the hash of the bytes that were read."""
-    seen = hashlib.sha256()
-    with open(source, "rb") as f, open(to, "xb") as out:
-        while piece := f.read(1 << 22):
-            seen.update(piece)
-            out.write(piece)
-    to.chmod(0o444)
-    return seen.hexdigest()
+def _hash(spark: SparkSession, file: Place, digest: str) -> str:
+    return file.sha256() if digest == "sha256" else content_digest(spark, str(file))
 
 
-def _published(prepared: Path, day: str, facts: dict) -> dict:
+def _published(prepared: Place, day: str, facts: dict) -> dict:
     """Gives the prepared folder the day's next free id, together with a manifest that has it."""
-    taken = [int(m[2]) for p in prepared.parent.iterdir() if (m := _ID.fullmatch(p.name)) and m[1] == day]
+    home = prepared.parent
+    claims = home / ".claims"
+    taken = [int(m[2]) for name in (*home.names(), *claims.names()) if (m := _ID.fullmatch(name)) and m[1] == day]
     for number in itertools.count(max(taken, default=0) + 1):
         run, rows = f"ING_{day}_{number:03d}", facts["row_count"]
+        if not (claims / run).claim():
+            continue
         width = max(6, len(str(rows)))
         ends = {k: f"{run}_ROW_{n:0{width}d}" if rows else None for k, n in (("first", 1), ("last", rows))}
         manifest = {"ingestion_id": run, **facts, "record_id": {"prefix": f"{run}_ROW_", "width": width, **ends}, "ingested_at": now_utc(), "profile": None}
-        (prepared / _MANIFEST).write_text(json.dumps(manifest, indent=2, ensure_ascii=False), encoding="utf-8")
-        try:
-            prepared.rename(prepared.with_name(run))
-            return manifest
-        except OSError as e:
-            if e.errno not in (errno.EEXIST, errno.ENOTEMPTY):
-                raise
+        (prepared / _MANIFEST).write_text(json.dumps(manifest, indent=2, ensure_ascii=False))
+        prepared.rename_to(home / run)
+        return manifest
     raise AssertionError
 
 
-def land(spark: SparkSession, source: str, dataset: str, raw_root: str, delimiter: str = ",", encoding: str | None = None, today: dt.date | None = None) -> dict:
-    """Lands a file as a new batch; returns its manifest."""
-    if not os.path.isfile(source):
+def land(spark: SparkSession, source: str, dataset: str, raw_root: str, delimiter: str = ",", encoding: str | None = None, today: dt.date | None = None, digest: str = "sha256") -> dict:
+    """Lands a file as a new batch; returns its manifest. digest: "sha256" of the bytes, which one stream computes, or "lines", by ranges in parallel."""
+    origin = Place(source, spark)
+    if not origin.is_file():
         raise LayoutError(f"no such file: {source}")
-    prepared = Path(raw_root) / dataset / f".landing-{uuid.uuid4().hex}"
-    prepared.mkdir(parents=True)
+    prepared = Place(raw_root, spark) / dataset / f".landing-{uuid.uuid4().hex}"
+    raw = prepared / origin.name
     try:
-        raw = prepared / Path(source).name
-        digest = _copied(source, raw)
-        if file_hash(raw) != digest:
+        seen = origin.copy_to(raw)
+        if digest != "sha256":
+            seen = _hash(spark, origin, digest)
+        raw.protect()
+        if _hash(spark, raw, digest) != seen:
             raise LayoutError(f"the copy of {source} differs from what was read")
         encoding = encoding or find_encoding(str(raw))
-        cells = read_text(spark, str(raw), delimiter, encoding, keep_blank=True)
-        numbered(cells).write.parquet(str(prepared / _ROWS))
-        n = spark.read.parquet(str(prepared / _ROWS)).count()
-        facts = {"dataset": dataset, "source_file": os.path.abspath(source), "raw_file": raw.name, "rows": _ROWS, "sha256": digest, "size_bytes": raw.stat().st_size, "encoding": encoding, "delimiter": delimiter, "columns": cells.columns, "column_count": len(cells.columns), "row_count": n}
+        cells = read_rows(spark, str(raw), delimiter, encoding)
+        cells.write.parquet(str(prepared / _ROWS))
+        n, columns = spark.read.parquet(str(prepared / _ROWS)).count(), cells.columns[1:]
+        facts = {"dataset": dataset, "source_file": origin.full.removeprefix("file:"), "raw_file": raw.name, "rows": _ROWS, "digest": digest, "sha256": seen, "size_bytes": raw.size(), "encoding": encoding, "delimiter": delimiter, "columns": columns, "column_count": len(columns), "row_count": n}
         return _published(prepared, (today or dt.date.today()).strftime("%Y%m%d"), facts)
     finally:
-        shutil.rmtree(prepared, ignore_errors=True)
+        prepared.delete()
 
 
 def latest_run(raw_root: str, dataset: str) -> str:
-    found = sorted((p.name for p in (Path(raw_root) / dataset).glob("ING_*") if _ID.fullmatch(p.name)), key=lambda n: (_ID.fullmatch(n)[1], int(_ID.fullmatch(n)[2])))
+    found = [m for name in (Place(raw_root) / dataset).names() if (m := _ID.fullmatch(name))]
     if not found:
         raise LayoutError(f"nothing has been landed for {dataset} under {raw_root}")
-    return found[-1]
+    return max(found, key=lambda m: (m[1], int(m[2])))[0]
 
 
-def read_manifest(raw_root: str, dataset: str, run: str | None = None) -> tuple[dict, Path]:
+def read_manifest(raw_root: str, dataset: str, run: str | None = None) -> tuple[dict, Place]:
     """The manifest of a batch and its raw file, whose hash must be the recorded one."""
-    folder = Path(raw_root) / dataset / (run or latest_run(raw_root, dataset))
-    try:
-        manifest = json.loads((folder / _MANIFEST).read_text(encoding="utf-8"))
-    except OSError as e:
-        raise LayoutError(f"{folder} has no manifest") from e
+    folder = Place(raw_root) / dataset / (run or latest_run(raw_root, dataset))
+    if not (folder / _MANIFEST).is_file():
+        raise LayoutError(f"{folder} has no manifest")
+    manifest = json.loads((folder / _MANIFEST).read_text())
     raw = folder / manifest["raw_file"]
-    if not raw.is_file() or file_hash(raw) != manifest["sha256"]:
+    if not raw.is_file() or _hash(folder.spark, raw, manifest.get("digest", "sha256")) != manifest["sha256"]:
         raise LayoutError(f"{raw} is not the file that was landed")
     return manifest, raw
 
@@ -126,9 +119,8 @@ def read_batch(spark: SparkSession, raw_root: str, dataset: str, run: str | None
 
 
 def register_profile(raw_root: str, dataset: str, run: str, path: str) -> None:
-    file = Path(raw_root) / dataset / run / _MANIFEST
-    manifest = json.loads(file.read_text(encoding="utf-8")) | {"profile": path}
-    file.write_text(json.dumps(manifest, indent=2, ensure_ascii=False), encoding="utf-8")
+    file = Place(raw_root) / dataset / run / _MANIFEST
+    file.write_text(json.dumps(json.loads(file.read_text()) | {"profile": path}, indent=2, ensure_ascii=False))
 
 
 @dataclass(frozen=True)
@@ -143,12 +135,23 @@ class Run:
     def path(self, table: str, round_: int | None = None) -> str:
         return f"{self.root}/{self.dataset}/{self.run_id}/{table}" + (f"/round={round_}" if round_ is not None else "")
 
-    def write(self, df: DataFrame, table: str, round_: int | None = None) -> DataFrame:
-        df.write.mode("errorifexists").parquet(self.path(table, round_))
+    def write(self, df: DataFrame, table: str, round_: int | None = None, marker: str = "") -> DataFrame:
+        """Writes a part of a step that the document ``marker`` publishes later; what a failed attempt has left there is replaced."""
+        if marker and self.load(marker) is not None:
+            raise LayoutError(f"{table} of {marker} in run {self.run_id} was published before")
+        df.write.mode("overwrite" if marker else "errorifexists").parquet(self.path(table, round_))
         return self.spark.read.parquet(self.path(table, round_))
 
-    def append(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(self.path(table))
+    def append(self, df: DataFrame, table: str, at: int, marker: str) -> None:
+        """A part of a table that grows with each step; repeating the step replaces its part."""
+        if self.load(marker) is not None:
+            raise LayoutError(f"{table} of {marker} in run {self.run_id} was published before")
+        df.write.mode("overwrite").parquet(f"{self.path(table)}/at={at}")
+
+    def appended(self, table: str, markers: str) -> DataFrame | None:
+        """All published parts of a table that grows; None if there is none."""
+        df, steps = self.read(table), self.published(markers)
+        return None if df is None or not steps else df.filter(F.col("at").isin(steps)).drop("at")
 
     def read(self, table: str, round_: int | None = None) -> DataFrame | None:
         """The table, or None if it was never written."""
@@ -166,25 +169,34 @@ class Run:
         return df
 
     @property
-    def documents(self) -> Path:
-        p = Path(self.path("documents"))
-        p.mkdir(parents=True, exist_ok=True)
-        return p
+    def documents(self) -> Place:
+        return Place(self.path("documents"), self.spark)
 
     def save(self, name: str, document: dict) -> None:
-        (self.documents / f"{name}.json").write_text(json.dumps(document, indent=2, ensure_ascii=False, default=str), encoding="utf-8")
+        (self.documents / f"{name}.json").write_text(json.dumps(document, indent=2, ensure_ascii=False, default=str))
 
     def load(self, name: str) -> dict | None:
         file = self.documents / f"{name}.json"
-        return json.loads(file.read_text(encoding="utf-8")) if file.is_file() else None
+        return json.loads(file.read_text()) if file.is_file() else None
+
+    def published(self, markers: str) -> list[int]:
+        """Numbers of the steps whose documents are named <markers>-<number>."""
+        return sorted(int(m[1]) for name in self.documents.names() if (m := re.fullmatch(rf"{markers}-(\d+)\.json", name)))
 
     def rounds(self) -> list[int]:
-        return sorted(int(p.name.removeprefix("result-").removesuffix(".json")) for p in self.documents.glob("result-*.json"))
+        return self.published("result")
 
     def clear(self) -> None:
-        shutil.rmtree(Path(self.path("x")).parent, ignore_errors=True)
+        """Removes all but the profile; the markers first, so that a half-cleared run counts as never validated."""
+        for name in self.documents.names():
+            if name != "profile.json":
+                (self.documents / name).delete()
+        home = self.documents.parent
+        for name in home.names():
+            if name != "documents":
+                (home / name).delete()
 
 
 def list_runs(root: str, dataset: str) -> list[str]:
-    base = Path(root) / dataset
-    return sorted(p.name for p in base.iterdir() if (p / "documents" / "result-1.json").is_file()) if base.is_dir() else []
+    base = Place(root) / dataset
+    return [name for name in base.names() if (base / name / "documents" / "result-1.json").is_file()]

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dqloom.sources.csv_ranges import PLAIN, read_ranges
+from dqloom.sources.files import Place
+
 ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
 _JAVA = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}
 
 
 def read_text(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8-sig", columns: list[str] | None = None, keep_blank: bool = False, one_line: bool = False) -> DataFrame:
     """Every column as text, an empty cell as null (or kept as ''); quoted line breaks stay in their cell. With columns, only those are parsed.
-    one_line: no cell has a line break, so a large file is split over tasks (otherwise a file is one task)."""
+    one_line: no cell has a line break, so a large file is split over tasks (otherwise a file is one task; read_rows splits it all the same)."""
     if encoding == "cp1252":  # not among the character sets that Spark reads by default
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     reader = spark.read.options(header=True, sep=delimiter, encoding=_JAVA.get(encoding, encoding), multiLine=not one_line, quote='"', escape='"', inferSchema=False, mode="PERMISSIVE")
@@ -25,21 +27,36 @@ def read_text(spark: SparkSession, path: str, delimiter: str = ",", encoding: st
     return df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
 
 
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The bytes between line feeds, from as many tasks as the file has ranges."""
+    return spark.read.text(str(path), lineSep="\n").select(F.col("value"), F.col("value").cast("binary").alias("bytes"))
+
+
 def find_encoding(path: str) -> str:
-    """The first of ENCODINGS that the file's bytes are valid in, decoded in pieces."""
-    import codecs
+    """The first of ENCODINGS that the file's bytes are valid in. No sequence of theirs contains a line feed, so lines are judged one by one."""
+    spark = SparkSession.active()
+    missing = F.decode("bytes", "ISO-8859-1").rlike("[\\u0081\\u008D\\u008F\\u0090\\u009D]")  # what windows-1252 leaves undefined
+    wrong = _raw_lines(spark, path).agg(F.max(~F.is_valid_utf8("value")).alias("utf8"), F.max(missing).alias("cp1252")).first()
+    return ENCODINGS[0] if not wrong["utf8"] else ENCODINGS[1] if not wrong["cp1252"] else ENCODINGS[2]
 
-    for name in ENCODINGS:
-        decoder = codecs.getincrementaldecoder(name)()
-        try:
-            with open(path, "rb") as f:
-                while piece := f.read(1 << 20):
-                    decoder.decode(piece)
-                decoder.decode(b"", final=True)
-            return name
-        except UnicodeDecodeError:
-            continue
-    raise ValueError(f"cannot decode {path}")
+
+def content_digest(spark: SparkSession, path: str) -> str:
+    """A digest of a file of any size that tasks compute by ranges: the hashes of all lines with their numbers, added up, and the size in bytes.
+    It is the same however the file is cut into ranges."""
+    lines = numbered(_raw_lines(spark, path).select("bytes"))
+    h = F.sha2(F.concat(F.col("row_no").cast("string").cast("binary"), F.lit(":").cast("binary"), "bytes"), 256)
+    lanes = [F.coalesce(F.sum(F.conv(F.substring(h, 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("string") for k in range(8)]
+    return lines.select("bytes", "row_no").agg(F.sha2(F.concat_ws(":", F.lit(str(Place(path, spark).size())), *lanes), 256)).first()[0]
+
+
+def read_rows(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8-sig", keep_blank: bool = True) -> DataFrame:
+    """As read_text, with row_no from 1 in front: a file is read by as many tasks as it has ranges, also where cells have line breaks."""
+    plain = read_text(spark, str(path), delimiter, encoding, keep_blank=keep_blank)
+    if encoding not in PLAIN or len(delimiter) != 1:
+        return numbered(plain)
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"} | ({"nullValue": "\u0000", "emptyValue": ""} if keep_blank else {})
+    rows = read_ranges(spark, str(path), plain.columns, delimiter, encoding, options)
+    return rows if keep_blank else rows.select("row_no", *[F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")).alias(c) for c in plain.columns])
 
 
 def read_any_encoding(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
@@ -64,7 +81,7 @@ def each_file(folder: str, work: Callable[[str], object]) -> tuple[dict[str, obj
 
 
 def files_below(folder: str) -> list[str]:
-    return sorted(str(p) for p in Path(folder).rglob("*.csv"))
+    return [p for p in Place(folder).files() if p.endswith(".csv")]
 
 
 def numbered(df: DataFrame) -> DataFrame:

@@ -32,35 +32,39 @@ def run_profile(spark: SparkSession, raw_root: str, dataset: str, out: str, run:
 
 
 def run_validate(spark: SparkSession, raw_root: str, dataset: str, out: str, registry: Registry, run_date: dt.date, run: str | None = None, force: bool = False) -> dict:
-    """First validation of a landed batch. A run that has a ledger is left alone unless forced."""
+    """First validation of a landed batch. A run that was validated is left alone unless forced; one that was left half-way is done again."""
     manifest, rows = read_batch(spark, raw_root, dataset, run)
     result = Run(spark, out, dataset, manifest["ingestion_id"])
     if result.rounds():
         if not force:
             raise LayoutError(f"run {result.run_id} was validated before; force clears it")
-        result.clear()
+    result.clear()
     missing, extra = missing_and_extra(rows.drop("row_no", "record_id"), list(registry.columns), registry.generated)
     if missing:
         raise ConfigError(f"the file lacks the columns {missing}")
     started = now_utc()
     v = E.validate(rows, registry, run_date)
-    result.write(v.valid, "valid")
-    quarantine = result.write(v.quarantine, "records", 1)
-    result.write(v.errors, "errors", 1)
-    result.write(v.audit, "audit", 1)
-    ledger = result.write(C.open_ledger(quarantine, now_utc()), "ledger", 1)
-    result.append(ledger.select("record_id", "status", "round", "attempts", F.col("updated_at").alias("changed_at"), F.lit(1).alias("seq")), "history")
+    marker = "result-1"
+    result.write(v.valid, "valid", marker=marker)
+    quarantine = result.write(v.quarantine, "records", 1, marker)
+    result.write(v.errors, "errors", 1, marker)
+    result.write(v.audit, "audit", 1, marker)
+    ledger = result.write(C.open_ledger(quarantine, now_utc()), "ledger", 1, marker)
+    result.append(ledger.select("record_id", "status", "round", "attempts", F.col("updated_at").alias("changed_at"), F.lit(1).alias("seq")), "history", 1, marker)
     counts = E.run_counts(v).first().asDict()
     document = {
         "run_id": result.run_id, "dataset": dataset, "round": 1, "started_at": started, "finished_at": now_utc(), "counts": counts, "extra_columns": extra, "rules": _rows(E.rule_statistics(v)), "dimensions": _rows(E.dimension_statistics(v)),
         "missing": _rows(E.missing_by_column(v, rows)), "repairs": _rows(E.audit_counts(v)), "quarantine": _rows(E.quarantine_counts(v)), "auto_fixed_records": M.auto_fixed_records(v.audit, quarantine).first()[0],
     }
-    result.save("result-1", document)
+    result.save(marker, document)
     return document
 
 
 def _ledger(run: Run) -> DataFrame:
-    return run.need("ledger", run.rounds()[-1])
+    rounds = run.rounds()
+    if not rounds:
+        raise LayoutError(f"run {run.run_id} was not validated")
+    return run.need("ledger", rounds[-1])
 
 
 def run_template(run: Run, rules: list[str] | None = None, codes: list[str] | None = None) -> DataFrame:
@@ -79,16 +83,17 @@ def run_import(run: Run, lines: DataFrame, registry: Registry, user: str, dry_ru
         raise LayoutError(f"run {run.run_id} has no open record")
     got = C.import_lines(lines, ledger, run.need("records", number), registry, user, now_utc())
     if not dry_run:
-        before = run.read("log")
-        batch = 1 + ((before.agg(F.max("batch")).first()[0] or 0) if before is not None else 0)
-        run.append(got.accepted.select("*", F.lit(number).alias("round"), F.lit(batch).alias("batch")), "log")
-        run.append(got.refused.withColumn("round", F.lit(number)), "rejections")
+        batch = 1 + len(run.published("import"))
+        marker = f"import-{batch}"
+        run.append(got.accepted.select("*", F.lit(number).alias("round"), F.lit(batch).alias("batch")), "log", batch, marker)
+        run.append(got.refused.withColumn("round", F.lit(number)), "rejections", batch, marker)
+        run.save(marker, {"batch": batch, "round": number, "user": user, "imported_at": now_utc()})
     return got
 
 
 def corrections_of(run: Run, number: int) -> DataFrame:
     """The lines of a round that count: of several for one field, the newest."""
-    log = run.read("log")
+    log = run.appended("log", "import")
     if log is None:
         return run.spark.createDataFrame([], "record_id string, column string, old_value string, new_value string, action string, reason string, user string, corrected_at string, seq long")
     lines = log.filter(F.col("round") == number)
@@ -99,7 +104,9 @@ def corrections_of(run: Run, number: int) -> DataFrame:
 
 def resolved_of(run: Run) -> DataFrame | None:
     """Resolved records of all rounds, with their round."""
-    return run.read("resolved")
+    df = run.read("resolved")
+    rounds = [run.load(f"result-{n}")["revalidated_round"] for n in run.rounds() if n > 1]
+    return None if df is None or not rounds else df.filter(F.col("round").isin(rounds))
 
 
 def run_revalidate(run: Run, registry: Registry, run_date: dt.date, max_attempts: int = C.MAX_ATTEMPTS, everything: bool = False) -> dict | None:
@@ -112,13 +119,13 @@ def run_revalidate(run: Run, registry: Registry, run_date: dt.date, max_attempts
     got = C.revalidate(run.need("records", number), run.need("errors", number), corrections_of(run, number), ledger, run.need("valid"), before, registry, run_date, now_utc(), max_attempts, everything)
     if got is None:
         return None
-    next_ = last + 1
-    run.write(got.resolved, "resolved", number)
-    run.write(got.records, "records", next_)
-    run.write(got.errors, "errors", next_)
-    run.write(got.audit, "audit", next_)
-    new = run.write(got.ledger, "ledger", next_)
-    run.append(C.changed_entries(ledger, new).withColumn("seq", F.lit(next_)), "history")
+    next_, marker = last + 1, f"result-{last + 1}"
+    run.write(got.resolved, "resolved", number, marker)
+    run.write(got.records, "records", next_, marker)
+    run.write(got.errors, "errors", next_, marker)
+    run.write(got.audit, "audit", next_, marker)
+    new = run.write(got.ledger, "ledger", next_, marker)
+    run.append(C.changed_entries(ledger, new).withColumn("seq", F.lit(next_)), "history", next_, marker)
     routes = {r["route"]: r["count"] for r in got.routed.groupBy("route").count().collect()}
     document = {
         "run_id": run.run_id, "dataset": run.dataset, "round": next_, "revalidated_round": number, "started_at": started, "finished_at": now_utc(), "max_attempts": max_attempts,
@@ -128,7 +135,7 @@ def run_revalidate(run: Run, registry: Registry, run_date: dt.date, max_attempts
         },
         "status_totals": _rows(C.status_totals(new)), "rules": _rows(E.rule_statistics(got.validation)),
     }
-    run.save(f"result-{next_}", document)
+    run.save(marker, document)
     return document
 
 
@@ -136,15 +143,18 @@ def run_merge(run: Run) -> dict:
     """Writes the clean table; returns the counts of its parts."""
     valid, resolved, ledger = run.need("valid"), resolved_of(run), _ledger(run)
     clean = merge(valid, resolved, ledger)
-    version = 1 + len(list(run.documents.glob("merge-*.json")))
-    clean = run.write(clean.orderBy("record_id"), "clean", version)
+    version = 1 + len(run.published("merge"))
+    clean = run.write(clean.orderBy("record_id"), "clean", version, f"merge-{version}")
     counts = check_merged(clean, valid, resolved)
     run.save(f"merge-{version}", counts)
     return counts
 
 
 def clean_table(run: Run) -> DataFrame:
-    return run.need("clean", len(list(run.documents.glob("merge-*.json"))) or None)
+    versions = run.published("merge")
+    if not versions:
+        raise LayoutError(f"run {run.run_id} was not merged")
+    return run.need("clean", versions[-1])
 
 
 def run_metrics(spark: SparkSession, out: str, dataset: str) -> dict[str, DataFrame]:
@@ -155,7 +165,8 @@ def run_metrics(spark: SparkSession, out: str, dataset: str) -> dict[str, DataFr
         results = {n: run.load(f"result-{n}") for n in run.rounds()}
         c = results[1]["counts"]
         first = spark.createDataFrame([(run_id, c["processed"], c["accepted"], c["quarantined"])], "run_id string, processed long, valid long, quarantined long")
-        log, later = run.read("log"), []
+        log, later = run.appended("log", "import"), []
+        history = run.appended("history", "result")
         for n, r in results.items():
             if n == 1:
                 continue
@@ -172,13 +183,13 @@ def run_metrics(spark: SparkSession, out: str, dataset: str) -> dict[str, DataFr
         for n, r in results.items():
             stats = spark.createDataFrame([(x["rule_id"], x["type"], x["dimension"], x["severity"], x["checked"], x["detected"], x["remediated"], x["unresolved"]) for x in r["rules"]], "rule_id string, type string, dimension string, severity string, checked long, detected long, remediated long, unresolved long")
             tables["dq_rule_result"].append(M.rule_results(stats, run_id, n))
-        tables["dq_quarantine"].append(M.quarantine_history(run.need("history")).withColumn("run_id", F.lit(run_id)))
+        tables["dq_quarantine"].append(M.quarantine_history(history).withColumn("run_id", F.lit(run_id)))
         automatic = None
         for n in results:
             a = run.need("audit", n).select("record_id", "column", F.lit(n).alias("round"), "action", "rule_id", F.col("original_value").alias("old_value"), F.col("cleaned_value").alias("new_value"), "outcome")
             automatic = a if automatic is None else automatic.unionByName(a)
         if log is not None:
-            history, after = run.need("history"), None
+            after = None
             for n, r in results.items():
                 if n > 1:
                     s = history.filter(F.col("seq") == n).select("record_id", F.lit(r["revalidated_round"]).alias("round"), F.col("status").alias("status_after"))
