@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from dqloom.functions.numbers import find_number, number_text, to_number
 from dqloom.functions.temporal import parse, repair_time
 from dqloom.functions.text import comparison_key, shape, strip
+from dqloom.operators import dates as D
 from dqloom.plans.registry import Registry
 from dqloom.sources.shared import written
 
@@ -200,7 +201,7 @@ def infer_type(name: str, rates: dict | None) -> str:
     if enough("time"):
         return "time"
     if enough("date"):
-        return "date"
+        return "datetime" if rates.get("has_time") else "date"
     if rates["email"] >= TYPE_SHARE or hinted("email"):
         return "email"
     if rates["distinct"] <= CATEGORY_VALUES or rates["distinct"] <= CATEGORY_SHARE * rates["present"]:
@@ -237,7 +238,7 @@ def date_formats(evidence: list[dict] | None = None) -> list[str]:
     return [f"%m{x}%d{x}%Y" for x in sorted(proven)] + DATE_FORMATS
 
 
-def canonical(c: Column, kind: str, formats: list[str] = DATE_FORMATS, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
+def canonical(c: Column, kind: str, formats: list[str] = DATE_FORMATS, tokens: tuple[str, ...] = NULL_TOKENS, votes: list[dict] | None = None) -> Column:
     """The comparable form of a value in a column of a logical type; what can't be read keeps its text, a missing one is null."""
     text = c.cast("string")
     s = strip(text)
@@ -248,8 +249,8 @@ def canonical(c: Column, kind: str, formats: list[str] = DATE_FORMATS, tokens: t
     elif kind in ("integer", "float"):
         n = to_number(s)
         out = F.coalesce(number_text(F.when(n == 0, F.lit(0.0)).otherwise(n)), s)
-    elif kind == "date":
-        out = F.coalesce(parse(s, formats).cast("string"), s)
+    elif kind in ("date", "datetime"):
+        out = F.coalesce(D.column_value(text, votes).cast("string") if votes is not None else parse(s, formats).cast("string"), s)
     elif kind == "time":
         out = F.coalesce(repair_time(s), s)
     else:
@@ -343,7 +344,7 @@ def observations(stats: dict, rates: dict | None, kind: str, numeric: dict | Non
         ("SPELLING_VARIANTS", variants > 0), ("GENERIC_VALUES", generic > 0),
     ]
     if rates:
-        own = {"integer": "float", "float": "float", "date": "date", "time": "time", "phone": "phone", "email": "email"}.get(kind)
+        own = {"integer": "float", "float": "float", "date": "date", "datetime": "date", "time": "time", "phone": "phone", "email": "email"}.get(kind)
         checks += [("MIXED_TYPES", own in ("float", "date") and rates[own] < 1), ("OUT_OF_RANGE_TIMES", kind == "time" and rates["good_time"] < 1), ("INVALID_FORMAT", kind in ("phone", "email", "currency_code") and rates[kind] < 1), ("PLACEHOLDER_CODES", kind == "currency_code" and rates["placeholder_currency"] > 0), ("NUMBER_FORMAT_VARIANTS", own == "float" and rates["number_in_text"] > rates["float"])]
     if numeric:
         least = max(EXTREME_ROWS, EXTREME_SHARE * numeric["n"])
@@ -352,7 +353,7 @@ def observations(stats: dict, rates: dict | None, kind: str, numeric: dict | Non
         orders = {e["order"] for e in evidence}
         checks += [("FORMAT_VARIANTS", len(evidence) > 1), ("AMBIGUOUS_DATES", "ambiguous" in orders), ("MIXED_DATE_CONVENTIONS", "mixed" in orders or {"day_first", "month_first"} <= orders)]
     if dates and run_date:
-        checks += [("FUTURE_DATES", dates["max"] is not None and dates["max"] > run_date), ("VERY_OLD_DATES", dates["min"] is not None and dates["min"].year < 1900)]
+        checks += [("FUTURE_DATES", dates["max"] is not None and str(dates["max"])[:10] > str(run_date)), ("VERY_OLD_DATES", dates["min"] is not None and dates["min"].year < 1900)]
     return out + [code for code, found in checks if found]
 
 
@@ -362,6 +363,15 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
     counts = value_counts(df).persist()
     by = {r["column"]: r.asDict() for r in column_counts(counts, tokens).collect()}
     rates = {r["column"]: r.asDict() for r in type_rates(counts, tokens).collect()}
+    present = counts.filter(missing_kind(F.col("value"), tokens).isNull())
+    voted = D.evidence(present).persist()
+    votes: dict[str, list] = {}
+    for r in voted.collect():  # at most five rows for each column
+        votes.setdefault(r["column"], []).append(r.asDict() | {"order": D.order_of(r.asDict())})
+    dated = {r["column"]: r.asDict() for r in D.facts(D.read_counted(present, voted)).collect()}
+    for c, r in rates.items():
+        r |= {"date": dated[c]["dates"] / dated[c]["rows"], "has_time": dated[c]["has_time"]} if c in dated else {}
+    voted.unpersist()
     variants = {r["column"]: r["count"] for r in spelling_variants(counts, tokens).groupBy("column").count().collect()}
     generic = {r["column"]: r["n"] for r in generic_values(counts).groupBy("column").agg(F.sum("rows").alias("n")).collect()}
     tops: dict[str, list] = {}
@@ -374,11 +384,10 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
     for c in df.columns:
         stats, kind = by.get(c, {"rows": 0, "missing_count": 0, "token_count": 0, "whitespace_count": 0, "distinct_count": 0}), infer_type(c, rates.get(c))
         numeric = numeric_profile(df, c).first() if kind in ("integer", "float") else None
-        evidence = [r.asDict() for r in date_order_evidence(df, c).collect()] if kind == "date" else None
-        dates, forms[c] = None, canonical(_n(c), kind, date_formats(evidence), tokens)
-        if kind == "date":
-            t = df.select(parse(strip(_n(c).cast("string")), date_formats(evidence)).alias("t")).agg(F.min("t").alias("min"), F.max("t").alias("max")).first()
-            dates = {k: t[k].date() if t[k] else None for k in ("min", "max")}
+        evidence = votes.get(c, []) if kind in ("date", "datetime") else None
+        dates, forms[c] = None, canonical(_n(c), kind, tokens=tokens, votes=evidence)
+        if evidence is not None:
+            dates = {k: dated[c][k] if kind == "datetime" or dated[c][k] is None else dated[c][k].date() for k in ("min", "max")}
         notes = observations(stats, rates.get(c), kind, numeric.asDict() if numeric else None, variants.get(c, 0), generic.get(c, 0), evidence, run_date, dates)
         if c != c.strip():
             notes.append("COLUMN_NAME_WHITESPACE")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqloom.operators import corrections as C
+from dqloom.operators import dates as D
 from dqloom.operators import engine as E
 from dqloom.operators import merge as G
 from dqloom.operators import metrics as M
@@ -600,6 +601,39 @@ def date_order_evidence(spark, sf_dir):
     return P.date_order_evidence(df, "v")
 
 
+# Dates as text in four columns: day first with one stray in fifty, two-digit years month first, ISO with a time of day, year first with the day in front.
+_DATED = {
+    "d": ("if(o_orderkey % 50 = 1, date_format(o_orderdate, 'M/d/yyyy'), date_format(o_orderdate, 'd/M/yyyy'))", "CASE WHEN o_orderkey % 50 = 1 THEN strftime(o_orderdate, '%-m/%-d/%Y') ELSE strftime(o_orderdate, '%-d/%-m/%Y') END"),
+    "m": ("date_format(o_orderdate, 'MM.dd.yy')", "strftime(o_orderdate, '%m.%d.%y')"),
+    "t": ("concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T', lpad(cast(o_orderkey % 24 as string), 2, '0'), ':05:09+02:00')", "strftime(o_orderdate, '%Y-%m-%d') || 'T' || lpad((o_orderkey % 24)::VARCHAR, 2, '0') || ':05:09+02:00'"),
+    "y": ("date_format(o_orderdate, 'yyyy/dd/MM')", "strftime(o_orderdate, '%Y/%d/%m')"),
+}
+_DATED_SQL = " UNION ALL ".join(f"""SELECT '{c}' AS "column", {sql} AS v, o_orderdate AS d, o_orderkey AS k FROM orders""" for c, (_, sql) in _DATED.items())
+
+
+def _dated_counts(spark, sf_dir):
+    return P.value_counts(_t(spark, sf_dir, "orders").selectExpr(*[f"{text} as {c}" for c, (text, _) in _DATED.items()]))
+
+
+@_query(f"""WITH r AS ({_DATED_SQL}),
+p AS (SELECT "column", CASE WHEN "column" = 'y' THEN 'year_first' ELSE 'year_last' END AS layout, CASE WHEN "column" = 'm' THEN '.' ELSE '/' END AS separator, string_split(replace(v, '.', '/'), '/') AS x FROM r WHERE "column" <> 't'),
+q AS (SELECT "column", layout, separator, (CASE WHEN layout = 'year_first' THEN x[2] ELSE x[1] END)::INT AS a, (CASE WHEN layout = 'year_first' THEN x[3] ELSE x[2] END)::INT AS b FROM p)
+SELECT "column", layout, separator, count(*) AS rows, count(*) FILTER (a > 12) AS day_first_evidence, count(*) FILTER (b > 12) AS month_first_evidence, count(*) FILTER (a <= 12 AND b <= 12 AND a <> b) AS ambiguous, count(*) FILTER (a > 12) > count(*) FILTER (b > 12) AS day_first FROM q GROUP BY 1, 2, 3""")
+def date_votes(spark, sf_dir):
+    return D.evidence(_dated_counts(spark, sf_dir))
+
+
+@_query(f"""WITH r AS ({_DATED_SQL}),
+q AS (SELECT "column", CASE "column" WHEN 't' THEN d::TIMESTAMP + INTERVAL 1 HOUR * (k % 24 - 2) + INTERVAL 5 MINUTE + INTERVAL 9 SECOND
+  WHEN 'd' THEN CASE WHEN k % 50 <> 1 THEN d::TIMESTAMP WHEN day(d) <= 12 THEN make_timestamp(year(d), day(d), month(d), 0, 0, 0.0) END ELSE d::TIMESTAMP END AS t FROM r)
+SELECT "column", count(*) AS rows, count(t) AS dates, "column" = 't' AS has_time, strftime(min(t), '%Y-%m-%d %H:%M:%S') AS earliest, strftime(max(t), '%Y-%m-%d %H:%M:%S') AS latest, CASE WHEN "column" = 't' THEN 'datetime' ELSE 'date' END AS kind FROM q GROUP BY 1""")
+def date_facts(spark, sf_dir):
+    counts = _dated_counts(spark, sf_dir)
+    found = D.facts(D.read_counted(counts, D.evidence(counts)))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return found.select("column", "rows", "dates", "has_time", text("min").alias("earliest"), text("max").alias("latest"), F.when(F.col("has_time"), "datetime").otherwise("date").alias("kind"))
+
+
 @_query("""WITH x AS (SELECT CASE WHEN l_orderkey % 97 = 0 THEN 5000.0::DOUBLE WHEN l_orderkey % 89 = 0 THEN 0::DOUBLE WHEN l_orderkey % 83 = 0 THEN -3::DOUBLE ELSE l_quantity END AS x, l_orderkey % 10 = 0 AND l_quantity < 10 AND l_orderkey % 97 <> 0 AND l_orderkey % 89 <> 0 AND l_orderkey % 83 <> 0 AS lead FROM lineitem)
 SELECT round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, quantile_cont(x, 0.01) AS p1, quantile_cont(x, 0.05) AS p5, quantile_cont(x, 0.99) AS p99, sum(lead::INT)::BIGINT AS leading_zeros, sum((x = (SELECT min(x) FROM x))::INT)::BIGINT AS at_min FROM x""")
 def profile_moments(spark, sf_dir):
