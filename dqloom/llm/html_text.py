@@ -7,12 +7,14 @@ stochastic gradient on the log-likelihood (forward-backward). Pages label themse
 too, each is also trained on in variants: its article in a plain container, and sidebars, notices, comments, forms and the like
 of other pages' words around and inside it.
 
-Scripts, styles, comments, head, form controls and frames never give blocks. Parsing keeps going on unclosed or misnested tags
-of any depth, and an unknown declaration is a comment up to the next ``>``.
+Scripts, styles, comments, head, form controls, drawings and frames never give blocks; formulas and what stands in for media are text of their line. Parsing
+keeps going on unclosed or misnested tags of any depth: a head ends at the first thing that can't stand in one, a drawing or formula at the first HTML
+tag that ends it in browsers, a form control without an end tag at the next block; only script, style, textarea, title, iframe, noscript and template
+take the rest with them, as in browsers. An unknown declaration is a comment up to the next ``>``.
 
 Nulls and odd input: a null or empty html, or one without main text, gives the empty string and n_chars 0; a null id or url stays
-null; rows that repeat are each extracted; if no page of the table marks its article, a model trained on built-in
-pages of the same variants is used; an empty table gives an empty result; further columns are ignored.
+null; very long pages are read whole; rows that repeat or tie are each extracted; if no page of the table marks its article, a model trained on built-in
+pages of the same variants is used; an empty table gives an empty result; further columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -37,9 +39,20 @@ EPOCHS = 6
 SEED = 9
 N_FEATURES = 1 << 14
 
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym audio b bdi bdo big br canvas cite code data del dfn em font i img ins kbd label mark object q rp rt ruby s samp small span strike strong sub sup time tt u var video wbr".split())
+#: Formulas are part of their line.
+MATH = frozenset("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+INLINE |= MATH
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = frozenset("script style noscript template svg math textarea select option button iframe object canvas audio video head title datalist".split())
+NO_TEXT = frozenset("script style noscript template svg annotation annotation-xml textarea select option optgroup button iframe head title datalist".split())
+#: What may stand in a head; anything else ends it, also where its end tag is left out.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title script style noscript noframes template".split())
+#: Nothing in these is a tag but their own end.
+RAW = frozenset("script style textarea title iframe noscript".split())
+#: Form controls. One without an end tag ends at the next block.
+CONTROLS = frozenset("select option optgroup datalist button".split())
+#: Tags that end an svg or a formula that is still open (fixed by the HTML standard).
+BREAK_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var article section main aside".split())
 #: An opening tag of the first ends an open one of the second kind.
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": set(), "tbody": {"thead", "tbody", "tr"}}
 ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -84,9 +97,26 @@ class _Parser(HTMLParser):
         self.parts: list[str] = []
         self.in_link = 0
         self.sections = True
+        self.at = 0
+        self.no_end: dict[str, int] = {}
 
     def updatepos(self, i: int, j: int) -> int:
-        return j  # line numbers are not needed
+        self.at = j  # line numbers are not needed
+        return j
+
+    def _has_end(self, tag: str) -> bool:
+        """Whether an end tag follows before the next tag of the same name opens."""
+        if self.at >= self.no_end.get(tag, len(self.rawdata) + 1):
+            return False
+        end = re.compile(f"</{tag}[\\s/>]", re.I).search(self.rawdata, self.at)
+        if not end:
+            self.no_end[tag] = self.at
+            return False
+        return not re.compile(f"<{tag}[\\s/>]", re.I).search(self.rawdata, self.at, end.start())
+
+    def _leave(self, tags: frozenset | set) -> None:
+        """Closes the outermost open one of these tags and all in it."""
+        self._pop(min(self.places[t][0] for t in tags if t in self.places))
 
     def parse_html_declaration(self, i: int) -> int:
         return super().parse_html_declaration(i) if not self.rawdata.startswith("<![", i) else self.parse_marked_section(i)
@@ -142,11 +172,27 @@ class _Parser(HTMLParser):
         if at >= 0 and at >= self._last(until):
             self._pop(at)
 
+    def _raw(self) -> str | None:
+        tag = self.stack[-1][0] if self.stack else None
+        return tag if tag in RAW and "svg" not in self.places else None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self._raw():
+            return
         if tag not in INLINE:
             self._flush()
         elif tag == "br":
             self.parts.append(" ")
+        if "head" in self.places and tag not in IN_HEAD:
+            self._flush()
+            self._leave({"head"})
+        if tag in BREAK_OUT and ("svg" in self.places or "math" in self.places) and "foreignobject" not in self.places:
+            self._flush() if tag not in INLINE or "svg" in self.places else None
+            self._leave({"svg", "math"})
+        if tag not in INLINE and tag not in CONTROLS and tag not in VOID and tag != "svg":
+            lost = {t for t in CONTROLS if t in self.places and not self._has_end(t)}
+            if lost and not any(t in self.places and t not in lost for t in ("select", "datalist", "button")):
+                self._leave(lost)
         if tag in ENDS_P:
             self._close_open({"p"}, frozenset(("div", "article", "section", "td", "li", "body", "main", "aside", "blockquote", "button")))
         if tag in IMPLIED:
@@ -173,12 +219,17 @@ class _Parser(HTMLParser):
         self.handle_starttag(tag, attrs)  # browsers read <div/> as <div>
 
     def handle_endtag(self, tag: str) -> None:
+        if self._raw() not in (None, tag):
+            return
         if tag not in INLINE:
             self._flush()
         self._close_open({tag})
 
     def handle_data(self, data: str) -> None:
         top = self.stack[-1] if self.stack else _TOP
+        if top[0] == "head" and data.strip():
+            self._leave({"head"})
+            top = self.stack[-1] if self.stack else _TOP
         if top[4]:
             return
         self.parts.append(data)

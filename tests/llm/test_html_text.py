@@ -88,3 +88,37 @@ def test_comments_end_as_in_browsers():
     texts = lambda html: [b.text for b in H.blocks(html)]
     assert texts("<p>a</p><!-- unclosed <p>b") == ["a"]
     assert texts("<p>a</p><!--> <p>b</p><!---> <p>c</p><!-- x --!><p>d</p><!-- y > --><p>e</p>") == ["a", "b", "c", "d", "e"]
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<html><head><title>T</title><body><article><h1>H</h1><p>one</article>", ["H", "one"]),
+        ("<head><title>T</title><p>one<p>two", ["one", "two"]),
+        ("<head><meta charset=x><title>T</title>plain text", ["plain text"]),
+        ("<p>a</p><button>Go<p>b</p><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><button><div>Go</div></button><p>b</p><button>More</button>c", ["a", "b", "c"]),
+        ("<p>a</p><select><option>1<option>2<p>b</p>", ["a", "b"]),
+        ("<p>a</p><select><option>1</option></select>b<p>c", ["a", "b", "c"]),
+        ("<p>a <object>b</object> <video>c</p><p>d</p>", ["a b c", "d"]),
+        ("<p>a</p><svg><title>t</title><text>no</text><p>b</p><svg><g>no</g></svg><p>c", ["a", "b", "c"]),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be a number.</p>", ["Let x=1 be a number."]),
+        ("<p>Let <math><mi>x</mi><p>next</p>", ["Let x", "next"]),
+        ("<p>a<iframe><p>no</iframe><p>b<textarea><p>no</textarea><p>c", ["a", "b", "c"]),
+    ],
+)
+def test_left_out_end_tags_lose_nothing(html, want):
+    assert [b.text for b in H.blocks(html)] == want
+
+
+def test_pages_without_end_of_head_and_very_long_ones(model):
+    body = "".join(f"<p>Sentence number {i} of the story goes on, and on." for i in range(20000))
+    html = f"<html><head><title>T</title><body><nav><a href=x>Menu</a></nav><article>{body}</article>"
+    assert H.main_text(html, model) == "\n\n".join(f"Sentence number {i} of the story goes on, and on." for i in range(20000))
+
+
+def test_clashing_columns(spark, tmp_path, model):
+    df = spark.createDataFrame([(1, "u", PAGE, "a", 2)], "page_id long, url string, html string, text string, n_chars long")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    got = H.op5(spark, str(tmp_path)).collect()[0]
+    assert got.text.startswith("Big news") and got.n_chars == len(got.text)
