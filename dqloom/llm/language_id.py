@@ -29,6 +29,8 @@ from dqloom.llm.common import table
 
 DICT_BYTES = 32 * 1024
 SAMPLE = 120
+#: A shorter dictionary is repeated, as the compressor takes none below eight bytes.
+LEAST_BYTES = 8
 BLOCK = 1500
 #: Level, least match and strategy for texts, and for those under SHORT bytes, where each match counts.
 USUAL = (8, 4, "STRATEGY_LAZY2")
@@ -44,7 +46,9 @@ def in_fold(id_: Column, of: int, rest: int) -> Column:
     return F.coalesce(F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % of == rest, F.lit(False))
 
 
-_OTHER = re.compile(r"[\W\d_]+")
+#: All but letters: numbers such as ², ½ or Ⅳ are word characters to a pattern.
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_OTHER = re.compile(rf"[\W\d_{_NUMBERS}]+")
 
 
 def plain(text: str) -> str:
@@ -71,10 +75,13 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
                 left -= len(b)
         if not got and len(pdf):  # every text is longer than the dictionary
             got = [plain(min(pdf["text"], key=len)).encode("utf-8", "replace")[:DICT_BYTES]]
-        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "dict": [b"".join(got)]})
+        learned = b"".join(got)
+        if 1 < len(learned) < LEAST_BYTES:  # all there is of the language
+            learned *= LEAST_BYTES
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "dict": [learned]})
 
     out = some.groupBy("lang").applyInPandas(fill, "lang string, dict binary").collect()
-    return {r["lang"]: bytes(r["dict"]) for r in sorted(out, key=lambda r: (-counts[r["lang"]], r["lang"])) if len(r["dict"]) >= 8}
+    return {r["lang"]: bytes(r["dict"]) for r in sorted(out, key=lambda r: (-counts[r["lang"]], r["lang"])) if len(r["dict"]) > 1}
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", margin: float = MARGIN) -> DataFrame:

@@ -106,3 +106,15 @@ def test_a_very_long_text_and_clashing_columns(spark):
     long = "calm words here " * 100_000 + "vile vile vile " * 5 + "calm words here " * 100_000
     rows = toxicity.score(spark.createDataFrame([(1, long, 7.0, "x"), (2, None, None, None)], "doc_id long, text string, score double, p string"), model).collect()
     assert [(x.first, x.last) for x in rows[0].passages] == [(300_000, 300_014)] and rows[0].row.score == 7.0 and rows[1].passages == []
+
+
+def test_numbers_are_no_letters_and_tiny_languages_are_learned(spark):
+    from dqloom.llm import language_id as L
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"the quick brown fox number {i} jumps over the lazy dog", "en") for i in range(30)] + [(100, "ja", "xx"), (101, "½ ② ²", None), (102, "Ⅳ 42 _", "en"), (103, "ja ja", None), (104, "x" * 300_000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("row", F.lit(1)).withColumn("p", F.lit(2)).withColumn("score", F.lit("x"))
+    learned = L.learn(df)
+    assert set(learned) == {"en", "xx"} and len(learned["xx"]) >= 8
+    got = {r["row"]["doc_id"]: (r.lang_pred, r.score) for r in L.classify(df, learned).collect()}
+    assert got[101] == got[102] == ("und", 0.0) and got[103][0] in learned and got[3][0] == "en" and len(got) == len(rows)
