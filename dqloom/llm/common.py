@@ -53,10 +53,17 @@ def discard(*tables: DataFrame) -> None:
 
 
 def release() -> None:
-    """For the end of a task: gives what Arrow has freed back, as the worker process lives on."""
+    """For the end of a task: gives what Arrow and Python have freed back to the system, as the worker process lives on."""
+    import ctypes
+    import gc
+
     import pyarrow as pa
 
     pa.default_memory_pool().release_unused()
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
+    if trim:
+        trim(0)
 
 
 def whole(text: Column) -> Column:

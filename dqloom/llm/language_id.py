@@ -25,7 +25,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import table
+from dqloom.llm.common import release, table
 
 DICT_BYTES = 32 * 1024
 SAMPLE = 120
@@ -46,14 +46,16 @@ def in_fold(id_: Column, of: int, rest: int) -> Column:
     return F.coalesce(F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % of == rest, F.lit(False))
 
 
-#: All but letters: numbers such as ², ½ or Ⅳ are word characters to a pattern.
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_OTHER = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_OTHER = re.compile(r"[\W\d_]+")
 
 
 def plain(text: str) -> str:
     """Lower-case words with one space around each; a space alone if there is no letter."""
-    return _OTHER.sub(" ", f" {text.lower()} ")
+    words = _OTHER.sub(" ", f" {text.lower()} ")
+    if words == " " or words.replace(" ", "").isalpha():
+        return words
+    # Numbers such as ², ½ or Ⅳ are word characters to a pattern, but no letters.
+    return " ".join(["", *"".join(c if c.isalpha() else " " for c in words).split(), ""]) if any(map(str.isalpha, words)) else " "
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, bytes]:
@@ -112,6 +114,9 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
 
         for batch in batches:
             yield pd.DataFrame([one(t) for t in batch], columns=["lang", "score", "rejected"])
+        usual.clear()
+        fine.clear()
+        release()
 
     told = F.pandas_udf(run, "lang string, score double, rejected boolean")
     rows = docs.select(F.struct("*").alias("row")).withColumn("p", told(F.col(f"row.{text_col}")))

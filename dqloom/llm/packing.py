@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import WORD, n_words, table, written
+from dqloom.llm.common import WORD, n_words, release, table, written
 from dqloom.llm.exact_dedup import text_digest
 
 CAPACITY = 2048
@@ -144,6 +144,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = pack_shard(pdf, capacity, per_source)
         out["bin_id"] = out["shard"] * (1 << 32) + out["bin"]
+        release()
         return out[["id", "copy", "piece", "start", "n_words", "source", "cluster", "size", "bin_id", "position"]]
 
     placed = some.groupBy("shard").applyInPandas(run, _PLACED)
@@ -167,6 +168,7 @@ def packed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for some in batches:
             yield pd.Series([[None] if t is None else cut_text(t, capacity) for t in some], dtype=object)
+        release()
 
     # A row that repeats id and text has the same parts; of texts of one id that differ in white space only, one is taken.
     parts = texts.select(*keys, "h", F.posexplode(F.pandas_udf(cut, "array<string>")("text")).alias("p", "part"))
