@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dqloom.llm.common import table, written
+from dqloom.llm.common import discard, table, written
 from dqloom.llm.exact_dedup import drop_copies
 from dqloom.llm.language_id import keep_identified
 from dqloom.llm.mixing import mix
@@ -76,5 +76,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(before)  # nothing reads a stage's rows once the next stage's are written
     return STAGES[-1][1](spark, docs, sf_dir)
