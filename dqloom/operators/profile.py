@@ -1,7 +1,7 @@
 """Profile of text columns: what they hold, which types they look like, how they depend on each other.
 
-The base is one aggregation, (column, value, count) in long form: every per-column figure is taken from it, so a table is read
-once however many columns it has. Relationships use the same long form by (key column, other column).
+The base is one aggregation, (column, value, count) in long form: per-column figures are taken from it, those of dates too; numeric
+columns are read once more each for moments and percentiles. Relationships use the same long form by (key column, other column).
 """
 
 from __future__ import annotations
