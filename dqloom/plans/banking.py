@@ -174,6 +174,6 @@ def rules() -> dict:
             {"id": "DQ-PRE-002", "type": "null_tokens", "columns": "all", "dimension": "completeness", "severity": "info", "remediation": {"action": "set_null"}},
             {"id": "DQ-PRE-003", "type": "duplicate_rows", "dimension": "uniqueness", "severity": "info", "remediation": {"action": "drop_duplicates"}},
         ],
-        "schema_checks": {"on_accept": "set_null", "defaults": {"allowed_values": repaired, "reference": repaired}, "columns": columns},
+        "schema_checks": {"on_accept": "set_null", "defaults": {"allowed_values": repaired, "reference": {**repaired, "dimension": "integrity"}, "not_null": {"dimension": "completeness"}, "unique": {"dimension": "uniqueness"}}, "columns": columns},
         "rules": out,
     }
