@@ -684,6 +684,17 @@ def missing_fields(spark, sf_dir):
     return W.missing_fields(_segments(spark, sf_dir).errors).withColumn("columns", F.concat_ws(",", "columns"))
 
 
+@_query("""WITH e AS (SELECT c_custkey AS k, 'segment' AS "column", CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN lower(c_mktsegment) ELSE c_mktsegment END AS value FROM customer
+UNION ALL SELECT c_custkey, 'code', CASE WHEN c_custkey % 6 = 0 THEN c_name || 'x' ELSE c_name END FROM customer UNION ALL SELECT c_custkey, 'size', CASE c_custkey % 7 WHEN 0 THEN '7.5' WHEN 1 THEN 'many' ELSE (c_custkey % 60)::VARCHAR END FROM customer)
+SELECT k, "column", value, CASE "column" WHEN 'segment' THEN CASE WHEN value = '' THEN 'Segment cannot be empty.' WHEN value NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY') THEN 'Choose one of the listed values for segment.' END
+  WHEN 'code' THEN CASE WHEN NOT regexp_full_match(value, 'Customer#[0-9]{9}') THEN 'Code is not written the expected way. For example: Customer#000000001' END
+  ELSE CASE WHEN try_cast(value AS DOUBLE) IS NULL OR try_cast(value AS DOUBLE) % 1 <> 0 OR try_cast(value AS DOUBLE) NOT BETWEEN 1 AND 50 THEN 'Enter a whole number between 1 and 50.' END END AS mistake FROM e""")
+def typed_entries(spark, sf_dir):
+    registry = _registry({"segment": {"nullable": False, "allowed_values": SEGMENTS}, "code": {"pattern": "Customer#[0-9]{9}"}, "size": {"type": "integer", "min": 1, "max": 50}})
+    texts = "stack(3, 'segment', case c_custkey % 5 when 0 then '' when 1 then lower(c_mktsegment) else c_mktsegment end, 'code', if(c_custkey % 6 = 0, concat(c_name, 'x'), c_name), 'size', case c_custkey % 7 when 0 then '7.5' when 1 then 'many' else cast(c_custkey % 60 as string) end) as (column, value)"
+    return W.judge_entries(_t(spark, sf_dir, "customer").selectExpr("c_custkey as k", texts), registry, RUN_DATE, {"code": "Customer#000000001"})
+
+
 @_query("SELECT 'ING_ROW_' || lpad(row_number() OVER (ORDER BY c_custkey)::VARCHAR, greatest(6, length(row_number() OVER (ORDER BY c_custkey)::VARCHAR))::INT, '0') AS record_id, row_number() OVER (ORDER BY c_custkey) AS row_no, c_custkey::VARCHAR AS c_custkey FROM customer")
 def record_ids(spark, sf_dir):
     df = _t(spark, sf_dir, "customer").orderBy("c_custkey").selectExpr("cast(c_custkey as string) as c_custkey")

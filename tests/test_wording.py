@@ -33,15 +33,22 @@ def test_sentences_and_titles(spark):
     assert [tuple(x) for x in W.missing_fields(errors).collect()] == [("1", ["note"], 1)]
 
 
-def test_fields():
+def test_typed_values_are_judged_by_the_rules(spark):
     r, day = registry(), dt.date(2024, 5, 1)
-    f = {c: W.field(r, c, day) for c in SCHEMA["columns"]}
-    assert f["customer_id"].mistake("") == "Customer ID cannot be empty." and f["customer_id"].mistake("x") == "Customer ID is not written the expected way." and not f["customer_id"].mistake("C7")
-    assert not f["age"].mistake("") and not f["age"].mistake("18") and f["age"].mistake("17") == f["age"].mistake("20.5") == f["age"].mistake("x") == "Enter a whole number between 18 and 99."
-    assert f["fee"].mistake("0") == "Enter a number above 0." and not f["fee"].mistake("0.1") and f["fee"].help == "Must be above 0."
-    assert f["kind"].mistake("c") == "Choose one of the listed values for kind." and not f["kind"].mistake("a")
-    assert (f["born"].low, f["born"].high) == (dt.date(1900, 1, 1), day)
-    assert f["at"].mistake("25:00:00").endswith("For example: 14:30:00") and not f["at"].mistake("14:30:00") and f["note"].kind == "text"
+    forms = W.entry_forms(r, day)
+    assert [forms[c]["kind"] for c in SCHEMA["columns"]] == ["text", "number", "number", "date", "choice", "text", "text"] and [c for c in forms if forms[c]["required"]] == ["customer_id"]
+    assert forms["fee"]["help"] == "Must be above 0." and forms["born"]["checks"]["range"]["max"].date() == day and forms["kind"]["checks"]["allowed_values"] == {"values": ["a", "b"]}
+    whole, written = "Enter a whole number between 18 and 99.", "Customer ID is not written the expected way."
+    cases = {
+        ("customer_id", ""): "Customer ID cannot be empty.", ("customer_id", None): "Customer ID cannot be empty.", ("customer_id", "x"): written + " For example: C12", ("customer_id", "C7"): None,
+        ("age", ""): None, ("age", "18"): None, ("age", "17"): whole, ("age", "20.5"): whole, ("age", "x"): whole, ("fee", "0"): "Enter a number above 0.", ("fee", "0.1"): None,
+        ("kind", "c"): "Choose one of the listed values for kind.", ("kind", "a"): None, ("born", "2024-05-01"): None, ("born", "2024-05-02"): "Enter a date (YYYY-MM-DD) at most today.", ("born", "soon"): "Enter a date (YYYY-MM-DD) at most today.",
+        ("at", "25:00:00"): "At is not written the expected way. For example: 14:30:00", ("at", "14:30:00"): None, ("note", "x"): None, ("none such", "x"): None,
+    }
+    entries = spark.createDataFrame([(*k, i) for i, k in enumerate(cases)], "column string, value string, more int")
+    got = W.judge_entries(entries, r, day, {"customer_id": "C12"})
+    assert got.columns == ["column", "value", "more", "mistake"] and {(x["column"], x.value): x.mistake for x in got.collect()} == cases
+    assert W.judge_entries(entries.limit(0), r, day).count() == 0
 
 
 def test_rows_are_numbered_in_order(spark):
