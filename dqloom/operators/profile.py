@@ -1,13 +1,12 @@
 """Profile of text columns: what they hold, which types they look like, how they depend on each other.
 
-The base is one aggregation, (column, value, count) in long form: per-column figures are taken from it, those of dates too; numeric
-columns are read once more each for moments and percentiles. Relationships use the same long form by (key column, other column).
+The base is one aggregation, (column, value, count) in long form, with digests of whole rows: the table is read once for all figures of columns, of numbers and
+dates too, and for repeated rows. Relationships with key columns are in ``relations``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +15,9 @@ from dqloom.functions.numbers import find_number, number_text, to_number
 from dqloom.functions.temporal import parse, repair_time
 from dqloom.functions.text import comparison_key, shape, strip
 from dqloom.operators import dates as D
+from dqloom.operators import relations as R
 from dqloom.plans.registry import Registry
-from dqloom.sources.shared import written
+from dqloom.sources.shared import discard, written
 
 # Words for a missing value.
 NULL_TOKENS = ("null", "none", "nan", "n/a", "na", "#n/a", "nil", "-", "--", "?")
@@ -34,9 +34,7 @@ TYPE_SHARE, HINTED_SHARE = 0.80, 0.50
 CATEGORY_VALUES, CATEGORY_SHARE = 50, 0.05
 FAR_IQR, NEAR_IQR = 3.0, 1.5
 EXTREME_SHARE, EXTREME_ROWS = 0.001, 2
-NEAR_KEY = 0.99
-AGREEMENT, ERROR_RATIO = 0.95, 0.2
-SHARED_KEYS, SHARED_FACTOR = 10, 10
+PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 MISSING_SHARE, PURITY, COVERAGE, MAX_CATEGORIES = 0.01, 0.98, 0.90, 30
 EMAIL = r"[^@\s]+@[^@\s]+\.[^@\s]+"
 PHONE = r"\+?[\d\s().\-]{7,20}"
@@ -54,10 +52,13 @@ def missing_kind(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     return F.when(c.isNull(), "null").when(s == "", "blank").when(s.isin(*tokens), "token")
 
 
-def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column, value, n) over all columns."""
+def value_counts(df: DataFrame, columns: list[str] | None = None, whole_rows: bool = False) -> DataFrame:
+    """(column, value, n) over all columns; with whole_rows also digests of rows, under the column null."""
     columns = columns or df.columns
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _n(c).cast("string").alias("value")) for c in columns])).alias("p")
+    values = [F.struct(F.lit(c).alias("column"), _n(c).cast("string").alias("value")) for c in columns]
+    if whole_rows:
+        values.append(F.struct(F.lit(None).cast("string").alias("column"), row_digest(df, columns).alias("value")))
+    pairs = F.explode(F.array(*values)).alias("p")
     return df.select(pairs).groupBy("p.column", "p.value").agg(F.count("*").alias("n"))
 
 
@@ -104,46 +105,51 @@ def generic_values(counts: DataFrame) -> DataFrame:
     return counts.withColumn("key", comparison_key(F.col("value"))).filter(F.col("key").isin(*GENERIC)).groupBy("column", F.col("key").alias("label")).agg(F.sum("n").alias("rows"))
 
 
-def numeric_profile(df: DataFrame, column: str) -> DataFrame:
-    """One row: count, range, moments, exact percentiles, outliers, and special values of a column of numbers in text.
+def numeric_values(counts: DataFrame) -> DataFrame:
+    """(column, x, n, lead, part) of the values of counts that are numbers, written by ranges of (column, x)."""
+    value = F.col("value")
+    rows = counts.select("column", to_number(value).alias("x"), F.when(strip(value).rlike(r"\A[+-]?0\d"), F.col("n")).otherwise(0).alias("lead"), "n").filter("x is not null")
+    values = rows.groupBy("column", "x").agg(F.sum("n").alias("n"), F.sum("lead").alias("lead"))
+    return written(values.repartitionByRange("column", "x").withColumn("part", F.spark_partition_id()), "values")
+
+
+def numeric_profiles(values: DataFrame) -> DataFrame:
+    """By column of numeric_values: count, range, moments, exact percentiles, outliers, and special values.
 
-    Everything is taken from (number, count), dealt by ranges: a percentile's place is found by the counts of whole ranges, then by running sums in one.
+    A percentile's place is found by the counts of whole ranges, then by running sums in one. All columns go together; tables of one row for each column are broadcast.
     """
-    text = _n(column).cast("string")
-    rows = df.select(to_number(text).alias("x"), strip(text).rlike(r"\A[+-]?0\d").cast("long").alias("lead")).filter("x is not null")
-    values = rows.groupBy("x").agg(F.count("*").alias("n"), F.sum("lead").alias("lead"))
-    values = written(values.repartitionByRange("x").withColumn("part", F.spark_partition_id()), "values")
-    b = values.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"), F.sum("lead").alias("leading_zeros")).first().asDict()
-    shares, last = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99], b["n"] - 1
-    ranks = sorted({f(p * last) for p in shares for f in (math.floor, math.ceil)}) if b["n"] else []
-    at = {}
-    if ranks:
-        before = values.groupBy("part").agg(F.sum("n").alias("m")).select(F.col("part").alias("of"), (F.expr("sum(m) over (order by part)") - F.col("m")).alias("before"))
-        placed = values.join(F.broadcast(before), F.col("part") == F.col("of"))  # as many rows as ranges
-        placed = placed.withColumn("upto", F.col("before") + F.expr("sum(n) over (partition by part order by x rows unbounded preceding)"))
-        at = placed.agg(*[F.max(F.when((F.col("upto") - F.col("n") <= r) & (F.col("upto") > r), F.col("x"))).alias(str(r)) for r in ranks]).first().asDict()
-
-    def percentile(p: float) -> float | None:
-        if not at:
-            return None
-        place = p * last
-        low, high = math.floor(place), math.ceil(place)
-        return at[str(low)] if low == high else (high - place) * at[str(low)] + (place - low) * at[str(high)]
-
-    quantiles = {f"p{round(100 * p)}": percentile(p) for p in shares}
-    x, known = F.col("x"), b["n"] > 0
-    iqr = (quantiles["p75"] - quantiles["p25"]) if known else 0.0
-    low, high = (quantiles["p25"], quantiles["p75"]) if known else (0.0, 0.0)
-    some = lambda when: F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0))
-    spread = F.sum(F.col("n") * F.pow(x - F.lit(b["mean"]), 2)) / (F.sum("n") - 1) if b["n"] > 1 else F.lit(None).cast("double")
-    second = values.agg(
-        F.sqrt(spread).alias("std"), some((x < low - NEAR_IQR * iqr) | (x > high + NEAR_IQR * iqr)).alias("outliers"), some((x < low - FAR_IQR * iqr) | (x > high + FAR_IQR * iqr)).alias("far_outliers"),
-        some(x == 0).alias("zeros"), some(x < 0).alias("negatives"), some(x == F.lit(b["min"])).alias("at_min"), some(x == F.lit(b["max"])).alias("at_max"),
-    )
-    whole = ("n", "leading_zeros")
-    facts = {**{k: b[k] for k in ("n", "min", "max", "mean")}, **quantiles, "leading_zeros": b["leading_zeros"]}
-    first = [F.lit(v).cast("long" if k in whole else "double").alias(k) for k, v in facts.items()]
-    return second.select(*first[:4], "std", *first[4:], "outliers", "far_outliers", "zeros", "negatives", "at_min", "at_max")
+    x, n = F.col("x"), F.col("n")
+    total = F.sum("n")
+    base = values.groupBy("column").agg(total.alias("of"), F.min("x").alias("min"), F.max("x").alias("max"), (F.sum(x * n) / total).alias("mean"), F.sum("lead").alias("leading_zeros"))
+    before = values.groupBy("column", "part").agg(total.alias("m")).select("column", "part", (F.expr("sum(m) over (partition by column order by part)") - F.col("m")).alias("before"))
+    placed = values.join(F.broadcast(before), ["column", "part"]).join(F.broadcast(base.select("column", "of")), "column")  # as many rows as ranges and columns
+    upto = F.col("before") + F.expr("sum(n) over (partition by column, part order by x rows unbounded preceding)")
+    places = {f"p{round(100 * p)}": F.lit(p) * (F.col("of") - 1) for p in PERCENTILES}
+    at = lambda place: F.max(F.when((F.col("upto") - n <= place) & (F.col("upto") > place), x))
+    ends = [f(place) for place in places.values() for f in (F.floor, F.ceil)]
+    found = placed.withColumn("upto", upto).groupBy("column").agg(*[at(e).alias(f"e{i}") for i, e in enumerate(ends)])
+    facts = base.join(found, "column")
+    for i, (name, place) in enumerate(places.items()):
+        low, high = F.col(f"e{2 * i}"), F.col(f"e{2 * i + 1}")
+        facts = facts.withColumn(name, F.when(F.floor(place) == F.ceil(place), low).otherwise((F.ceil(place) - place) * low + (place - F.floor(place)) * high))
+    facts = facts.select("column", F.col("of").alias("rows"), "min", "max", "mean", *places, "leading_zeros")
+    some = lambda when: F.coalesce(F.sum(F.when(when, n)), F.lit(0))
+    iqr, low, high = F.col("p75") - F.col("p25"), F.col("p25"), F.col("p75")
+    beyond = lambda k: some((x < low - k * iqr) | (x > high + k * iqr))
+    square = F.sum(n * F.pow(x - F.col("mean"), 2))
+    second = values.join(F.broadcast(facts), "column").groupBy("column").agg(
+        F.sqrt(F.when(total > 1, square / (total - 1))).alias("std"), beyond(NEAR_IQR).alias("outliers"), beyond(FAR_IQR).alias("far_outliers"), some(x == 0).alias("zeros"), some(x < 0).alias("negatives"),
+        some(x == F.col("min")).alias("at_min"), some(x == F.col("max")).alias("at_max"),
+    )
+    return facts.join(F.broadcast(second), "column").select("column", F.col("rows").alias("n"), "min", "max", "mean", "std", *places, "leading_zeros", "outliers", "far_outliers", "zeros", "negatives", "at_min", "at_max")
+
+
+def numeric_profile(df: DataFrame, column: str) -> DataFrame:
+    """numeric_profiles of one column: one row, of no numbers too."""
+    found = numeric_profiles(numeric_values(value_counts(df, [column])))
+    numbers = ("n", "outliers", "far_outliers", "zeros", "negatives", "at_min", "at_max")
+    one = df.sparkSession.range(1).select(F.lit(column).alias("column")).join(found, "column", "left")
+    return one.select(*[F.coalesce(c, F.lit(0)).alias(c) if c in numbers else c for c in found.columns if c != "column"])
 
 
 def type_rates(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
@@ -219,16 +225,23 @@ def date_order_evidence(df: DataFrame, column: str) -> DataFrame:
     return out.withColumn("order", order)
 
 
+def row_digest(df: DataFrame, columns: list[str]) -> Column:
+    return F.sha2(F.to_json(F.struct(*[_n(c) for c in columns]), {"ignoreNullFields": "false"}), 256)
+
+
 def duplicate_row_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows that repeat an earlier one; nulls are equal."""
-    key = F.sha2(F.to_json(F.struct(*[_n(c) for c in (columns or df.columns)]), {"ignoreNullFields": "false"}), 256)
-    return df.groupBy(key.alias("k")).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_rows"))
+    return repeated_rows(df.groupBy(row_digest(df, columns or df.columns).alias("value")).agg(F.count("*").alias("n")))
+
+
+def repeated_rows(digests: DataFrame) -> DataFrame:
+    return digests.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def candidate_keys(column_stats: DataFrame) -> DataFrame:
     """Columns without missing or repeated values are keys; nearly so, near keys."""
     share = F.col("distinct_count") / F.col("rows")
-    kind = F.when((F.col("missing_count") == 0) & (F.col("distinct_count") == F.col("rows")), "key").when((F.col("missing_count") == 0) & (share >= NEAR_KEY), "near_key")
+    kind = F.when((F.col("missing_count") == 0) & (F.col("distinct_count") == F.col("rows")), "key").when((F.col("missing_count") == 0) & (share >= R.NEAR_KEY), "near_key")
     return column_stats.select("column", F.round(share, 6).alias("distinct_share"), kind.alias("kind")).filter("kind is not null")
 
 
@@ -258,55 +271,9 @@ def canonical(c: Column, kind: str, formats: list[str] = DATE_FORMATS, tokens: t
     return F.when(missing_kind(text, tokens).isNull(), out)
 
 
-def pair_counts(df: DataFrame, keys: list[str], others: list[str], forms: dict[str, Column] | None = None) -> DataFrame:
-    """(key, column, k, v, n) for every pair of a key column and another, in one shuffle; forms has the comparable forms of columns."""
-    present = lambda c: (forms or {}).get(c, F.when(missing_kind(_n(c).cast("string")).isNull(), _n(c).cast("string")))
-    structs = [F.struct(F.lit(k).alias("key"), F.lit(c).alias("column"), _n(k).alias("k"), _n(c).alias("v")) for k in keys for c in others if k != c]
-    long = df.select(*[present(c).alias(c) for c in dict.fromkeys([*keys, *others])]).select(F.explode(F.array(*structs)).alias("p")).select("p.*").filter("k is not null and v is not null")
-    return long.groupBy("key", "column", "k", "v").agg(F.count("*").alias("n"))
-
-
-def consistency(pairs: DataFrame) -> DataFrame:
-    """By (key, column): how far each key has one value. Conflicting rows differ from their key's most frequent value."""
-    keys = pairs.groupBy("key", "column", "k").agg(F.sum("n").alias("rows"), F.count("*").alias("values"), F.max("n").alias("top"))
-    out = keys.groupBy("key", "column").agg(
-        F.sum("rows").alias("rows"), F.count("*").alias("keys"), F.sum((F.col("rows") >= 2).cast("long")).alias("testable_keys"), F.sum((F.col("values") > 1).cast("long")).alias("conflicting_keys"), (F.sum("rows") - F.sum("top")).alias("conflicting_rows"),
-    )
-    best = pairs.groupBy("key", "column", "v").agg(F.sum("n").alias("n")).groupBy("key", "column").agg(F.max("n").alias("top_value_rows"))
-    return out.join(best, ["key", "column"])
-
-
-def key_repeats(df: DataFrame, keys: list[str], forms: dict[str, Column]) -> DataFrame:
-    """By key column: its present rows, distinct keys, keys on more than one row, and the rows of those."""
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("key"), forms[k].alias("k")) for k in keys])).alias("p")).select("p.*").filter("k is not null")
-    each = long.groupBy("key", "k").agg(F.count("*").alias("n"))
-    many = F.col("n") > 1
-    return each.groupBy("key").agg(F.sum("n").alias("rows"), F.count("*").alias("keys"), F.sum(many.cast("long")).alias("repeated_key_count"), F.sum(F.when(many, F.col("n")).otherwise(0)).alias("row_count"))
-
-
-def duplicate_keys(repeats: DataFrame, stats: DataFrame, total: int) -> DataFrame:
-    """Near keys that repeat: (key, repeated_key_count, row_count, differing_columns), the last with how many keys have several values in a column."""
-    near = repeats.filter((F.col("repeated_key_count") > 0) & (F.col("keys") >= NEAR_KEY * total)).select("key", "repeated_key_count", "row_count")
-    differing = stats.filter("conflicting_keys > 0").groupBy("key").agg(F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("conflicting_keys")).alias("o"), "column"))), lambda x: F.struct(x["column"], -x["o"]))).alias("differing_columns"))
-    return near.join(differing, "key", "left").withColumn("differing_columns", F.coalesce("differing_columns", F.create_map().cast("map<string,bigint>")))
-
-
-def entity_attributes(stats: DataFrame) -> DataFrame:
-    """Columns that a key decides: agreement of rows is high, and the error far below that of always guessing the top value."""
-    agreement = 1 - F.col("conflicting_rows") / F.col("rows")
-    baseline = 1 - F.col("top_value_rows") / F.col("rows")
-    ok = (F.col("testable_keys") > 0) & (agreement >= AGREEMENT) & (F.col("conflicting_rows") / F.col("rows") <= ERROR_RATIO * baseline)
-    return stats.withColumn("agreement", F.round(agreement, 6)).filter(ok)
-
-
-def shared_values(pairs: DataFrame) -> DataFrame:
-    """Values of a nearly identifying column that unusually many keys hold: (key, column, value, key_count), the top ones."""
-    held = pairs.groupBy("key", "column", F.col("v").alias("value")).agg(F.count("*").alias("key_count"))
-    keys = pairs.groupBy("key", "column").agg(F.countDistinct("k").alias("keys"))
-    facts = held.groupBy("key", "column").agg(F.count("*").alias("values"), F.percentile("key_count", F.lit(0.5)).alias("median")).join(keys, ["key", "column"])
-    facts = facts.filter(F.col("values") >= 0.5 * F.col("keys")).withColumn("least", F.greatest(F.lit(float(SHARED_KEYS)), SHARED_FACTOR * F.col("median")))
-    rows = held.join(facts.select("key", "column", "least"), ["key", "column"]).filter(F.col("key_count") >= F.col("least"))
-    return rows.withColumn("r", F.expr("row_number() over (partition by key, column order by key_count desc, value)")).filter(F.col("r") <= TOP).select("key", "column", "value", "key_count")
+def present(columns: list[str]) -> dict[str, Column]:
+    """Forms of columns for ``relations.relate``: their text, null where it stands for a missing value."""
+    return {c: F.when(missing_kind(_n(c).cast("string")).isNull(), _n(c).cast("string")) for c in columns}
 
 
 def conditional_missing(df: DataFrame, columns: list[str], drivers: list[str], tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
@@ -360,7 +327,8 @@ def observations(stats: dict, rates: dict | None, kind: str, numeric: dict | Non
 def profile(df: DataFrame, registry: Registry | None = None, relationships: bool = True, run_date: dt.date | None = None, null_tokens: tuple[str, ...] | None = None) -> dict:
     """A document on the table: a few rows of aggregates for each column, collected. null_tokens: words that stand for a missing value."""
     tokens = NULL_TOKENS if null_tokens is None else tuple(t.strip().lower() for t in null_tokens)
-    counts = value_counts(df).persist()
+    every = value_counts(df, whole_rows=True).persist()
+    counts = every.filter("column is not null")
     by = {r["column"]: r.asDict() for r in column_counts(counts, tokens).collect()}
     rates = {r["column"]: r.asDict() for r in type_rates(counts, tokens).collect()}
     present = counts.filter(missing_kind(F.col("value"), tokens).isNull())
@@ -380,39 +348,43 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
     shapes: dict[str, list] = {}
     for r in top_shapes(counts, tokens=tokens).orderBy("column", "rank").collect():
         shapes.setdefault(r["column"], []).append({"shape": r["shape"], "count": r["n"]})
+    kinds = {c: infer_type(c, rates.get(c)) for c in df.columns}
+    numbers = numeric_values(counts.filter(F.col("column").isin([c for c, kind in kinds.items() if kind in ("integer", "float")])))
+    numerics = {r["column"]: {k: v for k, v in r.asDict().items() if k != "column"} for r in numeric_profiles(numbers).collect()}
+    discard(numbers)
     columns, forms = [], {}
     for c in df.columns:
-        stats, kind = by.get(c, {"rows": 0, "missing_count": 0, "token_count": 0, "whitespace_count": 0, "distinct_count": 0}), infer_type(c, rates.get(c))
-        numeric = numeric_profile(df, c).first() if kind in ("integer", "float") else None
+        stats, kind = by.get(c, {"rows": 0, "missing_count": 0, "token_count": 0, "whitespace_count": 0, "distinct_count": 0}), kinds[c]
+        numeric = numerics.get(c)
         evidence = votes.get(c, []) if kind in ("date", "datetime") else None
         dates, forms[c] = None, canonical(_n(c), kind, tokens=tokens, votes=evidence)
         if evidence is not None:
             dates = {k: dated[c][k] if kind == "datetime" or dated[c][k] is None else dated[c][k].date() for k in ("min", "max")}
-        notes = observations(stats, rates.get(c), kind, numeric.asDict() if numeric else None, variants.get(c, 0), generic.get(c, 0), evidence, run_date, dates)
+        notes = observations(stats, rates.get(c), kind, numeric, variants.get(c, 0), generic.get(c, 0), evidence, run_date, dates)
         if c != c.strip():
             notes.append("COLUMN_NAME_WHITESPACE")
-        columns.append({"column_name": c, "logical_type": kind, **stats, "top_values": tops.get(c, []), "shapes": shapes.get(c, []), "numeric": numeric.asDict() if numeric else None, "dates": {k: str(v) for k, v in dates.items()} if dates else None, "observations": notes})
+        columns.append({"column_name": c, "logical_type": kind, **stats, "top_values": tops.get(c, []), "shapes": shapes.get(c, []), "numeric": numeric, "dates": {k: str(v) for k, v in dates.items()} if dates else None, "observations": notes})
     keys = [r.asDict() for r in candidate_keys(column_counts(counts, tokens)).collect()]
-    repeated = duplicate_row_count(df).first()[0]
+    repeated = repeated_rows(every.filter("column is null")).first()[0]
     out = {"row_count": max([s["rows"] for s in by.values()], default=0), "columns": columns, "duplicate_rows": repeated, "keys": keys, "observations": (["DUPLICATE_ROWS"] if repeated else []) + (["NEAR_KEY"] if any(k["kind"] == "near_key" for k in keys) else [])}
     if relationships:
         ids = [c["column_name"] for c in columns if c["logical_type"] == "identifier"]
         if ids and len(df.columns) > 1:
-            pairs = pair_counts(df, ids, df.columns, forms).persist()
-            stats = consistency(pairs).persist()
-            repeated_keys = [r.asDict() for r in duplicate_keys(key_repeats(df, ids, forms), stats, out["row_count"]).collect()]
-            own = ~F.col("key").isin([r["key"] for r in repeated_keys])  # near keys are described by their repeats, not as entities
-            found = [r.asDict() for r in entity_attributes(stats.filter(own)).collect()]
-            shared = [r.asDict() for r in shared_values(pairs.filter(own)).collect()]
+            relations = R.relate(df, ids, df.columns, forms)
+            stats = R.consistency(relations).persist()
+            repeated_keys = [r.asDict() for r in R.duplicate_keys(R.key_repeats(relations), stats, out["row_count"]).collect()]
+            own = [k for k in ids if k not in {r["key"] for r in repeated_keys}]  # near keys are described by their repeats, not as entities
+            found = [r.asDict() for r in R.entity_attributes(stats.filter(F.col("key").isin(own))).collect()]
+            shared = [r.asDict() for r in R.shared_values(relations, own).collect()]
             out |= {"entities": found, "shared_values": shared, "duplicate_keys": repeated_keys}
             out["observations"] += (["DUPLICATE_KEYS"] if repeated_keys else []) + (["ENTITY_CONFLICTS"] if any(r["conflicting_rows"] for r in found) else []) + (["SHARED_VALUES"] if shared else [])
             stats.unpersist()
-            pairs.unpersist()
+            relations.discard()
         drivers = [c["column_name"] for c in columns if c["logical_type"] in ("categorical", "boolean") and c["distinct_count"] <= MAX_CATEGORIES]
         partly = [c["column_name"] for c in columns if c["rows"] and MISSING_SHARE <= c["missing_count"] / c["rows"] <= 1 - MISSING_SHARE]
         if any(c != d for c in partly for d in drivers):
             gaps = [r.asDict() for r in conditional_missing(df, partly, drivers, tokens).collect()]
             out["conditional_missing"] = gaps
             out["observations"] += ["CONDITIONAL_MISSING"] if gaps else []
-    counts.unpersist()
+    every.unpersist()
     return out

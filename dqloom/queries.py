@@ -17,6 +17,7 @@ from dqloom.operators import engine as E
 from dqloom.operators import merge as G
 from dqloom.operators import metrics as M
 from dqloom.operators import profile as P
+from dqloom.operators import relations as R
 from dqloom.operators import suggest as S
 from dqloom.operators import wording as W
 from dqloom.plans.registry import Registry, load_registry
@@ -568,23 +569,23 @@ tv AS (SELECT "column", max(n)::BIGINT AS top_value_rows FROM (SELECT "column",
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _t(spark, sf_dir, "orders").selectExpr("cast(o_custkey as string) as cust", "o_orderpriority as prio", "case when o_orderkey % 200 = 0 then 'x' else cast(o_custkey % 25 as string) end as nat")
-    return P.pair_counts(df, ["cust"], ["prio", "nat"])
+    return R.relate(df, ["cust"], ["prio", "nat"], P.present(df.columns))
 
 
 @_query(f"""WITH {_PAIRS_SQL} SELECT 'cust' AS key, "column", rows, keys, testable_keys, conflicting_keys, conflicting_rows, top_value_rows FROM st JOIN tv USING ("column")""")
 def key_consistency(spark, sf_dir):
-    return P.consistency(_pairs(spark, sf_dir))
+    return R.consistency(_pairs(spark, sf_dir))
 
 
 @_query(f"""WITH {_PAIRS_SQL} SELECT 'cust' AS key, "column", conflicting_rows, round(1 - conflicting_rows::DOUBLE / rows, 6) AS agreement FROM st JOIN tv USING ("column") WHERE 1 - conflicting_rows::DOUBLE / rows >= 0.95 AND conflicting_rows::DOUBLE / rows <= 0.2 * (1 - top_value_rows::DOUBLE / rows)""")
 def entity_attributes(spark, sf_dir):
-    return P.entity_attributes(P.consistency(_pairs(spark, sf_dir))).select("key", "column", "conflicting_rows", "agreement")
+    return R.entity_attributes(R.consistency(_pairs(spark, sf_dir))).select("key", "column", "conflicting_rows", "agreement")
 
 
 @_query("""WITH r AS (SELECT c_custkey::VARCHAR AS k, CASE WHEN c_custkey % 30 = 0 THEN 'none@x.com' ELSE c_name || '@x.com' END AS v FROM customer) SELECT 'k' AS key, 'v' AS "column", v AS value, count(DISTINCT k) AS key_count FROM r GROUP BY v HAVING count(DISTINCT k) >= 10""")
 def shared_values(spark, sf_dir):
     df = _t(spark, sf_dir, "customer").selectExpr("cast(c_custkey as string) as k", "case when c_custkey % 30 = 0 then 'none@x.com' else concat(c_name, '@x.com') end as v")
-    return P.shared_values(P.pair_counts(df, ["k"], ["v"])).filter("value is not null")
+    return R.shared_values(R.relate(df, ["k"], ["v"], P.present(df.columns)))
 
 
 @_query("""WITH r AS (SELECT l_returnflag AS flag, CASE WHEN l_returnflag = 'N' AND l_orderkey % 300 <> 0 THEN NULL ELSE 'x' END AS v FROM lineitem)

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dqloom.sources.files import Place
+
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; one of our own only where the session names none and runs in one process (tests)."""
@@ -28,4 +30,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/dq-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made, once nothing reads them any more."""
+    for df in tables:
+        if path := getattr(df, "_written_at", None):
+            Place(path, df.sparkSession).delete()
