@@ -21,6 +21,19 @@ _COMPARE = {"==": "__eq__", "!=": "__ne__", "<": "__lt__", "<=": "__le__", ">":
 #: Rule types that look at one row only.
 ROW_LOCAL = frozenset(("not_null", "is_null", "type", "pattern", "allowed_values", "reference", "expression", "range", "compare", "derived", "trim_whitespace", "null_tokens", "generate"))
 
+#: A lookup list of more values is joined as a table.
+LIST_VALUES = 10_000
+
+
+def by_join(rule: Rule) -> bool:
+    """Whether the rule looks its values up in a table."""
+    return rule.type == "reference" and bool(rule.get("table") or len(rule.get("values") or ()) > LIST_VALUES)
+
+
+def alone(rule: Rule) -> bool:
+    """Whether a projection of each row is all that the rule needs."""
+    return rule.type in ROW_LOCAL and not by_join(rule)
+
 
 def out_of_range(value: Column, params: dict, kind: str, run_date: dt.date) -> Column:
     low, high = resolve_bound(params.get("min"), kind, run_date), resolve_bound(params.get("max"), kind, run_date)

@@ -3,8 +3,8 @@
 Rules are arranged in layers. Row-local rules that do not depend on each other's columns share a layer, and a layer is
 one projection, so the usual rule set is a handful of projections over one scan whatever its number of rules. Each
 rule leaves a flag for rows that still fail and, where it may repair, a record of what it did; at the end they become the arrays
-``fails`` and ``edits``. Only three rule types move rows: exact copies of a row, repeated values of a unique column, and
-functional dependencies. They aggregate first (with map-side partial results) and join back only what is in conflict.
+``fails`` and ``edits``. Only four kinds of rules move rows: exact copies of a row, repeated values of a unique column,
+functional dependencies, and lookups in tables. They aggregate first (with map-side partial results) and join back only what is in conflict.
 Before such a join the rows are written once to the shared folder, so nothing is computed twice and a lost
 executor costs a read.
 
@@ -17,11 +17,12 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqloom.functions.templates import message_parts
-from dqloom.operators.detect import ROW_LOCAL, detect, generated_value, reads
+from dqloom.functions.text import comparison_key, comparison_key_of, mapped, strip
+from dqloom.operators.detect import ROW_LOCAL, alone, by_join, detect, generated_value, reads
 from dqloom.operators.repair import repair
 from dqloom.operators.typed import canonical, typed
 from dqloom.plans.conditions import condition
@@ -33,6 +34,8 @@ INTERNAL = ("row_no", "focus", "active", "fails", "edits", "scopes")
 _FAIL = "struct<no:int,value:string>"
 #: Rules in one word of ``scopes``, which says for the rules with a condition whether a row was in their scope.
 _WORD = 62
+#: Looked-up values on at least this part of the rows are joined by broadcast.
+HOT = 10_000
 _EDIT = "struct<at:int,no:int,column:string,old:string,new:string,action:string,outcome:string>"
 AUDIT_COLUMNS = ["record_id", "column", "original_value", "cleaned_value", "rule_id", "action", "outcome"]
 ERROR_COLUMNS = ["record_id", "rule_id", "rule_name", "error_code", "error_category", "dimension", "severity", "column", "value", "message"]
@@ -111,7 +114,7 @@ def layers(steps: list[Step]) -> list[list[Step]]:
     last_write: dict[str, int] = {}
     last_read: dict[str, int] = {}
     for s in steps:
-        if s.rule.type not in ROW_LOCAL:
+        if not alone(s.rule):
             out.append([s])
             floor = len(out)
             last_write, last_read = {}, {}
@@ -265,6 +268,66 @@ def _unique(rows: DataFrame, s: Step, base: DataFrame) -> DataFrame:
     return _noted(rows, {s.no: F.coalesce("__more", F.lit(False))}, scopes={s.no: scope} if s.rule.when else None).drop("__v", "__more")
 
 
+def lookup_table(spark: SparkSession, rule: Rule) -> DataFrame:
+    """The distinct stripped values (one column, known) of a rule's lookup."""
+    if not rule.get("table"):
+        return spark.createDataFrame([(v,) for v in dict.fromkeys(map(str, rule["values"]))], "known string")
+    place = rule["table"]
+    table = spark.read.options(header="true" if place["format"] == "csv" else None).load(place["path"], format=place["format"])
+    if place["column"] not in table.columns:
+        raise ConfigError(f"lookup table {place['path']} has no column {place['column']}")
+    return table.select(strip(_col(place["column"]).cast("string")).alias("known")).filter("known <> ''").distinct()
+
+
+def verdicts(values: DataFrame, rule: Rule, registry: Registry, column: str) -> DataFrame:
+    """values (value, ...), each once, with bad (not in the lookup), new and changed (the repair's answer for a bad one) and still (bad after it).
+
+    Distinct values meet distinct values, so no key of these joins is large. Of several spellings with one comparison key the least is the standard one.
+    """
+    known = lookup_table(values.sparkSession, rule)
+    rows = values.join(known.withColumn("__in", F.lit(True)), F.col("value") == F.col("known"), "left").withColumn("bad", F.col("__in").isNull()).drop("known", "__in")
+    if not rule.remediation:
+        return rows.select(*values.columns, "bad", F.lit(None).cast("string").alias("new"), F.lit(False).alias("changed"), F.col("bad").alias("still"))
+    if rule.remediation["action"] == "canonicalize":
+        forms = known.groupBy(comparison_key(F.col("known")).alias("form")).agg(F.min("known").alias("standard"))
+        named = mapped(comparison_key(F.col("value")), {comparison_key_of(k): str(v) for k, v in (rule.remediation.get("map") or {}).items()})
+        rows = rows.join(forms, F.when(F.col("bad"), comparison_key(F.col("value"))) == F.col("form"), "left").withColumn("new", F.coalesce(named, "standard")).withColumn("changed", F.coalesce(F.col("new") != F.col("value"), F.lit(False)))
+    else:
+        new, changed = repair(rule, registry, lambda c: F.col("value"), column)
+        rows = rows.withColumn("new", new).withColumn("changed", changed)
+    rows = rows.withColumn("changed", F.col("bad") & F.col("changed")).withColumn("new", F.when(F.col("changed"), F.col("new")))
+    if rule.remediation.get("target", column) != column:  # the value itself stays as it is
+        return rows.select(*values.columns, "bad", "new", "changed", F.col("bad").alias("still"))
+    rows = rows.join(known.withColumn("__in", F.lit(True)), F.col("new") == F.col("known"), "left")
+    still = F.col("bad") & ~(F.col("changed") & (F.col("new").isNull() | F.col("__in").isNotNull()))
+    return rows.select(*values.columns, "bad", "new", "changed", still.alias("still"))
+
+
+def _looked_up(rows: DataFrame, s: Step, registry: Registry, base: DataFrame) -> DataFrame:
+    """A reference rule by a join: distinct values are judged, rows get the verdict on theirs. Values on at least one of HOT parts of the rows, at most HOT
+    of them, are broadcast; of the others only bad ones are joined. base: the rows as they were last written, with the same values."""
+    scope = F.col("active") & condition(s.rule.when, _col) & _col(s.column).isNotNull()
+    counts = base.filter(scope).groupBy(_col(s.column).alias("value")).agg(F.count("*").alias("n"))
+    judged = written(verdicts(counts, s.rule, registry, s.column), "verdicts")
+    many = (judged.agg(F.sum("n")).first()[0] or 0) / HOT
+    marked = judged.withColumn("hot", F.col("n") >= max(many, 2))
+    verdict = F.struct("bad", "new", "changed", "still")
+    hot = marked.filter("hot").select(F.col("value").alias("__h"), verdict.alias("__hot"))
+    cold = marked.filter("bad and not hot").select(F.col("value").alias("__c"), verdict.alias("__cold"))
+    rows = rows.join(F.broadcast(hot), F.when(scope, _col(s.column)) == F.col("__h"), "left")  # at most HOT rows
+    rows = rows.join(cold, _key(scope & F.col("__hot").isNull(), _col(s.column)) == F.concat(F.lit("="), F.col("__c")), "left")
+    in_scope = F.col("active") & condition(s.rule.when, _col)
+    flags = {"__in": in_scope, "__found": F.coalesce("__hot", "__cold")}
+    rows = rows.withColumns(flags).withColumn("__bad", F.coalesce(F.col("__found.bad"), F.lit(False)))
+    edits = []
+    if s.rule.remediation:
+        target = s.rule.remediation.get("target", s.column)
+        rows = rows.withColumn("__old", _col(target)).withColumn(target, F.when(F.coalesce(F.col("__found.changed"), F.lit(False)), F.col("__found.new")).otherwise(_col(target)))
+        edits = [F.when(F.col("__bad"), _edit(s, target, F.col("__old"), _col(target), s.rule.remediation["action"], F.when(F.col("__found.still"), "not_fixed").otherwise("remediated")))]
+    rows = _noted(rows, {s.no: F.coalesce(F.col("__found.still"), F.lit(False))}, edits, {s.no: F.col("__in")} if s.rule.when else None)
+    return rows.drop("__h", "__hot", "__c", "__cold", "__in", "__found", "__bad", "__old")
+
+
 def majorities(rows: DataFrame, key: Column, dependents: list[str], scope: Column) -> DataFrame:
     """(key, expected: map of dependent -> majority value) for keys with conflicts. Ties go to the value seen first."""
     pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), _col(d).alias("v")) for d in dependents]))
@@ -325,6 +388,12 @@ def validate(data: DataFrame, registry: Registry, run_date: dt.date, raw: list[s
                 rows = base = written(rows, "rows")
             rows = _unique(rows, group[0], base) if kind == "unique" else _dependency(rows, group[0], registry, base)
             continue
+        if group and by_join(group[0].rule):
+            if base is None:
+                rows = base = written(rows, "rows")
+            rows = _looked_up(rows, group[0], registry, base)
+            base = None if group[0].writes else base
+            continue
         base = base if kind == "auto_fix_review" or not group else None
         if kind == "duplicate_rows":
             rows = _duplicate_rows(rows, group[0])
@@ -338,9 +407,9 @@ def validate(data: DataFrame, registry: Registry, run_date: dt.date, raw: list[s
 
 def validate_rows(data: DataFrame, registry: Registry, run_date: dt.date) -> Validation:
     """As validate, for rule sets that look at one row at a time: no row is moved or written, so this also runs on streams."""
-    wrong = [r.id for r in registry.rules if r.type not in ROW_LOCAL | {"auto_fix_review"}]
+    wrong = [r.id for r in registry.rules if not alone(r) and r.type != "auto_fix_review"]
     if wrong:
-        raise ConfigError(f"these rules compare rows: {wrong}")
+        raise ConfigError(f"these rules compare rows or look values up in tables: {wrong}")
     rows, columns, filled = prepare(data, registry)
     steps = _steps(registry, columns)
     review = [s for s in steps if s.rule.type == "auto_fix_review"]

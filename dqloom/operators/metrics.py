@@ -27,9 +27,9 @@ def run_funnel(first: DataFrame, rounds: DataFrame) -> DataFrame:
     return rows.withColumn("balanced", F.col("resolved") + F.col("discarded") + F.col("unresolved") == F.col("quarantined"))
 
 
-def quarantine_history(history: DataFrame, order: str = "seq", ordered: bool = False) -> DataFrame:
-    """Status changes of each record, numbered, with the status before; if ordered, sorted by record and number."""
-    w = Window.partitionBy("record_id").orderBy(order)
+def quarantine_history(history: DataFrame, order: str = "seq", ordered: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """Status changes of each record (of each run, if by names the run), numbered, with the status before; if ordered, sorted by record and number."""
+    w = Window.partitionBy(*by, "record_id").orderBy(order)
     out = history.withColumn("sequence", F.row_number().over(w)).withColumn("previous_status", F.lag("status").over(w))
     return out.orderBy("record_id", "sequence") if ordered else out
 
@@ -39,15 +39,15 @@ def newest_lines(log: DataFrame, n: int = 200) -> DataFrame:
     return log.orderBy(F.desc("seq")).limit(n)
 
 
-def correction_outcomes(log: DataFrame, after: DataFrame, automatic: DataFrame | None = None) -> DataFrame:
+def correction_outcomes(log: DataFrame, after: DataFrame, automatic: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Manual lines (record_id, column, action, round, seq, ...) with what became of them, and automatic repairs.
 
     after: record_id, round, status_after. Of lines for one field in a round, all but the newest are superseded; a record
-    whose round was not re-validated yet is pending.
+    whose round was not re-validated yet is pending. by: columns that tell runs apart.
     """
-    w = Window.partitionBy("round", "record_id", "column", "action").orderBy(F.desc("seq"))
+    w = Window.partitionBy(*by, "round", "record_id", "column", "action").orderBy(F.desc("seq"))
     named = F.create_map(*[F.lit(x) for kv in OUTCOMES.items() for x in kv])
-    rows = log.join(after.dropDuplicates(["record_id", "round"]), ["record_id", "round"], "left").withColumn("newest", F.row_number().over(w) == 1)
+    rows = log.join(after.dropDuplicates([*by, "record_id", "round"]), [*by, "record_id", "round"], "left").withColumn("newest", F.row_number().over(w) == 1)
     outcome = F.when(~F.col("newest"), "superseded").otherwise(F.coalesce(F.try_element_at(named, F.col("status_after")), F.lit("pending")))
     rows = rows.withColumn("outcome", outcome).withColumn("correction_type", F.lit("manual")).drop("newest", "status_after")
     if automatic is not None:
@@ -61,5 +61,41 @@ def auto_fixed_records(audit: DataFrame, quarantined: DataFrame) -> DataFrame:
     return fixed.agg(F.countDistinct("record_id").alias("auto_fixed_records"))
 
 
-def rule_results(statistics: DataFrame, run_id: str, round_: int) -> DataFrame:
-    return statistics.select(F.lit(run_id).alias("run_id"), F.lit(round_).alias("round"), F.lit("validation" if round_ == 1 else "revalidation").alias("round_type"), "rule_id", "type", "dimension", "severity", "checked", F.col("detected").alias("failed"), F.col("remediated").alias("repaired"), "unresolved")
+def rule_results(statistics: DataFrame, run_id: str | Column, round_: int | Column) -> DataFrame:
+    kind = F.when(F.lit(round_) == 1, "validation").otherwise("revalidation")
+    return statistics.select(F.lit(run_id).alias("run_id"), F.lit(round_).alias("round"), kind.alias("round_type"), "rule_id", "type", "dimension", "severity", "checked", F.col("detected").alias("failed"), F.col("remediated").alias("repaired"), "unresolved")
+
+
+#: What is read of the document of a round.
+RESULT = "run_id string, round int, revalidated_round int, counts map<string,double>, rules array<struct<rule_id:string,type:string,dimension:string,severity:string,checked:bigint,detected:bigint,remediated:bigint,unresolved:bigint>>"
+
+
+def runs_funnel(results: DataFrame, resolved: DataFrame, log: DataFrame) -> DataFrame:
+    """run_funnel of all runs. results: documents of rounds (RESULT); resolved: run_id, round, record_id; log: run_id, round, record_id, action, ...
+
+    A resolved record counts as fixed by hand if any of its round's lines is a fix, and else as confirmed if any accepts.
+    """
+    count = lambda name: F.coalesce(F.try_element_at("counts", F.lit(name)).cast("long"), F.lit(0).cast("long"))
+    first = results.filter("round = 1").select("run_id", count("processed").alias("processed"), count("accepted").alias("valid"), count("quarantined").alias("quarantined"))
+    has = lambda action: F.max((F.col("action") == action).cast("int"))
+    lines = log.groupBy("run_id", "round", "record_id").agg(has("FIX").alias("fix"), has("ACCEPT").alias("accept"))
+    how = resolved.join(lines, ["run_id", "round", "record_id"]).groupBy("run_id", F.col("round").alias("revalidated_round")).agg(F.sum("fix").alias("f"), F.count_if((F.col("fix") == 0) & (F.col("accept") == 1)).alias("a"))
+    later = results.filter("round > 1").join(how, ["run_id", "revalidated_round"], "left")
+    rounds = later.select(
+        "run_id", "round", count("resolved").alias("resolved"), F.coalesce("f", F.lit(0)).alias("manually_fixed"), F.coalesce("a", F.lit(0)).alias("confirmed"), (count("discarded") + count("removed_as_duplicate")).alias("discarded"),
+        count("manual_review_required").alias("manual_review"), count("open_after").alias("open_after"),
+    )
+    return run_funnel(first, rounds)
+
+
+def runs_rules(results: DataFrame) -> DataFrame:
+    """rule_results of all runs and rounds."""
+    return rule_results(results.select("run_id", "round", F.explode("rules").alias("r")).select("run_id", "round", "r.*"), F.col("run_id"), F.col("round"))
+
+
+def runs_corrections(results: DataFrame, log: DataFrame, history: DataFrame, audit: DataFrame) -> DataFrame:
+    """correction_outcomes of all runs: lines by hand with what became of them, and automatic repairs. history: run_id, record_id, status, seq; audit: run_id, round, ..."""
+    rounds = results.filter("round > 1").select("run_id", F.col("round").alias("seq"), F.col("revalidated_round").alias("round"))
+    after = history.select("run_id", "record_id", "status", "seq").join(rounds, ["run_id", "seq"]).select("run_id", "record_id", "round", F.col("status").alias("status_after"))
+    automatic = audit.select("run_id", "record_id", "column", "round", "action", "rule_id", F.col("original_value").alias("old_value"), F.col("cleaned_value").alias("new_value"), "outcome")
+    return correction_outcomes(log.withColumn("seq", F.struct("batch", "seq")), after, None, ("run_id",)).drop("seq", "batch").unionByName(automatic.withColumn("correction_type", F.lit("automatic")), allowMissingColumns=True)

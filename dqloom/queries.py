@@ -685,6 +685,65 @@ def missing_fields(spark, sf_dir):
     return W.missing_fields(_segments(spark, sf_dir).errors).withColumn("columns", F.concat_ws(",", "columns"))
 
 
+@_query("""WITH r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'Customer#000000007' WHEN o_orderkey % 11 = 0 THEN 'Nobody#' || o_orderkey WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN upper('Customer#' || lpad(o_custkey::VARCHAR, 9, '0')) ELSE 'Customer#' || lpad(o_custkey::VARCHAR, 9, '0') END AS v FROM orders)
+SELECT 'R' || k AS record_id, coalesce(c_name, v) AS name, CASE WHEN v IS NOT NULL AND c_name IS NULL THEN 'REF' ELSE '' END AS dq_warnings, CASE WHEN v <> c_name THEN 'remediated' WHEN v IS NOT NULL AND c_name IS NULL THEN 'not_fixed' END AS outcome
+FROM r LEFT JOIN customer ON lower(v) = lower(c_name)""")
+def reference_table(spark, sf_dir):
+    """A lookup in a table with a row for each customer, and a third of all rows with one value."""
+    name = "concat('Customer#', lpad(cast(o_custkey as string), 9, '0'))"
+    df = _rows(_t(spark, sf_dir, "orders"), "o_orderkey", name=f"case when o_orderkey % 3 = 0 then 'Customer#000000007' when o_orderkey % 11 = 0 then concat('Nobody#', o_orderkey) when o_orderkey % 13 = 0 then null when o_orderkey % 7 = 0 then upper({name}) else {name} end")
+    place = {"path": f"{sf_dir}/customer.parquet", "column": "c_name", "format": "parquet"}
+    v = E.validate(df, _registry({"name": {}}, {"id": "REF", "type": "reference", "column": "name", "reference": place, "severity": "warning", "remediation": {"action": "canonicalize"}}), RUN_DATE)
+    return v.rows.select("record_id", "name", "dq_warnings", F.get("edits", F.lit(0))["outcome"].alias("outcome"))
+
+
+
+# Documents of two rounds for each nation as a run: its customers are processed, every fourth is quarantined, and in round 2 those of each remainder go one way.
+_RUNS_SQL = """c AS (SELECT 'N' || c_nationkey AS run_id, c_custkey AS k FROM customer),
+t AS (SELECT run_id, count(*) AS processed, count(*) FILTER (k % 4 <> 0) AS valid, count(*) FILTER (k % 4 = 0) AS quarantined, count(*) FILTER (k % 4 = 0 AND k % 5 IN (0, 1)) AS resolved, count(*) FILTER (k % 4 = 0 AND k % 5 = 0) AS manually_fixed,
+  count(*) FILTER (k % 4 = 0 AND k % 5 = 1 AND k % 3 = 0) AS confirmed, count(*) FILTER (k % 4 = 0 AND k % 5 = 2) AS discarded, count(*) FILTER (k % 4 = 0 AND k % 5 = 3) AS manual_review, count(*) FILTER (k % 4 = 0 AND k % 5 = 4) AS open_after FROM c GROUP BY 1)"""
+
+
+def _run_documents(spark, sf_dir):
+    """(results, resolved, log, records) as a run's folders hold them, the documents parsed from JSON."""
+    c = _t(spark, sf_dir, "customer").selectExpr("concat('N', c_nationkey) as run_id", "c_custkey as k", "concat('R', c_custkey) as record_id")
+    n = lambda when: f"count_if({when})"
+    sums = c.groupBy("run_id").agg(*[F.expr(n(w)).alias(a) for a, w in {"processed": "true", "accepted": "k % 4 <> 0", "quarantined": "k % 4 = 0", "resolved": "k % 4 = 0 and k % 5 in (0, 1)", "discarded": "k % 4 = 0 and k % 5 = 2", "manual_review_required": "k % 4 = 0 and k % 5 = 3", "open_after": "k % 4 = 0 and k % 5 = 4"}.items()])
+    rules = "array(named_struct('rule_id', 'Q', 'type', 'not_null', 'dimension', 'validity', 'severity', 'critical', 'checked', {}, 'detected', {}, 'remediated', 0, 'unresolved', {}))"
+    first = sums.selectExpr("run_id", "1 as round", f"to_json(struct(map('processed', processed, 'accepted', accepted, 'quarantined', quarantined) as counts, {rules.format('processed', 'quarantined', 'quarantined')} as rules)) as j")
+    left = "manual_review_required + open_after"
+    second = sums.selectExpr("run_id", "2 as round", f"to_json(struct(1 as revalidated_round, map('resolved', resolved, 'discarded', discarded, 'manual_review_required', manual_review_required, 'open_after', open_after) as counts, {rules.format('quarantined', left, left)} as rules)) as j")
+    results = first.unionByName(second).select("run_id", "round", F.from_json("j", M.RESULT).alias("d")).select("run_id", "round", "d.revalidated_round", "d.counts", "d.rules")
+    held = c.filter("k % 4 = 0")
+    lines = held.filter("k % 5 < 2 and (k % 5 = 0 or k % 3 = 0)").selectExpr("run_id", "1 as round", "record_id", "if(k % 5 = 0, 'name', '') as column", "if(k % 5 = 0, 'FIX', 'ACCEPT') as action", "1 as batch", "k as seq")
+    return results, held.filter("k % 5 < 2").selectExpr("run_id", "1 as round", "record_id"), lines, held
+
+
+@_query(f"""WITH {_RUNS_SQL}, s AS (SELECT *, round((valid + resolved)::DOUBLE / processed, 6) AS final_score FROM t)
+SELECT run_id, 1 AS round, 0::HUGEINT AS resolved, 0::HUGEINT AS manually_fixed, 0::HUGEINT AS confirmed, 0::HUGEINT AS discarded, quarantined AS open, valid, quarantined, quarantined AS unresolved, round(valid::DOUBLE / processed, 6) AS final_score, true AS balanced FROM t
+UNION ALL SELECT run_id, 2, resolved, manually_fixed, confirmed, discarded, open_after, valid, quarantined, open_after + manual_review, final_score, resolved + discarded + open_after + manual_review = quarantined FROM s""")
+def metrics_of_runs(spark, sf_dir):
+    results, resolved, log, _ = _run_documents(spark, sf_dir)
+    return M.runs_funnel(results, resolved, log).select("run_id", "round", "resolved", "manually_fixed", "confirmed", "discarded", "open", "valid", "quarantined", "unresolved", "final_score", "balanced")
+
+
+@_query(f"""WITH {_RUNS_SQL} SELECT run_id, 1 AS round, 'validation' AS round_type, 'Q' AS rule_id, processed AS checked, quarantined AS failed, quarantined AS unresolved FROM t
+UNION ALL SELECT run_id, 2, 'revalidation', 'Q', quarantined, manual_review + open_after, manual_review + open_after FROM t""")
+def rules_of_runs(spark, sf_dir):
+    return M.runs_rules(_run_documents(spark, sf_dir)[0]).select("run_id", "round", "round_type", "rule_id", "checked", "failed", "unresolved")
+
+
+@_query("""WITH c AS (SELECT 'N' || c_nationkey AS run_id, 'R' || c_custkey AS record_id, c_custkey AS k FROM customer WHERE c_custkey % 4 = 0)
+SELECT run_id, record_id, CASE WHEN k % 5 = 0 THEN 'FIX' ELSE 'ACCEPT' END AS action, 'manual' AS correction_type, CASE WHEN k % 7 = 0 THEN 'failed_again' ELSE 'resolved' END AS outcome FROM c WHERE k % 5 = 0 OR (k % 5 = 1 AND k % 3 = 0)
+UNION ALL SELECT run_id, record_id, 'trim', 'automatic', 'remediated' FROM c WHERE k % 8 = 0""")
+def corrections_of_runs(spark, sf_dir):
+    results, _, log, held = _run_documents(spark, sf_dir)
+    history = held.selectExpr("run_id", "record_id", "if(k % 7 = 0, 'OPEN', 'RESOLVED') as status", "2 as seq")
+    audit = held.filter("k % 8 = 0").selectExpr("run_id", "record_id", "1 as round", "'name' as column", "' x' as original_value", "'x' as cleaned_value", "'TRIM' as rule_id", "'trim' as action", "'remediated' as outcome")
+    return M.runs_corrections(results, log, history, audit).select("run_id", "record_id", "action", "correction_type", "outcome")
+
+
+
 @_query("""WITH e AS (SELECT c_custkey AS k, 'segment' AS "column", CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN lower(c_mktsegment) ELSE c_mktsegment END AS value FROM customer
 UNION ALL SELECT c_custkey, 'code', CASE WHEN c_custkey % 6 = 0 THEN c_name || 'x' ELSE c_name END FROM customer UNION ALL SELECT c_custkey, 'size', CASE c_custkey % 7 WHEN 0 THEN '7.5' WHEN 1 THEN 'many' ELSE (c_custkey % 60)::VARCHAR END FROM customer)
 SELECT k, "column", value, CASE "column" WHEN 'segment' THEN CASE WHEN value = '' THEN 'Segment cannot be empty.' WHEN value NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY') THEN 'Choose one of the listed values for segment.' END

@@ -19,8 +19,9 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from dqloom.sources.files import Place
@@ -200,3 +201,32 @@ class Run:
 def list_runs(root: str, dataset: str) -> list[str]:
     base = Place(root) / dataset
     return [name for name in base.names() if (base / name / "documents" / "result-1.json").is_file()]
+
+
+def _reading(read, empty):
+    """read(), or empty() where no file is."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e):
+            return empty()
+        raise
+
+
+def _of_path(pattern: str, group: int) -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, group)
+
+
+def all_documents(spark: SparkSession, root: str, dataset: str, markers: str, schema: str) -> DataFrame:
+    """The published documents <markers>-<number> of all runs of a dataset, one row each; run_id is the folder's name."""
+    read = lambda: spark.read.schema(schema).json(f"{root}/{dataset}/*/documents/{markers}-*.json", multiLine=True)
+    named = lambda df: df.withColumn("run_id", _of_path(rf"/([^/]+)/documents/{markers}-\d+\.json$", 1))
+    return _reading(lambda: named(read()), lambda: spark.createDataFrame([], schema))
+
+
+def all_parts(spark: SparkSession, root: str, dataset: str, table: str, key: str, schema: str, published: DataFrame) -> DataFrame:
+    """A table of all runs with its columns of schema, run_id and at, the number of the part (key=number). published: run_id and at of the parts that count."""
+    columns = StructType.fromDDL(schema)
+    some = lambda df: df.select(*[F.col(f.name).cast(f.dataType) for f in columns], _of_path(rf"/([^/]+)/{table}/{key}=\d+/[^/]*$", 1).alias("run_id"), _of_path(rf"/{table}/{key}=(\d+)/[^/]*$", 1).cast("int").alias("at"))
+    rows = _reading(lambda: some(spark.read.parquet(f"{root}/{dataset}/*/{table}/{key}=*")), lambda: spark.createDataFrame([], schema + ", run_id string, at int"))
+    return rows.join(published, ["run_id", "at"], "left_semi")

@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from dqloom.operators.detect import ROW_LOCAL
+from dqloom.operators.detect import alone
 from dqloom.operators.engine import Validation, validate, validate_rows
 from dqloom.plans.registry import Registry
 
 
 def row_local(registry: Registry) -> Registry:
-    """The registry without the rules that compare rows."""
-    return Registry(registry.schema, registry.severities, tuple(r for r in registry.rules if r.type in ROW_LOCAL | {"auto_fix_review"}))
+    """The registry without the rules that compare rows or look values up in tables."""
+    return Registry(registry.schema, registry.severities, tuple(r for r in registry.rules if alone(r) or r.type == "auto_fix_review"))
 
 
 def validate_stream(stream: DataFrame, registry: Registry, run_date: dt.date) -> Validation:

@@ -14,9 +14,14 @@ from dqloom.operators import metrics as M
 from dqloom.operators.merge import check_merged, merge
 from dqloom.operators.profile import profile
 from dqloom.plans.registry import ConfigError, Registry
-from dqloom.sources.land import LayoutError, Run, list_runs, now_utc, read_batch, register_profile
+from dqloom.sources.land import LayoutError, Run, all_documents, all_parts, list_runs, now_utc, read_batch, register_profile
 from dqloom.sources.text_csv import missing_and_extra
 
+# Columns of a run's tables that are read over all runs.
+HISTORY = "record_id string, status string, round int, attempts int, changed_at string, seq int"
+LOG = "record_id string, column string, old_value string, new_value string, action string, reason string, user string, corrected_at string, seq long, round int, batch int"
+AUDIT = ", ".join(f"{c} string" for c in E.AUDIT_COLUMNS)
+
 
 def _rows(df: DataFrame) -> list[dict]:
     return [r.asDict() for r in df.collect()]
@@ -158,56 +163,22 @@ def clean_table(run: Run) -> DataFrame:
 
 
 def run_metrics(spark: SparkSession, out: str, dataset: str) -> dict[str, DataFrame]:
-    """The four tables over all runs of a dataset."""
-    tables: dict[str, list[DataFrame]] = {"dq_run": [], "dq_rule_result": [], "dq_quarantine": [], "dq_correction": []}
-    for run_id in list_runs(out, dataset):
-        run = Run(spark, out, dataset, run_id)
-        results = {n: run.load(f"result-{n}") for n in run.rounds()}
-        c = results[1]["counts"]
-        first = spark.createDataFrame([(run_id, c["processed"], c["accepted"], c["quarantined"])], "run_id string, processed long, valid long, quarantined long")
-        log, later = run.appended("log", "import"), []
-        history = run.appended("history", "result")
-        for n, r in results.items():
-            if n == 1:
-                continue
-            k, counts = r["revalidated_round"], r["counts"]
-            resolved = run.need("resolved", k).select("record_id")
-            lines = corrections_of(run, k).groupBy("record_id").agg(F.max((F.col("action") == "FIX").cast("int")).alias("fix"), F.max((F.col("action") == "ACCEPT").cast("int")).alias("accept"))
-            how = resolved.join(lines, "record_id").agg(F.coalesce(F.sum("fix"), F.lit(0)).alias("f"), F.coalesce(F.sum(F.when((F.col("fix") == 0) & (F.col("accept") == 1), 1).otherwise(0)), F.lit(0)).alias("a")).first()
-            later.append((run_id, n, counts["resolved"], how["f"], how["a"], counts["discarded"] + counts["removed_as_duplicate"], counts["manual_review_required"], counts["open_after"]))
-        rounds = spark.createDataFrame(later, "run_id string, round int, resolved long, manually_fixed long, confirmed long, discarded long, manual_review long, open_after long")
-        funnel = M.run_funnel(first, rounds)
-        if funnel.filter("not balanced").limit(1).count():
-            raise ConfigError(f"run {run_id}: resolved, discarded and unresolved records do not add up to the quarantined ones")
-        tables["dq_run"].append(funnel)
-        for n, r in results.items():
-            stats = spark.createDataFrame([(x["rule_id"], x["type"], x["dimension"], x["severity"], x["checked"], x["detected"], x["remediated"], x["unresolved"]) for x in r["rules"]], "rule_id string, type string, dimension string, severity string, checked long, detected long, remediated long, unresolved long")
-            tables["dq_rule_result"].append(M.rule_results(stats, run_id, n))
-        tables["dq_quarantine"].append(M.quarantine_history(history).withColumn("run_id", F.lit(run_id)))
-        automatic = None
-        for n in results:
-            a = run.need("audit", n).select("record_id", "column", F.lit(n).alias("round"), "action", "rule_id", F.col("original_value").alias("old_value"), F.col("cleaned_value").alias("new_value"), "outcome")
-            automatic = a if automatic is None else automatic.unionByName(a)
-        if log is not None:
-            after = None
-            for n, r in results.items():
-                if n > 1:
-                    s = history.filter(F.col("seq") == n).select("record_id", F.lit(r["revalidated_round"]).alias("round"), F.col("status").alias("status_after"))
-                    after = s if after is None else after.unionByName(s)
-            after = after if after is not None else spark.createDataFrame([], "record_id string, round int, status_after string")
-            lines = log.withColumn("seq", F.struct("batch", "seq"))
-            tables["dq_correction"].append(M.correction_outcomes(lines, after, None).drop("seq", "batch").unionByName(automatic.withColumn("correction_type", F.lit("automatic")), allowMissingColumns=True).withColumn("run_id", F.lit(run_id)))
-        else:
-            tables["dq_correction"].append(automatic.withColumn("correction_type", F.lit("automatic")).withColumn("run_id", F.lit(run_id)))
-    if not tables["dq_run"]:
+    """The four tables over all runs of a dataset. Each is one plan, however many runs there are: documents and tables of all are read together."""
+    if not list_runs(out, dataset):
         raise LayoutError(f"no run of {dataset} under {out}")
-    done = {}
-    for name, parts in tables.items():
-        df = parts[0]
-        for p in parts[1:]:
-            df = df.unionByName(p, allowMissingColumns=True)
-        done[name] = df
-    return done
+    results = all_documents(spark, out, dataset, "result", M.RESULT)
+    imports = all_documents(spark, out, dataset, "import", "run_id string, batch int")
+    rounds, batches = results.select("run_id", F.col("round").alias("at")), imports.select("run_id", F.col("batch").alias("at"))
+    revalidated = results.select("run_id", F.col("revalidated_round").alias("at")).filter("at is not null")
+    history = all_parts(spark, out, dataset, "history", "at", HISTORY, rounds).drop("at")
+    log = all_parts(spark, out, dataset, "log", "at", LOG, batches).drop("at")
+    resolved = all_parts(spark, out, dataset, "resolved", "round", "record_id string", revalidated).withColumnRenamed("at", "round")
+    audit = all_parts(spark, out, dataset, "audit", "round", AUDIT, rounds).withColumnRenamed("at", "round")
+    funnel = M.runs_funnel(results, resolved, log)
+    wrong = funnel.filter("not balanced").select("run_id").first()
+    if wrong:
+        raise ConfigError(f"run {wrong[0]}: resolved, discarded and unresolved records do not add up to the quarantined ones")
+    return {"dq_run": funnel, "dq_rule_result": M.runs_rules(results), "dq_quarantine": M.quarantine_history(history, by=("run_id",)), "dq_correction": M.runs_corrections(results, log, history, audit)}
 
 
 def run_status(run: Run) -> list[dict]:
