@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,14 +18,28 @@ def blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+@cache
+def _foldings() -> dict[str, str]:
+    """What Unicode's full case folding makes of the characters that lower case leaves otherwise: long s, sharp s, final sigma, ligatures and so on."""
+    small = {low for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 for low in chr(c).lower()}
+    return {c: c.casefold() for c in sorted(small) if c.casefold() != c}
+
+
+def fold(c: Column) -> Column:
+    """Full case folding, so that letters that differ in case only are equal in every script; only values beyond ASCII are looked at letter by letter."""
+    table = F.create_map(*[F.lit(x) for pair in _foldings().items() for x in pair])
+    each = F.transform(F.split(F.lower(c), ""), lambda x: F.coalesce(F.try_element_at(table, x), x))
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.array_join(each, ""))
+
+
 def comparison_key(c: Column) -> Column:
-    """Lower case, without surrounding white space, runs of space, underscore and hyphen as one space."""
-    return F.regexp_replace(F.lower(strip(c)), r"(?U)[\s_\-]+", " ")
+    """Folded case, without surrounding white space, runs of space, underscore and hyphen as one space."""
+    return F.regexp_replace(fold(strip(c)), r"(?U)[\s_\-]+", " ")
 
 
 def comparison_key_of(value: object) -> str:
     """The same for one value on the driver."""
-    return re.sub(r"[\s_\-]+", " ", str(value).strip().lower())
+    return re.sub(r"[\s_\-]+", " ", str(value).strip().casefold())
 
 
 def full_match(c: Column, pattern: str) -> Column:

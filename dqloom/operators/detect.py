@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dqloom.functions.expression import compile_expression
 from dqloom.functions.numbers import number_text, round_half_even
 from dqloom.functions.temporal import plus, resolve_bound, write
-from dqloom.functions.text import full_match, mapped, strip
+from dqloom.functions.text import fold, full_match, mapped, strip
 from dqloom.operators.typed import view
 from dqloom.plans.conditions import condition
 from dqloom.plans.registry import Registry, Rule, leaves
@@ -92,7 +92,7 @@ def detect(rule: Rule, registry: Registry, run_date: dt.date, column: Columns =
     elif kind == "trim_whitespace":
         fail = c != strip(c)
     elif kind == "null_tokens":
-        fail = F.lower(strip(c)).isin(registry.null_tokens) if registry.null_tokens else F.lit(False)
+        fail = fold(strip(c)).isin(registry.null_tokens) if registry.null_tokens else F.lit(False)
     elif kind == "generate":
         return generated_value(rule, registry, column, see).isNull()
     else:

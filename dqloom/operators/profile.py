@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dqloom.functions.numbers import find_number, number_text, to_number
 from dqloom.functions.temporal import parse, repair_time
-from dqloom.functions.text import comparison_key, shape, strip
+from dqloom.functions.text import comparison_key, fold, shape, strip
 from dqloom.operators import dates as D
 from dqloom.operators import relations as R
 from dqloom.plans.registry import Registry
@@ -48,7 +48,7 @@ def _n(c: str) -> Column:
 
 def missing_kind(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     """null, blank or token for a missing value; null for a present one."""
-    s = F.lower(strip(c))
+    s = fold(strip(c))
     return F.when(c.isNull(), "null").when(s == "", "blank").when(s.isin(*tokens), "token")
 
 
@@ -162,7 +162,7 @@ def type_rates(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> Data
         steps.append(value)
         return F.col(f"_s{len(steps)}")
 
-    low, number, found = let(F.lower(s)), let(to_number(s)), find_number(s, let)
+    low, number, found = let(fold(s)), let(to_number(s)), find_number(s, let)
     tests = {
         "phone": s.rlike(rf"\A{PHONE}\z"), "currency_code": s.rlike(r"\A[A-Z]{3}\z"), "placeholder_currency": s.isin(*PLACEHOLDER_CURRENCIES), "whole": number % 1 == 0, "float": number.isNotNull(),
         "number_in_text": found.isNotNull(), "time": low.rlike(rf"\A{TIME}\z"), "good_time": repair_time(s).isNotNull(), "date": v.rlike(r"\d") & parse(s, DATE_FORMATS).isNotNull(), "email": s.rlike(rf"\A{EMAIL}\z"),
@@ -326,7 +326,7 @@ def observations(stats: dict, rates: dict | None, kind: str, numeric: dict | Non
 
 def profile(df: DataFrame, registry: Registry | None = None, relationships: bool = True, run_date: dt.date | None = None, null_tokens: tuple[str, ...] | None = None) -> dict:
     """A document on the table: a few rows of aggregates for each column, collected. null_tokens: words that stand for a missing value."""
-    tokens = NULL_TOKENS if null_tokens is None else tuple(t.strip().lower() for t in null_tokens)
+    tokens = NULL_TOKENS if null_tokens is None else tuple(t.strip().casefold() for t in null_tokens)
     every = value_counts(df, whole_rows=True).persist()
     counts = every.filter("column is not null")
     by = {r["column"]: r.asDict() for r in column_counts(counts, tokens).collect()}

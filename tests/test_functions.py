@@ -21,6 +21,14 @@ def test_text(spark):
     assert text.java_replacement(r"a$\1\g<2>") == r"a\$$1$2"
 
 
+def test_folding_is_full_in_every_script(spark):
+    cased = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and {chr(c).lower(), chr(c).upper(), chr(c).casefold()} != {chr(c)}]
+    words = ["STRASSE", "Straße", "ΟΔΟΣ", "οδος", "İstanbul", "ﬃ x", "Ꭰꭰ", "𐐀x", "ŉ", "", None]
+    assert len(cased) > 2500
+    assert values(spark, text.fold, *cased, *words) == [v if v is None else v.casefold() for v in [*cased, *words]]
+    assert values(spark, text.comparison_key, " GROẞE_Straße ", "Σίσυφος") == [text.comparison_key_of(" GROẞE_Straße "), "σίσυφοσ"] == ["grosse strasse", "σίσυφοσ"]
+
+
 def test_numbers(spark):
     assert values(spark, numbers.to_number, "1", " 1.5 ", "1e3", ".5", "5.", "1d", "NaN", "inf", "1_000", "1e999", "") == [1, 1.5, 1000, 0.5, 5, None, None, None, None, None, None]
     assert values(spark, lambda c: numbers.number_text(numbers.to_number(c)), "12345678.5", "100", "10085.952", "0", "-0.1", "0.0001", "1e-12") == ["12345678.5", "100", "10085.952", "0", "-0.1", "0.0001", "1.0E-12"]
