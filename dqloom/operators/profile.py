@@ -16,29 +16,22 @@ from dqloom.functions.temporal import parse, repair_time
 from dqloom.functions.text import comparison_key, fold, shape, strip
 from dqloom.operators import dates as D
 from dqloom.operators import relations as R
+from dqloom.operators.findings import CURRENCY, EMAIL, FAR_IQR, GENERIC, NULL_TOKENS, PHONE, PLACEHOLDER_CURRENCIES, TIME, TOP, layouts, missing_kind, notes, problems, ranked, summed
 from dqloom.plans.registry import Registry
 from dqloom.sources.shared import discard, written
 
-# Words for a missing value.
-NULL_TOKENS = ("null", "none", "nan", "n/a", "na", "#n/a", "nil", "-", "--", "?")
-# Catch-all labels.
-GENERIC = ("other", "others", "unknown", "misc", "miscellaneous", "undefined", "unspecified", "not specified", "tbd")
-PLACEHOLDER_CURRENCIES = ("XXX", "XTS")
+# Pairs of words for false and true.
 BOOLEAN_PAIRS = (("false", "true"), ("no", "yes"), ("n", "y"), ("f", "t"), ("0", "1"))
 # Words of a column's name that hint at its type.
 HINTS = {"phone": {"phone", "mobile", "tel", "telephone"}, "currency_code": {"currency", "ccy"}, "boolean": {"is", "has", "flag"}, "time": {"time"}, "date": {"date", "datetime", "timestamp", "dob"}, "email": {"email", "mail"}}
 ID_WORDS = {"id", "uuid", "guid"}
 # Thresholds of the profile.
-TOP = 10
 TYPE_SHARE, HINTED_SHARE = 0.80, 0.50
 CATEGORY_VALUES, CATEGORY_SHARE = 50, 0.05
-FAR_IQR, NEAR_IQR = 3.0, 1.5
+NEAR_IQR = 1.5
 EXTREME_SHARE, EXTREME_ROWS = 0.001, 2
 PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 MISSING_SHARE, PURITY, COVERAGE, MAX_CATEGORIES = 0.01, 0.98, 0.90, 30
-EMAIL = r"[^@\s]+@[^@\s]+\.[^@\s]+"
-PHONE = r"\+?[\d\s().\-]{7,20}"
-TIME = r"(\d{1,2})[:.](\d{2})(?:[:.](\d{2})(?:\.\d+)?)?(?:\s?([ap]\.?m\.?))?"
 DATE_FORMATS = ["%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%m/%d/%Y", "%d-%m-%Y", "%d %b %Y", "%d-%b-%Y", "%Y%m%d", "%m-%d-%Y", "%d.%m.%Y", "%m.%d.%Y"]
 
 
@@ -46,12 +39,6 @@ def _n(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def missing_kind(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
-    """null, blank or token for a missing value; null for a present one."""
-    s = fold(strip(c))
-    return F.when(c.isNull(), "null").when(s == "", "blank").when(s.isin(*tokens), "token")
-
-
 def value_counts(df: DataFrame, columns: list[str] | None = None, whole_rows: bool = False) -> DataFrame:
     """(column, value, n) over all columns; with whole_rows also digests of rows, under the column null."""
     columns = columns or df.columns
@@ -77,20 +64,12 @@ def column_counts(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> D
 def top_values(counts: DataFrame, n: int = TOP, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     """The most frequent present values by column; ties by value."""
     rows = counts.filter(missing_kind(F.col("value"), tokens).isNull())
-    return _top(rows, "value", n)
+    return ranked(rows, "value", n)
 
 
 def top_shapes(counts: DataFrame, n: int = TOP, collapse: bool = False, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     rows = counts.filter(missing_kind(F.col("value"), tokens).isNull()).groupBy("column", shape(F.col("value"), collapse).alias("shape")).agg(F.sum("n").alias("n"))
-    return _top(rows, "shape", n)
-
-
-def _top(rows: DataFrame, name: str, n: int) -> DataFrame:
-    """First n by count within a column: the best of each of some hash slices first, so that no task ranks all values."""
-    key = F.struct((-F.col("n")).alias("o"), F.col(name).alias("v"))
-    some = rows.withColumn("slice", F.pmod(F.xxhash64(name), F.lit(64))).withColumn("r", F.expr(f"row_number() over (partition by column, slice order by n desc, {name})")).filter(F.col("r") <= n)
-    best = some.groupBy("column").agg(F.slice(F.array_sort(F.collect_list(key)), 1, n).alias("t"))  # at most 64 * n each
-    return best.select("column", F.posexplode("t").alias("p", "x")).select("column", (F.col("p") + 1).alias("rank"), F.col("x.v").alias(name), (-F.col("x.o")).alias("n"))
+    return ranked(rows, "shape", n)
 
 
 def spelling_variants(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
@@ -100,6 +79,12 @@ def spelling_variants(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS)
     return out.filter("variants > 1")
 
 
+def top_variants(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS, n: int = TOP) -> DataFrame:
+    """The groups of spelling_variants with the most rows, by column, with the number of groups in ``of``."""
+    found = spelling_variants(counts, tokens).select("column", "key", F.col("rows").alias("n"), "most_common", "variants")
+    return ranked(found, "key", n, more=("most_common", "variants")).join(found.groupBy("column").agg(F.count("*").alias("of")), "column")
+
+
 def generic_values(counts: DataFrame) -> DataFrame:
     """Rows with a catch-all label, by column and label."""
     return counts.withColumn("key", comparison_key(F.col("value"))).filter(F.col("key").isin(*GENERIC)).groupBy("column", F.col("key").alias("label")).agg(F.sum("n").alias("rows"))
@@ -164,7 +149,7 @@ def type_rates(counts: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> Data
 
     low, number, found = let(fold(s)), let(to_number(s)), find_number(s, let)
     tests = {
-        "phone": s.rlike(rf"\A{PHONE}\z"), "currency_code": s.rlike(r"\A[A-Z]{3}\z"), "placeholder_currency": s.isin(*PLACEHOLDER_CURRENCIES), "whole": number % 1 == 0, "float": number.isNotNull(),
+        "phone": s.rlike(rf"\A{PHONE}\z"), "currency_code": s.rlike(rf"\A{CURRENCY}\z"), "placeholder_currency": s.isin(*PLACEHOLDER_CURRENCIES), "whole": number % 1 == 0, "float": number.isNotNull(),
         "number_in_text": found.isNotNull(), "time": low.rlike(rf"\A{TIME}\z"), "good_time": repair_time(s).isNotNull(), "date": v.rlike(r"\d") & parse(s, DATE_FORMATS).isNotNull(), "email": s.rlike(rf"\A{EMAIL}\z"),
     }
     for i, step in enumerate(steps):
@@ -301,29 +286,6 @@ def conditional_missing(df: DataFrame, columns: list[str], drivers: list[str], t
     return best.select("column", F.col("driver").alias("explained_by"), F.round(100 * F.col("coverage"), 4).alias("explained_percentage"), F.transform("w", lambda x: x["category"]).alias("missing_when"), "exceptions")
 
 
-def observations(stats: dict, rates: dict | None, kind: str, numeric: dict | None = None, variants: int = 0, generic: int = 0, evidence: list[dict] | None = None, run_date: dt.date | None = None, dates: dict | None = None) -> list[str]:
-    """Neutral notes on one column from its aggregates."""
-    out = []
-    if stats["rows"] and stats["missing_count"] == stats["rows"]:
-        return ["ALL_MISSING"]
-    checks = [
-        ("NULL_TOKENS", stats["token_count"] > 0), ("WHITESPACE", stats["whitespace_count"] > 0), ("CONSTANT", stats["distinct_count"] == 1),
-        ("SPELLING_VARIANTS", variants > 0), ("GENERIC_VALUES", generic > 0),
-    ]
-    if rates:
-        own = {"integer": "float", "float": "float", "date": "date", "datetime": "date", "time": "time", "phone": "phone", "email": "email"}.get(kind)
-        checks += [("MIXED_TYPES", own in ("float", "date") and rates[own] < 1), ("OUT_OF_RANGE_TIMES", kind == "time" and rates["good_time"] < 1), ("INVALID_FORMAT", kind in ("phone", "email", "currency_code") and rates[kind] < 1), ("PLACEHOLDER_CODES", kind == "currency_code" and rates["placeholder_currency"] > 0), ("NUMBER_FORMAT_VARIANTS", own == "float" and rates["number_in_text"] > rates["float"])]
-    if numeric:
-        least = max(EXTREME_ROWS, EXTREME_SHARE * numeric["n"])
-        checks += [("FAR_OUTLIERS", numeric["far_outliers"] > 0), ("REPEATED_EXTREME_VALUE", numeric["far_outliers"] > 0 and max(numeric["at_min"], numeric["at_max"]) >= least), ("LEADING_ZEROS", numeric["leading_zeros"] > 0)]
-    if evidence:
-        orders = {e["order"] for e in evidence}
-        checks += [("FORMAT_VARIANTS", len(evidence) > 1), ("AMBIGUOUS_DATES", "ambiguous" in orders), ("MIXED_DATE_CONVENTIONS", "mixed" in orders or {"day_first", "month_first"} <= orders)]
-    if dates and run_date:
-        checks += [("FUTURE_DATES", dates["max"] is not None and str(dates["max"])[:10] > str(run_date)), ("VERY_OLD_DATES", dates["min"] is not None and dates["min"].year < 1900)]
-    return out + [code for code, found in checks if found]
-
-
 def profile(df: DataFrame, registry: Registry | None = None, relationships: bool = True, run_date: dt.date | None = None, null_tokens: tuple[str, ...] | None = None) -> dict:
     """A document on the table: a few rows of aggregates for each column, collected. null_tokens: words that stand for a missing value."""
     tokens = NULL_TOKENS if null_tokens is None else tuple(t.strip().casefold() for t in null_tokens)
@@ -339,9 +301,9 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
     dated = {r["column"]: r.asDict() for r in D.facts(D.read_counted(present, voted)).collect()}
     for c, r in rates.items():
         r |= {"date": dated[c]["dates"] / dated[c]["rows"], "has_time": dated[c]["has_time"]} if c in dated else {}
-    voted.unpersist()
-    variants = {r["column"]: r["count"] for r in spelling_variants(counts, tokens).groupBy("column").count().collect()}
-    generic = {r["column"]: r["n"] for r in generic_values(counts).groupBy("column").agg(F.sum("rows").alias("n")).collect()}
+    variants: dict[str, list] = {}
+    for r in top_variants(counts, tokens).orderBy("column", "rank").collect():
+        variants.setdefault(r["column"], []).append(r.asDict())
     tops: dict[str, list] = {}
     for r in top_values(counts, tokens=tokens).orderBy("column", "rank").collect():
         tops.setdefault(r["column"], []).append({"value": r["value"], "count": r["n"]})
@@ -349,6 +311,13 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
     for r in top_shapes(counts, tokens=tokens).orderBy("column", "rank").collect():
         shapes.setdefault(r["column"], []).append({"shape": r["shape"], "count": r["n"]})
     kinds = {c: infer_type(c, rates.get(c)) for c in df.columns}
+    odd: dict[str, dict] = {}
+    for r in summed(problems(counts, kinds, tokens, voted, run_date)).collect():  # at most a row for each column and code
+        odd.setdefault(r["column"], {})[r["code"]] = r.asDict(recursive=True)
+    formats: dict[str, list] = {}
+    for r in layouts(counts, kinds, tokens).orderBy("column", "rank").collect():
+        formats.setdefault(r["column"], []).append(r.asDict())
+    voted.unpersist()
     numbers = numeric_values(counts.filter(F.col("column").isin([c for c, kind in kinds.items() if kind in ("integer", "float")])))
     numerics = {r["column"]: {k: v for k, v in r.asDict().items() if k != "column"} for r in numeric_profiles(numbers).collect()}
     discard(numbers)
@@ -360,13 +329,19 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
         dates, forms[c] = None, canonical(_n(c), kind, tokens=tokens, votes=evidence)
         if evidence is not None:
             dates = {k: dated[c][k] if kind == "datetime" or dated[c][k] is None else dated[c][k].date() for k in ("min", "max")}
-        notes = observations(stats, rates.get(c), kind, numeric, variants.get(c, 0), generic.get(c, 0), evidence, run_date, dates)
+        extreme = max(EXTREME_ROWS, EXTREME_SHARE * numeric["n"]) if numeric else 0.0
+        found = notes(kind, stats, odd.get(c, {}), formats.get(c, []), evidence or [], numeric, variants.get(c, []), extreme)
         if c != c.strip():
-            notes.append("COLUMN_NAME_WHITESPACE")
-        columns.append({"column_name": c, "logical_type": kind, **stats, "top_values": tops.get(c, []), "shapes": shapes.get(c, []), "numeric": numeric, "dates": {k: str(v) for k, v in dates.items()} if dates else None, "observations": notes})
+            found.append({"code": "COLUMN_NAME_WHITESPACE", "detail": "The column's name begins or ends with white space."})
+        columns.append({"column_name": c, "logical_type": kind, **stats, "top_values": tops.get(c, []), "shapes": shapes.get(c, []), "numeric": numeric, "dates": {k: str(v) for k, v in dates.items()} if dates else None, "layouts": formats.get(c, []), "problems": odd.get(c, {}), "observations": [x["code"] for x in found], "notes": found})
     keys = [r.asDict() for r in candidate_keys(column_counts(counts, tokens)).collect()]
     repeated = repeated_rows(every.filter("column is null")).first()[0]
-    out = {"row_count": max([s["rows"] for s in by.values()], default=0), "columns": columns, "duplicate_rows": repeated, "keys": keys, "observations": (["DUPLICATE_ROWS"] if repeated else []) + (["NEAR_KEY"] if any(k["kind"] == "near_key" for k in keys) else [])}
+    total = max([s["rows"] for s in by.values()], default=0)
+    file_notes = [{"code": "DUPLICATE_ROWS", "detail": f"{repeated} rows are copies of an earlier one."}] if repeated else []
+    for k in columns:  # identifiers that would be keys but for missing or repeated values
+        if total and k["logical_type"] == "identifier" and R.NEAR_KEY * total <= k["distinct_count"] and (k["missing_count"] or k["distinct_count"] < total):
+            file_notes.append({"code": "NEAR_KEY", "detail": f"'{k['column_name']}' would be a key but for {k['missing_count']} missing and {k['duplicate_count']} repeated values."})
+    out = {"row_count": total, "columns": columns, "duplicate_rows": repeated, "keys": keys}
     if relationships:
         ids = [c["column_name"] for c in columns if c["logical_type"] == "identifier"]
         if ids and len(df.columns) > 1:
@@ -377,7 +352,15 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
             found = [r.asDict() for r in R.entity_attributes(stats.filter(F.col("key").isin(own))).collect()]
             shared = [r.asDict() for r in R.shared_values(relations, own).collect()]
             out |= {"entities": found, "shared_values": shared, "duplicate_keys": repeated_keys}
-            out["observations"] += (["DUPLICATE_KEYS"] if repeated_keys else []) + (["ENTITY_CONFLICTS"] if any(r["conflicting_rows"] for r in found) else []) + (["SHARED_VALUES"] if shared else [])
+            for r in repeated_keys:
+                where = ", ".join(f"{c} ({n})" for c, n in r["differing_columns"].items()) or "no column"
+                file_notes.append({"code": "DUPLICATE_KEYS", "detail": f"{r['repeated_key_count']} values of '{r['key']}' stand on several rows, {r['row_count']} in all; rows of one value differ in {where}."})
+            for r in found:
+                if r["conflicting_rows"]:
+                    file_notes.append({"code": "ENTITY_CONFLICTS", "detail": f"{r['conflicting_keys']} values of '{r['key']}' have more than one '{r['column']}'; {r['conflicting_rows']} rows differ from the usual one."})
+            for at in sorted({(r["key"], r["column"]) for r in shared}):
+                top = sorted((-r["key_count"], r["value"]) for r in shared if (r["key"], r["column"]) == at)[:5]
+                file_notes.append({"code": "SHARED_VALUES", "detail": f"Many values of '{at[0]}' share a '{at[1]}': " + ", ".join(f"'{v}' ({-n})" for n, v in top) + "."})
             stats.unpersist()
             relations.discard()
         drivers = [c["column_name"] for c in columns if c["logical_type"] in ("categorical", "boolean") and c["distinct_count"] <= MAX_CATEGORIES]
@@ -385,6 +368,8 @@ def profile(df: DataFrame, registry: Registry | None = None, relationships: bool
         if any(c != d for c in partly for d in drivers):
             gaps = [r.asDict() for r in conditional_missing(df, partly, drivers, tokens).collect()]
             out["conditional_missing"] = gaps
-            out["observations"] += ["CONDITIONAL_MISSING"] if gaps else []
+            for r in gaps:
+                file_notes.append({"code": "CONDITIONAL_MISSING", "detail": f"'{r['column']}' is missing where '{r['explained_by']}' is one of {', '.join(r['missing_when'])}; {r['exceptions']} rows are otherwise."})
+    out |= {"notes": file_notes, "observations": list(dict.fromkeys(x["code"] for x in file_notes))}
     every.unpersist()
     return out

@@ -16,6 +16,7 @@ from dqloom.operators import dates as D
 from dqloom.operators import engine as E
 from dqloom.operators import merge as G
 from dqloom.operators import metrics as M
+from dqloom.operators import findings as FI
 from dqloom.operators import profile as P
 from dqloom.operators import relations as R
 from dqloom.operators import suggest as S
@@ -755,6 +756,48 @@ def typed_entries(spark, sf_dir):
     return W.judge_entries(_t(spark, sf_dir, "customer").selectExpr("c_custkey as k", texts), registry, RUN_DATE, {"code": "Customer#000000001"})
 
 
+_ODD = """WITH k AS (SELECT o_orderkey AS k FROM orders), v AS (
+  SELECT 'amount' AS "column", CASE k % 40 WHEN 0 THEN 'EGP ' || (k % 30)::VARCHAR WHEN 1 THEN 'n/a' WHEN 2 THEN 'lots' WHEN 3 THEN '0' || (k % 50)::VARCHAR ELSE (k % 100)::VARCHAR END AS value FROM k
+  UNION ALL SELECT 'at', (k % 26)::VARCHAR || ':' || lpad((k % 63)::VARCHAR, 2, '0') FROM k
+  UNION ALL SELECT 'mail', CASE WHEN k % 33 = 0 THEN 'x' ELSE 'a' || (k % 5)::VARCHAR || '@b.co' END FROM k
+  UNION ALL SELECT 'ccy', CASE WHEN k % 50 = 0 THEN 'XXX' WHEN k % 49 = 0 THEN 'eur' ELSE 'EUR' END FROM k
+  UNION ALL SELECT 'label', CASE WHEN k % 21 = 0 THEN ' Other' ELSE 'A' || (k % 3)::VARCHAR END FROM k
+  UNION ALL SELECT 'code', CASE WHEN k % 10 = 0 THEN 'ab-' || (k % 90 + 10)::VARCHAR ELSE 'AB' || (k % 900 + 100)::VARCHAR END FROM k)"""
+_ODD_KINDS = {"amount": "float", "at": "time", "mail": "email", "ccy": "currency_code", "label": "categorical", "code": "identifier"}
+
+
+def _odd_counts(spark, sf_dir):
+    """Columns of several kinds with values that are not of them, counted."""
+    texts = {
+        "amount": "case o_orderkey % 40 when 0 then concat('EGP ', o_orderkey % 30) when 1 then 'n/a' when 2 then 'lots' when 3 then concat('0', o_orderkey % 50) else cast(o_orderkey % 100 as string) end",
+        "at": "concat(o_orderkey % 26, ':', lpad(cast(o_orderkey % 63 as string), 2, '0'))", "mail": "if(o_orderkey % 33 = 0, 'x', concat('a', o_orderkey % 5, '@b.co'))",
+        "ccy": "case when o_orderkey % 50 = 0 then 'XXX' when o_orderkey % 49 = 0 then 'eur' else 'EUR' end", "label": "if(o_orderkey % 21 = 0, ' Other', concat('A', o_orderkey % 3))",
+        "code": "if(o_orderkey % 10 = 0, concat('ab-', o_orderkey % 90 + 10), concat('AB', o_orderkey % 900 + 100))",
+    }
+    return P.value_counts(_t(spark, sf_dir, "orders").selectExpr(*[f"{x} as {c}" for c, x in texts.items()]))
+
+
+@_query(_ODD + """, f AS (
+  SELECT "column", value, unnest([
+    CASE WHEN value = 'n/a' THEN 'NULL_TOKENS' END, CASE WHEN value LIKE 'EGP%' OR value = 'lots' THEN 'MIXED_TYPES' END, CASE WHEN value LIKE 'EGP%' THEN 'NUMBER_FORMAT_VARIANTS' END,
+    CASE WHEN "column" = 'amount' AND regexp_matches(value, '^0[0-9]') THEN 'LEADING_ZEROS' END,
+    CASE WHEN "column" = 'at' AND (split_part(value, ':', 1)::INT > 23 OR split_part(value, ':', 2)::INT > 59) THEN 'OUT_OF_RANGE_TIMES' END,
+    CASE WHEN value IN ('x', 'eur') THEN 'INVALID_FORMAT' END, CASE WHEN value = 'XXX' THEN 'PLACEHOLDER_CODES' END, CASE WHEN value = ' Other' THEN 'WHITESPACE' END, CASE WHEN value = ' Other' THEN 'GENERIC_VALUES' END]) AS code FROM v),
+c AS (SELECT "column", code, value, count(*) AS n FROM f WHERE code IS NOT NULL GROUP BY ALL), o AS (SELECT *, row_number() OVER (PARTITION BY "column", code ORDER BY n DESC, value) AS r FROM c)
+SELECT "column", code, sum(n)::BIGINT AS rows, count(*) AS distinct_values, bool_or(code = 'OUT_OF_RANGE_TIMES' AND value LIKE '24:00%') AS midnight, string_agg(value || '=' || n::VARCHAR, ';' ORDER BY r) FILTER (WHERE r <= 5) AS examples FROM o GROUP BY 1, 2""")
+def profile_problems(spark, sf_dir):
+    found = FI.summed(FI.problems(_odd_counts(spark, sf_dir), _ODD_KINDS))
+    examples = F.array_join(F.transform("top", lambda x: F.concat(x["value"], F.lit("="), x["n"].cast("string"))), ";")
+    return found.select("column", "code", "rows", F.col("values").alias("distinct_values"), "midnight", examples.alias("examples"))
+
+
+@_query(_ODD + """, w AS (SELECT "column", value, regexp_replace(regexp_replace(regexp_replace(value, '[0-9]', '9', 'g'), '[A-Z]', 'A', 'g'), '[a-z]', 'a', 'g') AS s FROM v WHERE value <> 'n/a' AND ("column" IN ('at', 'code') OR value LIKE 'EGP%' OR value = 'lots')),
+l AS (SELECT "column", CASE WHEN "column" = 'code' THEN s ELSE regexp_replace(regexp_replace(regexp_replace(s, '9+', '9', 'g'), 'A+', 'A', 'g'), 'a+', 'a', 'g') END AS layout, count(*) AS n, min(value) AS example FROM w GROUP BY ALL)
+SELECT "column", row_number() OVER (PARTITION BY "column" ORDER BY n DESC, layout) AS rank, layout, n, example, count(*) OVER (PARTITION BY "column") AS layouts FROM l""")
+def profile_layouts(spark, sf_dir):
+    return FI.layouts(_odd_counts(spark, sf_dir), _ODD_KINDS).drop("of")
+
+
 @_query("SELECT 'ING_ROW_' || lpad(row_number() OVER (ORDER BY c_custkey)::VARCHAR, greatest(6, length(row_number() OVER (ORDER BY c_custkey)::VARCHAR))::INT, '0') AS record_id, row_number() OVER (ORDER BY c_custkey) AS row_no, c_custkey::VARCHAR AS c_custkey FROM customer")
 def record_ids(spark, sf_dir):
     df = _t(spark, sf_dir, "customer").orderBy("c_custkey").selectExpr("cast(c_custkey as string) as c_custkey")
