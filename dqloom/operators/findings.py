@@ -151,5 +151,5 @@ def notes(kind: str, stats: dict, found: dict[str, dict], layout: list[dict], vo
             if far and numeric[f"at_{end}"] >= extreme:
                 note("REPEATED_EXTREME_VALUE", f"{numeric[end]} stands {numeric[f'at_{end}']} times; it may be a cap or stand for an unknown value.")
     if variants and kind in (*LABELS, "currency_code"):
-        note("SPELLING_VARIANTS", f"{variants[0]['of']} values are spelt in several ways, as are those of " + ", ".join(f"'{x['most_common']}'" for x in variants[:3]) + ".")
+        note("SPELLING_VARIANTS", f"{variants[0]['of']} values are spelt in several ways, most often " + ", ".join(f"'{x['most_common']}'" for x in variants[:3]) + ".")
     return out
