@@ -66,6 +66,17 @@ def release() -> None:
         trim(0)
 
 
+def freed(work):
+    """work on a group of rows, after which ``release`` gives back what it took."""
+
+    def run(pdf):
+        out = work(pdf)
+        release()
+        return out
+
+    return run
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
@@ -88,3 +99,13 @@ def batches_of(spark: SparkSession, n: int):
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def small_batches(spark: SparkSession, n: int = 500) -> None:
+    """Arrow batches of at most n rows from now on, for rows with whole texts that are computed after the function has returned them.
+
+    Spark takes the number when a query starts, so it stays in the session. It changes no result; a smaller one that is set already is kept.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= n:
+        spark.conf.set(key, str(n))

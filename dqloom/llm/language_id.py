@@ -25,7 +25,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import release, table
+from dqloom.llm.common import release, small_batches, table
 
 DICT_BYTES = 32 * 1024
 SAMPLE = 120
@@ -125,6 +125,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
 
 def keep_identified(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """The rows of docs whose language is told with a sufficient margin, with all their columns."""
+    small_batches(docs.sparkSession)
     return classify(docs, learn(docs.filter(~in_fold(F.col("doc_id"), 3, 1))), margin=margin).filter("not rejected").select("row.*")
 
 

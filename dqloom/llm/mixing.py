@@ -20,10 +20,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import n_words, table, written
+from dqloom.llm.common import freed, n_words, table, written
 
 MOST = 3
 CYCLE = (1, 2, 3)
@@ -133,7 +134,9 @@ def plan(sized: DataFrame, seed: int = SEED, most: int = MOST, cycle: tuple = CY
     per = [(r["source"], int(r["total"] or 0)) for r in cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("total")).collect()]
     per.sort(key=lambda x: (x[0] is None, (x[0] or "").encode("utf-32-be")))
     targets = shares([s for _, s in per], [float(cycle[i % len(cycle)]) for i in range(len(per))], most)
-    sources = spark.createDataFrame([(k, s, float(t)) for (k, s), t in zip(per, targets, strict=True)], "source string, source_size long, target double")
+    # By Arrow: from a list of rows Spark would start Python workers of a second kind, which then stay beside the others.
+    names, sizes = [k for k, _ in per], [s for _, s in per]
+    sources = spark.createDataFrame(pa.table({"source": pa.array(names, pa.string()), "source_size": pa.array(sizes, pa.int64()), "target": pa.array(targets, pa.float64())}))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         total, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
@@ -145,7 +148,7 @@ def plan(sized: DataFrame, seed: int = SEED, most: int = MOST, cycle: tuple = CY
         return pdf[["source", "size", "n", "source_size", "target", "times", "want"]]
 
     quota = cells.join(F.broadcast(sources), cells.source.eqNullSafe(sources.source)).drop(sources.source)
-    quota = quota.groupBy("source").applyInPandas(fit, "source string, size long, n long, source_size long, target double, times int, want long")
+    quota = quota.groupBy("source").applyInPandas(freed(fit), "source string, size long, n long, source_size long, target double, times int, want long")
     quota = written(quota, "quota")
     # The want-th smallest hash of each cell: a cell is cut into slices of the hash's range, and one slice of it into its different hashes.
     rows = sized.withColumn("h", _hash(seed))

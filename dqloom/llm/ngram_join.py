@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import batches_of, discard, release, table, whole, written
+from dqloom.llm.common import batches_of, discard, freed, release, table, whole, written
 from dqloom.llm.components import components, joined_salted
 
 N = 5
@@ -253,8 +253,8 @@ def _documents(rows: DataFrame, n: int, threshold: int) -> tuple[DataFrame, tupl
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(0.4 * chars / 6 / CHUNK_TOKENS))
     with batches_of(rows.sparkSession, 500):
-        counted = rows.mapInPandas(_scan(chunks, n, threshold), _SCAN).groupBy("slot").applyInPandas(_counted, _COUNTED)
-        found = written(counted.groupBy("batch").applyInPandas(_summed(threshold), _FOUND), "docs")
+        counted = rows.mapInPandas(_scan(chunks, n, threshold), _SCAN).groupBy("slot").applyInPandas(freed(_counted), _COUNTED)
+        found = written(counted.groupBy("batch").applyInPandas(freed(_summed(threshold)), _FOUND), "docs")
     return found.filter("kind = 0").select("id", "hash", "n", "node", "possible"), (chunks, *_order(found.filter("kind = 2").select("chunk", "tails", "counts")))
 
 
@@ -478,7 +478,7 @@ def _tiled(tiles: DataFrame, payload: DataFrame, width: int, work, schema: str)
             found += work(g, np.array([number[x] for x in g["label"]]))
         return pd.DataFrame(found, columns=columns)
 
-    out = written(placed.groupBy("bucket").applyInPandas(run, schema), "tiled")
+    out = written(placed.groupBy("bucket").applyInPandas(freed(run), schema), "tiled")
     discard(tiles)
     return out
 

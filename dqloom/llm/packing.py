@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dqloom.llm.common import WORD, n_words, release, table, written
+from dqloom.llm.common import WORD, n_words, release, small_batches, table, written
 from dqloom.llm.exact_dedup import text_digest
 
 CAPACITY = 2048
@@ -160,6 +160,7 @@ def cut_text(text: str, capacity: int) -> list[str]:
 
 def packed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
     """Where each piece went, with the piece's own text. A document's text is cut once, and each part of it is joined to its own piece."""
+    small_batches(docs.sparkSession)
     placed = pack(docs, id_col, text_col, source_col, capacity, per_source)
     text = F.col(text_col)
     keys = [F.coalesce(F.col("id"), F.lit(0)).alias("k"), F.col("id").isNull().alias("none"), F.col("cluster").alias("c"), F.col("size").alias("w")]
