@@ -145,7 +145,10 @@ def revalidate(
     records: DataFrame, errors: DataFrame, corrections: DataFrame, ledger: DataFrame, valid: DataFrame, resolved_before: DataFrame | None, registry: Registry, run_date: dt.date, now: str,
     max_attempts: int = MAX_ATTEMPTS, everything: bool = False,
 ) -> Round | None:
-    """Corrected records run through all rules in the context of the accepted ones; each gets a new place in the ledger. None if there is nothing to do."""
+    """Corrected records run through all rules in the context of the accepted ones; each gets a new place in the ledger. None if there is nothing to do.
+
+    records, errors, ledger and valid are read several times, so they should be tables and not the plan of a validation.
+    """
     number = current_round(ledger)
     if number is None:
         raise ConfigError("no record is open")

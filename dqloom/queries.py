@@ -74,10 +74,11 @@ res AS (SELECT *, coalesce(seg3 NOT IN ('AUTOMOBILE','BUILDING','FURNITURE','HOU
 """
 
 
-def _segments(spark: SparkSession, sf_dir: str) -> E.Validation:
+def _segments(spark: SparkSession, sf_dir: str, write: bool = False) -> E.Validation:
+    """write: the validated rows as a table, for a query that reads them many times; a table that lies in one row group is dealt over all tasks first."""
     df = _rows(_t(spark, sf_dir, "customer"), "c_custkey", seg=_SEGMENT, name=_NAME)
     registry = _registry({"seg": {}, "name": {}}, _SEGMENT_RULE, {"id": "HAVE", "type": "not_null", "column": "seg", "severity": "warning", "dimension": "completeness"}, _NAME_RULE, tokens=("n/a",), pre=(TRIM, TOKENS))
-    return _checked(df, registry)
+    return E.validate(df.repartition("row_no"), registry, RUN_DATE) if write else _checked(df, registry)
 
 
 @_query(f"WITH {_SEGMENT_SQL} SELECT CASE WHEN bad THEN 'quarantined' ELSE 'accepted' END AS status, NOT bad AND (gone OR badname) AS flagged, count(*) AS n FROM res GROUP BY ALL")
@@ -421,7 +422,7 @@ def apply_corrections(spark, sf_dir):
 r AS (SELECT k, attempts, CASE k % 4 WHEN 0 THEN 'discarded' WHEN 1 THEN 'resolved' WHEN 2 THEN CASE WHEN attempts + 1 >= 3 THEN 'manual' ELSE 'failed' END ELSE 'carried' END AS route FROM q)
 SELECT 'R' || k AS record_id, CASE route WHEN 'resolved' THEN 'RESOLVED' WHEN 'discarded' THEN 'DISCARDED' WHEN 'manual' THEN 'MANUAL_REVIEW_REQUIRED' ELSE 'OPEN' END AS status, CASE WHEN route IN ('failed', 'carried', 'manual') THEN 3 ELSE 2 END AS round, attempts + (route IN ('resolved', 'failed', 'manual'))::INT AS attempts FROM r""")
 def revalidate_routing(spark, sf_dir):
-    v = _segments(spark, sf_dir)
+    v = _segments(spark, sf_dir, write=True)
     q = v.quarantine
     k = F.expr("cast(substring(record_id, 2, 20) as bigint)")
     ledger = q.select("record_id", F.lit("OPEN").alias("status"), F.lit(2).alias("round"), (k % 3).cast("int").alias("attempts"), F.lit("s").alias("updated_at"))

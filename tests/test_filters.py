@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import dqloom.queries as Q
@@ -37,3 +38,20 @@ def test_a_filter_does_not_repeat_the_layers(spark):
 def test_the_review_of_many_edits_has_a_small_plan(spark, tmp_path):
     spark.createDataFrame([(1, "Customer#1", "BUILDING")], "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
     assert size(Q.queries()["auto_fix_review"](spark, str(tmp_path))) < 50_000
+
+
+def test_a_round_reads_the_first_validation_as_a_table(spark, tmp_path, monkeypatch):
+    names = "c_custkey long, c_name string, c_mktsegment string"
+    spark.createDataFrame([(k, f"Customer#{k:09}", "BUILDING") for k in range(40)], names).write.parquet(f"{tmp_path}/customer.parquet")
+    given, revalidate = [], Q.C.revalidate
+
+    def seen(*args):
+        given.extend(a for a in args if isinstance(a, DataFrame))
+        return revalidate(*args)
+
+    monkeypatch.setattr(Q.C, "revalidate", seen)
+    rows = sorted(tuple(r) for r in Q.queries()["revalidate_routing"](spark, str(tmp_path)).collect())
+    assert rows == [("R13", "RESOLVED", 2, 2), ("R23", "OPEN", 3, 2), ("R3", "OPEN", 3, 0), ("R33", "RESOLVED", 2, 1)]
+    assert len(given) == 5
+    for df in given:
+        assert df.inputFiles() and not [f for f in df.inputFiles() if "customer.parquet" in f]
